@@ -37,12 +37,14 @@ def grid_to_rows(df: DataFrame, meta: list[str], grid_col: str) -> DataFrame:
     """
     boxed = df.select(*meta, F.col(grid_col).alias("_g"), bounds(grid_col).alias("_box"))
     cut = boxed.filter("_box.top IS NOT NULL").select(*meta, cropped(F.col("_g"), F.col("_box")).alias("_c"))
-    lines = cut.select(*meta, F.element_at("_c", 1).alias("_h"),
-                       F.posexplode(F.slice("_c", 2, F.greatest(F.size("_c") - 1, F.lit(0)))).alias("row_no", "_row"))
-    last = F.transform("_h", lambda name, i: F.struct(
-        name.alias("name"), blank_to_null(F.get("_row", i)).alias("value"),
-        (~F.array_contains(F.slice(F.col("_h"), i + 2, F.size("_h")), name)).alias("keep")))
-    pairs = F.transform(F.filter(last, lambda p: p["keep"]), lambda p: F.struct(p["name"], p["value"]))
+    # Headers in name order: the last of equal names is the one whose right neighbour differs.
+    heads = cut.select("*", F.array_sort(F.transform(F.element_at("_c", 1), lambda name, i: F.struct(
+        F.coalesce(name, F.lit("")).alias("name"), i.alias("at")))).alias("_h"))
+    kept = heads.select(*meta, "_c", F.filter(
+        "_h", lambda x, k: ~F.get(F.col("_h"), k + 1)["name"].eqNullSafe(x["name"])).alias("_k"))
+    lines = kept.select(*meta, "_k", F.posexplode(
+        F.slice("_c", 2, F.greatest(F.size("_c") - 1, F.lit(0)))).alias("row_no", "_row"))
+    pairs = F.transform("_k", lambda x: F.struct(x["name"], blank_to_null(F.get(F.col("_row"), x["at"]))))
     return lines.select(*meta, "row_no", F.map_from_entries(pairs).alias("cells"))
 
 

@@ -47,10 +47,11 @@ class Job:
             tables[name] = resolve_person(tables[name], directory, by)
         return tables
 
-    def run(self, envelopes: DataFrame, context: Context, directory: DataFrame | None = None) -> list[str]:
-        """Write all output tables; returns the names that changed."""
+    def run(self, envelopes: DataFrame, context: Context, directory: DataFrame | None = None,
+            batch: str | None = None) -> list[str]:
+        """Write all output tables; returns the names that changed. A named `batch` may be repeated."""
         return context.store.write_all(self.tables(envelopes, context, directory), self.partitions,
-                                       self.overwrite, self.purge_versions, self.historical)
+                                       self.overwrite, self.purge_versions, self.historical, batch)
 
 
 def job(payload: str, partitions: dict | None = None, overwrite: bool = False, purge_versions: bool = False,

@@ -58,9 +58,9 @@ def hours_per_resource(envelopes, context):
     work = worked_hours(with_meta_time(envelopes))
     ranked = weight_rank(work, "alias", "used_hrs", ["work_order", "project_type", "reg_period"],
                          **context.options.get("rank", {}))
-    stamp = with_meta_time(envelopes).agg(F.min("time").alias("_t"))
-    projects = project_rollup(work, 0).drop("timestamp").join(stamp, how="left") \
-        .select("customer", "employees", "hours", "reg_period", F.col("_t").alias("timestamp"), "work_order")
+    # All projects of a run carry the run's one time stamp.
+    stamp = with_meta_time(envelopes).agg(F.min("time"))
+    projects = project_rollup(work, 0).withColumn("timestamp", stamp.scalar())
     current = ranked.drop("used_hrs")
     old = context.existing("ubw_customer_per_resource")
     if old is not None:

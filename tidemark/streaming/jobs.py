@@ -38,23 +38,20 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
 
 def ingest_process(spark: SparkSession, raw: str, job: Job, context: Context, checkpoint: str,
                    directory: DataFrame | None = None, files_per_batch: int = 1000,
-                   updated=None) -> None:
+                   updated=None, label: str = "stream") -> None:
     """Transform every newly landed raw file and maintain the job's tables.
 
-    `updated(names, batch_id)` is told which tables a batch changed.
+    `updated(names, batch_id)` is told which tables a batch changed. `label` names this stream
+    within the store, so that a repeated batch is recognised.
     """
     envelopes = read_envelopes(spark, raw, job.payload, stream=True, maxFilesPerTrigger=files_per_batch)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        done = f"{checkpoint}/tables/{batch_id}"
-        if files.exists(spark, done):
-            return
-        names = job.run(batch, context, directory)
-        spark.range(1).select(F.lit(",".join(names)).alias("tables")).write.mode("overwrite").parquet(done)
+        names = job.run(batch, context, directory, batch=f"{label}-{batch_id}")
         if updated:
             updated(names, batch_id)
 
-    run_available(envelopes.writeStream.foreachBatch(handle).option("checkpointLocation", f"{checkpoint}/stream"))
+    run_available(envelopes.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 
 
 def dedupe_existing(stream: DataFrame, keys: list[str], target: str, checkpoint: str) -> None:

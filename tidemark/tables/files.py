@@ -38,3 +38,17 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 def has_data(spark: SparkSession, path: str) -> bool:
     return any(not name.startswith(("_", ".")) for name in children(spark, path))
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a folder, as paths relative to it."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    base = fs.getFileStatus(p).getPath().toString().rstrip("/") + "/"
+    found, listing = [], fs.listFiles(p, True)
+    while listing.hasNext():
+        name = listing.next().getPath().toString()[len(base):]
+        if not any(part.startswith(("_", ".")) for part in name.split("/")):
+            found.append(name)
+    return sorted(found)

@@ -87,62 +87,64 @@ class TableStore:
         files.move(self.spark, self.path(name), target)
         return target
 
-    def _save(self, df: DataFrame, path: str, partitions, mode: str) -> None:
+    def _save(self, df: DataFrame, path: str, partitions=()) -> None:
         if partitions:
             # Rebalancing groups equal partition values and still splits an oversized one.
             df = df.hint("rebalance", *[F.col(f"`{p}`") for p in partitions])
-        writer = df.write.mode(mode).option("compression", "gzip")
+        writer = df.write.mode("errorifexists").option("compression", "gzip")
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.parquet(path)
 
     def write(self, df: DataFrame | None, name: str, partitions=(), overwrite: bool = False,
-              purge_versions: bool = False, historical: bool = False) -> str | None:
-        """Write one output table by the rules; returns its name, or None when there was nothing to write."""
-        if df is None or df.isEmpty():
-            return None
+              purge_versions: bool = False, historical: bool = False, batch: str | None = None) -> str | None:
+        """Write one output table by the rules; returns its name, or None when there was nothing to write.
+
+        The rows are staged first, since they may be computed from the table they replace.
+        With a `batch` name the call can be repeated after a failure: a batch that was staged
+        completely is not computed again, only the rest of its files is moved into place.
+        """
+        note = f"{self.root}/staged/{batch or uuid.uuid4().hex}/{name}"
+        staged = f"{note}/data"
         partitions = list(partitions)
-        df = fill_partition_nulls(df, partitions)
-        present = self.exists(name)
-        replace = (overwrite or purge_versions) and not historical
-        if present:
-            old_parts = self.partitions(name)
-            if not verify_schema(self.read(name).schema, old_parts, df.schema, partitions):
-                # The new frame may read the old table, so it is written before the move.
-                staged = self._stage(df, partitions)
+        if batch and files.exists(self.spark, note) and not files.exists(self.spark, staged):
+            return name
+        if not (batch and files.exists(self.spark, f"{staged}/_SUCCESS")):
+            if df is None or df.isEmpty():
+                return None
+            files.remove(self.spark, staged)
+            self._save(fill_partition_nulls(df, partitions), staged, partitions)
+        if self.exists(name):
+            same = verify_schema(self.read(name).schema, self.partitions(name), self._read(staged).schema, partitions)
+            if not same:
                 self.archive(name)
-                files.move(self.spark, staged, self.path(name))
-                if purge_versions and not historical:
-                    self._purge(name)
-                return name
-        if replace:
-            staged = self._stage(df, partitions)
+        if self.exists(name) and (historical or not (overwrite or purge_versions)):
+            for file in files.data_files(self.spark, staged):
+                files.move(self.spark, f"{staged}/{file}", f"{self.path(name)}/{file}")
+            files.remove(self.spark, staged)
+        else:
             files.remove(self.spark, self.path(name))
             files.move(self.spark, staged, self.path(name))
-            if purge_versions:
-                self._purge(name)
-            return name
-        self._save(df, self.path(name), partitions, "append")
+        if not batch:
+            files.remove(self.spark, note.rsplit("/", 1)[0])
+        if purge_versions and not historical:
+            self._purge(name)
         return name
 
-    def _stage(self, df: DataFrame, partitions) -> str:
-        staged = f"{self.root}/staged/{uuid.uuid4().hex}"
-        self._save(df, staged, partitions, "errorifexists")
-        return staged
-
     def _purge(self, name: str) -> None:
         for folder in self.archived(name):
             files.remove(self.spark, folder)
 
     def write_all(self, tables: dict[str, DataFrame | None], partitions: dict | None = None, overwrite=False,
-                  purge_versions=False, historical=()) -> list[str]:
+                  purge_versions=False, historical=(), batch: str | None = None) -> list[str]:
         """Write every output table of one transform; returns the names that changed."""
         partitions = partitions or {}
         done = []
         for name, df in tables.items():
             if df is not None and not isinstance(df, DataFrame):
                 raise TypeError("a transform must return DataFrames")
-            done.append(self.write(df, name, partitions.get(name, ()), overwrite, purge_versions, name in historical))
+            done.append(self.write(df, name, partitions.get(name, ()), overwrite, purge_versions, name in historical,
+                                   batch))
         return [name for name in done if name]
 
     # -- catalogue -----------------------------------------------------------------------
@@ -166,7 +168,8 @@ class TableStore:
 
     def materialize(self, name: str, df: DataFrame, level: int) -> str:
         """Store a report result; readers see the old one until the new one is complete."""
-        staged = self._stage(df, ())
+        staged = f"{self.root}/staged/{uuid.uuid4().hex}"
+        self._save(df, staged)
         target = self.report_path(name, level)
         files.remove(self.spark, target)
         files.move(self.spark, staged, target)
