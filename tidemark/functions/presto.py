@@ -29,8 +29,17 @@ def to_unixtime(c) -> Column:
 
 
 def complete_months(start, end) -> Column:
-    """Complete months between two dates, negative when they are swapped."""
-    return F.months_between(_col(end), _col(start)).cast("int")
+    """Complete months between two dates, negative when they are swapped.
+
+    A month is complete at the same day number or at the end of a shorter month, so
+    30 January to 28 February is one month (`months_between` would say less than one).
+    """
+    start, end = _col(start), _col(end)
+    low, high = F.least(start, end), F.greatest(start, end)
+    index = lambda d: F.year(d) * 12 + F.month(d)
+    short = (F.dayofmonth(high) < F.dayofmonth(low)) & (high != F.last_day(high))
+    months = index(high) - index(low) - F.when(short, 1).otherwise(0)
+    return F.when(start.isNull() | end.isNull(), None).when(end < start, -months).otherwise(months)
 
 
 def date_of(year, month, day) -> Column:

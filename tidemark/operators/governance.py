@@ -9,15 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-READ = F.lit(r"\b(from|join)\s+([a-z_][a-z0-9_.]*)")
-NAMED = F.lit(r"(\w+)\s+as\s*\(")
+READ = r"\b(from|join)\s+([a-z_][a-z0-9_.]*)"
+NAMED = r"(\w+)\s+as\s*\("
 
 
 def referenced(registry: DataFrame) -> DataFrame:
     """(name, table): tables a report reads. Names bound by WITH are left out, row by row."""
     sql = F.lower("queryString")
-    names = F.array_distinct(F.array_except(F.regexp_extract_all(sql, READ, F.lit(2)),
-                                            F.regexp_extract_all(sql, NAMED, F.lit(1))))
+    names = F.array_distinct(F.array_except(F.regexp_extract_all(sql, F.lit(READ), F.lit(2)),
+                                            F.regexp_extract_all(sql, F.lit(NAMED), F.lit(1))))
     return registry.select("name", F.explode(names).alias("ref")) \
         .select("name", "ref", F.split_part("ref", F.lit("."), F.lit(-1)).alias("table"),
                 F.when(F.col("ref").contains("."), F.split_part("ref", F.lit("."), F.lit(1))).alias("given"))

@@ -1 +1,150 @@
+"""§ report registry and access rules. Every customer stands for one stored report."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import governance as G
+from ..plans.registry import delete, refresh
+from ..session import new_folder
+from ..tables.store import TableStore
+from .registry import query
+
+REGISTRY_SQL = r"""
+    registry AS (SELECT c_name AS name, CASE
+        WHEN c_nationkey = 3 THEN 'DELETE FROM ' || seg
+        WHEN c_nationkey < 10 THEN 'SELECT a, cast(year_from AS int) FROM ' || seg || ' JOIN nation_' || c_nationkey
+             || ' ON x = y'
+        WHEN c_nationkey < 20 THEN 'WITH recent AS (SELECT * FROM dev_level_2_database.' || seg
+             || ')' || chr(10) || 'SELECT * FROM recent' || chr(10) || 'LEFT JOIN nation_' || c_nationkey || ' n ON 1 = 1'
+        ELSE 'select * from unknown_table join (select 1) z on true' END AS "queryString",
+        [seg, 'nation_' || c_nationkey] AS tables FROM (SELECT *, lower(c_mktsegment) AS seg FROM customer)),
+    catalog AS (
+      SELECT DISTINCT 'dev_level_' || (1 + length(c_mktsegment) % 3) || '_database' AS database, lower(c_mktsegment) AS "table"
+      FROM customer
+      UNION SELECT 'dev_level_2_database', lower(c_mktsegment) FROM customer
+      UNION SELECT 'dev_level_' || (1 + n_regionkey % 4) || '_database', 'nation_' || n_nationkey FROM nation),
+    refs AS (SELECT name, unnest(list_distinct(regexp_extract_all(lower("queryString"),
+                    '\b(from|join)\s+([a-z_][a-z0-9_.]*)', 2))) AS ref, "queryString" FROM registry),
+    used AS (SELECT name, ref, split_part(ref, '.', -1) AS "table",
+                    CASE WHEN contains(ref, '.') THEN split_part(ref, '.', 1) END AS given FROM refs
+             WHERE NOT list_contains(regexp_extract_all(lower("queryString"), '(\w+)\s+as\s*\(', 1), ref)),
+    lines AS (SELECT DISTINCT name, database, catalog."table" FROM used JOIN catalog ON used."table" = catalog."table"
+              WHERE given IS NULL OR given = database)"""
+
+
+def registry(t):
+    seg, key = F.lower("c_mktsegment"), F.col("c_nationkey").cast("string")
+    sql = (F.when(F.col("c_nationkey") == 3, F.concat(F.lit("DELETE FROM "), seg))
+           .when(F.col("c_nationkey") < 10, F.concat(F.lit("SELECT a, cast(year_from AS int) FROM "), seg,
+                                                     F.lit(" JOIN nation_"), key, F.lit(" ON x = y")))
+           .when(F.col("c_nationkey") < 20, F.concat(
+               F.lit("WITH recent AS (SELECT * FROM dev_level_2_database."), seg,
+               F.lit(")\nSELECT * FROM recent\nLEFT JOIN nation_"), key, F.lit(" n ON 1 = 1")))
+           .otherwise("select * from unknown_table join (select 1) z on true"))
+    empty = F.lit(None).cast("string")
+    return t.customer.select(
+        F.col("c_name").alias("name"), sql.alias("queryString"),
+        F.array(seg, F.concat(F.lit("nation_"), key)).alias("tables"), F.lit(3).alias("dataProtection"),
+        F.lit("2024-01-01").alias("created"), empty.alias("lastUsed"), empty.alias("lastCacheUpdate"))
+
+
+def catalog(t):
+    level = lambda n: F.concat(F.lit("dev_level_"), n.cast("string"), F.lit("_database")).alias("database")
+    seg = F.lower("c_mktsegment").alias("table")
+    own = t.customer.select(level(1 + F.length("c_mktsegment") % 3), seg)
+    copy = t.customer.select(level(F.lit(2)), seg)
+    nations = t.nation.select(level(1 + F.col("n_regionkey") % 4),
+                              F.concat(F.lit("nation_"), F.col("n_nationkey").cast("string")).alias("table"))
+    return own.union(copy).union(nations).distinct()
+
+
+@query("report_lineage", f"WITH {REGISTRY_SQL} SELECT * FROM lines")
+def report_lineage(t):
+    return G.lineage(registry(t), catalog(t))
+
+
+@query("report_protection", f"""
+    WITH {REGISTRY_SQL}, levels AS (SELECT name, CAST(regexp_extract(database, 'level_(\\d)', 1) AS INTEGER) AS l FROM lines)
+    SELECT name, greatest(3, max(l)) AS level, max(l) <= 3 AS allowed FROM levels GROUP BY name""")
+def report_protection(t):
+    return G.protection(G.lineage(registry(t), catalog(t)))
+
+
+@query("report_select_only", f"""
+    WITH {REGISTRY_SQL} SELECT name, "queryString" FROM registry
+    WHERE NOT regexp_matches(lower("queryString"), '^\\s*(select|with)\\b')""")
+def report_select_only(t):
+    return G.non_select(registry(t)).select("name", "queryString")
+
+
+def changed(t):
+    """Some tables were updated: those of the nations of one region."""
+    return t.nation.filter("n_regionkey = 2").select(
+        F.concat(F.lit("nation_"), F.col("n_nationkey").cast("string")).alias("table"))
+
+
+@query("report_dependents", """
+    SELECT c_name AS name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2""")
+def report_dependents(t):
+    return G.dependents(registry(t), changed(t))
+
+
+def incoming(t):
+    """Reports named after suppliers and the first customers, by another author."""
+    names = t.supplier.select(F.regexp_replace("s_name", "Supplier", "Customer").alias("name"))
+    empty = F.lit(None).cast("string")
+    return names.select("name", F.lit("select 1").alias("queryString"), F.array(F.lit("t")).alias("tables"),
+                        F.lit(1).alias("dataProtection"), F.lit("2024-02-02").alias("created"),
+                        empty.alias("lastUsed"), empty.alias("lastCacheUpdate"))
+
+
+@query("report_upsert", """
+    WITH old AS (SELECT c_name AS name FROM customer), new AS (SELECT replace(s_name, 'Supplier', 'Customer') AS name FROM supplier)
+    SELECT 'create' AS mode, name, '2024-01-01' AS created FROM old
+    UNION ALL SELECT 'create', name, '2024-02-02' FROM new WHERE name NOT IN (SELECT name FROM old)
+    UNION ALL SELECT 'replace', name, '2024-01-01' FROM old WHERE name NOT IN (SELECT name FROM new)
+    UNION ALL SELECT 'replace', name, '2024-02-02' FROM new""")
+def report_upsert(t):
+    created = G.upsert(registry(t), incoming(t)).select(F.lit("create").alias("mode"), "name", "created")
+    replaced = G.upsert(registry(t), incoming(t), replace=True)
+    return created.union(replaced.select(F.lit("replace"), "name", "created"))
+
+
+@query("report_delete", """
+    SELECT c_name AS name FROM customer WHERE c_name <> (SELECT min(c_name) FROM customer)""")
+def report_delete(t):
+    store = TableStore(t.spark, new_folder(t.spark, "reports"))
+    first = t.customer.agg(F.min("c_name").alias("n")).head()["n"]
+    store.materialize(first, t.customer.select("c_custkey"), 3)
+    return delete(store, registry(t), first).select("name")
+
+
+REPORTS = [
+    ("by_status", "SELECT o_orderstatus AS k, count(*) AS n FROM {orders} GROUP BY o_orderstatus", ["orders"], 3),
+    ("by_flag", "SELECT l_returnflag AS k, count(*) AS n FROM {lineitem} GROUP BY l_returnflag", ["lineitem"], 2),
+    ("by_both", "SELECT o_orderpriority AS k, count(*) AS n FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey "
+                "GROUP BY o_orderpriority", ["lineitem", "orders"], 3),
+]
+
+
+@query("report_refresh", """
+    SELECT 'by_status' AS name, o_orderstatus AS k, count(*) AS n, '2024-03-03' AS "lastCacheUpdate" FROM orders GROUP BY 2
+    UNION ALL SELECT 'by_both', o_orderpriority, count(*), '2024-03-03' FROM lineitem JOIN orders
+      ON l_orderkey = o_orderkey GROUP BY 2
+    UNION ALL SELECT 'by_flag', NULL, 0, NULL""")
+def report_refresh(t):
+    store = TableStore(t.spark, new_folder(t.spark, "reports"))
+    stored = t.spark.createDataFrame(
+        [(n, s, u, p, "2024-01-01", None, None) for n, s, u, p in REPORTS],
+        "name STRING, queryString STRING, tables ARRAY<STRING>, dataProtection INT, created STRING, lastUsed STRING, "
+        "lastCacheUpdate STRING")
+    run = lambda name, sql: t.spark.sql(sql, orders=t.orders, lineitem=t.lineitem)
+    updated, names = refresh(store, stored, t.spark.createDataFrame([("orders",)], "table STRING"), run, "2024-03-03")
+    levels = {n: p for n, _, _, p in REPORTS}
+    results = None
+    for name in names:
+        one = store.cached_report(name, levels[name]).select(F.lit(name).alias("name"), "k", "n")
+        results = one if results is None else results.unionByName(one)
+    return updated.select("name", "lastCacheUpdate").join(results, "name", "left").select(
+        "name", "k", F.coalesce("n", F.lit(0)).alias("n"), "lastCacheUpdate")
