@@ -150,12 +150,12 @@ def filter_merged_to_default(t):
 
 
 @query("exclude_accounts", """
-    SELECT c_custkey, c_mktsegment, CASE WHEN n_name IN ('FRANCE', 'KENYA') THEN n_name END AS reply_to
+    SELECT c_custkey, c_mktsegment, CASE WHEN n_name IN ('NATION_7', 'NATION_15') THEN n_name END AS reply_to
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')""")
 def exclude_accounts(t):
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.filter(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
-        "c_custkey", "c_mktsegment", F.when(F.col("n_name").isin("FRANCE", "KENYA"), F.col("n_name")).alias("reply_to"))
+        "c_custkey", "c_mktsegment", F.when(F.col("n_name").isin("NATION_7", "NATION_15"), F.col("n_name")).alias("reply_to"))
 
 
 @query("prefix_flag", "SELECT doc_id, starts_with(text, 'The') AS flagged FROM documents")

@@ -13,9 +13,9 @@ from .registry import cents, query
 @query("join_inner_multi", """
     SELECT l_orderkey, l_linenumber, l_partkey, c_custkey, n_name FROM lineitem
     JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-    JOIN nation ON c_nationkey = n_nationkey WHERE n_name <> 'FRANCE'""")
+    JOIN nation ON c_nationkey = n_nationkey WHERE n_name <> 'NATION_7'""")
 def join_inner_multi(t):
-    homes = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).filter("n_name <> 'FRANCE'")
+    homes = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).filter("n_name <> 'NATION_7'")
     return (t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(homes, F.col("o_custkey") == F.col("c_custkey"))
             .select("l_orderkey", "l_linenumber", "l_partkey", "c_custkey", "n_name"))

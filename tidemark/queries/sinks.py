@@ -175,14 +175,14 @@ def report_materialize(t):
 
 
 @query("export_result", """
-    WITH n AS (SELECT n_nationkey, nullif(n_name, 'CANADA') AS n_name, count(c_custkey) AS customers
+    WITH n AS (SELECT n_nationkey, nullif(n_name, 'NATION_3') AS n_name, count(c_custkey) AS customers
                FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name)
     SELECT 'json' AS format, CAST(to_json(n) AS VARCHAR) AS value FROM n
     UNION ALL SELECT 'csv', n_nationkey || ',' || coalesce(n_name, '') || ',' || customers FROM n""")
 def export_result(t):
     counts = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("c"))
     rows = t.nation.join(counts, F.col("n_nationkey") == F.col("c_nationkey"), "left").select(
-        "n_nationkey", F.nullif("n_name", F.lit("CANADA")).alias("n_name"),
+        "n_nationkey", F.nullif("n_name", F.lit("NATION_3")).alias("n_name"),
         F.coalesce("c", F.lit(0)).alias("customers"))
     return (export(rows, "json").select(F.lit("json").alias("format"), "value")
             .union(export(rows, "csv").select(F.lit("csv").alias("format"), "value")))
