@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,15 +57,12 @@ def snapshot_count(df: DataFrame, now: int, out: str = "number_of_employees") ->
 def degree_class(degree) -> Column:
     """3 doctorate, 2 master, 1 bachelor, 0 anything else, judged by words in the degree text."""
     text = F.lower(degree)
-    rank = F.when(text.isNull(), 0)
-    for level, words in DEGREE_WORDS:
-        rank = rank.when(text.rlike("|".join(words)), level)
-    return rank.otherwise(0)
+    has = lambda words: reduce(lambda a, b: a | b, [text.contains(w) for w in words])
+    return (F.when(text.isNull(), 0).when(has(DOCTORATE), 3).when(has(MASTER), 2)
+            .when(has(BACHELOR) | text.endswith("bachelor"), 1).otherwise(0))
 
 
 # The words that decide the class of a degree text.
-DEGREE_WORDS = [
-    (3, ["phd ", "doktor ", "doktorgrad", "profesjonsstudiet"]),
-    (2, ["master", "sivil", r"siv\.", "cand", r"m\."]),
-    (1, ["bachelor ", "bachelor,", r"bachelor\z", r"\(bachelor\)", "bachelorgrad", "ingeniør", r"b\.", "3-år"]),
-]
+DOCTORATE = ["phd ", "doktor ", "doktorgrad", "profesjonsstudiet"]
+MASTER = ["master", "sivil", "siv.", "cand", "m."]
+BACHELOR = ["bachelor ", "bachelor,", "(bachelor)", "bachelorgrad", "ingeniør", "b.", "3-år"]

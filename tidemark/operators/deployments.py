@@ -40,17 +40,17 @@ def frequency_class(filled: DataFrame) -> DataFrame:
 
     Weeks and months carry no year, so use spans of at most twelve months.
     """
-    active = F.count_if(F.col("deployments") > 0)
-
-    def median(unit, out):
-        return (filled.groupBy("repo", unit.alias("u")).agg(active.alias("n"))
-                .groupBy("repo").agg(F.percentile_approx("n", 0.5).alias(out)))
-
-    weekly = median(F.weekofyear("date"), "m").select(
-        "repo", F.when(F.col("m") >= 3, 1).when(F.col("m") >= 1, 2).alias("class"))
-    monthly = median(F.month("date"), "m").filter("repo IS NOT NULL").select(
-        "repo", F.when(F.col("m") >= 1, 3).otherwise(4).alias("class"))
-    return monthly.union(weekly).groupBy("repo").agg(F.min("class").alias("class"))
+    # Both calendars ride on one pass over the series: each day counts for its week and its month.
+    units = F.array(F.struct(F.lit("week").alias("kind"), F.weekofyear("date").alias("no")),
+                    F.struct(F.lit("month").alias("kind"), F.month("date").alias("no")))
+    active = (filled.select("repo", (F.col("deployments") > 0).alias("on"), F.explode(units).alias("u"))
+              .groupBy("repo", "u.kind", "u.no").agg(F.count_if("on").alias("n")))
+    median = F.percentile_approx("n", 0.5).alias("m")
+    week, month = F.col("kind") == "week", F.col("kind") == "month"
+    rated = active.groupBy("repo", "kind").agg(median).filter(week | F.col("repo").isNotNull()).select(
+        "repo", F.when(week & (F.col("m") >= 3), 1).when(week & (F.col("m") >= 1), 2)
+        .when(month & (F.col("m") >= 1), 3).when(month, 4).alias("class"))
+    return rated.groupBy("repo").agg(F.min("class").alias("class"))
 
 
 def frequency_labels(spark) -> DataFrame:

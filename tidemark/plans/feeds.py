@@ -24,7 +24,7 @@ def emoji(envelopes, context):
 
 
 @job("ARRAY<STRUCT<issue STRING, customer STRING, issue_status STRING, created BIGINT, updated BIGINT>>",
-     partitions={"jira_issue_created": ["issue_status"], "jira_issue_updated": ["issue_status"]})
+     partitions={"jira_issue_created": ["issue_status"], "jira_issue_updated": ["issue_status"]}, parse_once=True)
 def sales_issues(envelopes, context):
     rows = envelopes.select(F.inline("data"), F.col("metadata.timestamp").cast("long").alias("time"),
                             F.col("metadata.event_type").alias("event_type"))
@@ -37,7 +37,7 @@ REPO = """ARRAY<STRUCT<id BIGINT, name STRING, description STRING, url STRING, h
     stargazers_count BIGINT, default_branch STRING>>"""
 
 
-@job(REPO, partitions={"github_repos": ["language", "default_branch"], "github_repo_status": []})
+@job(REPO, partitions={"github_repos": ["language", "default_branch"], "github_repo_status": []}, parse_once=True)
 def repositories(envelopes, context):
     rows = with_meta_time(envelopes)
     fresh = new_rows(rows, context.existing("github_repos"), ["id"])
@@ -58,7 +58,8 @@ def repositories(envelopes, context):
         mentions STRING, user_name STRING>>,
       accounts ARRAY<STRUCT<user_id BIGINT, screen_name STRING, name STRING, statuses_count BIGINT,
         followers_count BIGINT, favourites_count BIGINT, friends_count BIGINT, listed_count BIGINT>>>""",
-     partitions={"twitter_timeline": ["user_screen_name"], "twitter_account_status_update": ["screen_name"]})
+     partitions={"twitter_timeline": ["user_screen_name"], "twitter_account_status_update": ["screen_name"]},
+     parse_once=True)
 def tweets(envelopes, context):
     # The same tweet found by two search terms is one tweet.
     search = envelopes.select(F.inline("data.search")).dropDuplicates(["tweet_id"])
@@ -74,7 +75,7 @@ def tweets(envelopes, context):
 @job("""ARRAY<STRUCT<medium_id STRING, author_name STRING, author_username STRING, title STRING, created_at BIGINT,
         updated_at BIGINT, first_published_at BIGINT, latest_published_at BIGINT, word_count BIGINT,
         reading_time DOUBLE, total_claps BIGINT, total_unique_claps BIGINT, language STRING, url STRING,
-        comments_count BIGINT>>""")
+        comments_count BIGINT>>""", parse_once=True)
 def blog(envelopes, context):
     posts, updates = split_dim_fact(
         with_meta_time(envelopes),

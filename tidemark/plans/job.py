@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.joins import resolve_person
+from ..tables import files
 from ..tables.store import TableStore
 
 
@@ -26,7 +28,7 @@ class Context:
 
 
 class Job:
-    def __init__(self, f, payload, partitions, overwrite, purge_versions, historical, person_tables):
+    def __init__(self, f, payload, partitions, overwrite, purge_versions, historical, person_tables, parse_once):
         functools.update_wrapper(self, f)
         self.f = f
         self.payload = payload
@@ -35,6 +37,7 @@ class Job:
         self.purge_versions = purge_versions
         self.historical = historical
         self.person_tables = person_tables
+        self.parse_once = parse_once
 
     def tables(self, envelopes: DataFrame, context: Context, directory: DataFrame | None = None) -> dict:
         """Output tables as lazy DataFrames, people resolved."""
@@ -49,14 +52,28 @@ class Job:
 
     def run(self, envelopes: DataFrame, context: Context, directory: DataFrame | None = None,
             batch: str | None = None) -> list[str]:
-        """Write all output tables; returns the names that changed. A named `batch` may be repeated."""
-        return context.store.write_all(self.tables(envelopes, context, directory), self.partitions,
-                                       self.overwrite, self.purge_versions, self.historical, batch)
+        """Write all output tables; returns the names that changed. A named `batch` may be repeated.
+
+        Jobs with several outputs store the parsed envelopes as Parquet first: the JSON is read
+        once, and each output then scans only its own columns.
+        """
+        spark, store = context.spark, context.store
+        parsed = f"{store.root}/staged/input-{uuid.uuid4().hex}"
+        if self.parse_once:
+            envelopes.write.parquet(parsed)
+            envelopes = spark.read.schema(envelopes.schema).parquet(parsed)
+        try:
+            return store.write_all(self.tables(envelopes, context, directory), self.partitions,
+                                   self.overwrite, self.purge_versions, self.historical, batch)
+        finally:
+            if self.parse_once:
+                files.remove(spark, parsed)
 
 
 def job(payload: str, partitions: dict | None = None, overwrite: bool = False, purge_versions: bool = False,
-        historical=(), person_tables: dict | None = None):
+        historical=(), person_tables: dict | None = None, parse_once: bool = False):
     """Decorator for `f(envelopes, context) -> dict[str, DataFrame]`; `payload` is the schema of `data`."""
     def wrap(f):
-        return Job(f, payload, partitions or {}, overwrite, purge_versions, tuple(historical), person_tables or {})
+        return Job(f, payload, partitions or {}, overwrite, purge_versions, tuple(historical), person_tables or {},
+                   parse_once)
     return wrap

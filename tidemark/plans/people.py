@@ -53,7 +53,7 @@ def worked_hours(rows: DataFrame) -> DataFrame:
 
 
 @job(HOURS, overwrite=True, purge_versions=True, historical=["ubw_per_project_data"],
-     person_tables={"ubw_customer_per_resource": "alias"})
+     person_tables={"ubw_customer_per_resource": "alias"}, parse_once=True)
 def hours_per_resource(envelopes, context):
     work = worked_hours(with_meta_time(envelopes))
     ranked = weight_rank(work, "alias", "used_hrs", ["work_order", "project_type", "reg_period"],
@@ -136,7 +136,7 @@ def cv_section(people: DataFrame, section: str, columns: list[str], translated=(
 SPAN = ["month_from", "month_to", "year_from", "year_to"]
 
 
-@job(CV, overwrite=True, purge_versions=True, person_tables={"cv_partner_employees": "email"})
+@job(CV, overwrite=True, purge_versions=True, person_tables={"cv_partner_employees": "email"}, parse_once=True)
 def employees_cv(envelopes, context):
     people = envelopes.select(F.inline("data"))
     employees = fill_text(people.select(
@@ -183,7 +183,7 @@ COMPETENCE = """STRUCT<users ARRAY<STRUCT<username STRING, attributes ARRAY<STRU
 
 
 @job(COMPETENCE, overwrite=True, purge_versions=True,
-     person_tables={"competence_users": "email", "competence_answers": "email"})
+     person_tables={"competence_users": "email", "competence_answers": "email"}, parse_once=True)
 def competence(envelopes, context):
     users = envelopes.select(F.inline("data.users")).select("username", F.inline("attributes"))
     answers = envelopes.select(F.inline("data.answers")).select("username", "email", F.inline("answers"))

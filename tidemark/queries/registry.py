@@ -43,6 +43,15 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A tiny file is read by one task; spread its rows before heavy work per row.
+
+    Inputs that already come in as many parts as there are cores are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def cents(c, digits: int = 2):
     """Sums of decimals held as doubles, rounded alike on both sides."""
     return F.round(c, digits)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from ..tables.store import TableStore
 from .joins import people
 from .registry import cents, query
 
-DEGREES = ["small", "large", "red", "blue", "bolt", "ring", "widget", "gear", "nut", "valve", "steel", "brass",
+WORDS = ["small", "large", "red", "blue", "bolt", "ring", "widget", "gear", "nut", "valve", "steel", "brass",
            "green", "cog", "pin", "cap", "rod", "hub", "tube", "belt", "plate"]
 
 
@@ -31,9 +32,9 @@ def scalar_substr(t):
 
 
 @query("scalar_like_chain", f"""
-    SELECT doc_id, ({' OR '.join(f"lower(text) LIKE '%{w}%'" for w in DEGREES)}) AS hit FROM documents""")
+    SELECT doc_id, ({' OR '.join(f"lower(text) LIKE '%{w}%'" for w in WORDS)}) AS hit FROM documents""")
 def scalar_like_chain(t):
-    return t.documents.select("doc_id", F.lower("text").rlike("|".join(DEGREES)).alias("hit"))
+    return t.documents.select("doc_id", reduce(lambda a, b: a | b, [F.lower("text").contains(w) for w in WORDS]).alias("hit"))
 
 
 @query("scalar_upper_concat", """

@@ -110,10 +110,14 @@ class TableStore:
         if batch and files.exists(self.spark, note) and not files.exists(self.spark, staged):
             return name
         if not (batch and files.exists(self.spark, f"{staged}/_SUCCESS")):
-            if df is None or df.isEmpty():
+            if df is None:
                 return None
             files.remove(self.spark, staged)
             self._save(fill_partition_nulls(df, partitions), staged, partitions)
+            # Asking the staged files is cheaper than computing the frame once more to see if it is empty.
+            if not files.has_data(self.spark, staged) or self._read(staged).isEmpty():
+                files.remove(self.spark, note)
+                return None
         if self.exists(name):
             same = verify_schema(self.read(name).schema, self.partitions(name), self._read(staged).schema, partitions)
             if not same:
