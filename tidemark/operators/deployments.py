@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import lookup_join
+
 # Class numbers and their labels.
 FREQUENCY_LABELS = {1: "daily", 2: "weekly", 3: "monthly", 4: "yearly"}
 
@@ -68,5 +70,5 @@ def deployment_frequency(filled: DataFrame, labels: DataFrame | None = None) ->
 
 def row_access(df: DataFrame, bindings: DataFrame, group: str, repo_col: str = "repo") -> DataFrame:
     """Only the rows whose repository is bound to the viewer's group."""
-    mine = bindings.filter(F.col("group") == group).select(F.col("repo").alias("_bound")).distinct()
-    return df.join(mine, df[repo_col] == mine["_bound"], "left_semi")
+    mine = bindings.filter(F.col("group") == group).select(F.col("repo").alias(repo_col)).distinct()
+    return lookup_join(df, mine, [repo_col], "left_semi")

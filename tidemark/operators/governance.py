@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
+
 READ = r"\b(from|join)\s+([a-z_][a-z0-9_.]*)"
 NAMED = r"(\w+)\s+as\s*\("
 
@@ -52,7 +54,7 @@ def non_select(registry: DataFrame) -> DataFrame:
 def dependents(registry: DataFrame, changed: DataFrame) -> DataFrame:
     """Names of the reports that read any changed table (`changed` has a column `table`)."""
     uses = registry.select("name", F.explode("tables").alias("table"))
-    return uses.join(changed.select("table").distinct(), "table", "left_semi").select("name").distinct()
+    return lookup_join(uses, changed.select("table").distinct(), ["table"], "left_semi").select("name").distinct()
 
 
 def upsert(registry: DataFrame, new: DataFrame, replace: bool = False) -> DataFrame:

@@ -49,5 +49,10 @@ def grid_to_rows(df: DataFrame, meta: list[str], grid_col: str) -> DataFrame:
 
 
 def sheet_columns(rows: DataFrame, headers: list[str]) -> DataFrame:
-    """One sheet's rows as a plain table with the given headers."""
-    return rows.select([F.col("cells").getItem(h).alias(h) for h in headers])
+    """One sheet's rows as a plain table. Headers equal but for case get a running number."""
+    columns, seen = [], {}
+    for h in headers:
+        n = seen[h.lower()] = seen.get(h.lower(), 0) + 1
+        name = h if h else "column"
+        columns.append(F.col("cells").getItem(h).alias(name if n == 1 else f"{name}_{n}"))
+    return rows.select(columns)

@@ -16,6 +16,23 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def lookup_join(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner", nulls: bool = False) -> DataFrame:
+    """Join rows with a side that was aggregated to one row per key; also `left`, `left_semi`, `left_anti`.
+
+    An aggregated side is already partitioned by its key, and adaptive execution splits a hot
+    key only where both inputs of a join come straight from a shuffle. Null-safe equality gives
+    both sides a shuffle of their own. Null keys match nothing unless `nulls` is set.
+    Below the broadcast limit there is no shuffle at all.
+    """
+    extra = [c for c in side.columns if c not in keys]
+    side = (side if nulls else side.na.drop("any", subset=keys)).withColumnsRenamed({k: f"_side_{k}" for k in keys})
+    match = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_side_{k}`")) for k in keys])
+    joined = df.join(side, match, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns + extra])
+
+
 def left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left outer join whose *right* side may hold hot keys.
 
@@ -49,7 +66,7 @@ def resolve_person(df: DataFrame, directory: DataFrame, by: str, on: str | None
     column = "displayName" if by == "full_name" else by
     people = (directory.filter(F.col(column).isNotNull() & (F.col("guid") != ""))
               .groupBy(F.col(column).alias(on)).agg(F.min("guid").alias("guid")))
-    return df.join(people, on, "inner").select(*df.columns, "guid")
+    return lookup_join(df.drop("guid") if on != "guid" else df, people, [on])
 
 
 def lookup_manager(df: DataFrame, directory: DataFrame, by: str, on: str | None = None) -> DataFrame:
@@ -58,8 +75,7 @@ def lookup_manager(df: DataFrame, directory: DataFrame, by: str, on: str | None
     column = "displayName" if by == "full_name" else by
     people = (directory.filter(F.col(column).isNotNull())
               .groupBy(F.col(column).alias(on)).agg(F.min_by("manager", "guid").alias("manager")))
-    return (df.join(people, on, "left")
-            .select(*df.columns, F.coalesce("manager", F.lit("")).alias("manager")))
+    return lookup_join(df, people, [on], "left").withColumn("manager", F.coalesce("manager", F.lit("")))
 
 
 def map_dimension(df: DataFrame, mapping: DataFrame, keys: dict[str, str], replace: dict[str, str]) -> DataFrame:
@@ -82,8 +98,8 @@ def self_manager(people: DataFrame, own: str, manager_of: str, email: str, order
     """Add manager name and email found in the same table; the last row with that name wins."""
     bosses = (people.filter(F.col(own).isNotNull()).groupBy(F.col(own).alias(manager_of))
               .agg(F.max_by(F.col(email), F.col(order)).alias("manager_email")))
-    joined = people.join(bosses.withColumn("manager", F.col(manager_of)), manager_of, "left")
-    return joined.select(*people.columns, "manager", "manager_email")
+    return lookup_join(people, bosses.select(manager_of, F.col(manager_of).alias("manager"), "manager_email"),
+                       [manager_of], "left")
 
 
 def unmatched_full(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -91,11 +107,9 @@ def unmatched_full(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
     Written as its three disjoint parts, so that neither side has to be kept whole per key.
     """
-    lonely_left = left.join(right.select(F.col(right_key)).distinct(),
-                            left[left_key] == right[right_key], "left_anti")
+    lonely_left = lookup_join(left, right.select(F.col(right_key).alias(left_key)).distinct(), [left_key], "left_anti")
     odd = right.filter(F.col(right_key).isNull() | (F.col(right_key) == ""))
-    lonely_right = odd.join(left.select(F.col(left_key)).distinct(),
-                            odd[right_key] == left[left_key], "left_anti")
+    lonely_right = lookup_join(odd, left.select(F.col(left_key).alias(right_key)).distinct(), [right_key], "left_anti")
     blank = left.join(odd, left[left_key] == odd[right_key], "inner")
     return (blank.unionByName(lonely_left, allowMissingColumns=True)
             .unionByName(lonely_right, allowMissingColumns=True))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import pad_period
 from ..session import reliable_checkpoint
+from .joins import lookup_join
 
 
 def latest(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -16,7 +17,7 @@ def latest(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
     history of one hot key is spread over its times and can be split further at run time.
     """
     newest = df.groupBy(*keys).agg(F.max(ts).alias(ts))
-    return df.join(newest, [*keys, ts], "inner").select(*df.columns)
+    return lookup_join(df, newest, [*keys, ts], "left_semi")
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column | str], others: list[str]) -> DataFrame:
@@ -44,7 +45,7 @@ def top_periods(df: DataFrame, key: list[str], period: str, n: int) -> DataFrame
     counts = df.groupBy(*key, period).agg(F.count(F.lit(1)).alias("_c"))
     keep = (counts.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
             .filter(F.col("_before") < n).select(*key, period))
-    return df.join(keep, [*key, period], "left_semi")
+    return lookup_join(df, keep, [*key, period], "left_semi", nulls=True)
 
 
 def rank_rows(df: DataFrame, keys: list[str], order: list[Column], out: str,
@@ -54,7 +55,8 @@ def rank_rows(df: DataFrame, keys: list[str], order: list[Column], out: str,
     Groups up to `max_group_rows` go through an ordinary window. The few larger ones (their
     number is at most rows / max_group_rows) are range partitioned by group and order, so
     that one group spans many tasks; each slice is numbered on its own and shifted by the
-    sizes of the slices before it. The slice number is fixed by a reliable checkpoint.
+    sizes of the slices before it. Row ids (to part equal rows) and slice numbers hang on the
+    placement of rows, so both are taken from reliable checkpoints: a repeated task sees the same.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     large = reliable_checkpoint(sizes.filter(F.col("_size") > max_group_rows).select(*keys))
@@ -68,8 +70,8 @@ def rank_rows(df: DataFrame, keys: list[str], order: list[Column], out: str,
         same = term if same is None else same & term
     small_rows = df.join(large, same, "left_anti").withColumn(out, F.row_number().over(plain).cast("long"))
 
-    sliced = (df.join(large, same, "left_semi")
-              .withColumn("_tie", F.monotonically_increasing_id())
+    hot_rows = reliable_checkpoint(df.join(large, same, "left_semi"))
+    sliced = (hot_rows.withColumn("_tie", F.monotonically_increasing_id())
               .repartitionByRange(*[F.col(k) for k in keys], *order, F.col("_tie"))
               .withColumn("_slice", F.spark_partition_id()))
     sliced = reliable_checkpoint(sliced)

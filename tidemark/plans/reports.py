@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.presto import complete_months, date_of
 from ..operators.aggregates import degree_class, joined_list, joined_set, json_set, latest_value
-from ..operators.joins import left_join, map_dimension, unmatched_full
+from ..operators.joins import left_join, lookup_join, map_dimension, unmatched_full
 from ..operators.windows import latest, top_periods
 
 # Fixed values of the reports.
@@ -302,8 +302,8 @@ def comp_amount(answers, questions, categories, rated_only: bool = False,
     """
     rows, _ = _with_person_averages(answers, questions, categories, False, excluded)
     _, average = _with_person_averages(answers, questions, categories, rated_only, excluded)
-    base = (rows.select("email", "motivation", F.col("knowledge").alias("competence"), "subCategory", "category")
-            .distinct().join(average, ["email", "category"]))
+    base = rows.select("email", "motivation", F.col("knowledge").alias("competence"), "subCategory", "category").distinct()
+    base = lookup_join(base, average, ["email", "category"])
     above = lambda c: F.count(F.when(F.col(c) > 3, 1))
     per_topic = base.groupBy("subCategory", "category").agg(
         above("motivation").alias("subMotivationAmount"), above("competence").alias("subCompetenceAmount"))
@@ -323,7 +323,7 @@ def employee_mot_comp(answers, questions, categories, rated_only: bool = True,
     """Every answer beside the person's averages in that category (rated questions only)."""
     rows, _ = _with_person_averages(answers, questions, categories, False, excluded)
     _, average = _with_person_averages(answers, questions, categories, rated_only, excluded)
-    return rows.join(average, ["email", "category"]).select(
+    return lookup_join(rows, average, ["email", "category"]).select(
         "email", "motivation", F.col("knowledge").alias("competence"), "subCategory", "category",
         "categoryMotivationAvg", "categoryCompetenceAvg")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import clean_name
 from ..operators.forms import form_rows
 from ..operators.grids import grid_to_rows, sheet_columns
+from ..tables import files
 from .job import job
 
 FORM = """STRUCT<tableName STRING, user STRING, responses ARRAY<STRUCT<respondent STRING, timestamp STRING, id STRING,
@@ -53,7 +56,12 @@ def sheets(envelopes, context):
     upload batch are brought to the driver: names only, never cells, and at most
     MAX_SHEETS_PER_RUN of them; larger backlogs are refused and must be split into runs.
     """
-    rows = sheet_rows(envelopes)
+    # Stored by sheet, so that every table reads its own lines only.
+    staged = f"{context.store.root}/staged/sheets-{uuid.uuid4().hex}"
+    sheet_rows(envelopes).hint("rebalance", F.col("table")).write.partitionBy("table").parquet(staged)
+    if not files.has_data(context.spark, staged):
+        return {"google_sheets_metadata": sheet_metadata(envelopes)}
+    rows = context.spark.read.schema("t DOUBLE, row_no INT, cells MAP<STRING, STRING>, table STRING").parquet(staged)
     heads = (rows.groupBy("table").agg(F.max(F.struct("t", F.array_sort(F.map_keys("cells")).alias("h"))).alias("m"))
              .select("table", "m.t", "m.h").limit(MAX_SHEETS_PER_RUN + 1).collect())
     if len(heads) > MAX_SHEETS_PER_RUN:

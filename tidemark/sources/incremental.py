@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_join
+
 # Fixed value: where the first run of a source starts.
 FIRST_MARK = "2010-01-01 00:00:00"
 
@@ -17,7 +19,7 @@ def incremental(df: DataFrame, marks: DataFrame, source_col: str, ts_col: str, n
     """
     known = marks.groupBy(F.col("source").alias(source_col)).agg(F.max("mark").alias("_mark"))
     start = F.coalesce("_mark", F.lit(FIRST_MARK).cast(df.schema[ts_col].dataType))
-    rows = (df.join(known, source_col, "left")
+    rows = (lookup_join(df, known, [source_col], "left")
             .filter((F.col(ts_col) >= start) & (F.col(ts_col) < now)).select(*df.columns))
     sources = df.select(F.col(source_col).alias("source")).union(marks.select("source")).distinct()
     return rows, sources.select("source", now.alias("mark"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import epoch, strip_modifier
 from ..operators.flatten import nested_elements
+from ..operators.joins import lookup_join
 
 ISSUE_BODY = """webhookEvent STRING, issue STRUCT<key STRING, fields STRUCT<created STRING, updated STRING,
     status STRUCT<name STRING>, labels ARRAY<STRING>>>"""
@@ -76,7 +77,7 @@ def emoji_rows(parsed: DataFrame, channels: DataFrame | None = None) -> DataFram
         named = rows.withColumn("channel_name", F.lit(None).cast("string"))
     else:
         known = channels.groupBy("channel").agg(F.min("channel_name").alias("channel_name"))
-        named = rows.join(known, "channel", "left")
+        named = lookup_join(rows, known, ["channel"], "left")
     return named.select("event_type", "channel", "channel_name", "event_ts", "team_id", "emoji")
 
 
