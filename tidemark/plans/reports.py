@@ -300,16 +300,29 @@ def comp_amount(answers, questions, categories, rated_only: bool = False,
 
     With `rated_only` the averages cover rated questions only, the counted answers all questions.
     """
-    rows, _ = _with_person_averages(answers, questions, categories, False, excluded)
-    _, average = _with_person_averages(answers, questions, categories, rated_only, excluded)
-    base = rows.select("email", "motivation", F.col("knowledge").alias("competence"), "subCategory", "category").distinct()
-    base = lookup_join(base, average, ["email", "category"])
+    rated = (F.col("type") == RATED_TYPE) if rated_only else F.lit(True)
+    asked = questions.select(F.col("id").alias("questionid"), rated.alias("_rated"))
+    topics = _topics(questions, categories, False, excluded).join(asked, "questionid")
+    # Equal answers count once, but weigh in the averages as often as they were given. Both uses
+    # below need the same rows and counts, so that one shuffle serves them.
+    base = (answers.filter("email IS NOT NULL").join(topics, "questionid")
+            .groupBy("email", "motivation", F.col("knowledge").alias("competence"), "subCategory", "category")
+            .agg(F.count_if("_rated").alias("_n")).filter("_n >= 0"))
+
+    def mean(c):
+        return F.try_divide(F.sum(F.col(c) * F.col("_n")), F.sum(F.when(F.col(c).isNotNull(), F.col("_n"))))
+
+    person = (base.groupBy("email", "category")
+              .agg(mean("motivation").alias("_m"), mean("competence").alias("_k"), F.count(F.lit(1)).alias("_rows"),
+                   F.sum("_n").alias("_rated")).filter("_rated > 0"))
+    counted = lookup_join(base, person.select("email", "category"), ["email", "category"], "left_semi")
     above = lambda c: F.count(F.when(F.col(c) > 3, 1))
-    per_topic = base.groupBy("subCategory", "category").agg(
+    per_topic = counted.groupBy("subCategory", "category").agg(
         above("motivation").alias("subMotivationAmount"), above("competence").alias("subCompetenceAmount"))
-    per_category = base.groupBy("category").agg(
-        above("categoryMotivationAvg").alias("motivationAmount"),
-        above("categoryCompetenceAvg").alias("competenceAmount"), F.count_distinct("email").alias("numEmails"))
+    times = lambda c: F.coalesce(F.sum(F.when(F.col(c) > 3, F.col("_rows"))), F.lit(0))
+    per_category = person.groupBy("category").agg(
+        times("_m").alias("motivationAmount"), times("_k").alias("competenceAmount"),
+        F.count(F.lit(1)).alias("numEmails"))
     share = lambda c, scale: (F.lit(scale) * F.col(c).cast("double") / F.col("numEmails").cast("double"))
     return per_topic.join(per_category, "category", "left").select(
         "subCategory", "subMotivationAmount", share("subMotivationAmount", 100.0).alias("subMotivationPropotion"),

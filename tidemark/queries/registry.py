@@ -36,11 +36,15 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.schemas: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self.schemas:
+            self.schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self.schemas[name]).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def read_csv_reference(t):
 
 
 def forecast_xml():
-    hours = F.transform(F.sequence(F.lit(0), F.lit(29)), lambda i: F.format_string(
+    hours = F.transform(F.sequence(F.lit(0), F.lit(25)), lambda i: F.format_string(
         '<time from="2024-01-%02dT%02d:00:00" to="2024-01-%02dT%02d:30:00"><precipitation value="%s"/>'
         '<windSpeed mps="%s"/><temperature value="%s"/><pressure value="%s"/></time>',
         F.dayofmonth("ts"), i % 24, F.dayofmonth("ts"), i % 24, F.col("value").cast("string"),

@@ -40,10 +40,9 @@ def directory(t):
 
 
 @query("p_weather", f"""
-    SELECT *, CAST(50 AS BIGINT) AS time FROM ({FORECAST_SQL}) WHERE location_name IN ('error', 'signup')""")
+    SELECT *, CAST(50 AS BIGINT) AS time FROM ({FORECAST_SQL})""")
 def p_weather(t):
-    some = spread(t.events).filter("event_type IN ('error', 'signup')")
-    parsed = some.select(F.concat(F.lit("p/"), text("user_id")).alias("place"),
+    parsed = spread(t.events).select(F.concat(F.lit("p/"), text("user_id")).alias("place"),
                          F.from_xml(forecast_xml(), docs.FORECAST).alias("x"))
     rows = docs.forecast_rows(parsed.select("place", "x.*"), F.col("place")).withColumn(
         "wind_speed", F.round("wind_speed", 2))

@@ -30,6 +30,9 @@ def build_session(app: str = "tidemark", master: str | None = None, conf: dict |
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
@@ -38,11 +41,12 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
