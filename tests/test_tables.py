@@ -174,3 +174,16 @@ def test_report_lifecycle(store, frame):
     assert store.cached_report("r", 2).count() == 1
     store.drop_materialized("r", 2)
     assert not files.exists(store.spark, store.report_path("r", 2))
+
+
+def test_shuffles_widen_with_the_input(spark):
+    from tidemark.session import size_shuffles
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 1000) == 4
+        assert size_shuffles(spark, 100 * 1024 ** 3) == 3201
+        assert spark.conf.get(setting) == "3201"
+        assert size_shuffles(spark, 1000) == 3201
+        assert size_shuffles(spark, 10 ** 15) == 100_000
+    finally:
+        spark.conf.unset(setting)

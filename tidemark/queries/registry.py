@@ -7,9 +7,13 @@ import textwrap
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import size_shuffles
+from ..tables import files
+
 QUERIES: dict = {}
 ORACLES: dict = {}
 GROUPS: dict = {}
+SIZES: dict = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -19,6 +23,9 @@ def query(name: str, sql: str | None = None):
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            if sf_dir not in SIZES:
+                SIZES[sf_dir] = files.size(spark, sf_dir)
+            size_shuffles(spark, SIZES[sf_dir])
             return f(Tables(spark, sf_dir))
 
         run.__name__ = name

@@ -11,8 +11,7 @@ from pyspark.sql import SparkSession
 def build_session(app: str = "tidemark", master: str | None = None, conf: dict | None = None) -> SparkSession:
     """A session with the settings the library expects.
 
-    Shuffle parallelism is left to adaptive execution: a high initial number of
-    partitions is coalesced at run time, and skewed join sides are split.
+    Skewed join sides are split at run time; `size_shuffles` sets the shuffle width.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -30,6 +29,24 @@ def build_session(app: str = "tidemark", master: str | None = None, conf: dict |
     return builder.getOrCreate()
 
 
+SHUFFLE_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, growth: float = 4.0) -> int:
+    """Widen shuffles to the input, so that a shuffle partition stays near SHUFFLE_BYTES.
+
+    `growth` allows for compressed columns turning into rows. The setting is only raised, and
+    adaptive execution merges the partitions that stay small.
+    """
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = int(spark.conf.get(setting, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_SHUFFLE_PARTITIONS, int(input_bytes * growth / SHUFFLE_BYTES) + 1)
+    if wanted > now:
+        spark.conf.set(setting, str(wanted))
+    return max(now, wanted)
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 

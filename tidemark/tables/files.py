@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 
@@ -52,3 +54,21 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
         if not any(part.startswith(("_", ".")) for part in name.split("/")):
             found.append(name)
     return sorted(found)
+
+
+def move_files(spark: SparkSession, source: str, target: str, threads: int = 16) -> None:
+    """Move all data files of a folder into another one, keeping their relative paths.
+
+    Each move is a metadata call, so many run at once. A broken-off call can be repeated:
+    files already moved are no longer in `source`.
+    """
+    names = data_files(spark, source)
+    with ThreadPoolExecutor(threads) as pool:
+        for done in [pool.submit(move, spark, f"{source}/{n}", f"{target}/{n}") for n in names]:
+            done.result()
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes below a path."""
+    fs, p = _path(spark, path)
+    return fs.getContentSummary(p).getLength()

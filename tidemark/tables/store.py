@@ -123,8 +123,7 @@ class TableStore:
             if not same:
                 self.archive(name)
         if self.exists(name) and (historical or not (overwrite or purge_versions)):
-            for file in files.data_files(self.spark, staged):
-                files.move(self.spark, f"{staged}/{file}", f"{self.path(name)}/{file}")
+            files.move_files(self.spark, staged, self.path(name))
             files.remove(self.spark, staged)
         else:
             files.remove(self.spark, self.path(name))
