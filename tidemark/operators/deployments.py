@@ -26,15 +26,16 @@ def deployments(df: DataFrame, id_col: str, ts_col: str, repo_col: str) -> DataF
 def gap_fill(daily: DataFrame, end: str, months: int = 3) -> DataFrame:
     """Every repository has a row for each day of the span; older days keep theirs.
 
-    The calendar is an array per repository, exploded in place: no cross join, and the
-    zero rows are merged by a map-side combined sum.
+    The days of one repository (as many as the calendar has, whatever the number of changes)
+    are brought together and completed in place: the changes are read once, without a cross join.
     """
     end_day = F.to_date(F.lit(end))
-    calendar = F.sequence(F.add_months(end_day, -months), end_day)
-    zeros = (daily.select("repo").distinct()
-             .select(F.explode(calendar).alias("date"), "repo", F.lit(0).cast("long").alias("deployments")))
-    return (daily.select("date", "repo", "deployments").unionByName(zeros)
-            .groupBy("date", "repo").agg(F.sum("deployments").alias("deployments")))
+    span = F.sequence(F.add_months(end_day, -months), end_day)
+    series = daily.groupBy("repo").agg(F.collect_list(F.struct("date", "deployments")).alias("found"))
+    known = F.array_compact(F.transform("found", lambda x: x["date"]))
+    zeros = F.transform(F.array_except(span, known), lambda d: F.struct(
+        d.alias("date"), F.lit(0).cast("long").alias("deployments")))
+    return series.select("repo", F.inline(F.concat("found", zeros))).select("date", "repo", "deployments")
 
 
 def frequency_class(filled: DataFrame) -> DataFrame:
