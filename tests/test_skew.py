@@ -123,3 +123,22 @@ def test_project_rollup_counts_people_over_all_periods(spark, rows_of):
         "customer STRING, work_order_description STRING, reg_period STRING, alias STRING, used_hrs DOUBLE")
     got = A.project_rollup(df, 9).select("customer", "reg_period", "employees", "hours")
     assert rows_of(got) == [("c", "p1", 2, 3.0), ("c", "p2", 2, 4.0), ("d", "p1", 1, 8.0)]
+
+
+def test_left_join_splits_when_the_left_side_is_partitioned(splitting, spark, hot):
+    people = spark.range(600).select(F.col("id").alias("k"), F.lit("p").alias("name"))
+    more = spark.range(600).select(F.col("id").alias("k"), F.lit("m").alias("more"))
+    assert "skew=true" in final_plan(J.left_join(people.join(more, "k", "left"), hot, ["k"]))
+
+
+def test_left_join_keeps_null_keys(spark, rows_of):
+    left = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k STRING, v INT")
+    right = spark.createDataFrame([(None, "x"), ("a", "y"), ("a", "z")], "k STRING, w STRING")
+    assert rows_of(J.left_join(left, right, ["k"])) == rows_of(left.join(right, "k", "left"))
+
+
+def test_resolve_person_splits_a_hot_alias(splitting, spark, hot):
+    rows = hot.withColumn("alias", F.concat(F.lit("a"), F.col("k").cast("string")))
+    people = spark.range(600).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("alias"),
+                                     F.col("id").cast("string").alias("guid"))
+    assert "skew=true" in final_plan(J.resolve_person(rows, people, "alias"))

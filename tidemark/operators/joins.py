@@ -17,10 +17,10 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
 
 
 def lookup_join(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inner", nulls: bool = False) -> DataFrame:
-    """Join rows with a side that was aggregated to one row per key; also `left`, `left_semi`, `left_anti`.
+    """Join rows that may hold hot keys with a side of few rows per key; also `left`, `left_semi`, `left_anti`.
 
-    An aggregated side is already partitioned by its key, and adaptive execution splits a hot
-    key only where both inputs of a join come straight from a shuffle. Null-safe equality gives
+    A side that was aggregated (or joined before) by the key is partitioned by it already, and
+    adaptive execution splits a hot key only where both inputs come straight from a shuffle. Null-safe equality gives
     both sides a shuffle of their own. Null keys match nothing unless `nulls` is set.
     Below the broadcast limit there is no shuffle at all.
     """
@@ -41,11 +41,12 @@ def left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     map-side combined) right keys do not contain. Needs keys named alike.
     """
     extra = [c for c in right.columns if c not in keys]
-    matched = left.join(right, keys, "inner")
-    missing = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    columns = [F.col(f"`{c}`") for c in left.columns + extra]
+    matched = lookup_join(right, left, keys).select(columns)
+    missing = lookup_join(left, right.select(*keys).distinct(), keys, "left_anti")
     for c in extra:
         missing = missing.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
-    return matched.unionByName(missing)
+    return matched.union(missing.select(columns))
 
 
 def new_rows(df: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:

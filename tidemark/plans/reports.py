@@ -245,11 +245,12 @@ def work_status(hours) -> DataFrame:
 
 
 def _topics(questions, categories, rated_only: bool, excluded: str = EXCLUDED_CATEGORY) -> DataFrame:
-    asked = questions.filter(F.col("type") == RATED_TYPE) if rated_only else questions
+    rated = F.coalesce(F.col("type") == RATED_TYPE, F.lit(False))
+    asked = questions.filter(rated) if rated_only else questions
     wanted = categories.filter(F.col("text") != excluded).select(F.col("id").alias("categoryid"),
                                                                  F.col("text").alias("category"))
-    return asked.select(F.col("id").alias("questionid"), F.col("topic").alias("subCategory"), "categoryid") \
-        .join(wanted, "categoryid").drop("categoryid")
+    return asked.select(F.col("id").alias("questionid"), F.col("topic").alias("subCategory"), "categoryid",
+                        rated.alias("_rated")).join(wanted, "categoryid").drop("categoryid")
 
 
 def categories(questions, categories, rated_only: bool = True, excluded: str = EXCLUDED_CATEGORY) -> DataFrame:
@@ -276,10 +277,9 @@ def comp_mot_averages(answers, questions, categories, excluded: str = EXCLUDED_C
 def avg_comp_mot(answers, questions, categories, rated_only: bool = True,
                  excluded: str = EXCLUDED_CATEGORY) -> DataFrame:
     """Competence over all questions beside motivation over the rated ones; topics with both."""
-    asked = questions.withColumn("_rated", (F.col("type") == RATED_TYPE) if rated_only else F.lit(True))
-    topic = _topics(asked, categories, False, excluded)
-    rated = asked.select(F.col("id").alias("questionid"), "_rated")
-    rows = answers.join(topic.join(rated, "questionid"), "questionid")
+    rows = answers.join(_topics(questions, categories, False, excluded), "questionid")
+    if not rated_only:
+        rows = rows.withColumn("_rated", F.lit(True))
     both = rows.groupBy("subCategory", "category").agg(
         F.avg("knowledge").alias("competence"),
         F.avg(F.when(F.col("_rated"), F.col("motivation"))).alias("motivation"),
@@ -300,9 +300,9 @@ def comp_amount(answers, questions, categories, rated_only: bool = False,
 
     With `rated_only` the averages cover rated questions only, the counted answers all questions.
     """
-    rated = (F.col("type") == RATED_TYPE) if rated_only else F.lit(True)
-    asked = questions.select(F.col("id").alias("questionid"), rated.alias("_rated"))
-    topics = _topics(questions, categories, False, excluded).join(asked, "questionid")
+    topics = _topics(questions, categories, False, excluded)
+    if not rated_only:
+        topics = topics.withColumn("_rated", F.lit(True))
     # Equal answers count once, but weigh in the averages as often as they were given. Both uses
     # below need the same rows and counts, so that one shuffle serves them.
     base = (answers.filter("email IS NOT NULL").join(topics, "questionid")

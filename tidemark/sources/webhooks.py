@@ -89,5 +89,5 @@ def merged_pulls(parsed: DataFrame, branches: DataFrame) -> DataFrame:
         epoch("b.payload.pull_request.created_at").alias("created_at"),
         F.col("b.payload.pull_request.base.ref").alias("base-ref"))
     done = pull.filter((F.col("type") == "PullRequestEvent") & F.col("merged_at").isNotNull())
-    return (done.join(branches, "name").filter(F.col("base-ref") == F.col("default_branch"))
+    return (lookup_join(done, branches.select("name", "default_branch"), ["name"]).filter(F.col("base-ref") == F.col("default_branch"))
             .select("id", "name", "type", "merged_at", "created_at", "base-ref", "default_branch"))
