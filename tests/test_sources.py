@@ -330,3 +330,23 @@ def test_html_links(spark):
     df = spark.createDataFrame([(html, "u"), ("<p>", "own")], "html STRING, url STRING")
     got = [sorted(r[0]) for r in df.select(docs.html_links("html", r"https://b\.org/archive/\d{4}", "url")).collect()]
     assert got == [["https://b.org/archive/2019", "https://b.org/archive/2020"], ["own"]]
+
+
+def test_grids_against_brute_force(spark):
+    import random
+    from tidemark.operators.grids import grid_to_rows
+    rng = random.Random(7)
+    grids = [(n, [[rng.choice(["", "", " ", "a", "b", "1"]) for _ in range(w)] for _ in range(h)])
+             for n in range(60) for w, h in [(rng.randint(1, 5), rng.randint(1, 5))]]
+    expected = []
+    for n, g in grids:
+        cells = [(r, c) for r, row in enumerate(g) for c, x in enumerate(row) if x != ""]
+        if not cells:
+            continue
+        top, bottom = min(r for r, _ in cells), max(r for r, _ in cells)
+        left, right = min(c for _, c in cells), max(c for _, c in cells)
+        for i, r in enumerate(range(top + 1, bottom + 1)):
+            line = {g[top][c]: (g[r][c] if g[r][c].strip() else None) for c in range(left, right + 1)}
+            expected.append((n, i, sorted(line.items(), key=str)))
+    got = grid_to_rows(spark.createDataFrame(grids, "n INT, g ARRAY<ARRAY<STRING>>"), ["n"], "g").collect()
+    assert sorted(((r["n"], r["row_no"], sorted(r["cells"].items(), key=str)) for r in got), key=str) == sorted(expected, key=str)

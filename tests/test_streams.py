@@ -8,6 +8,7 @@ from tidemark.plans import feeds
 from tidemark.plans.job import Context
 from tidemark.sources.envelopes import wrap, write_envelopes
 from tidemark.streaming import jobs as J
+from tidemark.tables import files
 
 
 def land_weather(spark, raw, place, n):
@@ -16,6 +17,11 @@ def land_weather(spark, raw, place, n):
     write_envelopes(wrap(rows, F.col("d"), F.lit(1)), raw)
 
 
+def forget_commit(spark, checkpoint, batch_id):
+    for name in (f"{batch_id}", f".{batch_id}.crc"):
+        files.remove(spark, f"{checkpoint}/commits/{name}")
+
+
 def test_ingest_two_triggers_and_replay(spark, store, folder):
     raw, checkpoint, told = folder("raw"), folder("cp"), []
     context = Context(spark, store=store)
@@ -27,18 +33,45 @@ def test_ingest_two_triggers_and_replay(spark, store, folder):
     run(checkpoint)
     assert store.read("yr_weather").count() == 12
     assert told == [(["yr_weather"], 0), (["yr_weather"], 1)]
-    # A lost delivery record replays everything under known batch names: nothing is added.
-    run(folder("cp"))
+    # The last batch was written but its delivery record is lost: it is replayed and adds nothing.
+    forget_commit(spark, checkpoint, 1)
+    run(checkpoint)
+    assert told[2:] == [(["yr_weather"], 1)]
     assert store.read("yr_weather").count() == 12
+    # New files after the replay are still taken.
+    land_weather(spark, raw, "a", 2)
+    run(checkpoint)
+    assert store.read("yr_weather").count() == 14
 
 
 def test_dedupe_replay(spark, folder):
-    feed, target = folder("feed"), folder("target")
+    feed, target, checkpoint = folder("feed"), folder("target"), folder("cp")
     rows = spark.range(30).select((F.col("id") % 10).alias("k"), "id")
+    run = lambda cp: J.dedupe_existing(spark.readStream.schema(rows.schema).parquet(feed), ["k"], target, cp)
+    for part in (rows.filter("k < 4"), rows):
+        part.write.mode("append").parquet(feed)
+        run(checkpoint)
+    assert sorted(r["k"] for r in J.read_batches(spark, target).collect()) == list(range(10))
+    forget_commit(spark, checkpoint, 1)
+    run(checkpoint)
+    assert sorted(r["k"] for r in J.read_batches(spark, target).collect()) == list(range(10))
+    # Another stream into the same target adds only new keys and overwrites no batch.
+    spark.createDataFrame([(99, 1)], "k BIGINT, id BIGINT").write.mode("append").parquet(feed)
+    run(folder("cp"))
+    assert sorted(r["k"] for r in J.read_batches(spark, target).collect()) == [*range(10), 99]
+
+
+def test_signed_split_and_replay(spark, folder):
+    from tidemark.functions import signature as S
+    feed, good, bad, checkpoint = folder("feed"), folder("good"), folder("bad"), folder("cp")
+    rows = spark.range(6).select(F.col("id").cast("string").alias("body"), F.lit("9").alias("timestamp"))
+    rows = rows.withColumn("signature", F.when(F.col("body") < "4", S.chat_signature("timestamp", "body", "key")))
     rows.write.parquet(feed)
-    for _ in range(2):
-        J.dedupe_existing(spark.readStream.schema(rows.schema).parquet(feed), ["k"], target, folder("cp"))
-    assert J.read_batches(spark, target).count() == 10
+    run = lambda: J.split_signed(J.signed(spark.readStream.schema(rows.schema).parquet(feed), "key"), good, bad, checkpoint)
+    run()
+    forget_commit(spark, checkpoint, 0)
+    run()
+    assert J.read_batches(spark, good).count() == 4 and J.read_batches(spark, bad).count() == 2
 
 
 def test_emoji_stream_equals_batch(spark, folder):

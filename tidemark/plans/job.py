@@ -22,6 +22,7 @@ class Context:
     now: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     store: TableStore | None = None
     options: dict = field(default_factory=dict)
+    scratch: list[str] = field(default_factory=list)  # folders to drop when the run is over
 
     def existing(self, name: str) -> DataFrame | None:
         return self.store.read_or_none(name) if self.store else None
@@ -66,8 +67,9 @@ class Job:
             return store.write_all(self.tables(envelopes, context, directory), self.partitions,
                                    self.overwrite, self.purge_versions, self.historical, batch)
         finally:
-            if self.parse_once:
-                files.remove(spark, parsed)
+            for path in [parsed, *context.scratch]:
+                files.remove(spark, path)
+            context.scratch.clear()
 
 
 def job(payload: str, partitions: dict | None = None, overwrite: bool = False, purge_versions: bool = False,

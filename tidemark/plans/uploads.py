@@ -58,6 +58,7 @@ def sheets(envelopes, context):
     """
     # Stored by sheet, so that every table reads its own lines only.
     staged = f"{context.store.root}/staged/sheets-{uuid.uuid4().hex}"
+    context.scratch.append(staged)
     sheet_rows(envelopes).hint("rebalance", F.col("table")).write.partitionBy("table").parquet(staged)
     if not files.has_data(context.spark, staged):
         return {"google_sheets_metadata": sheet_metadata(envelopes)}

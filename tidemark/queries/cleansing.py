@@ -9,7 +9,7 @@ from ..functions.presto import iso_period
 from ..operators.flatten import route, split_dim_fact
 from ..operators.forms import answer_list, quiz_grade
 from ..operators.grids import bounds, grid_to_rows
-from .registry import query, spread
+from .registry import query
 
 
 @query("select_rename", "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer")
@@ -28,7 +28,7 @@ def words(t):
     """Each document's words mixed with its numbers as text."""
     size = F.col("n_chars").cast("string")
     parts = F.concat(F.split("text", r"\s+"), F.array(size, F.concat(size, F.lit(".75")), F.concat(F.lit("-"), size)))
-    return spread(t.documents).select("doc_id", F.explode(parts).alias("word"))
+    return t.spread("documents").select("doc_id", F.explode(parts).alias("word"))
 
 
 WORDS = r"""
@@ -250,7 +250,7 @@ def long_words():
       SELECT doc_id, list_filter(string_split(replace(text, chr(10), ' '), ' '), lambda w: length(w) >= 10) AS l
       FROM documents)""")
 def join_list_field(t):
-    return spread(t.documents).select("doc_id", C.join_field(long_words(), "text").alias("hashtags"))
+    return t.spread("documents").select("doc_id", C.join_field(long_words(), "text").alias("hashtags"))
 
 
 @query("join_tag_list", """
@@ -259,7 +259,7 @@ def join_list_field(t):
 def join_tag_list(t):
     items = F.transform(F.split(F.regexp_replace("text", "\n", " "), " "), lambda w: F.struct(
         F.struct(F.when(F.length(w) >= 10, w).alias("no")).alias("tags")))
-    return spread(t.documents).select("doc_id", C.join_tag_list(items, "tags").alias("skills"))
+    return t.spread("documents").select("doc_id", C.join_tag_list(items, "tags").alias("skills"))
 
 
 GRID = r"""
@@ -282,7 +282,7 @@ def framed_grid():
            CAST(min(j) - 1 AS INTEGER) AS "left", CAST(max(j) - 1 AS INTEGER) AS "right"
     FROM ({GRID}) WHERE cell <> '' GROUP BY doc_id""")
 def grid_crop(t):
-    return spread(t.documents).select("doc_id", bounds(framed_grid()).alias("b")).select("doc_id", "b.*") \
+    return t.spread("documents").select("doc_id", bounds(framed_grid()).alias("b")).select("doc_id", "b.*") \
         .filter("top IS NOT NULL")
 
 
@@ -298,7 +298,7 @@ def grid_crop(t):
     FROM body JOIN named ON body.doc_id = named.doc_id
     LEFT JOIN g ON g.doc_id = body.doc_id AND g.i = body.i AND g.j = named.j""")
 def grid_rows(t):
-    rows = grid_to_rows(spread(t.documents).select("doc_id", framed_grid().alias("g")), ["doc_id"], "g")
+    rows = grid_to_rows(t.spread("documents").select("doc_id", framed_grid().alias("g")), ["doc_id"], "g")
     return rows.select("doc_id", "row_no", F.explode("cells").alias("header", "value"))
 
 

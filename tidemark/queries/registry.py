@@ -14,6 +14,7 @@ QUERIES: dict = {}
 ORACLES: dict = {}
 GROUPS: dict = {}
 SIZES: dict = {}
+READ_BYTES = 128 * 1024 * 1024
 
 
 def query(name: str, sql: str | None = None):
@@ -53,14 +54,13 @@ class Tables:
             self.schemas[name] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(self.schemas[name]).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """A tiny file is read by one task; spread its rows before heavy work per row.
-
-    Inputs that already come in as many parts as there are cores are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    def spread(self, name: str) -> DataFrame:
+        """A table for heavy work per row. A small file is read by one task, so its rows are dealt
+        out first; tables large enough to be read by all cores are left alone.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        small = files.size(self.spark, f"{self.folder}/{name}.parquet") < cores * READ_BYTES
+        return getattr(self, name).repartition(cores) if small else getattr(self, name)
 
 
 def cents(c, digits: int = 2):

@@ -12,7 +12,7 @@ from ..sources.envelopes import read_envelopes, union_pages, with_meta_time, wra
 from ..sources.incremental import incremental, newest_group
 from ..sources.webhooks import ISSUE_BODY, issue_record
 from ..tables.store import TableStore
-from .registry import query, spread
+from .registry import query
 
 PROPS = "STRUCT<k: BIGINT>"
 
@@ -87,7 +87,7 @@ def explode_section(t):
 def explode_nested_path(t):
     sentences = F.flatten(F.transform(F.split("text", "\n"), lambda line: F.split(line, r"\. ")))
     words = F.filter(F.flatten(F.transform(sentences, lambda s: F.split(s, " "))), lambda w: F.length(w) >= 12)
-    return explode_scalar(spread(t.documents), words, "word", ["doc_id"])
+    return explode_scalar(t.spread("documents"), words, "word", ["doc_id"])
 
 
 @query("read_table", "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders")
@@ -132,7 +132,7 @@ FORECAST_SQL = """
 
 @query("read_xml_rows", FORECAST_SQL)
 def read_xml_rows(t):
-    parsed = spread(t.events).select(F.concat(F.lit("p/"), F.col("user_id").cast("string")).alias("place"),
+    parsed = t.spread("events").select(F.concat(F.lit("p/"), F.col("user_id").cast("string")).alias("place"),
                              F.from_xml(forecast_xml(), docs.FORECAST).alias("x"))
     return docs.forecast_rows(parsed.select("place", "x.*"), F.col("place")).withColumn(
         "wind_speed", F.round("wind_speed", 2))

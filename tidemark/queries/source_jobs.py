@@ -15,7 +15,7 @@ from ..sources import documents as docs
 from ..sources.envelopes import read_envelopes, wrap, write_envelopes
 from ..sources.webhooks import CHAT_BODY, PULL_BODY, emoji_rows, merged_pulls
 from ..tables.store import TableStore
-from .registry import query, spread
+from .registry import query
 from .scans import FORECAST_SQL, forecast_xml, issue_bodies
 from ..sources.webhooks import issue_record
 
@@ -42,7 +42,7 @@ def directory(t):
 @query("p_weather", f"""
     SELECT *, CAST(50 AS BIGINT) AS time FROM ({FORECAST_SQL})""")
 def p_weather(t):
-    parsed = spread(t.events).select(F.concat(F.lit("p/"), text("user_id")).alias("place"),
+    parsed = t.spread("events").select(F.concat(F.lit("p/"), text("user_id")).alias("place"),
                          F.from_xml(forecast_xml(), docs.FORECAST).alias("x"))
     rows = docs.forecast_rows(parsed.select("place", "x.*"), F.col("place")).withColumn(
         "wind_speed", F.round("wind_speed", 2))
@@ -427,7 +427,7 @@ def cv_envelopes(t):
     person = F.struct(text("c_custkey").alias("user_id"), text("c_custkey").alias("default_cv_id"),
                       C.cv_link("https://cv.example.com", "c_custkey", "c_custkey").alias("cv_link"),
                       F.lit(None).cast("string").alias("image_key"), cv.alias("cv"))
-    return wrap(spread(t.customer), F.array(person), F.lit(1))
+    return wrap(t.spread("customer"), F.array(person), F.lit(1))
 
 
 @query("p_employees_cv", """
@@ -565,7 +565,7 @@ def p_sheets(t):
     lines = F.transform(F.split("text", "\n"), lambda x: F.array(x, text(F.length(x))))
     head = F.array(F.array(F.lit("line"), F.lit("chars")))
     blank = F.array(F.array(F.lit(""), F.lit("")))
-    landed = wrap(spread(t.documents), F.struct(F.col("lang").alias("tableName"), F.concat(blank, head, lines, blank).alias("values"),
+    landed = wrap(t.spread("documents"), F.struct(F.col("lang").alias("tableName"), F.concat(blank, head, lines, blank).alias("values"),
                                         F.lit("ann").alias("user")), F.col("doc_id"))
     path, c = new_folder(t.spark, "raw"), context(t)
     write_envelopes(landed, path)

@@ -6,6 +6,8 @@ sinks are written so that a replayed batch changes nothing.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +25,20 @@ def run_available(writer) -> None:
     query.awaitTermination()
 
 
-def batch_path(target: str, batch_id: int) -> str:
-    return f"{target}/batch={batch_id}"
+def batch_name(checkpoint: str, batch_id: int) -> str:
+    """Name of one batch of one stream; another checkpoint is another stream."""
+    return f"{hashlib.sha1(checkpoint.encode()).hexdigest()[:12]}-{batch_id}"
 
 
-def write_batch(df: DataFrame, target: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, target: str, batch: str) -> None:
     """One folder per batch, overwritten as a whole: a replay replaces it with the same rows."""
-    df.write.mode("overwrite").parquet(batch_path(target, batch_id))
+    df.write.mode("overwrite").parquet(f"{target}/batch={batch}")
+
+
+def earlier_batches(spark: SparkSession, target: str, batch: str) -> DataFrame | None:
+    """What other batches stored so far."""
+    folders = [f"{target}/{c}" for c in files.children(spark, target) if c.startswith("batch=") and c != f"batch={batch}"]
+    return spark.read.parquet(*folders) if folders else None
 
 
 def read_batches(spark: SparkSession, target: str) -> DataFrame:
@@ -38,16 +47,16 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
 
 def ingest_process(spark: SparkSession, raw: str, job: Job, context: Context, checkpoint: str,
                    directory: DataFrame | None = None, files_per_batch: int = 1000,
-                   updated=None, label: str = "stream") -> None:
+                   updated=None) -> None:
     """Transform every newly landed raw file and maintain the job's tables.
 
-    `updated(names, batch_id)` is told which tables a batch changed. `label` names this stream
-    within the store, so that a repeated batch is recognised.
+    `updated(names, batch_id)` is told which tables a batch changed. A batch that is repeated after
+    a failure is recognised by the store.
     """
     envelopes = read_envelopes(spark, raw, job.payload, stream=True, maxFilesPerTrigger=files_per_batch)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        names = job.run(batch, context, directory, batch=f"{label}-{batch_id}")
+        names = job.run(batch, context, directory, batch=batch_name(checkpoint, batch_id))
         if updated:
             updated(names, batch_id)
 
@@ -59,10 +68,9 @@ def dedupe_existing(stream: DataFrame, keys: list[str], target: str, checkpoint:
     spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        earlier = [f"{target}/{c}" for c in files.children(spark, target)
-                   if c.startswith("batch=") and c != f"batch={batch_id}"]
-        known = spark.read.parquet(*earlier).select(*keys) if earlier else None
-        write_batch(new_rows(batch.dropDuplicates(keys), known, keys), target, batch_id)
+        name = batch_name(checkpoint, batch_id)
+        known = earlier_batches(spark, target, name)
+        write_batch(new_rows(batch.dropDuplicates(keys), known, keys), target, name)
 
     run_available(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 
@@ -83,8 +91,9 @@ def split_signed(stream: DataFrame, accepted: str, rejected: str, checkpoint: st
     """Write valid and invalid rows of a `signed` stream to two targets in one pass."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
-        write_batch(kept.filter("valid").drop("valid"), accepted, batch_id)
-        write_batch(kept.filter("NOT valid").drop("valid"), rejected, batch_id)
+        name = batch_name(checkpoint, batch_id)
+        write_batch(kept.filter("valid").drop("valid"), accepted, name)
+        write_batch(kept.filter("NOT valid").drop("valid"), rejected, name)
         kept.unpersist()
 
     run_available(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
@@ -103,10 +112,9 @@ def late_periods(stream: DataFrame, closed, target: str, checkpoint: str) -> Non
     spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        earlier = [f"{target}/{c}" for c in files.children(spark, target)
-                   if c.startswith("batch=") and c != f"batch={batch_id}"]
-        known = spark.read.parquet(*earlier).select("reg_period") if earlier else None
-        write_batch(new_rows(closed(batch), known, ["reg_period"]), target, batch_id)
+        name = batch_name(checkpoint, batch_id)
+        known = earlier_batches(spark, target, name)
+        write_batch(new_rows(closed(batch), known, ["reg_period"]), target, name)
 
     run_available(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 
