@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import textwrap
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash
+from . import bpe, exact_dedup, simhash
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -37,3 +39,15 @@ def op1(spark, folder):
     """)
 def op5(spark, folder):
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"), keep="largest")
+
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@query("op4_bpe")
+def op4(spark, folder):
+    encoded = bpe.encode(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
+    digits = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), RANKS), 256).alias("decoded_sha256"))
