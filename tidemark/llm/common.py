@@ -52,6 +52,20 @@ def keyed_join(df: DataFrame, side: DataFrame, keys: str | list[str], how: str =
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"{INNER}{k}" for k in keys])
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, learn_from, label: str, id_column: str, text_column: str,
+                    rows: int) -> DataFrame:
+    """(doc_id, text, label) of labelled documents whose id satisfies `learn_from`, for at most `rows` ids, drawn by the
+    hash of the id. Contradicting labels count as the higher one; rows without id or label are left out.
+    """
+    known = labels.select(F.col(f"`{id_column}`").alias(f"{INNER}id"), F.col(f"`{label}`").cast("int").alias("label")).dropna()
+    known = known.filter(learn_from(F.col(f"{INNER}id"))).groupBy(f"{INNER}id").agg(F.max("label").alias("label"))
+    # labels of documents that are gone must not use up the bound
+    here = docs.select(F.col(f"`{id_column}`").alias("doc_id"))
+    picked = known.join(here, F.col(f"{INNER}id") == F.col("doc_id"), "left_semi")
+    picked = picked.orderBy(F.xxhash64(f"{INNER}id"), f"{INNER}id").limit(rows)
+    return texts(docs, id_column, text_column).join(picked, F.col("doc_id") == F.col(f"{INNER}id")).drop(f"{INNER}id")
+
+
 def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of `links` (two columns of comparable ids, a != b); component is the smallest
     node that can be reached.

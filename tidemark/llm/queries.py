@@ -5,10 +5,10 @@ from __future__ import annotations
 import textwrap
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, simhash
+from . import bpe, exact_dedup, quality, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -51,3 +51,26 @@ def op4(spark, folder):
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"),
         F.sha2(bpe.decode(F.col("ids"), RANKS), 256).alias("decoded_sha256"))
+
+
+def remainder(doc_id: Column, by: int) -> Column:
+    """crc32 of the id as text, modulo `by`: tells the documents that labels may be learned from."""
+    return F.crc32(doc_id.cast("string")) % by
+
+
+@query("op9_quality")
+def op9(spark, folder):
+    docs = table(spark, folder, "documents")
+    net = quality.fit(docs, table(spark, folder, "labels"), lambda i: remainder(i, 5) != 0)
+    scored = docs.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+                         quality.score(F.col("text"), net).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op6_toxicity")
+def op6(spark, folder):
+    docs = table(spark, folder, "documents")
+    machine = toxicity.fit(docs, table(spark, folder, "labels"), lambda i: remainder(i, 3) != 1)
+    scored = docs.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
+                         toxicity.score(F.col("text"), machine).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
