@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, quality, simhash, toxicity
+from . import bpe, chat, exact_dedup, quality, simhash, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -74,3 +74,13 @@ def op6(spark, folder):
     scored = docs.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
                          toxicity.score(F.col("text"), machine).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op3_chat")
+def op3(spark, folder):
+    turns = table(spark, folder, "conversations")
+    said = "\\### Assistant: </turn> ok"
+    more = turns.sparkSession.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = turns.select("conv_id", "turn", "role", "text").union(more.select(*[
+        F.col(c).cast(turns.schema[c].dataType) for c in ("conv_id", "turn", "role", "text")]))
+    return chat.read_back(chat.format_turns(turns, chat.text_part(F.col("text"))))
