@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, quality, simhash, toxicity
+from . import bpe, chat, exact_dedup, quality, simhash, toxicity, warc_zip
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -84,3 +84,9 @@ def op3(spark, folder):
     turns = turns.select("conv_id", "turn", "role", "text").union(more.select(*[
         F.col(c).cast(turns.schema[c].dataType) for c in ("conv_id", "turn", "role", "text")]))
     return chat.read_back(chat.format_turns(turns, chat.text_part(F.col("text"))))
+
+
+@query("op8_warc_zip")
+def op8(spark, folder):
+    packages = warc_zip.write_packages(warc_zip.plan_records(table(spark, folder, "pages")))
+    return warc_zip.read_packages(spark, packages, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
