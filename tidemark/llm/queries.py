@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, quality, simhash, toxicity, warc_zip
+from . import bpe, chat, decontaminate, exact_dedup, quality, simhash, toxicity, warc_zip
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -90,3 +90,8 @@ def op3(spark, folder):
 def op8(spark, folder):
     packages = warc_zip.write_packages(warc_zip.plan_records(table(spark, folder, "pages")))
     return warc_zip.read_packages(spark, packages, ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+@query("op7_decontaminate")
+def op7(spark, folder):
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
