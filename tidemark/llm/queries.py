@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, quality, simhash, toxicity, warc_zip
+from . import bpe, chat, decontaminate, exact_dedup, licenses, quality, simhash, toxicity, warc_zip
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -95,3 +95,43 @@ def op8(spark, folder):
 @query("op7_decontaminate")
 def op7(spark, folder):
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _licence_sql() -> str:
+    values = ",\n".join("({}, '{}', '{}')".format(n, name, " ".join(text.split()).replace("'", "''"))
+                        for n, (name, text) in enumerate(licenses.TEMPLATES))
+    return f"""
+    WITH bodies(n, name, body) AS (VALUES {values}),
+    passages AS (
+      SELECT doc_id, 0 AS passage, coalesce(text, '') AS body FROM documents
+      UNION ALL
+      SELECT doc_id, unnest(range(1, len(lines) + 1)), unnest(lines) FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+    split AS (
+      SELECT -1 AS n, '' AS name, doc_id, passage, list_filter(string_split_regex(lower(body), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM passages
+      UNION ALL
+      SELECT n, name, NULL, NULL, list_filter(string_split_regex(lower(body), '[^a-z0-9]+'), lambda x: x <> '') FROM bodies),
+    bigrams AS (
+      SELECT n, name, doc_id, passage,
+             CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS b
+      FROM split WHERE len(w) > 0),
+    dice AS (
+      SELECT p.doc_id, p.passage, t.n, t.name, 2.0::DOUBLE * len(list_intersect(p.b, t.b)) / (len(p.b) + len(t.b)) AS dice
+      FROM bigrams p JOIN bigrams t ON p.n < 0 AND t.n >= 0
+       AND len(p.b) BETWEEN len(t.b) * 0.66 AND len(t.b) * 1.51),
+    best AS (
+      SELECT doc_id, passage, arg_max(name, dice * 1000 - n / 1000.0) AS name, max(dice) AS dice
+      FROM dice WHERE dice >= {licenses.THRESHOLD} GROUP BY doc_id, passage)
+    SELECT d.doc_id, count(b.passage) AS n_passages, arg_max(b.name, b.dice * 1000000000 - b.passage) AS licence,
+           CAST(arg_max(b.passage, b.dice * 1000000000 - b.passage) AS INTEGER) AS passage, max(b.dice) AS dice
+    FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id GROUP BY d.doc_id
+    """
+
+
+@query("op10_licenses", _licence_sql())
+def op10(spark, folder):
+    found = licenses.licences(table(spark, folder, "documents"))
+    best = F.array_max(F.transform("found", lambda f: F.struct(
+        f["dice"].alias("dice"), (-f["passage"]).alias("minus"), f["licence"].alias("licence"))))
+    return found.select("doc_id", F.size("found").cast("long").alias("n_passages"), best.alias("best")).select(
+        "doc_id", "n_passages", F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("passage"),
+        F.col("best.dice").alias("dice"))
