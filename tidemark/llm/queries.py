@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, licenses, quality, simhash, toxicity, warc_zip
+from . import bpe, chat, decontaminate, exact_dedup, licenses, pii, quality, simhash, toxicity, warc_zip
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -135,3 +135,17 @@ def op10(spark, folder):
     return found.select("doc_id", F.size("found").cast("long").alias("n_passages"), best.alias("best")).select(
         "doc_id", "n_passages", F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("passage"),
         F.col("best.dice").alias("dice"))
+
+
+@query("op2_pii")
+def op2(spark, folder):
+    found = pii.find_spans(table(spark, folder, "documents"))
+
+    def written(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    terms = F.transform("terms", lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return found.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+                        written(F.concat("base", terms)).alias("spans"))
