@@ -79,8 +79,12 @@ def _training_bytes(raw: bytes) -> bytes:
     return b"".join(raw[s:s + run] for s in starts)
 
 
-def train(rows: list[tuple[bytes, int]], epochs: int = 8, rate: float = 0.01, batch: int = 32, seed: int = 7) -> Network:
-    """Fit the network on (text, label) by Adam on the logistic loss. One label only: that label's prior."""
+def train(rows: list[tuple[bytes, int]], epochs: int = 8, rate: float = 0.01, batch: int = 32, seed: int = 7,
+          least_steps: int = 500) -> Network:
+    """Fit the network on (text, label) by Adam on the logistic loss; few rows are gone through more often.
+
+    One label only: that label's prior.
+    """
     rng = np.random.default_rng(seed)
     net = Network(rng.normal(0, 0.3, (WIDTH, 256, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32),
                   rng.normal(0, FILTERS ** -0.5, (FILTERS, HIDDEN)).astype(np.float32), np.zeros(HIDDEN, np.float32),
@@ -96,6 +100,7 @@ def train(rows: list[tuple[bytes, int]], epochs: int = 8, rate: float = 0.01, ba
     first = {n: np.zeros_like(getattr(net, n)) for n in names}
     second = {n: np.zeros_like(getattr(net, n)) for n in names}
     step, per = 0, BLOCK // STRIDE
+    epochs = max(epochs, -(-least_steps // -(-len(rows) // batch)))
     for epoch in range(epochs):
         order = rng.permutation(len(coded))
         for at in range(0, len(order), batch):
