@@ -184,6 +184,6 @@ def test_shuffles_widen_with_the_input(spark):
         assert size_shuffles(spark, 100 * 1024 ** 3) == 3201
         assert spark.conf.get(setting) == "3201"
         assert size_shuffles(spark, 1000) == 3201
-        assert size_shuffles(spark, 10 ** 15) == 100_000
+        assert size_shuffles(spark, 10 ** 15) == 10 ** 15 * 4 // (128 * 1024 ** 2) + 1
     finally:
         spark.conf.unset(setting)

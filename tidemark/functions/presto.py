@@ -21,7 +21,8 @@ def from_unixtime(c) -> Column:
 
 
 def to_iso8601(c) -> Column:
-    return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """UTC text, whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(_col(c), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def to_unixtime(c) -> Column:
@@ -64,7 +65,7 @@ def iso_period(c) -> Column:
 SQL_FUNCTIONS = {
     "from_iso8601_timestamp": ("x STRING", "TIMESTAMP", "try_to_timestamp(x)"),
     "from_iso8601_date": ("x STRING", "DATE", "try_cast(x AS DATE)"),
-    "to_iso8601": ("x TIMESTAMP", "STRING", "date_format(x, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"),
+    "to_iso8601": ("x TIMESTAMP", "STRING", "date_format(to_utc_timestamp(x, current_timezone()), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"),
     "to_unixtime": ("x TIMESTAMP", "BIGINT", "unix_timestamp(x)"),
     "from_epoch": ("x BIGINT", "TIMESTAMP", "timestamp_seconds(x)"),
 }

@@ -58,8 +58,13 @@ def dependents(registry: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def upsert(registry: DataFrame, new: DataFrame, replace: bool = False) -> DataFrame:
-    """Add reports with new names; with `replace`, incoming reports win over stored ones."""
-    new = new.select(*registry.columns)
+    """Add reports with new names; with `replace`, incoming reports win over stored ones.
+
+    Of incoming reports with one name the last created counts (equal: the last in column order).
+    """
+    rest = [c for c in registry.columns if c != "name"]
+    new = (new.groupBy("name").agg(F.max_by(F.struct(*rest), F.struct("created", *rest)).alias("_r"))
+           .select("name", *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*registry.columns))
     if replace:
         kept = registry.join(new.select("name").distinct(), "name", "left_anti").select(*registry.columns)
         return kept.unionByName(new)

@@ -25,7 +25,11 @@ def lookup_join(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inn
     Below the broadcast limit there is no shuffle at all.
     """
     extra = [c for c in side.columns if c not in keys]
-    side = (side if nulls else side.na.drop("any", subset=keys)).withColumnsRenamed({k: f"_side_{k}" for k in keys})
+    if not nulls:
+        side = side.na.drop("any", subset=keys)
+        if how in ("inner", "left_semi"):
+            df = df.na.drop("any", subset=keys)  # null-safe equality hides from Catalyst that they match nothing
+    side = side.withColumnsRenamed({k: f"_side_{k}" for k in keys})
     match = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_side_{k}`")) for k in keys])
     joined = df.join(side, match, how)
     if how in ("left_semi", "left_anti"):

@@ -28,6 +28,15 @@ def first_by(df: DataFrame, keys: list[str], order: list[Column | str], others:
             .select(*keys, *[F.col(f"r.`{c}`").alias(c) for c in others]))
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key, the smallest over all its other columns, so that a repeated run keeps the same one."""
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_r"))
+    return picked.select([F.col(c) if c in keys else F.col(f"_r.`{c}`").alias(c) for c in df.columns])
+
+
 def dedupe_keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row per key. Spark keeps one row per key and task before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])

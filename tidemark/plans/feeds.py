@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators.flatten import route, split_dim_fact
 from ..operators.joins import new_rows
+from ..operators.windows import one_per_key
 from ..sources.envelopes import with_meta_time
 from .job import job
 
@@ -62,7 +63,7 @@ def repositories(envelopes, context):
      parse_once=True)
 def tweets(envelopes, context):
     # The same tweet found by two search terms is one tweet.
-    search = envelopes.select(F.inline("data.search")).dropDuplicates(["tweet_id"])
+    search = envelopes.select(F.inline("data.search")).transform(one_per_key, ["tweet_id"])
     timeline = envelopes.select(F.inline("data.timeline"))
     accounts = envelopes.select(F.inline("data.accounts"), F.col("metadata.timestamp").cast("long").alias("time"))
     return {

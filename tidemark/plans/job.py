@@ -23,6 +23,7 @@ class Context:
     store: TableStore | None = None
     options: dict = field(default_factory=dict)
     scratch: list[str] = field(default_factory=list)  # folders to drop when the run is over
+    database: str | None = None  # level database that shows what was written
 
     def existing(self, name: str) -> DataFrame | None:
         return self.store.read_or_none(name) if self.store else None
@@ -64,8 +65,11 @@ class Job:
             envelopes.write.parquet(parsed)
             envelopes = spark.read.schema(envelopes.schema).parquet(parsed)
         try:
-            return store.write_all(self.tables(envelopes, context, directory), self.partitions,
-                                   self.overwrite, self.purge_versions, self.historical, batch)
+            names = store.write_all(self.tables(envelopes, context, directory), self.partitions,
+                                    self.overwrite, self.purge_versions, self.historical, batch)
+            for name in names if context.database else []:
+                store.register(name, context.database)
+            return names
         finally:
             for path in [parsed, *context.scratch]:
                 files.remove(spark, path)

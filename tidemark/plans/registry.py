@@ -8,29 +8,20 @@ from pyspark.sql import functions as F
 from ..operators.governance import dependents, remove, touch
 from ..tables.store import TableStore
 
-MAX_REPORTS = 10_000
-
-
-def _bounded_names(names: DataFrame) -> list:
-    rows = names.limit(MAX_REPORTS + 1).collect()
-    if len(rows) > MAX_REPORTS:
-        raise ValueError(f"more than {MAX_REPORTS} reports in one refresh")
-    return rows
-
-
 def refresh(store: TableStore, registry: DataFrame, changed: DataFrame, run, now: str) -> tuple[DataFrame, list[str]]:
     """Recompute the reports that read a changed table; returns the updated registry and the names.
 
-    `run(name, sql)` gives a report's DataFrame, by default the stored SQL. The registry lists
-    queries, not data; only its names, levels and SQL texts reach the driver, which has to start
-    each report as its own Spark job.
+    `run(name, sql)` gives a report's DataFrame, by default the stored SQL. The driver starts each report as a
+    Spark job of its own; names, levels and SQL texts pass it one partition at a time, so their number has no limit.
     """
     run = run or (lambda name, sql: store.spark.sql(sql))
     names = dependents(registry, changed)
-    todo = _bounded_names(registry.join(names, "name", "left_semi").select("name", "queryString", "dataProtection"))
-    for report in sorted(todo, key=lambda r: r["name"]):
+    todo = registry.join(names, "name", "left_semi").select("name", "queryString", "dataProtection").sort("name")
+    done = []
+    for report in todo.toLocalIterator():
         store.materialize(report["name"], run(report["name"], report["queryString"]), report["dataProtection"])
-    return touch(registry, names, now), sorted(r["name"] for r in todo)
+        done.append(report["name"])
+    return touch(registry, names, now), done
 
 
 def refresh_one(store: TableStore, registry: DataFrame, name: str, run, now: str) -> DataFrame:

@@ -155,8 +155,9 @@ def read_xml_report(t):
            CAST(regexp_extract(html, 'track\((\d+)\)', 1) AS BIGINT) AS track, url
     FROM pages""")
 def html_embedded_json(t):
-    """Pages carry no JSON, so each page's script becomes the marked block that the operator looks for."""
-    track = F.regexp_extract(F.element_at(docs.scripts("html"), 1), r"track\((\d+)\)", 1)
+    """Pages carry no JSON, so what a page's scripts track becomes the marked block that the operator looks for."""
+    every = F.transform(docs.scripts("html"), lambda s: F.regexp_extract(s, r"track\((\d+)\)", 1))
+    track = F.coalesce(F.get(F.filter(every, lambda x: x != ""), F.lit(0)), F.lit(""))
     block = F.concat(F.lit("<script>// data\nwindow[\"init\"]("),
                      F.to_json(F.struct(F.map_from_arrays(F.array(F.lit("k")), F.array(track)).alias("t"), "url")),
                      F.lit(")</script>"))

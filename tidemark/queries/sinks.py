@@ -152,15 +152,28 @@ def multi_table_write(t):
 
 
 @query("register_table", """
-    SELECT o_orderstatus, count(*) AS n, false AS added_again FROM orders GROUP BY o_orderstatus""")
+    SELECT 'appended' AS step, o_orderstatus, count(*) AS n, false AS added_again, CAST(NULL AS DOUBLE) AS total FROM orders
+    GROUP BY o_orderstatus
+    UNION ALL SELECT 'changed', o_orderstatus, count(*), false, round(sum(o_totalprice), 2) FROM orders GROUP BY o_orderstatus""")
 def register_table(t):
+    """Registered, a partition appended, then the schema changed: SQL sees what is stored each time."""
     store = store_of(t)
-    store.write(t.orders.select("o_orderkey", "o_orderstatus"), "orders", ["o_orderstatus"])
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
     database = level_database("t" + store.root[-8:], 2)
+    store.write(rows.drop("o_totalprice").filter("o_orderstatus <> 'P'"), "orders", ["o_orderstatus"])
     store.register("orders", database)
-    again = store.register("orders", database)
-    return t.spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {database}.orders GROUP BY o_orderstatus") \
-        .withColumn("added_again", F.lit(again))
+    store.write(rows.drop("o_totalprice").filter("o_orderstatus = 'P'"), "orders", ["o_orderstatus"])
+    again = F.lit(store.register("orders", database)).alias("added_again")
+    appended = t.spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {database}.orders GROUP BY o_orderstatus")
+    kept = store_of(t)  # as it was seen then
+    kept.write(appended.select("*", again), "appended")
+    appended = kept.read("appended")
+    store.write(rows, "orders", ["o_orderstatus"])
+    again = F.lit(store.register("orders", database)).alias("added_again")
+    changed = t.spark.sql(f"SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM {database}.orders "
+                          "GROUP BY o_orderstatus")
+    return appended.select(F.lit("appended").alias("step"), "*", F.lit(None).cast("double").alias("total")).unionByName(
+        changed.select(F.lit("changed").alias("step"), "*", again))
 
 
 @query("report_materialize", """
@@ -178,6 +191,7 @@ def report_materialize(t):
     WITH n AS (SELECT n_nationkey, nullif(n_name, 'NATION_3') AS n_name, count(c_custkey) AS customers
                FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name)
     SELECT 'json' AS format, CAST(to_json(n) AS VARCHAR) AS value FROM n
+    UNION ALL SELECT 'csv', 'n_nationkey,n_name,customers'
     UNION ALL SELECT 'csv', n_nationkey || ',' || coalesce(n_name, '') || ',' || customers FROM n""")
 def export_result(t):
     counts = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("c"))

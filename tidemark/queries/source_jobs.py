@@ -294,7 +294,7 @@ def p_directory(t):
     UNION ALL SELECT 'ad_number_of_employees', NULL, count(*) FROM customer WHERE c_nationkey <> 3""")
 def p_directory_tables(t):
     c = context(t, directory=directory(t))
-    trigger = wrap(t.region.limit(1), F.struct(F.lit("").alias("trigger")), F.lit(0))
+    trigger = wrap(t.region.agg(F.count(F.lit(1))), F.struct(F.lit("").alias("trigger")), F.lit(0))
     for _ in range(2):
         people.directory_tables.run(trigger, c)
     n = c.store.read("ad_number_of_employees").select(
@@ -304,10 +304,10 @@ def p_directory_tables(t):
         F.lit("active_directory").alias("table"), "guid", F.lit(None).cast("bigint").alias("n")).unionByName(n)
 
 
-def hours_records(t, flag: str):
+def hours_records(t, flags: str):
     """Order lines as worked hours; the order's ISO week is the period, unpadded as the feed has it."""
     period = F.concat(text(P.iso_year("o_orderdate")), text(P.iso_week("o_orderdate")))
-    return t.lineitem.filter(F.col("l_returnflag") == flag).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")) \
+    return t.lineitem.filter(F.col("l_returnflag").isin(*flags)).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")) \
         .select(F.array(F.struct(
             F.lit("B").alias("tab"), period.alias("reg_period"), text("l_quantity").alias("used_hrs"),
             F.concat(F.lit("A"), text("o_custkey")).alias("resource_id"), F.col("o_orderpriority").alias("xr1project"),
@@ -320,7 +320,8 @@ HOURS_SQL = """
     h AS (SELECT isoyear(o_orderdate) || CAST(week(o_orderdate) AS VARCHAR) AS reg_period,
                  isoyear(o_orderdate) * 100 + week(o_orderdate) AS code, l_quantity AS used_hrs, 'a' || o_custkey AS alias,
                  o_orderpriority AS project_type, l_orderkey || '/' || l_linenumber || '/' || l_partkey AS work_order,
-                 'w' || l_linenumber AS work_order_description, 's' || l_suppkey AS customer, l_returnflag, c_nationkey, c_name
+                 'w' || l_linenumber AS work_order_description, 's' || l_suppkey AS customer, c_nationkey, c_name,
+                 CASE l_returnflag WHEN 'A' THEN 'A' ELSE 'R' END AS l_returnflag
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag, alias
                  ORDER BY used_hrs DESC, work_order, project_type, reg_period) AS weigth FROM h),
@@ -334,8 +335,8 @@ HOURS_SQL = """
 
 def run_hours(t):
     c = context(t)
-    for flag, at in (("A", 100), ("R", 200)):
-        people.hours_per_resource.run(wrap(hours_records(t, flag), F.col("data"), F.lit(at)), c, directory(t))
+    for flags, at in (("A", 100), ("NR", 200)):
+        people.hours_per_resource.run(wrap(hours_records(t, flags), F.col("data"), F.lit(at)), c, directory(t))
     return c.store
 
 

@@ -30,7 +30,6 @@ def build_session(app: str = "tidemark", master: str | None = None, conf: dict |
 
 
 SHUFFLE_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int, growth: float = 4.0) -> int:
@@ -41,7 +40,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int, growth: float = 4.0) ->
     """
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     now = int(spark.conf.get(setting, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_SHUFFLE_PARTITIONS, int(input_bytes * growth / SHUFFLE_BYTES) + 1)
+    wanted = int(input_bytes * growth / SHUFFLE_BYTES) + 1
     if wanted > now:
         spark.conf.set(setting, str(wanted))
     return max(now, wanted)

@@ -25,12 +25,15 @@ def read_envelopes(spark: SparkSession, path: str, payload: T.DataType | str, st
 
     Some sources land one object per webhook and a list per poll. For a payload that is an
     array of structs the payload is parsed from its JSON text, where both forms are accepted.
+
+    Nothing is lost silently: a broken line or a value of a wrong type fails the read, unless another `mode` is given.
     """
     kind = T._parse_datatype_string(payload) if isinstance(payload, str) else payload
+    mode = options.setdefault("mode", "FAILFAST")
     reader = (spark.readStream if stream else spark.read).options(**options)
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
         raw = reader.schema(envelope_schema(T.StringType())).json(path)
-        return raw.select("metadata", F.from_json("data", kind).alias("data"))
+        return raw.select("metadata", F.from_json("data", kind, {"mode": mode}).alias("data"))
     return reader.schema(envelope_schema(kind)).json(path)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import signature
 from ..operators.joins import new_rows
+from ..operators.windows import one_per_key
 from ..plans.job import Context, Job
 from ..sources.envelopes import read_envelopes
 from ..sources.webhooks import CHAT_BODY, emoji_rows
@@ -64,13 +65,13 @@ def ingest_process(spark: SparkSession, raw: str, job: Job, context: Context, ch
 
 
 def dedupe_existing(stream: DataFrame, keys: list[str], target: str, checkpoint: str) -> None:
-    """Append only rows whose key no earlier batch stored; one row per key within a batch."""
+    """Append only rows whose key no earlier batch stored; of one key within a batch the smallest row."""
     spark = stream.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         name = batch_name(checkpoint, batch_id)
         known = earlier_batches(spark, target, name)
-        write_batch(new_rows(batch.dropDuplicates(keys), known, keys), target, name)
+        write_batch(new_rows(one_per_key(batch, keys), known, keys), target, name)
 
     run_available(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 
@@ -92,9 +93,11 @@ def split_signed(stream: DataFrame, accepted: str, rejected: str, checkpoint: st
     def handle(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         name = batch_name(checkpoint, batch_id)
-        write_batch(kept.filter("valid").drop("valid"), accepted, name)
-        write_batch(kept.filter("NOT valid").drop("valid"), rejected, name)
-        kept.unpersist()
+        try:
+            write_batch(kept.filter("valid").drop("valid"), accepted, name)
+            write_batch(kept.filter("NOT valid").drop("valid"), rejected, name)
+        finally:
+            kept.unpersist()
 
     run_available(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 

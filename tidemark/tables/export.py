@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 
 def export(df: DataFrame, fmt: str = "json") -> DataFrame:
-    """One text column `value` with one record per row; JSON keeps null fields."""
+    """One text column `value` with one record per row; JSON keeps null fields, CSV has a line of column names."""
     if fmt == "json":
         return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
     if fmt == "csv":
-        return df.select(F.to_csv(F.struct("*")).alias("value"))
+        names = F.to_csv(F.struct(*[F.lit(c).alias(c) for c in df.columns]))
+        return df.sparkSession.range(1).select(names.alias("value")).union(df.select(F.to_csv(F.struct("*"))))
     raise ValueError(f"unknown format {fmt}")
 
 

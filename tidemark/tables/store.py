@@ -153,16 +153,22 @@ class TableStore:
     # -- catalogue -----------------------------------------------------------------------
 
     def register(self, name: str, database: str) -> bool:
-        """Add the table to the level database; False when it was there already."""
+        """Make the level database show the table as it is stored now; False when it was there already.
+
+        New partitions are found, those that are gone are dropped, and a changed schema replaces the entry.
+        """
         full = f"`{database}`.`{name}`"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/catalog/{database}'")
-        if self.spark.catalog.tableExists(f"{database}.{name}"):
-            self.spark.catalog.refreshTable(full)
-            return False
-        self.spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{self.path(name)}'")
+        known = self.spark.catalog.tableExists(f"{database}.{name}")
+        if known:
+            entry, stored = self.spark.table(full).schema, self.spark.read.parquet(self.path(name)).schema
+            if [(f.name, f.dataType) for f in entry] != [(f.name, f.dataType) for f in stored]:
+                self.spark.sql(f"DROP TABLE {full}")  # the entry only: the files are outside the catalogue's own folder
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{self.path(name)}'")
         if self.partitions(name):
-            self.spark.catalog.recoverPartitions(full)
-        return True
+            self.spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(full)
+        return not known
 
     # -- reports -------------------------------------------------------------------------
 
