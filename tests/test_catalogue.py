@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import catalogue
 from tidemark.plans.catalogue import CATALOGUE, run_report
-from tidemark.plans.registry import delete, refresh, refresh_one
+from tidemark.operators.governance import non_select
+from tidemark.plans.registry import delete, export_reports, import_reports, refresh, refresh_one, stored_sql
 from tidemark.queries.registry import Tables
 from tidemark.queries.roles import Roles
 
@@ -67,3 +68,52 @@ def test_refresh_and_delete(spark, store, tables):
     with pytest.raises(KeyError):
         delete(store, after, "nobody")
 
+
+
+def test_built_in_reports_run_by_their_sql(spark, store, tables):
+    registry = catalogue.registry(spark, lambda table: 2, "2024-01-01")
+    assert non_select(registry).isEmpty()
+    for table in {t for r in CATALOGUE.values() for t in r.tables}:
+        store.write(tables(table), table)
+    changed = spark.createDataFrame([(t,) for r in CATALOGUE.values() for t in r.tables], "table STRING")
+    _, names = refresh(store, registry.filter("name <> 'employeeDataUBW'"), changed, stored_sql(store, date(2024, 3, 30)), "now")
+    assert len(names) == len(CATALOGUE) - 1
+    for name in ("degreeDist", "debug-marie", "accountManager"):
+        want = run_report(name, tables, date(2024, 3, 30))
+        assert store.cached_report(name, 3).exceptAll(want).isEmpty()
+
+
+def test_export_and_import(spark, folder):
+    registry = catalogue.registry(spark, lambda table: 2, "2024-01-01")
+    path = folder("reports")
+    export_reports(registry, path)
+    empty = registry.limit(0)
+    assert import_reports(empty, path).exceptAll(registry).isEmpty()
+    assert import_reports(registry, path, replace=True).count() == len(CATALOGUE)
+    bad = folder("reports")
+    export_reports(registry.limit(1).withColumn("queryString", F.lit("DROP TABLE x")), bad)
+    with pytest.raises(Exception, match="not a SELECT"):
+        import_reports(empty, bad).collect()
+
+
+def test_lineage_reads_every_clause(spark):
+    from tidemark.operators.governance import lineage, protection
+    statements = {"comma": "SELECT * FROM a, b", "paren": "SELECT * FROM (a JOIN b ON x)", "quoted": 'SELECT * FROM "a"', "none": "SELECT 1 -- FROM b",
+                  "with": "WITH b AS (SELECT * FROM a) SELECT * FROM b", "secret": "SELECT 'b' FROM a JOIN level_4_x.d"}
+    registry = spark.createDataFrame([(n, s) for n, s in statements.items()], "name STRING, queryString STRING")
+    catalog = spark.createDataFrame([("dev_level_1_database", "a"), ("dev_level_2_database", "b"), ("level_4_x", "d")], "database STRING, table STRING")
+    lines = lineage(registry, catalog)
+    got = {}
+    for r in lines.collect():
+        got.setdefault(r["name"], set()).add(r["table"])
+    assert got == {"comma": {"a", "b"}, "paren": {"a", "b"}, "quoted": {"a"}, "with": {"a"}, "secret": {"a", "d"}}
+    assert {r["name"]: (r["level"], r["allowed"]) for r in protection(registry, lines).collect()} == {
+        **{n: (3, True) for n in statements}, "secret": (4, False)}
+
+
+def test_upsert_keeps_names_unique(spark):
+    from tidemark.operators.governance import upsert
+    old = spark.createDataFrame([("x", "select 1", "2024")], "name STRING, queryString STRING, created STRING")
+    new = spark.createDataFrame([("y", "select 2", "2024"), ("y", "select 3", "2025"), ("x", "select 4", "2025")], old.schema)
+    assert sorted(map(tuple, upsert(old, new).collect())) == [("x", "select 1", "2024"), ("y", "select 3", "2025")]
+    assert sorted(map(tuple, upsert(old, new, replace=True).collect())) == [("x", "select 4", "2025"), ("y", "select 3", "2025")]

@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 
 from .joins import lookup_join
 
-READ = r"\b(from|join)\s+([a-z_][a-z0-9_.]*)"
+IGNORED = r"(?s)'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/"
+IDENTIFIER = r"([a-z_][a-z0-9_]*(?:\.[a-z_][a-z0-9_]*)*)"
 NAMED = r"(\w+)\s+as\s*\("
 
 
 def referenced(registry: DataFrame) -> DataFrame:
-    """(name, table): tables a report reads. Names bound by WITH are left out, row by row."""
-    sql = F.lower("queryString")
-    names = F.array_distinct(F.array_except(F.regexp_extract_all(sql, F.lit(READ), F.lit(2)),
+    """(name, ref, table, given): every identifier of a statement, whatever clause it stands in.
+
+    Texts in quotes and comments are not read, quoted identifiers are; names bound by WITH are left out, row by row.
+    Which of the others are tables is for the catalogue to say.
+    """
+    sql = F.regexp_replace(F.regexp_replace(F.lower("queryString"), IGNORED, " "), '["`]', "")
+    names = F.array_distinct(F.array_except(F.regexp_extract_all(sql, F.lit(IDENTIFIER), F.lit(1)),
                                             F.regexp_extract_all(sql, F.lit(NAMED), F.lit(1))))
     return registry.select("name", F.explode(names).alias("ref")) \
         .select("name", "ref", F.split_part("ref", F.lit("."), F.lit(-1)).alias("table"),
@@ -33,12 +38,16 @@ def lineage(registry: DataFrame, catalog: DataFrame) -> DataFrame:
             .select("name", "database", "table").distinct())
 
 
-def protection(lines: DataFrame, floor: int = 3) -> DataFrame:
-    """Level per report: the highest among its tables, at least `floor`; only 1-3 are allowed."""
+def protection(registry: DataFrame, lines: DataFrame, floor: int = 3) -> DataFrame:
+    """Level of every report: the highest among its tables, at least `floor`, also where no table is known.
+
+    Only levels 1-3 are allowed; a table of any other level, or of a database without one, makes the report not allowed.
+    """
     level = F.regexp_extract("database", r"level_(\d)", 1).try_cast("int")
-    return (lines.groupBy("name").agg(F.max(level).alias("_max"), F.min(level).alias("_min"))
+    known = lines.groupBy("name").agg(F.max(level).alias("_max"), F.bool_and(F.coalesce(level.between(1, 3), F.lit(False))).alias("_ok"))
+    return (lookup_join(registry.select("name").distinct(), known, ["name"], "left")
             .select("name", F.greatest(F.lit(floor), F.coalesce("_max", F.lit(floor))).alias("level"),
-                    F.coalesce(F.col("_max").between(1, 3) & F.col("_min").between(1, 3), F.lit(False)).alias("allowed")))
+                    F.coalesce("_ok", F.lit(True)).alias("allowed")))
 
 
 def is_select(sql):

@@ -75,6 +75,10 @@ CATALOGUE: dict[str, Report] = {
 }
 
 
+REGISTRY = ("name STRING, queryString STRING, tables ARRAY<STRING>, dataProtection INT, created STRING, lastUsed STRING, "
+            "lastCacheUpdate STRING")
+
+
 def run_report(name: str, read: Callable[[str], DataFrame], today: date, ordered: bool = False) -> DataFrame:
     """One report over `read(table)`; `ordered` sorts the result for display (a global sort)."""
     report = CATALOGUE[name]
@@ -85,9 +89,10 @@ def run_report(name: str, read: Callable[[str], DataFrame], today: date, ordered
 
 
 def registry(spark: SparkSession, levels: Callable[[str], int], created: str) -> DataFrame:
-    """The catalogue as registry rows; a report's level is the highest of its tables, at least 3."""
-    rows = [(name, f"-- built in: {name}", list(r.tables), max(3, *map(levels, r.tables)), created, None, None)
+    """The catalogue as registry rows; a report's level is the highest of its tables, at least 3.
+
+    The SQL of a built-in report selects from the view of its name, which `stored_sql` in `registry.py` defines.
+    """
+    rows = [(name, f"SELECT * FROM `{name}`", list(r.tables), max(3, *map(levels, r.tables)), created, None, None)
             for name, r in CATALOGUE.items()]
-    return spark.createDataFrame(
-        rows, "name STRING, queryString STRING, tables ARRAY<STRING>, dataProtection INT, created STRING, lastUsed STRING, "
-              "lastCacheUpdate STRING")
+    return spark.createDataFrame(rows, REGISTRY)

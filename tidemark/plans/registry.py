@@ -2,19 +2,44 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.governance import dependents, remove, touch
+from ..operators.governance import dependents, is_select, remove, touch, upsert
 from ..tables.store import TableStore
+from .catalogue import CATALOGUE, REGISTRY, run_report
+
+def stored_sql(store: TableStore, today: date | None = None):
+    """Runs the SQL of a registry row; a built-in report is a view over the stored tables by the report's name."""
+    def run(name: str, sql: str) -> DataFrame:
+        if name in CATALOGUE and f"`{name}`" in sql:
+            run_report(name, store.read, today or date.today()).createOrReplaceTempView(f"`{name}`")
+        return store.spark.sql(sql)
+
+    return run
+
+
+def export_reports(registry: DataFrame, path: str) -> None:
+    """The registry as files of one JSON object per report."""
+    registry.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def import_reports(registry: DataFrame, path: str, replace: bool = False) -> DataFrame:
+    """Add the reports of exported files; a broken file fails, a statement that does more than read is refused."""
+    new = registry.sparkSession.read.schema(REGISTRY).option("mode", "FAILFAST").json(path)
+    refused = F.raise_error(F.concat(F.lit("not a SELECT: "), F.coalesce("name", F.lit("?"))))
+    return upsert(registry, new.withColumn("queryString", F.when(is_select("queryString"), F.col("queryString")).otherwise(refused)), replace)
+
 
 def refresh(store: TableStore, registry: DataFrame, changed: DataFrame, run, now: str) -> tuple[DataFrame, list[str]]:
     """Recompute the reports that read a changed table; returns the updated registry and the names.
 
-    `run(name, sql)` gives a report's DataFrame, by default the stored SQL. The driver starts each report as a
+    `run(name, sql)` gives a report's DataFrame, by default as `stored_sql` does. The driver starts each report as a
     Spark job of its own; names, levels and SQL texts pass it one partition at a time, so their number has no limit.
     """
-    run = run or (lambda name, sql: store.spark.sql(sql))
+    run = run or stored_sql(store)
     names = dependents(registry, changed)
     todo = registry.join(names, "name", "left_semi").select("name", "queryString", "dataProtection").sort("name")
     done = []
@@ -29,7 +54,7 @@ def refresh_one(store: TableStore, registry: DataFrame, name: str, run, now: str
     row = registry.filter(F.col("name") == name).head()
     if row is None:
         raise KeyError(f"no report named {name}")
-    run = run or (lambda _, sql: store.spark.sql(sql))
+    run = run or stored_sql(store)
     store.materialize(name, run(name, row["queryString"]), row["dataProtection"])
     return touch(registry, registry.filter(F.col("name") == name), now)
 

@@ -13,6 +13,10 @@ from .registry import query
 REGISTRY_SQL = r"""
     registry AS (SELECT c_name AS name, CASE
         WHEN c_nationkey = 3 THEN 'DELETE FROM ' || seg
+        WHEN c_nationkey = 4 THEN 'SELECT * FROM ' || seg || ', nation_' || c_nationkey || ' n'
+        WHEN c_nationkey = 5 THEN 'SELECT * FROM (' || seg || ' JOIN nation_' || c_nationkey || ' ON x = y)'
+        WHEN c_nationkey = 6 THEN 'SELECT "a" FROM "' || seg || '" JOIN dev_level_2_database."' || seg || '" ON 1 = 1'
+        WHEN c_nationkey = 7 THEN 'SELECT ''from nation_1'' AS its /* nation_2 */ -- nation_8' || chr(10) || 'FROM nation_' || c_nationkey
         WHEN c_nationkey < 10 THEN 'SELECT a, cast(year_from AS int) FROM ' || seg || ' JOIN nation_' || c_nationkey
              || ' ON x = y'
         WHEN c_nationkey < 20 THEN 'WITH recent AS (SELECT * FROM dev_level_2_database.' || seg
@@ -24,8 +28,10 @@ REGISTRY_SQL = r"""
       FROM customer
       UNION SELECT 'dev_level_2_database', lower(c_mktsegment) FROM customer
       UNION SELECT 'dev_level_' || (1 + n_regionkey % 4) || '_database', 'nation_' || n_nationkey FROM nation),
-    refs AS (SELECT name, unnest(list_distinct(regexp_extract_all(lower("queryString"),
-                    '\b(from|join)\s+([a-z_][a-z0-9_.]*)', 2))) AS ref, "queryString" FROM registry),
+    bare AS (SELECT name, "queryString", replace(regexp_replace(regexp_replace(regexp_replace(lower("queryString"),
+               '''[^'']*''', ' ', 'g'), '--[^\n]*', ' ', 'g'), '/\*.*?\*/', ' ', 'gs'), '"', '') AS body FROM registry),
+    refs AS (SELECT name, unnest(list_distinct(regexp_extract_all(body, '[a-z_][a-z0-9_]*(\.[a-z_][a-z0-9_]*)*'))) AS ref,
+                    "queryString" FROM bare),
     used AS (SELECT name, ref, split_part(ref, '.', -1) AS "table",
                     CASE WHEN contains(ref, '.') THEN split_part(ref, '.', 1) END AS given FROM refs
              WHERE NOT list_contains(regexp_extract_all(lower("queryString"), '(\w+)\s+as\s*\(', 1), ref)),
@@ -35,7 +41,12 @@ REGISTRY_SQL = r"""
 
 def registry(t):
     seg, key = F.lower("c_mktsegment"), F.col("c_nationkey").cast("string")
+    nation = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     sql = (F.when(F.col("c_nationkey") == 3, F.concat(F.lit("DELETE FROM "), seg))
+           .when(F.col("c_nationkey") == 4, nation("SELECT * FROM ", seg, ", nation_", key, " n"))
+           .when(F.col("c_nationkey") == 5, nation("SELECT * FROM (", seg, " JOIN nation_", key, " ON x = y)"))
+           .when(F.col("c_nationkey") == 6, nation('SELECT "a" FROM "', seg, '" JOIN dev_level_2_database."', seg, '" ON 1 = 1'))
+           .when(F.col("c_nationkey") == 7, nation("SELECT 'from nation_1' AS its /* nation_2 */ -- nation_8\nFROM nation_", key))
            .when(F.col("c_nationkey") < 10, F.concat(F.lit("SELECT a, cast(year_from AS int) FROM "), seg,
                                                      F.lit(" JOIN nation_"), key, F.lit(" ON x = y")))
            .when(F.col("c_nationkey") < 20, F.concat(
@@ -66,9 +77,10 @@ def report_lineage(t):
 
 @query("report_protection", f"""
     WITH {REGISTRY_SQL}, levels AS (SELECT name, CAST(regexp_extract(database, 'level_(\\d)', 1) AS INTEGER) AS l FROM lines)
-    SELECT name, greatest(3, max(l)) AS level, max(l) <= 3 AS allowed FROM levels GROUP BY name""")
+    SELECT registry.name, greatest(3, coalesce(max(l), 3)) AS level, coalesce(max(l), 3) <= 3 AS allowed
+    FROM registry LEFT JOIN levels ON registry.name = levels.name GROUP BY registry.name""")
 def report_protection(t):
-    return G.protection(G.lineage(registry(t), catalog(t)))
+    return G.protection(registry(t), G.lineage(registry(t), catalog(t)))
 
 
 @query("report_select_only", f"""
