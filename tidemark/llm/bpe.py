@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .common import texts
 
 #: Characters of text whose new words are replayed together, and words a task remembers.
-SLICE_CHARS = 8_000_000
-REMEMBERED = 400_000
+SLICE_CHARS = 3_000_000
+REMEMBERED = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
