@@ -350,3 +350,34 @@ def test_grids_against_brute_force(spark):
             expected.append((n, i, sorted(line.items(), key=str)))
     got = grid_to_rows(spark.createDataFrame(grids, "n INT, g ARRAY<ARRAY<STRING>>"), ["n"], "g").collect()
     assert sorted(((r["n"], r["row_no"], sorted(r["cells"].items(), key=str)) for r in got), key=str) == sorted(expected, key=str)
+
+
+def test_answers_that_look_like_json_stay(land):
+    odd = ["[not json", '["a"]', '"quoted"', "{", "null", "[maybe"]
+    env = land(uploads.FORM, form(*[question("TEXT", x) for x in odd], question("CHECKBOX", odd),
+                                  question("CHECKBOX_GRID", [["[x", '"y'], "[z"], rows=["r1", "r2"]), question("GRID", None, rows=["r1"])))
+    got = [(r["type"], r["sub_question text"], r["answer"]) for r in uploads.forms.tables(env, None)["google_forms_data"].collect()]
+    assert got == [("TEXT", "", x) for x in odd] + [("CHECKBOX", "", x) for x in odd] + [
+        ("CHECKBOX_GRID", "r1", "[x"), ("CHECKBOX_GRID", "r1", '"y'), ("CHECKBOX_GRID", "r2", "[z"), ("GRID", "r1", "")]
+
+
+@pytest.mark.parametrize("line", ['{"metadata": {"timestamp": 1}, "data": [{"k": 1', '{"metadata": {"timestamp": 1}, "data": [{"k": "text"}]}'])
+def test_broken_envelopes_fail(spark, folder, line):
+    path = folder("raw")
+    spark.createDataFrame([(line,)], "value STRING").write.text(path)
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        read_envelopes(spark, path, "ARRAY<STRUCT<k INT>>").collect()
+    assert read_envelopes(spark, path, "ARRAY<STRUCT<k INT>>", mode="PERMISSIVE").count() == 1
+
+
+def test_iso_text_is_utc_in_any_zone(spark):
+    from tidemark.functions import presto
+    from pyspark.sql import functions as F
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Oslo")
+        presto.register_sql_functions(spark)
+        row = spark.range(1).select(presto.to_iso8601(F.timestamp_seconds("id")).alias("a"), F.expr("to_iso8601(timestamp_seconds(id))").alias("b")).first()
+        assert row.a == row.b == "1970-01-01T00:00:00Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

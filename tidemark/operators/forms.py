@@ -13,23 +13,33 @@ CHOICE_TYPES = ["MULTIPLE_CHOICE", "CHECKBOX", "LIST"]
 TEXT_TYPES = ["FILE_UPLOAD", "TEXT", "PARAGRAPH_TEXT", "DATE", "TIME", "SCALE"]
 
 
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "STRING")
+
+
+def _items(value: Column) -> Column:
+    """The elements of a list, or the value itself as the only one."""
+    return F.coalesce(F.try_variant_get(value, "$", "ARRAY<VARIANT>"), F.array(value))
+
+
 def answer_list(response: Column) -> Column:
-    """A JSON answer (scalar or list) as an array of texts; a missing answer is one ''."""
-    listed = response.rlike(r"^\s*\[")
-    scalar = F.when(response.rlike(r'^\s*"'), F.get_json_object(F.concat(F.lit('{"v":'), response, F.lit("}")), "$.v")) \
-        .otherwise(response)
-    return (F.when(response.isNull(), F.array(F.lit("")))
-            .when(listed, F.from_json(response, "ARRAY<STRING>"))
-            .otherwise(F.array(scalar)))
+    """An answer (a VARIANT: scalar or list) as an array of texts; a missing answer is one ''.
+
+    The JSON value itself says whether it is a list, so a text may begin with a bracket or a quote.
+    """
+    missing = response.isNull() | F.is_variant_null(response)
+    return F.when(missing, F.array(F.lit(""))).otherwise(F.transform(_items(response), _text))
 
 
 def _parts(question: Column) -> Column:
     """(sub question, answer) pairs of one question."""
-    answers = answer_list(question["answer"]["response"])
+    response = question["answer"]["response"]
+    answers = answer_list(response)
     rows = question["typeData"]["rows"]
-    grid = F.flatten(F.transform(answers, lambda a, i: F.transform(
-        F.when(a.rlike(r"^\s*\["), F.from_json(a, "ARRAY<STRING>")).otherwise(F.array(a)),
-        lambda x: F.struct(F.get(rows, i).alias("sub"), x.alias("answer")))))
+    missing = F.array(F.struct(F.get(rows, F.lit(0)).alias("sub"), F.lit("").alias("answer")))
+    lines = F.flatten(F.transform(_items(response), lambda line, i: F.transform(
+        _items(line), lambda x: F.struct(F.get(rows, i).alias("sub"), _text(x).alias("answer")))))
+    grid = F.when(response.isNull() | F.is_variant_null(response), missing).otherwise(lines)
     flat = F.transform(answers, lambda a: F.struct(F.lit("").alias("sub"), a.alias("answer")))
     return (F.when(question["type"].isin(GRID_TYPES), grid)
             .when(question["type"].isin(CHOICE_TYPES + TEXT_TYPES), flat)

@@ -15,7 +15,7 @@ from .job import job
 
 FORM = """STRUCT<tableName STRING, user STRING, responses ARRAY<STRUCT<respondent STRING, timestamp STRING, id STRING,
     isQuiz BOOLEAN, questions ARRAY<STRUCT<title STRING, helpText STRING, id BIGINT, type STRING,
-    answer STRUCT<response STRING>, typeData STRUCT<choices ARRAY<STRUCT<value STRING, isCorrect BOOLEAN>>,
+    answer STRUCT<response VARIANT>, typeData STRUCT<choices ARRAY<STRUCT<value STRING, isCorrect BOOLEAN>>,
     rows ARRAY<STRING>, feedbackCorrect STRING, feedbackIncorrect STRING, points INT>>>>>>"""
 
 

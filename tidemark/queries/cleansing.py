@@ -302,15 +302,19 @@ def grid_rows(t):
     return rows.select("doc_id", "row_no", F.explode("cells").alias("header", "value"))
 
 
+def json_value(c):
+    """A column as the JSON value it would be in a landed file."""
+    return F.parse_json(F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1))
+
+
 @query("form_answers", r"""
     SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS pos, parts[i] AS answer FROM (
       SELECT conv_id, turn, parts, unnest(range(1, len(parts) + 1)) AS i FROM (
-        SELECT conv_id, turn, CASE WHEN role = 'user' THEN [text] ELSE string_split(text, chr(10)) END AS parts
+        SELECT conv_id, turn, CASE WHEN role = 'user' THEN ['[' || text] ELSE string_split(text, chr(10)) END AS parts
         FROM conversations))""")
 def form_answers(t):
-    """Turns as answers: a user's turn is one JSON text, any other turn a JSON list of its lines."""
-    scalar = F.regexp_extract(F.to_json(F.struct(F.col("text").alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
-    response = F.when(F.col("role") == "user", scalar).otherwise(F.to_json(F.split("text", "\n")))
+    """Turns as answers: a user's turn is one JSON text with a bracket in front, any other turn a JSON list of its lines."""
+    response = F.when(F.col("role") == "user", json_value(F.concat(F.lit("["), "text"))).otherwise(json_value(F.split("text", "\n")))
     return t.conversations.select("conv_id", "turn", F.posexplode(answer_list(response)).alias("pos", "answer"))
 
 

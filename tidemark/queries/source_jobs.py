@@ -15,6 +15,7 @@ from ..sources import documents as docs
 from ..sources.envelopes import read_envelopes, wrap, write_envelopes
 from ..sources.webhooks import CHAT_BODY, PULL_BODY, emoji_rows, merged_pulls
 from ..tables.store import TableStore
+from .cleansing import json_value
 from .registry import query
 from .scans import FORECAST_SQL, forecast_xml, issue_bodies
 from ..sources.webhooks import issue_record
@@ -517,15 +518,14 @@ def form_envelopes(t):
                            for v, ok in (("user", True), ("system", False))]).alias("choices"),
                  rows.alias("rows"), F.lit("good").alias("feedbackCorrect"),
                  F.lit(None).cast("string").alias("feedbackIncorrect"), F.lit(points).alias("points")).alias("typeData"))
-    quote = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     none = F.lit(None).cast("array<string>")
     questions = F.array(
-        question("t", "TEXT", F.regexp_extract(F.to_json(F.struct(F.col("text").alias("v"))), r'(?s)^\{"v":(.*)\}$', 1), none, 1),
-        question("m", "MULTIPLE_CHOICE", quote(F.col("role")), none, 5),
-        question("c", "CHECKBOX", F.to_json(F.array("role", F.lit("user"))), none, 7),
-        question("g", "CHECKBOX_GRID", F.to_json(F.array(F.array("role", F.lit("x")), F.array(F.lit("y")))),
+        question("t", "TEXT", json_value(F.concat(F.lit('["'), "text")), none, 1),
+        question("m", "MULTIPLE_CHOICE", json_value(F.col("role")), none, 5),
+        question("c", "CHECKBOX", json_value(F.array("role", F.lit("user"))), none, 7),
+        question("g", "CHECKBOX_GRID", json_value(F.array(F.array("role", F.lit("[x")), F.array(F.lit('"y')))),
                  F.array(F.lit("r1"), F.lit("r2")), 2),
-        question("s", "SCALE", text("turn"), none, 0))
+        question("s", "SCALE", json_value(F.col("turn")), none, 0))
     response = F.struct(F.lit("me").alias("respondent"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"),
                         F.concat_ws("-", text("conv_id"), text("turn")).alias("id"), (F.col("role") != "system").alias("isQuiz"),
                         questions.alias("questions"))
@@ -536,13 +536,13 @@ def form_envelopes(t):
 
 @query("p_forms", """
     WITH a AS (
-      SELECT *, 't' AS question_title, '' AS sub, text AS answer, 1 AS points, CAST(NULL AS BOOLEAN) AS ok FROM conversations
+      SELECT *, 't' AS question_title, '' AS sub, '["' || text AS answer, 1 AS points, CAST(NULL AS BOOLEAN) AS ok FROM conversations
       UNION ALL SELECT *, 'm', '', role, 5, CASE role WHEN 'user' THEN true END FROM conversations
       UNION ALL SELECT *, 'c', '', role, 7, CASE role WHEN 'user' THEN true END FROM conversations
       UNION ALL SELECT *, 'c', '', 'user', 0, CASE WHEN role <> 'system' THEN true END FROM conversations
       UNION ALL SELECT *, 'g', 'r1', role, 2, NULL FROM conversations
-      UNION ALL SELECT *, 'g', 'r1', 'x', 0, NULL FROM conversations
-      UNION ALL SELECT *, 'g', 'r2', 'y', 0, NULL FROM conversations
+      UNION ALL SELECT *, 'g', 'r1', '[x', 0, NULL FROM conversations
+      UNION ALL SELECT *, 'g', 'r2', '"y', 0, NULL FROM conversations
       UNION ALL SELECT *, 's', '', CAST(turn AS VARCHAR), 0, NULL FROM conversations)
     SELECT question_title, conv_id || '-' || turn AS responder, CAST(1704067200 AS BIGINT) AS timestamp, role <> 'system' AS is_quiz,
            sub, answer, 'good' AS feedback_correct, '' AS feedback_incorrect, points AS available_points, ok AS is_correct,
