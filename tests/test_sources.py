@@ -306,14 +306,28 @@ def test_sheets(land, context):
     grid = [["", "", "", ""], ["", "a", "b", "A"], ["", "1", " ", "x"], ["", "2", "3", ""], ["", "", "", ""]]
     names = uploads.sheets.run(land(uploads.SHEET, envelope({"tableName": "t 1", "user": "me@x", "values": grid}, 4),
                                     envelope({"tableName": "blank", "values": [["", ""]]}, 4)), context)
-    assert sorted(names) == ["google_sheets_metadata", "me_x_t_1"]
-    table = context.store.read("me_x_t_1")
-    assert sorted(table.columns) == ["A", "a_2", "b"] or sorted(table.columns) == ["A_2", "a", "b"]
+    assert sorted(names) == ["google_sheets_metadata", "google_sheets_rows"]
+    table = uploads.read_sheet(context.store, "me_x_t_1")
+    assert table.columns == ["a", "b", "A_2"]
     assert table.count() == 2 and table.filter("b IS NULL").count() == 1
+    with pytest.raises(KeyError):
+        uploads.read_sheet(context.store, "undefined_blank")
     assert one(context.store.read("google_sheets_metadata"), "inserted_tables", "uploaded_by_user", "time_added") == [
         ("me_x_t_1", "me@x", 4.0), ("undefined_blank", "undefined", 4.0)]
 
 
+def test_uploads_of_equal_time_are_not_mixed(land, context):
+    sheet = lambda name, at, *values: envelope({"tableName": name, "user": "u", "values": [list(v) for v in values]}, at)
+    first = land(uploads.SHEET, sheet("s", 1, ("z", "a"), ("1", "2")), sheet("s", 1, ("other", "head"), ("8", "9")),
+                 sheet("s", 0, ("old",), ("0",)), sheet("kept", 1, ("k",), ("v",)), sheet("s", 1, ("z", "a"), ("1", "2")))
+    uploads.sheets.run(first, context)
+    got = uploads.read_sheet(context.store, "u_s")
+    assert (got.columns, [tuple(r) for r in got.collect()]) in ((["z", "a"], [("1", "2")]), (["other", "head"], [("8", "9")]))
+    uploads.sheets.run(land(uploads.SHEET, sheet("s", 5, ("new",), ("n",))), context)
+    assert [tuple(r) for r in uploads.read_sheet(context.store, "u_s").collect()] == [("n",)]
+    assert [tuple(r) for r in uploads.read_sheet(context.store, "u_kept").collect()] == [("v",)]
+
+
 # -- declaring jobs ----------------------------------------------------------------------
 
 

@@ -31,7 +31,7 @@ def cropped(grid: Column, box: Column) -> Column:
 
 
 def grid_to_rows(df: DataFrame, meta: list[str], grid_col: str) -> DataFrame:
-    """One row per data line: `row_no` and `cells`, a map from header to value (blank is null).
+    """One row per data line: `headers` in the grid's order, `row_no` and `cells`, a map from header to value (blank is null).
 
     When two columns share a header, the right one wins. Blank grids give no rows.
     """
@@ -42,10 +42,12 @@ def grid_to_rows(df: DataFrame, meta: list[str], grid_col: str) -> DataFrame:
         F.coalesce(name, F.lit("")).alias("name"), i.alias("at")))).alias("_h"))
     kept = heads.select(*meta, "_c", F.filter(
         "_h", lambda x, k: ~F.get(F.col("_h"), k + 1)["name"].eqNullSafe(x["name"])).alias("_k"))
-    lines = kept.select(*meta, "_k", F.posexplode(
+    ordered = F.array_sort(F.transform("_k", lambda x: F.struct(x["at"].alias("at"), x["name"].alias("name"))))
+    kept = kept.select("*", F.transform(ordered, lambda x: x["name"]).alias("headers"))
+    lines = kept.select(*meta, "headers", "_k", F.posexplode(
         F.slice("_c", 2, F.greatest(F.size("_c") - 1, F.lit(0)))).alias("row_no", "_row"))
     pairs = F.transform("_k", lambda x: F.struct(x["name"], blank_to_null(F.get(F.col("_row"), x["at"]))))
-    return lines.select(*meta, "row_no", F.map_from_entries(pairs).alias("cells"))
+    return lines.select(*meta, "headers", "row_no", F.map_from_entries(pairs).alias("cells"))
 
 
 def sheet_columns(rows: DataFrame, headers: list[str]) -> DataFrame:

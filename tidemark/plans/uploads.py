@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import clean_name
 from ..operators.forms import form_rows
-from ..operators.grids import grid_to_rows, sheet_columns
-from ..tables import files
+from ..operators.grids import bounds, grid_to_rows, sheet_columns
+from ..operators.joins import lookup_join
+from ..tables.store import TableStore
 from .job import job
 
 FORM = """STRUCT<tableName STRING, user STRING, responses ARRAY<STRUCT<respondent STRING, timestamp STRING, id STRING,
@@ -38,38 +37,44 @@ def sheet_metadata(envelopes: DataFrame) -> DataFrame:
                             sheet_name().alias("inserted_tables"))
 
 
-def sheet_rows(envelopes: DataFrame) -> DataFrame:
-    """All data lines of all sheets: inserted table, line number, cells as a map."""
-    named = envelopes.select(sheet_name().alias("table"), F.col("metadata.timestamp").alias("t"),
-                             F.col("data.values").alias("g"))
-    return grid_to_rows(named, ["table", "t"], "g")
-
+SHEETS = "google_sheets_rows"
 
-MAX_SHEETS_PER_RUN = 1000
 
+def newest_sheets(envelopes: DataFrame) -> DataFrame:
+    """The data lines of the newest upload of every sheet: sheet, headers in the sheet's order, row_no, cells as a map.
 
-@job(SHEET, overwrite=True)
+    An upload is known by its time and content, so two uploads of equal time are not mixed (the larger hash counts). Uploads without
+    a data line do not replace anything.
+    """
+    grid = F.col("data.values")
+    uploads = envelopes.select(sheet_name().alias("sheet"), F.col("metadata.timestamp").alias("t"),
+                               F.xxhash64(F.to_json("data")).alias("upload"), grid.alias("g"), bounds(grid).alias("box"))
+    uploads = uploads.filter("box.bottom > box.top").drop("box")
+    newest = uploads.groupBy("sheet").agg(F.max(F.struct("t", "upload")).alias("n")).select("sheet", "n.t", "n.upload")
+    found = lookup_join(uploads, newest, ["sheet", "t", "upload"], "left_semi", nulls=True)
+    # the same upload landed twice is one
+    once = found.groupBy("sheet").agg(F.first("g").alias("g"))
+    return grid_to_rows(once, ["sheet"], "g")
+
+
+@job(SHEET, overwrite=True, parse_once=True)
 def sheets(envelopes, context):
-    """One table per uploaded sheet plus the metadata table.
+    """The lines of all uploaded sheets in one table ordered by sheet, whatever their number, plus the metadata table.
 
-    Table names and headers come from the data, so the (table, headers) pairs of this one
-    upload batch are brought to the driver: names only, never cells, and at most
-    MAX_SHEETS_PER_RUN of them; larger backlogs are refused and must be split into runs.
+    Sheets that are not uploaded again stay as they are; `read_sheet` gives one of them as a plain table.
     """
-    # Stored by sheet, so that every table reads its own lines only.
-    staged = f"{context.store.root}/staged/sheets-{uuid.uuid4().hex}"
-    context.scratch.append(staged)
-    sheet_rows(envelopes).hint("rebalance", F.col("table")).write.partitionBy("table").parquet(staged)
-    if not files.has_data(context.spark, staged):
-        return {"google_sheets_metadata": sheet_metadata(envelopes)}
-    rows = context.spark.read.schema("t DOUBLE, row_no INT, cells MAP<STRING, STRING>, table STRING").parquet(staged)
-    heads = (rows.groupBy("table").agg(F.max(F.struct("t", F.array_sort(F.map_keys("cells")).alias("h"))).alias("m"))
-             .select("table", "m.t", "m.h").limit(MAX_SHEETS_PER_RUN + 1).collect())
-    if len(heads) > MAX_SHEETS_PER_RUN:
-        raise ValueError(f"more than {MAX_SHEETS_PER_RUN} sheets in one run")
-    tables = {}
-    for head in heads:
-        lines = rows.filter((F.col("table") == head["table"]) & (F.col("t") == head["t"]))
-        tables[head["table"]] = sheet_columns(lines, head["h"])
-    tables["google_sheets_metadata"] = sheet_metadata(envelopes)
-    return tables
+    lines, old = newest_sheets(envelopes), context.existing(SHEETS)
+    if old is not None:
+        lines = lines.unionByName(lookup_join(old, lines.select("sheet").distinct(), ["sheet"], "left_anti", nulls=True))
+    # a sheet lies in few files and few row groups, so that a filter on its name reads little
+    lines = lines.hint("rebalance", F.col("sheet")).sortWithinPartitions("sheet", "row_no")
+    return {SHEETS: lines, "google_sheets_metadata": sheet_metadata(envelopes)}
+
+
+def read_sheet(store: TableStore, name: str) -> DataFrame:
+    """One stored sheet with its own columns, in the order of the sheet."""
+    rows = store.read(SHEETS).filter(F.col("sheet") == name)
+    head = rows.select("headers").first()
+    if head is None:
+        raise KeyError(f"no sheet named {name}")
+    return sheet_columns(rows, head["headers"])

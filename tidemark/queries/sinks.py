@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans.uploads import SHEET, sheet_metadata
 from ..session import new_folder
 from ..sources.envelopes import read_envelopes, wrap, write_envelopes
 from ..tables.export import export
@@ -209,19 +208,3 @@ def snapshot_replace(t):
     store.write(rows.drop("c_mktsegment"), "directory", overwrite=True)
     store.write(rows.filter("c_mktsegment <> 'BUILDING'").drop("c_mktsegment"), "directory", overwrite=True)
     return store.read("directory")
-
-
-def sheet_envelopes(t):
-    """Every document as an uploaded sheet: lines are grid rows, words are cells."""
-    grid = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
-    return wrap(t.documents, F.struct(F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("tableName"),
-                                      grid.alias("values"), F.col("source").alias("user")), F.col("doc_id"))
-
-
-@query("sheet_tables", """
-    SELECT source AS uploaded_by_user, CAST(doc_id AS DOUBLE) AS time_added, source || '_doc_' || doc_id
-           AS inserted_tables FROM documents""")
-def sheet_tables(t):
-    path = new_folder(t.spark, "raw")
-    write_envelopes(sheet_envelopes(t), path)
-    return sheet_metadata(read_envelopes(t.spark, path, SHEET))

@@ -563,19 +563,31 @@ def p_forms(t):
     UNION ALL SELECT 'metadata', 'ann_' || lang, CAST(doc_id AS VARCHAR), NULL FROM documents""")
 def p_sheets(t):
     """Every document as a two-column sheet of its language; the newest upload of a sheet stays."""
+    return stored_sheets(t, F.col("lang"), F.lit("ann"))
+
+
+def stored_sheets(t, name, user):
+    """Every document as a two-column sheet (line, its length) of the given name and user, landed, processed and read back."""
     lines = F.transform(F.split("text", "\n"), lambda x: F.array(x, text(F.length(x))))
     head = F.array(F.array(F.lit("line"), F.lit("chars")))
     blank = F.array(F.array(F.lit(""), F.lit("")))
-    landed = wrap(t.spread("documents"), F.struct(F.col("lang").alias("tableName"), F.concat(blank, head, lines, blank).alias("values"),
-                                        F.lit("ann").alias("user")), F.col("doc_id"))
+    landed = wrap(t.spread("documents"), F.struct(name.alias("tableName"), F.concat(blank, head, lines, blank).alias("values"),
+                                        user.alias("user")), F.col("doc_id"))
     path, c = new_folder(t.spark, "raw"), context(t)
     write_envelopes(landed, path)
-    names = uploads.sheets.run(read_envelopes(t.spark, path, uploads.SHEET), c)
-    out = c.store.read("google_sheets_metadata").select(
+    uploads.sheets.run(read_envelopes(t.spark, path, uploads.SHEET), c)
+    sheets = c.store.read(uploads.SHEETS).select(
+        F.lit("sheet").alias("kind"), F.col("sheet").alias("table"), F.col("cells")["line"].alias("line"), F.col("cells")["chars"].alias("chars"))
+    return sheets.unionByName(c.store.read("google_sheets_metadata").select(
         F.lit("metadata").alias("kind"), F.col("inserted_tables").alias("table"),
-        text(F.col("time_added").cast("bigint")).alias("line"), F.lit(None).cast("string").alias("chars"))
-    for name in names:
-        if name != "google_sheets_metadata":
-            out = out.unionByName(c.store.read(name).select(F.lit("sheet").alias("kind"), F.lit(name).alias("table"),
-                                                            "line", "chars"))
-    return out
+        text(F.col("time_added").cast("bigint")).alias("line"), F.lit(None).cast("string").alias("chars")))
+
+
+@query("sheet_tables", """
+    SELECT 'sheet' AS kind, source || '_doc_' || doc_id AS "table", CASE WHEN regexp_full_match(l, '\\s*') THEN NULL ELSE l END AS line,
+           CAST(length(l) AS VARCHAR) AS chars
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS l FROM documents)
+    UNION ALL SELECT 'metadata', source || '_doc_' || doc_id, CAST(doc_id AS VARCHAR), NULL FROM documents""")
+def sheet_tables(t):
+    """Every document as a sheet of its own."""
+    return stored_sheets(t, F.concat(F.lit("doc "), text("doc_id")), F.col("source"))
