@@ -9,6 +9,8 @@ from ..functions.presto import iso_period
 from ..operators.flatten import route, split_dim_fact
 from ..operators.forms import answer_list, quiz_grade
 from ..operators.grids import bounds, grid_to_rows
+from ..sources.webhooks import exclude_accounts as exclude_accounts_of
+from ..sources.webhooks import human_message, merged_to_default
 from .registry import query
 
 
@@ -135,8 +137,9 @@ def filter_closed_period(t):
     SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view') AND user_id <> 1
       AND starts_with(upper(event_type), 'C')""")
 def filter_message_events(t):
-    return t.events.filter(F.col("event_type").isin("click", "view") & (F.col("user_id") != 1)
-                           & F.upper("event_type").startswith("C")).select("event_id", "event_type")
+    subtype = F.when(F.col("user_id") == 1, "bot_message")
+    return t.events.filter(human_message(F.col("event_type"), F.upper("event_type"), subtype, ("click", "view"))).select(
+        "event_id", "event_type")
 
 
 @query("filter_merged_to_default", """
@@ -145,8 +148,8 @@ def filter_message_events(t):
 def filter_merged_to_default(t):
     pull = F.struct(F.col("o_custkey").alias("merged_at"), F.col("o_orderpriority").alias("ref"))
     rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("type"), pull.alias("pull"))
-    return rows.filter((F.col("type") == "F") & F.col("pull.merged_at").isNotNull()
-                       & F.col("pull.ref").eqNullSafe("1-URGENT")).select("o_orderkey")
+    return rows.filter(merged_to_default(F.col("type"), F.col("pull.merged_at"), F.col("pull.ref"), F.lit("1-URGENT"), "F")).select(
+        "o_orderkey")
 
 
 @query("exclude_accounts", """
@@ -154,8 +157,8 @@ def filter_merged_to_default(t):
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')""")
 def exclude_accounts(t):
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return rows.filter(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
-        "c_custkey", "c_mktsegment", F.when(F.col("n_name").isin("NATION_7", "NATION_15"), F.col("n_name")).alias("reply_to"))
+    found = rows.select("c_custkey", "c_mktsegment", F.col("n_name").alias("reply_to"))
+    return exclude_accounts_of(found, ["BUILDING", "MACHINERY", "NATION_7", "NATION_15"], "c_mktsegment", "reply_to")
 
 
 @query("prefix_flag", "SELECT doc_id, starts_with(text, 'The') AS flagged FROM documents")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import joins as J
 from ..operators.deployments import frequency_labels, with_label
 from ..operators.windows import latest
+from ..sources.webhooks import with_channel_names
 from .registry import cents, query
 
 
@@ -211,6 +212,6 @@ def join_label(t):
       SELECT event_type AS channel, 'ch-' || upper(event_type) AS name FROM events WHERE event_type <> 'view'
       GROUP BY event_type) c ON channel = event_type""")
 def join_channel_name(t):
-    names = t.events.filter("event_type <> 'view'").select("event_type").distinct().select(
-        "event_type", F.concat(F.lit("ch-"), F.upper("event_type")).alias("channel_name"))
-    return t.events.join(names, "event_type", "left").select("event_id", "channel_name")
+    names = t.events.filter("event_type <> 'view'").select(
+        F.col("event_type").alias("channel"), F.concat(F.lit("ch-"), F.upper("event_type")).alias("channel_name"))
+    return with_channel_names(t.events.select("event_id", F.col("event_type").alias("channel")), names).drop("channel")

@@ -260,4 +260,6 @@ def owned_job(envelopes, context):
 def person_decorator(t):
     alias = F.concat(F.lit("a"), (F.col("o_custkey") + 100).cast("string")).alias("alias")
     landed = wrap(t.orders, F.array(F.struct("o_orderkey", alias)), F.lit(0))
-    return owned_job.tables(landed, Context(t.spark), people(t))["owned"]
+    context = Context(t.spark, store=TableStore(t.spark, new_folder(t.spark, "job")))
+    owned_job.run(landed, context, people(t))
+    return context.store.read("owned")

@@ -57,6 +57,28 @@ def repo_record(b: str = "b") -> list[Column]:
     ]
 
 
+def human_message(kind: Column, channel: Column, subtype: Column, kinds=("reaction_added", "message")) -> Column:
+    """Whether a chat event is a reaction or message of a person in a public channel."""
+    return F.coalesce(channel.startswith("C") & (F.coalesce(subtype, F.lit("")) != "bot_message") & kind.isin(*kinds), F.lit(False))
+
+
+def with_channel_names(rows: DataFrame, channels: DataFrame) -> DataFrame:
+    """Adds `channel_name` from `channels` (channel, channel_name); null where the channel is unknown."""
+    known = channels.groupBy("channel").agg(F.min("channel_name").alias("channel_name"))
+    return lookup_join(rows, known, ["channel"], "left")
+
+
+def merged_to_default(kind: Column, merged_at: Column, base: Column, default: Column, wanted: str = "PullRequestEvent") -> Column:
+    """Whether an event is a pull request that was merged into the default branch."""
+    return (kind == wanted) & merged_at.isNotNull() & base.eqNullSafe(default)
+
+
+def exclude_accounts(rows: DataFrame, own: list[str], author: str, reply_to: str) -> DataFrame:
+    """Found tweets without those of the own accounts; a reply is kept as such only if it answers one of them."""
+    others = rows.filter(~F.coalesce(F.col(author).isin(*own), F.lit(False)))
+    return others.withColumn(reply_to, F.when(F.col(reply_to).isin(*own), F.col(reply_to)))
+
+
 def emoji_rows(parsed: DataFrame, channels: DataFrame | None = None) -> DataFrame:
     """Emoji uses in public-channel reactions and messages, one row each; bots are ignored.
 
@@ -64,9 +86,7 @@ def emoji_rows(parsed: DataFrame, channels: DataFrame | None = None) -> DataFram
     """
     event = parsed.select("b.*").withColumn(
         "channel", F.coalesce("event.channel", "event.item.channel", F.lit("")))
-    kept = event.filter(F.col("channel").startswith("C")
-                        & (F.coalesce("event.subtype", F.lit("")) != "bot_message")
-                        & F.col("event.type").isin("reaction_added", "message"))
+    kept = event.filter(human_message(F.col("event.type"), F.col("channel"), F.col("event.subtype")))
     inside = nested_elements(F.coalesce("event.blocks", F.array()), lambda x: x["type"] == "emoji")
     names = F.when(F.col("event.type") == "reaction_added", F.array("event.reaction")) \
         .otherwise(F.transform(inside, lambda x: x["name"]))
@@ -76,8 +96,7 @@ def emoji_rows(parsed: DataFrame, channels: DataFrame | None = None) -> DataFram
     if channels is None:
         named = rows.withColumn("channel_name", F.lit(None).cast("string"))
     else:
-        known = channels.groupBy("channel").agg(F.min("channel_name").alias("channel_name"))
-        named = lookup_join(rows, known, ["channel"], "left")
+        named = with_channel_names(rows, channels)
     return named.select("event_type", "channel", "channel_name", "event_ts", "team_id", "emoji")
 
 
@@ -88,6 +107,6 @@ def merged_pulls(parsed: DataFrame, branches: DataFrame) -> DataFrame:
         epoch("b.payload.pull_request.merged_at").alias("merged_at"),
         epoch("b.payload.pull_request.created_at").alias("created_at"),
         F.col("b.payload.pull_request.base.ref").alias("base-ref"))
-    done = pull.filter((F.col("type") == "PullRequestEvent") & F.col("merged_at").isNotNull())
-    return (lookup_join(done, branches.select("name", "default_branch"), ["name"]).filter(F.col("base-ref") == F.col("default_branch"))
+    known = lookup_join(pull, branches.select("name", "default_branch"), ["name"])
+    return (known.filter(merged_to_default(F.col("type"), F.col("merged_at"), F.col("base-ref"), F.col("default_branch")))
             .select("id", "name", "type", "merged_at", "created_at", "base-ref", "default_branch"))
