@@ -64,9 +64,11 @@ def rank_rows(df: DataFrame, keys: list[str], order: list[Column], out: str,
     Groups up to `max_group_rows` go through an ordinary window. The few larger ones (their
     number is at most rows / max_group_rows) are range partitioned by group and order, so
     that one group spans many tasks; each slice is numbered on its own and shifted by the
-    sizes of the slices before it. Row ids (to part equal rows) and slice numbers hang on the
-    placement of rows, so both are taken from reliable checkpoints: a repeated task sees the same.
+    sizes of the slices before it. Both ways give the same numbers: rows that are equal in `order` follow the order of all
+    their columns. Row ids (to part copies of a row) and slice numbers hang on the placement of rows, so both are taken from
+    reliable checkpoints: a repeated task sees the same.
     """
+    order = [*order, *[F.col(f"`{c}`") for c in df.columns]]
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     large = reliable_checkpoint(sizes.filter(F.col("_size") > max_group_rows).select(*keys))
     plain = Window.partitionBy(*keys).orderBy(*order)
