@@ -33,6 +33,7 @@ DIRECTORY, PROJECTS = "active_directory", "ubw_per_project_data"
 JOBS, SKILLS = "cv_partner_work_experience", "cv_partner_technology_skills"
 ENGAGEMENTS, LANGUAGES = "cv_partner_project_experience", "cv_partner_languages"
 
+# The names of the reports, and the tables each reads.
 CATALOGUE: dict[str, Report] = {
     "ubwExperience": Report(("ubw_experience", HOURS, DIRECTORY), plain(R.experience)),
     "employeeInformation": Report((EMPLOYEES, EDUCATION, HOURS, MAPPING, DIRECTORY), plain(R.employee_information), ("navn",)),

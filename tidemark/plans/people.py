@@ -14,6 +14,9 @@ from ..sources.envelopes import with_meta_time
 from .job import job
 
 
+# The column names of the feeds and of the stored tables in this module.
+
+
 def directory(users: DataFrame, branch: str = "branch") -> DataFrame:
     """The person directory from account records; service, external and deleted accounts are left out.
 
