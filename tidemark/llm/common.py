@@ -12,10 +12,22 @@ from ..tables import files
 INNER = "__llm_"
 
 
+#: Rows in an Arrow batch: texts are long, and a batch is held whole on both sides of the pipe to Python.
+ARROW_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`, its session set to Arrow batches of at most ARROW_ROWS rows; a smaller setting stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return df
+
+
 def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Only the id and the whole text (null: empty) under fixed names; other columns are not read."""
-    return docs.select(F.col(f"`{id_column}`").alias("doc_id"),
-                       F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
+    return small_batches(docs).select(F.col(f"`{id_column}`").alias("doc_id"),
+                                      F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import INNER, staged
+from .common import INNER, small_batches, staged
 
 #: Shortest tile in words, share of an item's words that tiles must cover, bytes of benchmark text searched in one pass.
 LEAST, COVERAGE, BLOCK_BYTES = 5, 0.8, 8 << 20
@@ -158,7 +158,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, column: str, coverage: floa
     Work is local to a row. The benchmark is taken in blocks of bounded size, one pass each; between two passes documents are staged.
     Null texts are empty; null item texts are passed over; repeated items count once; an empty benchmark gives empty arrays.
     """
-    found = F.array().cast(HITS)
+    docs, found = small_batches(docs), F.array().cast(HITS)
     for b, items in enumerate(blocks(benchmark, block_bytes)):
         if b:
             docs = staged(docs.withColumn(column, found), "hits")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import new_folder
 from ..tables import files
-from .common import INNER, keyed_join
+from .common import INNER, keyed_join, small_batches
 
 #: Bytes after which a package is closed (one record may be longer).
 PACKAGE_BYTES = 32 << 20
@@ -82,7 +82,7 @@ def plan_records(pages: DataFrame, least_bytes: int = 0, id_column: str = "page_
     Payloads are compared by their SHA-256. Only payloads that occur more than once go into the join, so without many of
     them pages are not shuffled. A null html is an empty payload; a null id never becomes the one that others refer to.
     """
-    rows = pages.select(F.col(f"`{id_column}`").alias("page_id"), F.col(f"`{url_column}`").alias("url"),
+    rows = small_batches(pages).select(F.col(f"`{id_column}`").alias("page_id"), F.col(f"`{url_column}`").alias("url"),
                         F.coalesce(F.col(f"`{html_column}`"), F.lit("")).alias("html"))
     key = F.when(F.octet_length("html") >= least_bytes, F.unhex(F.sha2(F.encode("html", "UTF-8"), 256)))
     rows = rows.withColumn(f"{INNER}key", key)
