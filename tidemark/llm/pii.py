@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import INNER, keyed_join, staged
+from .common import INNER, keyed_join, staged, texts
 
 #: Kinds of personal data in the order of the results; `term` is what the method adds.
 KINDS = ("email", "ip", "card", "phone")
@@ -21,6 +21,9 @@ WINDOW, SUPPORT = 8, 3
 #: Shares of an entity's information from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.7, 0.9
 
+#: Different terms a task counts before it hands them on.
+HELD_TERMS = 200_000
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -144,13 +147,21 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
 
 
 def document_frequency(docs: DataFrame) -> DataFrame:
-    """(term, docs): in how many rows of (text) each word occurs; combined per batch before anything is shuffled."""
+    """(term, docs): in how many rows of (text) each word occurs; combined in each task, HELD_TERMS at a time, before the shuffle."""
+    def flushed(count: Counter) -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
+        count.clear()
+        return batch
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = Counter()
         for batch in batches:
-            count = Counter()
             for text in batch.column(0):
                 count.update(set(_WORD.findall((text.as_py() or "").lower())))
-            yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
+                if len(count) > HELD_TERMS:
+                    yield flushed(count)
+        if count:
+            yield flushed(count)
 
     return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("docs"))
 
@@ -188,7 +199,7 @@ def find_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, ge
     combined before each shuffle, and joins split. Null texts are empty. Rows without id, and rows that repeat an id, keep
     their own spans; a row that repeats id and text counts once in the corpus. An empty table gives no rows; other columns are not read.
     """
-    rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
+    rows = texts(docs, id_column, text_column)
     scanned = staged(_scan(rows, window), "scanned")
     reveal = staged(disclosure(scanned, rows, support, generalise), "disclosure")
     words = scanned.filter(F.size("seen") > 0).select("doc_id", "text_key", F.explode("seen").alias("s")).select(
