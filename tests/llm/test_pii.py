@@ -150,3 +150,17 @@ def test_redact():
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find_spans(empty).count() == 0 and pii.sanitise(empty).count() == 0
+
+
+def test_few_documents_prove_less():
+    shares = [pii.lowest_share(n, n, n, 10_000) for n in (1, 2, 5, 20, 100)]
+    assert shares == sorted(shares) and shares[0] < pii.REMOVE < shares[-1] < 1
+    assert pii.lowest_share(1, 5, 1, 10_000) < pii.lowest_share(5, 5, 5, 10_000)
+    assert pii.lowest_share(7, 7, 7, 7) is None
+
+
+def test_an_entity_of_one_context_has_terms(spark):
+    docs = [(i, "signed by Quill at a@x.org") for i in range(20)] + [(100 + i, "signed by nobody at all") for i in range(400)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) text_key", "text")
+    got = {r.term: (r.entities, r.share) for r in pii.disclosing_terms(frame).collect()}
+    assert got == {"quill": (1, pytest.approx(pii.lowest_share(20, 20, 20, 420)))}

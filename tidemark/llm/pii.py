@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -9,7 +10,7 @@ from typing import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import INNER, keyed_join, staged, texts
@@ -21,8 +22,10 @@ WINDOW, SUPPORT = 8, 3
 #: Shares of an entity's information from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.7, 0.9
 
-#: Different terms a task counts before it hands them on.
+#: Different terms, or pairs of entity and term, a task counts before it hands them on.
 HELD_TERMS = 200_000
+#: Normal quantile of the one-sided 95 % bound on small counts.
+BOUND = 1.645
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -96,19 +99,23 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode(), 42) - (1 << 63)
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]], window: int) -> list[dict]:
-    """For every span its entity, a hash of its context, and the context's words (term, start, end)."""
-    if not spans:
-        return []
-    words = [m for m in _WORD.finditer(text)]
+def free_words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Match]:
+    """The words of a text that no span touches, in order."""
     ordered = sorted((a, b) for _, a, b in spans)
-    free, s, reach = [], 0, 0
-    for m in words:  # words that no span touches
+    s = reach = 0
+    for m in _WORD.finditer(text):
         while s < len(ordered) and ordered[s][0] < m.end():
             reach = max(reach, ordered[s][1])
             s += 1
         if m.start() >= reach:
-            free.append(m)
+            yield m
+
+
+def contexts(text: str, spans: list[tuple[str, int, int]], window: int) -> list[dict]:
+    """For every span its entity, a hash of its context, and the context's words (term, start, end)."""
+    if not spans:
+        return []
+    free = list(free_words(text, spans))
     starts = [m.start() for m in free]
     out = []
     for kind, a, b in spans:
@@ -187,6 +194,112 @@ def disclosure(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT, leas
     return counted.select("entity", "term", F.when(information > 0, pmi / information).alias("share")).filter(F.col("share") >= least)
 
 
+def lowest_share(both: int, docs: int, entity_docs: int, total: int, bound: float = BOUND) -> float | None:
+    """PMI(entity; term) / IC(entity) with P(entity | term) = both / docs at its lower Wilson bound, so a few documents prove less
+    than many. None for an entity of all documents, which has no information.
+    """
+    p, z = both / docs, bound * bound
+    low = (p + z / (2 * docs) - bound * math.sqrt(p * (1 - p) / docs + z / (4 * docs * docs))) / (1 + z / docs)
+    information = math.log2(total / entity_docs)
+    return math.log2(low * total / entity_docs) / information if information > 0 else None
+
+
+def _lowest_share(both: Column, docs: Column, entity_docs: Column, total: int, bound: float) -> Column:
+    """`lowest_share` of columns."""
+    p, z = both / docs, bound * bound
+    low = (p + z / (2 * docs) - bound * F.sqrt(p * (1 - p) / docs + z / (4 * docs * docs))) / (1 + z / docs)
+    information = F.log2(F.lit(float(total)) / entity_docs)
+    return F.when(information > 0, F.log2(low * float(total) / entity_docs) / information)
+
+
+def _holdings(docs: DataFrame) -> DataFrame:
+    """Of (doc_id, text_key, text) in one pass: a row (doc_id, text_key, entities, words) for each text with entities, both distinct; and
+    rows (term, n) with the number of texts that hold a word, combined in each task, HELD_TERMS at a time.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "text_key", "entities", "words", "term", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, kind = Counter(), pa.int64()
+        longs, strings = pa.list_(pa.int64()), pa.list_(pa.string())
+
+        def flushed() -> pa.RecordBatch:
+            n = len(count)
+            batch = [pa.nulls(n, kind), pa.nulls(n, pa.int64()), pa.nulls(n, longs), pa.nulls(n, strings),
+                     pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())]
+            count.clear()
+            return pa.RecordBatch.from_arrays(batch, names)
+
+        for batch in batches:
+            kind, rows, entities, held = batch.column(0).type, [], [], []
+            for i, text in enumerate(batch.column(2)):
+                text = text.as_py()
+                spans = find(text)
+                own = {m[0].lower() for m in free_words(text, spans)}
+                count.update(own)
+                if spans:
+                    rows.append(i)
+                    entities.append(sorted({_hash(entity(k, text[a:b])) for k, a, b in spans}))
+                    held.append(sorted(own))
+            at, n = pa.array(rows, pa.int64()), len(rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(entities, longs), pa.array(held, strings),
+                                              pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names)
+            if len(count) > HELD_TERMS:
+                yield flushed()
+        if count:
+            yield flushed()
+
+    return docs.mapInArrow(run, f"doc_id {id_type}, text_key long, entities array<long>, words array<string>, term string, n long")
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """(holder, term, both) of (holders, words): in how many rows each pair occurs; combined in each task before the shuffle."""
+    def flushed(count: Counter) -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array([h for h, _ in count], pa.int64()), pa.array([t for _, t in count], pa.string()),
+                                            pa.array(list(count.values()), pa.int64())], ["holder", "term", "n"])
+        count.clear()
+        return batch
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = Counter()
+        for batch in batches:
+            for holders, own in zip(batch.column(0), batch.column(1)):
+                own = own.as_py()
+                for h in holders.as_py():
+                    count.update((h, t) for t in own)
+                    if len(count) > HELD_TERMS:
+                        yield flushed(count)
+        if count:
+            yield flushed(count)
+
+    return rows.select("holders", "words").mapInArrow(run, "holder long, term string, n long").groupBy("holder", "term").agg(F.sum("n").alias("both"))
+
+
+def disclosing_terms(docs: DataFrame, least: float = GENERALISE, bound: float = BOUND) -> DataFrame:
+    """(entity, entities, term, share) over whole texts of (doc_id, text_key, text): `lowest_share` from the number of rows with the entity, with the
+    term, and with both, wherever they stand; shares below `least` are left out. A word counts where it is no part of an entity.
+
+    Entities of the same rows have the same counts for every term, so they are counted together: `entity` is the smallest hash of
+    them, `entities` their number. A text that lists thousands of addresses found nowhere else gives one set of pairs.
+    """
+    seen = staged(_holdings(docs), "holdings")
+    rows, total = seen.filter(F.col("term").isNull()), docs.count()
+    key = ["doc_id", "text_key"]
+    listed = rows.select(*key, F.explode("entities").alias("entity"))
+    place = F.xxhash64(*key)
+    held = listed.groupBy("entity").agg(F.count("*").alias("entity_docs"), F.sum(place.cast("decimal(38,0)")).alias("sum"), F.bit_xor(place).alias("xor"))
+    classes = staged(held.groupBy("entity_docs", "sum", "xor").agg(F.min("entity").alias("holder"), F.count("*").alias("entities")), "classes")
+    # the smallest entity of a class stands for it; the others have no pairs of their own
+    first = keyed_join(listed, classes.select(F.col("holder").alias("entity")), "entity", "left_semi")
+    holders = first.groupBy(*key).agg(F.collect_set("entity").alias("holders"))
+    pairs = _pairs(keyed_join(rows.select(*key, "words"), holders, key))
+    known = keyed_join(pairs, classes.select("holder", "entity_docs", "entities"), "holder")
+    frequency = seen.filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("n").alias("docs"))
+    counted = keyed_join(known, frequency, "term")
+    return counted.select(F.col("holder").alias("entity"), "entities", "term", _lowest_share(
+        F.col("both"), F.col("docs"), F.col("entity_docs"), total, bound).alias("share")).filter(F.col("share") >= least)
+
+
 def find_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE,
                id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_key, base, terms), one row per row of `docs`.
