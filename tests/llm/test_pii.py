@@ -152,6 +152,66 @@ def test_empty(spark):
     assert pii.find_spans(empty).count() == 0 and pii.sanitise(empty).count() == 0
 
 
+def far_corpus():
+    """a@x.org and the name Ondrasik stand 50 words apart, always in the same words; three texts hold the name only."""
+    rng = random.Random(9)
+    filler = [f"w{i}" for i in range(40)]
+    apart = " ".join(filler)
+    signed = [(i, f"Ondrasik {apart} w1 w2 w3 a@x.org 1.2.3.4") for i in range(20)]
+    named = [(100 + i, f"w{i} ondrasik came") for i in range(3)]
+    return signed + named + [(200 + i, " ".join(rng.choices(filler, k=20))) for i in range(400)] + [
+        (700, "b@y.org and nobody else has marzipan"), (701, None), (702, ""), (None, "c@z.org"), (0, signed[0][1])]
+
+
+def brute_whole(docs):
+    texts = [t or "" for _, t in docs]
+    free = []
+    for t in texts:
+        spans = plain(t)
+        free.append([m for m in re.finditer(r"[^\W_]+", t) if not any(a < m.end() and m.start() < b for _, a, b in spans)])
+    words = [{m[0].lower() for m in f} for f in free]
+    held = [{pii.entity(k, t[a:b]) for k, a, b in plain(t)} for t in texts]
+    share = {}
+    for e in set().union(*held):
+        n = sum(e in h for h in held)
+        for w in set().union(*(w for w, h in zip(words, held) if e in h)):
+            both, df = sum(w in x and e in h for x, h in zip(words, held)), sum(w in x for x in words)
+            value = pii.lowest_share(both, df, n, len(docs))
+            if value is not None and value >= pii.GENERALISE:
+                share[w] = max(share.get(w, 0), value)
+    return share, {(i, t or ""): [(m.start(), m.end(), "remove" if share[m[0].lower()] >= pii.REMOVE else "generalise")
+                                  for m in f if m[0].lower() in share] for (i, t), f in zip(docs, free)}
+
+
+@pytest.mark.parametrize("block", [1, 1000])
+def test_whole_texts_against_brute_force(spark, block):
+    docs = far_corpus()
+    frame = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, terms string").repartition(4)
+    got = pii.whole_spans(frame, block_terms=block).collect()
+    share, want = brute_whole(docs)
+    texts = dict(docs)
+    assert len(got) == len(docs)
+    for r in got:
+        text = texts[r.doc_id] or ""
+        assert [(s.start, s.end, s.action) for s in r.terms] == want[r.doc_id, text]
+        assert [s.share for s in r.terms] == pytest.approx([share[text[s.start:s.end].lower()] for s in r.terms])
+        assert [tuple(s) for s in r.base] == plain(text)
+    assert {"ondrasik", "marzipan"} <= set(share) and "w1" not in share
+
+
+def test_whole_sanitise_cleans_texts_without_entities(spark):
+    docs = far_corpus()
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in pii.sanitise(frame, spans_of=pii.whole_spans).collect()}
+    assert len(got) == len(dict(docs)) and got[701] is None
+    assert not any("ndrasik" in t for t in got.values() if t)
+
+
+def test_query_marks_texts_without_entities(spark):
+    got = QUERIES["op2_pii"](spark, FOLDER).collect()
+    assert any("term:" in r.spans for r in got) and any(r.spans.startswith("term:") for r in got)
+
+
 def test_few_documents_prove_less():
     shares = [pii.lowest_share(n, n, n, 10_000) for n in (1, 2, 5, 20, 100)]
     assert shares == sorted(shares) and shares[0] < pii.REMOVE < shares[-1] < 1

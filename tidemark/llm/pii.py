@@ -24,8 +24,8 @@ GENERALISE, REMOVE = 0.7, 0.9
 
 #: Different terms, or pairs of entity and term, a task counts before it hands them on.
 HELD_TERMS = 200_000
-#: Normal quantile of the one-sided 95 % bound on small counts.
-BOUND = 1.645
+#: Normal quantile of the one-sided 95 % bound on small counts; disclosing terms sent to the tasks at once.
+BOUND, BLOCK_TERMS = 1.645, 300_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -300,6 +300,54 @@ def disclosing_terms(docs: DataFrame, least: float = GENERALISE, bound: float =
         F.col("both"), F.col("docs"), F.col("entity_docs"), total, bound).alias("share")).filter(F.col("share") >= least)
 
 
+def _blocks(terms: DataFrame, most: int) -> Iterator[list]:
+    """(term, share) in lists of about `most` rows: what is sent to the executors at once is bounded."""
+    count = max(1, -(-terms.count() // most))
+    for b in range(count):
+        yield [tuple(r) for r in terms.filter(F.pmod(F.xxhash64("term"), F.lit(count)) == b).collect()]
+
+
+def whole_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, bound: float = BOUND, id_column: str = "doc_id",
+                text_column: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """(doc_id, text_key, base, terms) as in `find_spans`, but a term is counted with an entity wherever both stand in one row's text, and
+    every occurrence of a disclosing term is marked in all texts, also in those without any personal data.
+
+    Counts are rows, without a least number: few of them prove less by `lowest_share`. A term that reveals several entities has the
+    largest share. Texts are read once for the counts and once for each block of `block_terms` disclosing terms; between two
+    blocks they are staged. Shuffles carry entities, the words of texts with entities, and word counts, combined in each task.
+    """
+    rows = texts(docs, id_column, text_column).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    reveal = staged(disclosing_terms(rows, generalise, bound).groupBy("term").agg(F.max("share").alias("share")), "reveal")
+    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("share", pa.float64()), ("action", pa.string())])
+    kind = "array<struct<start int, end int, share double, action string>>"
+
+    def marked(sent):
+        @F.arrow_udf(kind)
+        def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            share = dict(sent.value)
+            for column in columns:
+                out = []
+                for text in column:
+                    text = text.as_py()
+                    out.append([(m.start(), m.end(), s, "remove" if s >= remove else "generalise")
+                                for m in free_words(text, find(text)) if (s := share.get(m[0].lower())) is not None])
+                yield pa.array([[dict(zip(("start", "end", "share", "action"), x)) for x in found] for found in out], pa.list_(span))
+
+        return of(F.col("text"))
+
+    @F.arrow_udf(SCAN[0])
+    def personal(column: pa.Array) -> pa.Array:
+        return pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in find(t.as_py())] for t in column],
+                        pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))
+
+    found = F.array().cast(kind)
+    for b, terms in enumerate(_blocks(reveal, block_terms)):
+        if b:
+            rows, found = staged(rows.withColumn("terms", found), "terms"), F.col("terms")
+        found = F.concat(found, marked(rows.sparkSession.sparkContext.broadcast(terms)))
+    return rows.select("doc_id", "text_key", personal("text").alias("base"), F.sort_array(found).alias("terms"))
+
+
 def find_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE,
                id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text_key, base, terms), one row per row of `docs`.
@@ -342,11 +390,14 @@ def redact(text: str, base: list, terms: list) -> str:
     return "".join(out) + text[at:]
 
 
-def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
-    """`docs` with the text replaced by its sanitised form; all columns and rows kept, null texts stay null."""
+def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", spans_of=None, **how) -> DataFrame:
+    """`docs` with the text replaced by its sanitised form; all columns and rows kept, null texts stay null.
+
+    Spans are those of `spans_of`: `find_spans` (the default), or `whole_spans`, which also cleans texts that name no entity.
+    """
     names = {c: f"{INNER}{c}" for c in ("doc_id", "text_key", "base", "terms")}
-    spans = find_spans(docs, id_column=id_column, text_column=text_column, **how).dropDuplicates(["doc_id", "text_key"]).filter(
-        "size(base) > 0").withColumnsRenamed({c: n for c, n in names.items() if c in ("base", "terms")})
+    spans = (spans_of or find_spans)(docs, id_column=id_column, text_column=text_column, **how).dropDuplicates(["doc_id", "text_key"]).filter(
+        "size(base) > 0 or size(terms) > 0").withColumnsRenamed({c: n for c, n in names.items() if c in ("base", "terms")})
     text = F.col(f"`{text_column}`")
 
     @F.arrow_udf("string")

@@ -139,7 +139,7 @@ def op10(spark, folder):
 
 @query("op2_pii")
 def op2(spark, folder):
-    found = pii.find_spans(table(spark, folder, "documents"))
+    found = pii.whole_spans(table(spark, folder, "documents"))
 
     def written(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
