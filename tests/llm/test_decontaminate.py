@@ -116,3 +116,12 @@ def test_blocks_columns_and_odd_rows(spark):
     assert d.drop_contaminated(docs, none).count() == 5
     assert d.contamination(docs.limit(0), benchmark).count() == 0
     assert d.contamination(docs, none).filter(F.col("contaminated")).count() == 0
+
+
+def test_query_returns_every_item(spark, folder):
+    more, where = " ".join(f"v{i}" for i in range(12)), folder("two-items")
+    spark.createDataFrame([(1, f"{more} between {ITEM}"), (2, "clean")], "doc_id long, text string").write.parquet(f"{where}/documents.parquet")
+    spark.createDataFrame([(9, ITEM), (4, more)], "item_id long, text string").write.parquet(f"{where}/benchmark.parquet")
+    got = {r.doc_id: r for r in QUERIES["op7_decontaminate"](spark, where).collect()}
+    assert [tuple(h) for h in got[1].hits] == [(4, 12, 12), (9, 30, 30)] and got[1].item_id == 4
+    assert got[2].hits == [] and not got[2].contaminated

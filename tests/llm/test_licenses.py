@@ -66,3 +66,12 @@ def test_own_templates_and_empty(spark):
     assert got == {1: [(0, "one", 1.0), (1, "one", 1.0)], 2: [(0, "two", 1.0), (1, "two", 1.0)]}
     assert {len(r.found) for r in licenses.licences(docs, []).collect()} == {0}
     assert licenses.licences(docs.limit(0)).count() == 0
+
+
+def test_query_returns_every_passage(spark, folder):
+    where = folder("two-licences")
+    text = "Released under the MIT License.\nLicensed under CC BY-NC 4.0."
+    spark.createDataFrame([(1, text, ""), (2, "none", "")], SCHEMA).write.parquet(f"{where}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op10_licenses_found"](spark, where).collect()}
+    assert [(f.passage, f.licence, f.dice) for f in got[1].found] == [(1, "MIT", 1.0), (2, "CC-BY-NC-4.0", 1.0)]
+    assert (got[1].n_passages, got[1].licence, got[1].passage) == (2, "MIT", 1) and got[2].found == []

@@ -180,17 +180,17 @@ def _search(text: Column, sent, least: int, coverage: float) -> Column:
     return of(text)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **how) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", full: bool = False, **how) -> DataFrame:
     """(doc_id, contaminated, n_items, item_id, coverage), one row per row of `docs`: the item with the highest coverage (equal: the
-    smallest id), nulls where there is none. Rules as in `with_hits`.
+    smallest id), nulls where there is none. Rules as in `with_hits`. `full` adds `hits`: (item_id, matched, words) of all items, by id.
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{how.pop('text_column', 'text')}`").alias("text"))
     hits = with_hits(rows, benchmark, "hits", **how)
     best = F.array_max(F.transform("hits", lambda h: F.struct(
         (h["matched"] / h["words"]).alias("coverage"), (-h["item_id"]).alias("minus"))))
-    return hits.select("doc_id", best.alias("best"), F.size("hits").alias("n_items")).select(
+    return hits.select("doc_id", best.alias("best"), F.size("hits").alias("n_items"), F.sort_array("hits").alias("hits")).select(
         "doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", (-F.col("best.minus")).alias("item_id"),
-        F.col("best.coverage").alias("coverage"))
+        F.col("best.coverage").alias("coverage"), *(["hits"] if full else []))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

@@ -94,7 +94,7 @@ def op8(spark, folder):
 
 @query("op7_decontaminate")
 def op7(spark, folder):
-    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), full=True)
 
 
 def _licence_sql() -> str:
@@ -129,12 +129,17 @@ def _licence_sql() -> str:
 
 @query("op10_licenses", _licence_sql())
 def op10(spark, folder):
+    return op10_found(spark, folder).drop("found")
+
+
+@query("op10_licenses_found")
+def op10_found(spark, folder):
     found = licenses.licences(table(spark, folder, "documents"))
     best = F.array_max(F.transform("found", lambda f: F.struct(
         f["dice"].alias("dice"), (-f["passage"]).alias("minus"), f["licence"].alias("licence"))))
-    return found.select("doc_id", F.size("found").cast("long").alias("n_passages"), best.alias("best")).select(
+    return found.select("doc_id", "found", F.size("found").cast("long").alias("n_passages"), best.alias("best")).select(
         "doc_id", "n_passages", F.col("best.licence").alias("licence"), (-F.col("best.minus")).alias("passage"),
-        F.col("best.dice").alias("dice"))
+        F.col("best.dice").alias("dice"), "found")
 
 
 @query("op2_pii")
