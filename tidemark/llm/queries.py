@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, licenses, pii, quality, simhash, toxicity, warc_zip
+from . import bpe, chat, decontaminate, exact_dedup, language, licenses, pii, quality, simhash, toxicity, warc_zip
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -154,3 +154,12 @@ def op2(spark, folder):
     terms = F.transform("terms", lambda s: F.struct(F.lit("term").alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return found.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"),
                         written(F.concat("base", terms)).alias("spans"))
+
+
+@query("op13_language")
+def op13(spark, folder):
+    docs = table(spark, folder, "documents")
+    prototypes = language.learn(docs.filter(remainder(F.col("doc_id"), 4) != 2))
+    found = language.identify(F.col("text"), prototypes).alias("found")
+    return docs.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), found).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
