@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, language, licenses, pii, quality, simhash, toxicity, warc_zip
+from . import bpe, chat, decontaminate, exact_dedup, language, licenses, pii, quality, simhash, spelling, toxicity, warc_zip
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -163,3 +163,8 @@ def op13(spark, folder):
     found = language.identify(F.col("text"), prototypes).alias("found")
     return docs.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), found).select(
         "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+@query("op11_spelling")
+def op11(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents"), least_letters=5, least=3)
