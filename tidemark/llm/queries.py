@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact_dedup, language, licenses, pii, quality, simhash, spelling, toxicity, warc_zip
+from . import bpe, chat, collocation, decontaminate, exact_dedup, language, licenses, pii, quality, simhash, spelling, toxicity, warc_zip
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -168,3 +168,35 @@ def op13(spark, folder):
 @query("op11_spelling")
 def op11(spark, folder):
     return spelling.spelling_variants(table(spark, folder, "documents"), least_letters=5, least=3)
+
+
+@query("op12_collocation", """
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+      FROM documents),
+    words AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+    phrases AS (
+      SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+      FROM words, (VALUES (1), (2), (3)) AS sizes(size) WHERE len(w) >= size),
+    totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+    f AS (SELECT lang, size, phrase, count(*) AS a FROM phrases GROUP BY ALL HAVING count(*) >= 10),
+    cuts AS (
+      SELECT lang, size, phrase, a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS tail
+      FROM (SELECT *, unnest(range(1, size)) AS k FROM f WHERE size > 1)),
+    scores AS (
+      SELECT c.*, x.a AS l, y.a AS r, (1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+      FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.tail),
+    lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    longer AS (
+      SELECT lang, part, max(a) AS a FROM (
+        SELECT lang, a, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS part
+        FROM f WHERE size = 3) GROUP BY lang, part),
+    kept AS (
+      SELECT s.* FROM lowest s LEFT JOIN longer g ON g.lang = s.lang AND g.part = s.phrase
+      WHERE g.a IS NULL OR 100 * g.a < 50 * s.a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """)
+def op12(spark, folder):
+    return collocation.collocations(table(spark, folder, "documents"), support=10, longest=3, inside=50, top=2000)
