@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import INNER, texts
+from .common import INNER, staged, texts
 
 #: Dimensions of a vector, letters of an n-gram, seed of the letter vectors, languages that get a prototype (those with most documents).
 DIMENSIONS, LETTERS, SEED, LANGUAGES = 1024, 3, 13, 5000
@@ -110,7 +110,7 @@ def learn(docs: DataFrame, lang_column: str = "lang", text_column: str = "text",
         yield flush()
 
     parts = rows.mapInArrow(added, "lang string, parts array<long>").select("lang", F.posexplode("parts").alias("at", "value"))
-    sums = parts.groupBy("lang", "at").agg(F.sum("value").alias("value"))
+    sums = staged(parts.groupBy("lang", "at").agg(F.sum("value").alias("value")), "prototypes")
     kept = sums.filter(F.col("at") == DIMENSIONS).orderBy(F.desc("value"), "lang").limit(languages).select(F.col("lang").alias(f"{INNER}lang"))
     sums = sums.join(kept, F.col("lang") == F.col(f"{INNER}lang")).filter(F.col("at") < DIMENSIONS)
     found: dict[str, np.ndarray] = {}
