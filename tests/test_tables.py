@@ -1,9 +1,12 @@
 """Directory states after each maintenance rule."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.tables import files
+from tidemark.tables.commits import Commits
 from tidemark.tables.store import database_name, level_database, verify_schema
 
 
@@ -13,7 +16,8 @@ def frame(spark):
 
 
 def data(store, name):
-    return [f for f in files.data_files(store.spark, store.path(name)) if f.endswith(".parquet")]
+    """The files of the newest version."""
+    return [f"{d}/{f}" for d in store.folders(name) for f in files.data_files(store.spark, d) if f.endswith(".parquet")]
 
 
 def test_new_table_is_gzip_parquet(store, frame):
@@ -44,7 +48,7 @@ def test_null_partitions_get_names(store, spark, rows_of):
     store.write(df, "t", ["b", "c"])
     assert store.partitions("t") == ["b", "c"]
     assert rows_of(store.read("t").select("a", "b", "c")) == [(1, "-1", "undefined"), (2, "5", "x")]
-    assert {"b=-1", "b=5"} <= set(files.children(spark, store.path("t")))
+    assert {"b=-1", "b=5"} <= set(files.children(spark, store.folders("t")[0]))
 
 
 def test_partition_text_survives(store, spark):
@@ -61,11 +65,11 @@ def test_partition_text_survives(store, spark):
 ])
 def test_schema_change_archives(store, frame, change, partitions):
     store.write(frame, "t")
-    old = data(store, "t")
     store.write(change(frame), "t", partitions)
     kept = store.archived("t")
     assert len(kept) == 1
-    assert [f for f in files.data_files(store.spark, kept[0])] == old
+    assert store.read_archived("t", kept[0]).schema == frame.schema
+    assert sorted(r["a"] for r in store.read_archived("t", kept[0]).collect()) == [1, 2]
     assert store.read("t").count() == 2
 
 
@@ -134,25 +138,113 @@ def test_repeated_batch_changes_nothing(store, frame):
     assert store.read("t").count() == 4
 
 
-def test_batch_broken_off_while_moving_is_finished(store, spark, monkeypatch):
+def test_batch_broken_off_before_its_commit_is_finished(store, spark, monkeypatch):
     store.write(spark.range(10).repartition(3), "t")
-    real, calls = files.move, []
+    real = Commits.commit
 
-    def failing(session, source, target):
-        calls.append(source)
-        if len(calls) == 2:
-            raise IOError("lost")
-        real(session, source, target)
+    def failing(self, version):
+        raise IOError("lost")
 
-    monkeypatch.setattr(files, "move", failing)
+    monkeypatch.setattr(Commits, "commit", failing)
     with pytest.raises(IOError):
         store.write(spark.range(100, 130).repartition(3), "t", batch="b2")
-    monkeypatch.setattr(files, "move", real)
+    monkeypatch.setattr(Commits, "commit", real)
+    assert store.read("t").count() == 10
     # The second attempt must not compute again: it gets other rows and still publishes the first.
     store.write(spark.range(500, 501), "t", batch="b2")
     assert sorted(r["id"] for r in store.read("t").collect()) == list(range(10)) + list(range(100, 130))
 
 
+def test_batch_broken_off_while_writing_is_written_again(store, spark):
+    store.write(spark.range(3), "t")
+    folder = store.commits("t").new_write(spark.range(1).schema, [], "s-4")
+    spark.range(50, 60).write.parquet(f"{store.path('t')}/{folder}")
+    files.remove(spark, f"{store.path('t')}/{folder}/_SUCCESS")
+    assert store.read("t").count() == 3
+    store.write(spark.range(100, 101), "t", batch="s-4")
+    assert sorted(r["id"] for r in store.read("t").collect()) == [0, 1, 2, 100]
+
+
+def test_only_the_last_batch_of_a_stream_is_remembered(store, spark):
+    for n in range(3):
+        store.write(spark.range(n, n + 1), "t", batch=f"stream-{n}")
+    store.write(spark.range(9), "t", batch="once")
+    assert store.commits("t").latest().batches == {"stream": 2, "once": -1}
+    for again in ("stream-0", "stream-2", "once"):
+        store.write(spark.range(100), "t", batch=again)
+    assert store.read("t").count() == 12
+
+
+def test_many_files_are_one_commit(store, spark):
+    store.write(spark.range(1), "t")
+    before = store.commits("t").latest().number
+    store.write(spark.range(50_000).repartition(1000), "t")
+    assert store.commits("t").latest().number == before + 1
+    assert len(data(store, "t")) > 1000 and store.read("t").count() == 50_001
+
+
+def test_two_writers_lose_no_rows(store, spark, monkeypatch):
+    """The second writer commits while the first is between reading the version and committing its own."""
+    real, done = Commits.commit, []
+
+    def interrupted(self, version):
+        if not done:
+            done.append(True)
+            store.write(spark.range(100, 105), "t")
+        return real(self, version)
+
+    store.write(spark.range(5), "t")
+    monkeypatch.setattr(Commits, "commit", interrupted)
+    store.write(spark.range(50, 55), "t")
+    assert sorted(r["id"] for r in store.read("t").collect()) == [*range(5), *range(50, 55), *range(100, 105)]
+    # a writer with another schema archives the rows of both
+    done.clear()
+    store.write(spark.range(3).toDF("other"), "t")
+    assert store.read("t").columns == ["other"]
+    assert sum(store.read_archived("t", a).count() for a in store.archived("t")) == 20
+
+
+def test_writers_in_parallel(store, spark):
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda n: store.write(spark.range(n * 10, n * 10 + 10), "t"), range(12)))
+    assert sorted(r["id"] for r in store.read("t").collect()) == list(range(120))
+    assert store.commits("t").latest().number == 12
+
+
+def test_readers_keep_the_version_they_took(store, spark):
+    store.write(spark.range(10), "t")
+    reader = store.read("t")
+    store.write(spark.range(20), "t", overwrite=True)
+    assert reader.count() == 10 and store.read("t").count() == 20
+    store.write(spark.range(30), "t", overwrite=True)
+    store.write(spark.range(40), "t", overwrite=True)
+    assert len(files.children(spark, store.folders("t")[0].rpartition("/")[0])) == 2  # this version and the one before
+
+
+def test_uncommitted_rows_are_not_seen(store, spark):
+    store.write(spark.range(4), "t")
+    spark.range(99).write.parquet(f"{store.path('t')}/{store.commits('t').new_write(spark.range(1).schema, [])}")
+    database = level_database("half" + store.root[-6:], 1)
+    store.register("t", database)
+    assert store.read("t").count() == spark.table(f"{database}.t").count() == 4
+
+
+def test_partition_order_of_the_table_stays(store, spark):
+    df = spark.createDataFrame([(1, "x", "y")], "a INT, b STRING, c STRING")
+    store.write(df, "t", ["b", "c"])
+    store.write(df, "t", ["c", "b"])
+    assert store.partitions("t") == ["b", "c"] and store.read("t").count() == 2
+
+
+def test_archive_by_hand(store, frame):
+    store.write(frame, "t")
+    time = store.archive("t")
+    assert not store.exists("t") and store.read_or_none("t") is None
+    assert store.read_archived("t", time).count() == 2
+    store.write(frame, "t")
+    assert store.read("t").count() == 2 and store.archived("t") == [time]
+
+
 def test_register(store, frame, spark):
     store.write(frame.withColumn("p", F.lit("x")), "t", ["p"])
     database = level_database("unit" + store.root[-6:], 3)
@@ -187,3 +279,16 @@ def test_shuffles_widen_with_the_input(spark):
         assert size_shuffles(spark, 10 ** 15) == 10 ** 15 * 4 // (128 * 1024 ** 2) + 1
     finally:
         spark.conf.unset(setting)
+
+
+def test_old_manifests_go_and_the_table_stays(store, spark, monkeypatch):
+    from tidemark.tables import commits
+    monkeypatch.setattr(commits, "KEPT_SECONDS", -1)
+    log = store.commits("t")
+    store.write(spark.range(7), "t")
+    for _ in range(205):
+        now = log.latest()
+        assert log.commit(commits.replace(now, number=now.number + 1))
+    assert log.latest().number == 206 and len(log._numbers()) < 150
+    assert not log.commit(commits.replace(now, number=206))
+    assert store.read("t").count() == 7

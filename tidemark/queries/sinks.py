@@ -104,7 +104,7 @@ def archive_on_change(t):
     store = store_of(t)
     store.write(t.orders.select("o_orderkey"), "orders")
     store.write(t.orders.select("o_orderkey", "o_orderpriority"), "orders")
-    old = t.spark.read.parquet(*store.archived("orders"))
+    old = store.read_archived("orders", store.archived("orders")[0])
     return (old.select(F.lit("archived").alias("zone"), "o_orderkey", F.lit(None).cast("string").alias("o_orderpriority"))
             .unionByName(store.read("orders").select(F.lit("current").alias("zone"), "o_orderkey", "o_orderpriority")))
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import os
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -23,12 +25,51 @@ def remove(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    fs, s = _path(spark, source)
-    _, t = _path(spark, target)
-    fs.mkdirs(t.getParent())
-    if not fs.rename(s, t):
-        raise IOError(f"could not move {source} to {target}")
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file; FileNotFoundError if there is none."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since 1970 of the last change; 0 if there is no such file."""
+    fs, p = _path(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000 if fs.exists(p) else 0.0
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole, unless there is one of that name: then False and nothing changes.
+
+    The file system has to rename without overwriting in one step, as HDFS does; local files are linked, which is such a step.
+    """
+    fs, target = _path(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(draft.toUri().getPath(), target.toUri().getPath())
+        else:
+            none = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            none[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+            context.rename(fs.makeQualified(draft), fs.makeQualified(target), none)
+        return True
+    except (FileExistsError, Py4JJavaError):
+        if not fs.exists(target):
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
@@ -56,18 +97,6 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
-def move_files(spark: SparkSession, source: str, target: str, threads: int = 16) -> None:
-    """Move all data files of a folder into another one, keeping their relative paths.
-
-    Each move is a metadata call, so many run at once. A broken-off call can be repeated:
-    files already moved are no longer in `source`.
-    """
-    names = data_files(spark, source)
-    with ThreadPoolExecutor(threads) as pool:
-        for done in [pool.submit(move, spark, f"{source}/{n}", f"{target}/{n}") for n in names]:
-            done.result()
-
-
 def size(spark: SparkSession, path: str) -> int:
     """Bytes below a path."""
     fs, p = _path(spark, path)

@@ -1,12 +1,13 @@
 """Maintenance rules of the structured zone.
 
-Layout under `root`: `structured/<table>/`, `deprecated/<iso time>/<table>/`, `reports/level-<n>/<name>/`,
-`staged/<uuid>/`. Tables are gzip Parquet with hive partitions.
+Layout under `root`: `structured/<table>/` and `reports/level-<n>/<name>/`, each with the manifests of its versions (`commits`)
+and the folders they name. Tables are gzip Parquet with hive partitions. An archived schema stays part of the manifest.
 """
 
 from __future__ import annotations
 
-import uuid
+from contextlib import contextmanager
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import files
+from .commits import WRITE, Commits, Version
 
 
 def fill_partition_nulls(df: DataFrame, partitions) -> DataFrame:
@@ -46,29 +48,39 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/structured/{name}"
 
+    def commits(self, name: str) -> Commits:
+        return Commits(self.spark, self.path(name))
+
     def exists(self, name: str) -> bool:
-        return files.has_data(self.spark, self.path(name))
+        return bool(self.commits(name).latest().writes)
 
     def partitions(self, name: str) -> list[str]:
-        """Partition keys, outermost first, from the directory layout."""
-        keys, here = [], self.path(name)
-        while True:
-            folders = [c for c in files.children(self.spark, here) if "=" in c and not c.startswith(("_", "."))]
-            if not folders:
-                return keys
-            keys.append(folders[0].split("=", 1)[0])
-            here = f"{here}/{folders[0]}"
+        """Partition keys, outermost first."""
+        return list(self.commits(name).latest().partitions)
 
-    def read(self, name: str) -> DataFrame:
-        """The stored table. Partition values keep the text they were written with."""
-        return self._read(self.path(name))
+    def folders(self, name: str) -> list[str]:
+        """The folders that hold the rows of the newest version."""
+        return [f"{self.path(name)}/{w}" for w in self.commits(name).latest().writes]
 
-    def _read(self, path: str) -> DataFrame:
+    def read(self, name: str) -> DataFrame:
+        """The newest version of a table. Partition values keep the text they were written with."""
+        found = self.folders(name)
+        if not found:
+            raise FileNotFoundError(self.path(name))
+        return self._read(found)
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        with self._plain_partitions():
+            reader = self.spark.read.option("basePath", folders[0].rpartition("/")[0])
+            return reader.parquet(*folders).drop(WRITE)
+
+    @contextmanager
+    def _plain_partitions(self):
         setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
         before = self.spark.conf.get(setting)
         self.spark.conf.set(setting, "false")
         try:
-            return self.spark.read.parquet(path)
+            yield
         finally:
             self.spark.conf.set(setting, before)
 
@@ -76,16 +88,26 @@ class TableStore:
         return self.read(name) if self.exists(name) else None
 
     def archived(self, name: str) -> list[str]:
-        """Folders of archived versions, oldest first."""
-        base = f"{self.root}/deprecated"
-        return [f"{base}/{t}/{name}" for t in files.children(self.spark, base)
-                if files.has_data(self.spark, f"{base}/{t}/{name}")]
+        """Times at which a schema was archived, oldest first."""
+        return [a["time"] for a in self.commits(name).latest().archived]
+
+    def read_archived(self, name: str, time: str) -> DataFrame:
+        """The rows that were archived at a time, with the schema they had."""
+        found = next(a for a in self.commits(name).latest().archived if a["time"] == time)
+        return self._read([f"{self.path(name)}/{w}" for w in found["writes"]])
 
     def archive(self, name: str) -> str:
-        stamp = datetime.now(timezone.utc).isoformat(timespec="microseconds").replace(":", "-")
-        target = f"{self.root}/deprecated/{stamp}/{name}"
-        files.move(self.spark, self.path(name), target)
-        return target
+        """Put the table's rows away: it is empty then, and its rows are among the archived."""
+        log = self.commits(name)
+        while True:
+            now = log.latest()
+            if log.commit(self._archived(now)):
+                return self.archived(name)[-1]
+
+    def _archived(self, now: Version) -> Version:
+        stamp = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+        entry = {"time": stamp, "writes": list(now.writes), "schema": now.schema, "partitions": list(now.partitions)}
+        return replace(now, number=now.number + 1, writes=(), archived=(*now.archived, entry))
 
     def _save(self, df: DataFrame, path: str, partitions=()) -> None:
         if partitions:
@@ -100,43 +122,43 @@ class TableStore:
               purge_versions: bool = False, historical: bool = False, batch: str | None = None) -> str | None:
         """Write one output table by the rules; returns its name, or None when there was nothing to write.
 
-        The rows are staged first, since they may be computed from the table they replace.
-        With a `batch` name the call can be repeated after a failure: a batch that was staged
-        completely is not computed again, only the rest of its files is moved into place.
+        The rows go to a folder of their own and are shown by one commit, so they may be computed from the table they replace, and
+        readers see the table before or after, never in between. If another writer commits first, the commit is made
+        again on top of that version. With a `batch` name the call can be repeated after a failure: a stored batch is
+        left alone, and one that was written completely is committed without being computed again.
         """
-        note = f"{self.root}/staged/{batch or uuid.uuid4().hex}/{name}"
-        staged = f"{note}/data"
-        partitions = list(partitions)
-        if batch and files.exists(self.spark, note) and not files.exists(self.spark, staged):
+        log = self.commits(name)
+        now = log.latest()
+        if batch and now.has(batch):
             return name
-        if not (batch and files.exists(self.spark, f"{staged}/_SUCCESS")):
-            if df is None:
-                return None
-            files.remove(self.spark, staged)
-            self._save(fill_partition_nulls(df, partitions), staged, partitions)
-            # Asking the staged files is cheaper than computing the frame once more to see if it is empty.
-            if not files.has_data(self.spark, staged) or self._read(staged).isEmpty():
-                files.remove(self.spark, note)
-                return None
-        if self.exists(name):
-            same = verify_schema(self.read(name).schema, self.partitions(name), self._read(staged).schema, partitions)
-            if not same:
-                self.archive(name)
-        if self.exists(name) and (historical or not (overwrite or purge_versions)):
-            files.move_files(self.spark, staged, self.path(name))
-            files.remove(self.spark, staged)
-        else:
-            files.remove(self.spark, self.path(name))
-            files.move(self.spark, staged, self.path(name))
-        if not batch:
-            files.remove(self.spark, note.rsplit("/", 1)[0])
-        if purge_versions and not historical:
-            self._purge(name)
-        return name
-
-    def _purge(self, name: str) -> None:
-        for folder in self.archived(name):
-            files.remove(self.spark, folder)
+        if df is None:
+            return None
+        partitions = list(partitions)
+        df = fill_partition_nulls(df, partitions)
+        if now.writes and sorted(now.partitions) == sorted(partitions):
+            partitions = list(now.partitions)
+        folder = log.new_write(df.schema, partitions, batch)
+        path = f"{self.path(name)}/{folder}"
+        if not (batch and files.exists(self.spark, f"{path}/_SUCCESS")):
+            files.remove(self.spark, path)
+            self._save(df, path, partitions)
+        # Asking the written files is cheaper than computing the frame once more to see if it is empty.
+        written = self._read([path]) if files.has_data(self.spark, path) else None
+        if written is None or written.isEmpty():
+            files.remove(self.spark, path)
+            return None
+        while True:
+            now = log.latest()
+            if batch and now.has(batch):
+                return name
+            same = not now.writes or verify_schema(now.columns(), now.partitions, written.schema, partitions)
+            base = now if same else self._archived(now)
+            keep = base.writes if historical or not (overwrite or purge_versions) else ()
+            purged = () if purge_versions and not historical else base.archived
+            new = replace(base, number=now.number + 1, writes=(*keep, folder), schema=written.schema.json(),
+                          partitions=tuple(partitions), archived=purged).with_batch(batch)
+            if log.commit(new):
+                return name
 
     def write_all(self, tables: dict[str, DataFrame | None], partitions: dict | None = None, overwrite=False,
                   purge_versions=False, historical=(), batch: str | None = None) -> list[str]:
@@ -153,21 +175,18 @@ class TableStore:
     # -- catalogue -----------------------------------------------------------------------
 
     def register(self, name: str, database: str) -> bool:
-        """Make the level database show the table as it is stored now; False when it was there already.
+        """Make the level database show the newest version of the table; False when the database had the table already.
 
-        New partitions are found, those that are gone are dropped, and a changed schema replaces the entry.
+        The entry is a view over the folders of that version, so queries of the catalogue see whole versions too.
         """
         full = f"`{database}`.`{name}`"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/catalog/{database}'")
         known = self.spark.catalog.tableExists(f"{database}.{name}")
-        if known:
-            entry, stored = self.spark.table(full).schema, self.spark.read.parquet(self.path(name)).schema
-            if [(f.name, f.dataType) for f in entry] != [(f.name, f.dataType) for f in stored]:
-                self.spark.sql(f"DROP TABLE {full}")  # the entry only: the files are outside the catalogue's own folder
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {full} USING parquet LOCATION '{self.path(name)}'")
-        if self.partitions(name):
-            self.spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
-        self.spark.catalog.refreshTable(full)
+        found = self.folders(name)
+        columns = ", ".join(f"`{c}`" for c in self._read(found).columns)
+        writes = ", ".join("'" + f.rpartition("=")[2] + "'" for f in found)
+        with self._plain_partitions():  # a view keeps the settings it was made with
+            self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {columns} FROM parquet.`{found[0].rpartition('/')[0]}` WHERE `{WRITE}` IN ({writes})")
         return not known
 
     # -- reports -------------------------------------------------------------------------
@@ -177,19 +196,25 @@ class TableStore:
 
     def materialize(self, name: str, df: DataFrame, level: int) -> str:
         """Store a report result; readers see the old one until the new one is complete."""
-        staged = f"{self.root}/staged/{uuid.uuid4().hex}"
-        self._save(df, staged)
         target = self.report_path(name, level)
-        files.remove(self.spark, target)
-        files.move(self.spark, staged, target)
-        return target
+        log = Commits(self.spark, target)
+        folder = log.new_write(df.schema, ())
+        self._save(df, f"{target}/{folder}")
+        while True:
+            now = log.latest()
+            if log.commit(replace(now, number=now.number + 1, writes=(folder,), schema=df.schema.json())):
+                return target
 
     def drop_materialized(self, name: str, level: int) -> None:
         files.remove(self.spark, self.report_path(name, level))
 
     def cached_report(self, name: str, level: int, filters: dict | None = None) -> DataFrame:
         """A stored report, restricted by equality filters that reach the Parquet scan."""
-        df = self.spark.read.parquet(self.report_path(name, level))
+        target = self.report_path(name, level)
+        stored = Commits(self.spark, target).latest().writes
+        if not stored:
+            raise FileNotFoundError(target)
+        df = self._read([f"{target}/{w}" for w in stored])
         for column, value in (filters or {}).items():
             df = df.filter(F.col(column) == F.lit(value))
         return df
