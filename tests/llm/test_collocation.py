@@ -73,6 +73,15 @@ def test_full_filters_change_nothing(spark, monkeypatch):
     assert got(collocation.collocations(frame(spark, rows), 5)) == plain(rows, 5)
 
 
+@pytest.mark.parametrize("shards", [1, 2, 4, 10, 12])
+def test_candidates_at_the_least_support(spark, shards):
+    """Phrases that occur `support` times exactly, however their occurrences lie."""
+    rng = random.Random(shards)
+    rows = [(rng.randrange(1000), "en", f"{w} {w}x {w}y") for w in "abcdefghij" for _ in range(10)] + [(i, "en", "k l") for i in range(9)]
+    out = got(collocation.collocations(frame(spark, rows), inside=101, shards=shards))
+    assert out == plain(rows, inside=101) and len(out) == 30
+
+
 def test_words_of_equal_hash_are_told_apart(monkeypatch):
     monkeypatch.setattr(collocation, "mix", lambda x: x * np.uint64(0))
     words = collocation.Words([b"a b a", b"b c c", b"a"])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import INNER, drop_staged, keyed_join, small_batches, staged
 
 #: Shards of the corpus; bytes of text a task works on at once; keys a task combines before it hands them on.
-SHARDS, SLICE, HELD = 3, 2_000_000, 4_000_000
+SHARDS, SLICE, HELD = 2, 2_000_000, 4_000_000
 #: Bits of a filter per key that it holds, and the most bits of one (32 MB). A full filter only lets more through.
 FILTER_BITS, MOST_BITS = 16, 1 << 28
 
@@ -135,18 +135,22 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list
         yield langs, shards, Words(texts)
 
 
-def _salts(langs: list[str], shards: list[int] | None = None) -> np.ndarray:
-    """What sets languages, and shards if given, apart in a key."""
+def _salts(langs: list[str]) -> np.ndarray:
+    """What sets languages apart in a key."""
     known = {x: int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big") for x in set(langs)}
-    salt = np.array([known[x] for x in langs], np.uint64)
-    return mix(salt * _PLACE[0] + (0 if shards is None else np.array(shards, np.uint64) + np.uint64(1)))
+    return mix(np.array([known[x] for x in langs], np.uint64) * _PLACE[0])
+
+
+def _shard_marks(shards: int) -> np.ndarray:
+    """What sets shards apart: a key of a shard is the phrase's key XOR the shard's mark."""
+    return mix(np.arange(1, shards + 1, dtype=np.uint64) * _PLACE[1])
 
 
 class Filter:
-    """A Bloom filter of bounded size over 64-bit keys: holds all that was put in, and by chance a few others."""
+    """A Bloom filter of bounded size over 64-bit keys: holds all that was put in (`many` at most), and by chance a few others."""
 
-    def __init__(self, keys: DataFrame, count: int):
-        self.bits = min(MOST_BITS, max(1 << 16, 1 << (count * FILTER_BITS).bit_length()))
+    def __init__(self, keys: DataFrame, many: int):
+        self.bits = min(MOST_BITS, max(1 << 16, 1 << (many * FILTER_BITS).bit_length()))
         places = F.array(F.col("key").bitwiseAND(F.lit(self.bits - 1)), F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(self.bits - 1)))
         cells = keys.select(F.explode(places).alias("place")).groupBy(F.shiftright("place", 6).alias("cell")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
@@ -161,64 +165,86 @@ class Filter:
         return out
 
 
-def _combined(kinds: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(key, lang, n) of arrays of keys, equal ones counted together as far as a task holds them."""
-    held, size = [], 0
+def _combined(kinds: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """(key, shard, lang, n) of (shard, keys), equal keys counted together as far as a task holds them."""
+    held: dict[int, list] = {}
+    size = 0
 
     def flush():
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        for at in range(0, len(keys), 100_000):
-            part = keys[at:at + 100_000].view(np.int64)
-            yield pa.record_batch([pa.array(part), pa.nulls(len(part), pa.string()), pa.array(n[at:at + 100_000], pa.int64())], ["key", "lang", "n"])
-
-    for keys in kinds:
-        held.append(keys)
+        for shard, arrays in held.items():
+            keys, n = np.unique(np.concatenate(arrays), return_counts=True)
+            for at in range(0, len(keys), 100_000):
+                part = keys[at:at + 100_000].view(np.int64)
+                yield pa.record_batch([pa.array(part), pa.array(np.full(len(part), shard, np.int32)), pa.nulls(len(part), pa.string()),
+                                       pa.array(n[at:at + 100_000], pa.int64())], ["key", "shard", "lang", "n"])
+        held.clear()
+
+    for shard, keys in kinds:
+        held.setdefault(shard, []).append(keys)
         size += len(keys)
         if size > HELD:
             yield from flush()
-            held, size = [], 0
+            size = 0
     if size:
         yield from flush()
 
 
-def mine(rows: DataFrame, size: int, support: int, shorter: Filter | None) -> DataFrame:
-    """(key, lang, n): keys of the phrases of `size` words that occur `support` times in their shard; for single words also, without a
-    key, the number of words by language. Phrases whose first or last words are not frequent in the shard are left out
-    before anything is shuffled. Equal keys of different phrases would only add candidates.
+def mine(rows: DataFrame, size: int, support: int, shards: int, shorter: tuple["Filter", "Filter"] | None) -> DataFrame:
+    """(key, shard, lang, n): keys of the phrases of `size` words that occur `support` times in their shard; for single words also, without a
+    key, the number of words by language. Phrases whose first or last words (one less) are not frequent in the shard, or not
+    candidates in the whole, are left out before anything is shuffled. Equal keys of different phrases would only add candidates.
     """
+    marks = _shard_marks(shards)
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, int] = {}
 
         def kinds():
-            for langs, shards, words in _slices(batches):
-                salt = _salts(langs, shards)
+            for langs, shard_of, words in _slices(batches):
+                salt, shard = _salts(langs), np.array(shard_of)[words.text]
                 if size == 1:
                     for lang, n in zip(langs, np.bincount(words.text, minlength=len(langs)).tolist()):
                         totals[lang] = totals.get(lang, 0) + n
                 first = words.phrases(size)
                 if shorter is not None:
+                    local, whole = shorter
                     part = np.zeros(words.count + 1, bool)
                     at = words.phrases(size - 1)
-                    part[at] = shorter.holds(words.keys(at, size - 1, salt))
+                    keys = words.keys(at, size - 1, salt)
+                    part[at] = local.holds(keys ^ marks[shard[at]]) & whole.holds(keys)
                     first = first[part[first] & part[first + 1]]
-                yield words.keys(first, size, salt)
+                keys = words.keys(first, size, salt)
+                for s in range(shards):
+                    here = shard[first] == s
+                    if here.any():
+                        yield s, keys[here] ^ marks[s]
 
         yield from _combined(kinds())
         if totals:
-            yield pa.record_batch([pa.nulls(len(totals), pa.int64()), pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())],
-                                  ["key", "lang", "n"])
+            yield pa.record_batch([pa.nulls(len(totals), pa.int64()), pa.nulls(len(totals), pa.int32()), pa.array(list(totals), pa.string()),
+                                   pa.array(list(totals.values()), pa.int64())], ["key", "shard", "lang", "n"])
 
-    found = rows.mapInArrow(of, "key long, lang string, n long").groupBy("key", "lang").agg(F.sum("n").alias("n"))
+    found = rows.mapInArrow(of, "key long, shard int, lang string, n long").groupBy("key", "shard", "lang").agg(F.sum("n").alias("n"))
     return found.filter((F.col("n") >= support) | F.col("key").isNull())
 
 
-def count(rows: DataFrame, filters: list[Filter], shards: int) -> DataFrame:
-    """(lang, size, phrase, a): exact occurrences, over all shards, of every phrase that is a candidate in one of them."""
+def united(mined: DataFrame, support: int, local: int, shards: int) -> DataFrame:
+    """(key) of the candidates for the whole: frequent in a shard, and with `support` occurrences if every other shard had the most it can have
+    without the phrase being frequent there.
+    """
+    marks = F.array(*[F.lit(int(m)).cast("long") for m in _shard_marks(shards).view(np.int64)])
+    plain = mined.select(F.col("key").bitwiseXOR(F.get(marks, F.col("shard"))).alias("key"), "n")
+    most = F.sum("n") + (shards - F.count("*")) * (local - 1)
+    return plain.groupBy("key").agg(most.alias("most")).filter(F.col("most") >= support).select("key")
+
+
+def count(rows: DataFrame, filters: list[Filter]) -> DataFrame:
+    """(lang, size, phrase, a): exact occurrences, over all shards, of every candidate."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, _, words in _slices(batches):
             names = pa.array(langs, pa.string())
-            own = [_salts(langs, [s] * len(langs)) for s in range(shards)]
-            ids = words.ids(_salts(langs))
+            salt = _salts(langs)
+            ids = words.ids(salt)
             code, chain = ids, None
             for size, kept in enumerate(filters, 1):
                 first = words.phrases(size)
@@ -229,9 +255,7 @@ def count(rows: DataFrame, filters: list[Filter], shards: int) -> DataFrame:
                 chain = np.zeros(words.count, np.int64)
                 chain[first] = like
                 example = first[example]
-                passed = np.zeros(len(example), bool)
-                for salt in own:
-                    passed |= kept.holds(words.keys(example, size, salt))
+                passed = kept.holds(words.keys(example, size, salt))
                 example, n = example[passed], n[passed]
                 for at in range(0, len(example), 100_000):
                     part = example[at:at + 100_000]
@@ -261,15 +285,18 @@ def collocations(docs: DataFrame, support: int = 10, longest: int = 3, inside: i
         F.pmod(F.xxhash64(f"`{id_column}`"), F.lit(shards)).cast("int").alias("shard"),
         F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
     local = -(-support // shards)
-    filters, totals = [], None
+    shorter, filters, totals = None, [], None
     for size in range(1, longest + 1):
-        mined = staged(mine(rows, size, local, filters[-1] if filters else None), f"mined-{size}")
+        mined = staged(mine(rows, size, local, shards, shorter), f"mined-{size}")
         keys = mined.filter("key is not null")
-        filters.append(Filter(keys, keys.count()))
+        many = keys.count()
+        filters.append(Filter(united(keys, support, local, shards), many))
+        if size < longest:
+            shorter = (Filter(keys.select("key"), many), filters[-1])
         totals = mined.filter("key is null").select(F.col("lang").alias(f"{INNER}lang"), F.col("n").alias("n")) if size == 1 else totals
         if size > 1:
             drop_staged(mined)
-    counted = staged(count(rows, filters, shards).filter(F.col("a") >= support).withColumn("words", F.split("phrase", " ")), "counted")
+    counted = staged(count(rows, filters).filter(F.col("a") >= support).withColumn("words", F.split("phrase", " ")), "counted")
 
     candidates = counted.filter("size > 1")
     parts = counted.select("lang", "phrase", "a")
