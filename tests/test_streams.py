@@ -1,6 +1,7 @@
 """Streams: two triggers equal the batch result; a replayed batch changes nothing."""
 
 import json
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -61,6 +62,77 @@ def test_dedupe_replay(spark, folder):
     assert sorted(r["k"] for r in J.read_batches(spark, target).collect()) == [*range(10), 99]
 
 
+def test_dedupe_reads_the_target_once(spark, folder, monkeypatch):
+    feed, target, checkpoint = folder("feed"), folder("target"), folder("cp")
+    schema = "k STRING, v DOUBLE, r STRUCT<a: INT, b: STRING>"
+    land = lambda rows: spark.createDataFrame(rows, schema).repartition(2).write.mode("append").parquet(feed)
+    run = lambda: J.dedupe_existing(spark.readStream.schema(schema).parquet(feed), ["k"], target, checkpoint)
+    land([("a", 2.0, (1, "x")), ("a", 1.0, None), ("a", 1.0, (0, None)), (None, float("nan"), (1, "y")), (None, 5.0, (2, "z"))])
+    run()
+    want = {("a", 1.0, None), (None, 5.0, (2, "z"))}
+    assert {tuple(r) for r in J.read_batches(spark, target).collect()} == want
+
+    def forbidden(*_):
+        raise AssertionError("the target is read")
+
+    monkeypatch.setattr(J, "earlier_batches", forbidden)
+    land([("a", 0.0, None), (None, 0.0, None), ("b", 7.0, None)] + [("hot", float(i), None) for i in range(5000, 0, -1)])
+    progress = run()
+    assert sum(p["numInputRows"] for p in progress) == 5003
+    assert {tuple(r) for r in J.read_batches(spark, target).collect()} == want | {("b", 7.0, None), ("hot", 1.0, None)}
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_rows_of_a_key_are_combined_in_their_task(spark, monkeypatch):
+    from tidemark.streaming import state
+    monkeypatch.setattr(state, "HELD", 3)
+    df = spark.createDataFrame([(i % 7, str(i)) for i in range(700)], "k INT, v STRING").repartition(1)
+    out = state.smallest_in_task(df, ["k"]).collect()
+    assert sum(r[state.ROWS] for r in out) == 700
+    best = {}
+    for r in out:
+        best[r.k] = min(best.get(r.k, r.v), r.v)
+    assert best == {k: min(str(i) for i in range(k, 700, 7)) for k in range(7)}
+
+
+def late_stream(spark, folder):
+    feed, target, aside, checkpoint = folder("feed"), folder("target"), folder("aside"), folder("cp")
+    schema = "p STRING, v STRING, ends TIMESTAMP, ok BOOLEAN"
+    day = lambda n: datetime(2024, 1, 1) + timedelta(days=n)
+    land = lambda rows: spark.createDataFrame([(p, v, None if n is None else day(n), ok) for p, v, n, ok in rows], schema).write.mode("append").parquet(feed)
+    run = lambda to=target, cp=checkpoint: J.late_periods(
+        spark.readStream.schema(schema).parquet(feed), "p", "ends", to, aside, cp, "28 days", F.col("ok"))
+    stored = lambda to=target: {r.p: r.v for r in J.read_batches(spark, to).collect()}
+    late = lambda: sorted((r.p, r.late) for r in J.read_batches(spark, aside).collect())
+    return checkpoint, target, land, run, stored, late
+
+
+def test_a_period_is_stored_once_when_it_is_closed(spark, folder):
+    checkpoint, target, land, run, stored, late = late_stream(spark, folder)
+    land([("w1", "b", 7, True), ("w1", "c", 7, True), ("w1", "a", 7, False), ("w1", "0", 7, None), ("w2", "x", 14, True), ("none", "v", None, True)])
+    run()
+    assert stored() == {}
+    land([("w1", "bb", 7, True), ("w5", "e", 35, False)])  # closes w1 at day 35; rows that do not count move the time on as well
+    run()
+    assert stored() == {"w1": "b"} and late() == []
+    land([("w1", "0", 7, True), ("w1", "00", 7, True), ("w2", "w", 14, True), ("w0", "old", 0, True), ("w9", "z", 63, True)])
+    run()
+    assert stored() == {"w1": "b", "w2": "w", "w0": "old"} and late() == [("w1", 2)]
+    forget_commit(spark, checkpoint, max(int(c) for c in files.children(spark, f"{checkpoint}/commits") if c.isdecimal()))
+    run()
+    assert stored() == {"w1": "b", "w2": "w", "w0": "old"} and late() == [("w1", 2)]
+
+
+def test_periods_of_another_stream_stay(spark, folder):
+    checkpoint, target, land, run, stored, late = late_stream(spark, folder)
+    land([("w1", "b", 7, True), ("w8", "e", 56, True)])
+    run()
+    assert stored() == {"w1": "b"}
+    land([("w1", "a", 7, True), ("w2", "c", 14, True)])
+    run(cp=folder("cp2"))  # reads the whole feed anew
+    assert stored() == {"w1": "b", "w2": "c"} and late() == [("w1", 2)]
+
+
 def test_signed_split_and_replay(spark, folder):
     from tidemark.functions import signature as S
     feed, good, bad, checkpoint = folder("feed"), folder("good"), folder("bad"), folder("cp")

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions import presto as P
 from ..functions import signature as S
-from ..functions.clean import closed_period
-from ..operators.windows import first_by
 from ..plans import feeds
 from ..plans.job import Context
 from ..session import new_folder
@@ -53,14 +51,17 @@ def stream_ingest_process(t):
 
 
 @query("stream_dedupe_existing", """
-    SELECT DISTINCT l_orderkey FROM lineitem""")
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag FROM (
+      SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag <> 'R', l_linenumber, l_partkey, l_quantity, l_returnflag) AS place
+      FROM lineitem) WHERE place = 1""")
 def stream_dedupe_existing(t):
+    """Returned lines first, then all lines: an order known from the first landing keeps the line it had."""
     feed, target, checkpoint = (new_folder(t.spark, x) for x in ("feed", "target", "stream"))
-    rows = t.lineitem.select("l_orderkey", "l_returnflag")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
     for part in (rows.filter("l_returnflag = 'R'"), rows):
         land(part, feed)
         J.dedupe_existing(stream_of(t, feed, rows.schema), ["l_orderkey"], target, checkpoint)
-    return J.read_batches(t.spark, target).select("l_orderkey")
+    return J.read_batches(t.spark, target)
 
 
 @query("stream_emoji_events", f"""
@@ -109,21 +110,34 @@ def stream_highwater(t):
 
 
 @query("late_period_rule", """
-    SELECT reg_period, min(price) AS used_hrs FROM (
-      SELECT isoyear(o_orderdate) || lpad(CAST(week(o_orderdate) AS VARCHAR), 2, '0') AS reg_period,
-             CAST(o_orderkey AS VARCHAR) AS price FROM orders
-      WHERE o_orderstatus = 'F' AND isoyear(o_orderdate) * 52 + week(o_orderdate) <= 2000 * 52 + 20 - 4) GROUP BY 1""")
+    WITH landed AS (
+      SELECT isoyear(o_orderdate) || lpad(CAST(week(o_orderdate) AS VARCHAR), 2, '0') AS reg_period, o_orderstatus = 'F' AS b,
+             CAST(o_orderkey AS VARCHAR) AS used_hrs, CAST(date_trunc('week', o_orderdate) AS DATE) + 7 AS ends,
+             CASE WHEN o_orderdate < DATE '1994-01-01' AND o_orderpriority <> '5-LOW' THEN 1
+                  WHEN o_orderdate < DATE '1997-01-01' AND o_orderpriority <> '4-NOT SPECIFIED' THEN 2 ELSE 3 END AS landing
+      FROM orders),
+    marks AS (SELECT k AS landing, max(ends) - 28 AS mark FROM landed, (VALUES (1), (2), (3)) AS v(k) WHERE landing <= k GROUP BY k),
+    closing AS (
+      SELECT reg_period, greatest(min(landing), (SELECT min(m.landing) FROM marks m WHERE m.mark >= p.ends)) AS landing
+      FROM landed p WHERE b GROUP BY reg_period, ends HAVING (SELECT max(mark) FROM marks) >= ends)
+    SELECT l.reg_period, min(used_hrs) FILTER (l.landing <= c.landing) AS used_hrs, count(*) FILTER (l.landing > c.landing) AS late
+    FROM landed l JOIN closing c ON c.reg_period = l.reg_period WHERE b GROUP BY 1""")
 def late_period_rule(t):
-    feed, target, checkpoint = (new_folder(t.spark, x) for x in ("feed", "target", "stream"))
-    rows = t.orders.select(F.when(F.col("o_orderstatus") == "F", "B").otherwise("N").alias("tab"),
-                           P.iso_period("o_orderdate").alias("reg_period"), F.col("o_orderkey").cast("string").alias("used_hrs"))
-    closed = lambda batch: first_by(batch.filter(closed_period("reg_period", "tab", 2000, 20)), ["reg_period"], ["used_hrs"],
-                                    ["used_hrs"])
-    # The second landing repeats every period with other values: known periods stay as they are.
-    for part in (rows, rows.withColumn("used_hrs", F.concat(F.lit("0"), "used_hrs"))):
-        land(part, feed)
-        J.late_periods(stream_of(t, feed, rows.schema), closed, target, checkpoint)
-    return J.read_batches(t.spark, target).select("reg_period", "used_hrs")
+    """Three landings, each with rows of periods that the earlier ones have closed."""
+    feed, target, aside, checkpoint = (new_folder(t.spark, x) for x in ("feed", "target", "aside", "stream"))
+    landing = F.when(F.expr("o_orderdate < '1994-01-01' AND o_orderpriority <> '5-LOW'"), 1).when(
+        F.expr("o_orderdate < '1997-01-01' AND o_orderpriority <> '4-NOT SPECIFIED'"), 2).otherwise(3)
+    landed = t.orders.select(
+        P.iso_period("o_orderdate").alias("reg_period"), F.col("o_orderkey").cast("string").alias("used_hrs"),
+        F.date_add(F.to_date(F.date_trunc("week", "o_orderdate")), 7).alias("ends"),
+        F.when(F.col("o_orderstatus") == "F", "B").otherwise("N").alias("tab"), landing.alias("landing"))
+    rows = landed.drop("landing")
+    for n in (1, 2, 3):
+        land(landed.filter(F.col("landing") == n).drop("landing"), feed)
+        J.late_periods(stream_of(t, feed, rows.schema), "reg_period", "ends", target, aside, checkpoint, "28 days", F.col("tab") == "B")
+    late = J.read_batches(t.spark, aside).groupBy("reg_period").agg(F.sum("late").alias("late"))
+    return J.read_batches(t.spark, target).select("reg_period", "used_hrs").join(late, "reg_period", "left").select(
+        "reg_period", "used_hrs", F.coalesce("late", F.lit(0)).alias("late"))
 
 
 @query("stream_refresh_reports", """

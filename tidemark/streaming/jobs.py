@@ -10,20 +10,22 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import signature
-from ..operators.joins import new_rows
-from ..operators.windows import one_per_key
 from ..plans.job import Context, Job
 from ..sources.envelopes import read_envelopes
 from ..sources.webhooks import CHAT_BODY, emoji_rows
 from ..tables import files
 from ..tables.store import TableStore
+from .state import FirstPerKey, OncePerPeriod, rocksdb, smallest_in_task
 
 
-def run_available(writer) -> None:
+def run_available(writer) -> list:
+    """Run what is available; returns the progress of the batches."""
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    return query.recentProgress
 
 
 def batch_name(checkpoint: str, batch_id: int) -> str:
@@ -64,16 +66,32 @@ def ingest_process(spark: SparkSession, raw: str, job: Job, context: Context, ch
     run_available(envelopes.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 
 
-def dedupe_existing(stream: DataFrame, keys: list[str], target: str, checkpoint: str) -> None:
-    """Append only rows whose key no earlier batch stored; of one key within a batch the smallest row."""
+def _known_keys(spark: SparkSession, target: str, checkpoint: str, schema: T.StructType, keys: list[str]) -> DataFrame:
+    """What state begins with: the stored keys for a checkpoint without a committed batch, none for one that has its own state."""
+    stored = None
+    if not files.has_data(spark, f"{checkpoint}/commits"):
+        stored = earlier_batches(spark, target, batch_name(checkpoint, 0))
+    if stored is None:
+        return spark.createDataFrame([], T.StructType([schema[k] for k in keys]))
+    return stored.select(*keys).distinct()
+
+
+def dedupe_existing(stream: DataFrame, keys: list[str], target: str, checkpoint: str) -> list:
+    """Append only rows whose key was never stored; of one key within a batch the smallest row. Returns the progress of the batches.
+
+    The keys are state, so that a batch costs by its own rows, whatever the target holds. The target is read once, by
+    the first batch of a checkpoint. Null keys compare equal.
+    """
     spark = stream.sparkSession
+    known = _known_keys(spark, target, checkpoint, stream.schema, keys)
+    first = smallest_in_task(stream, keys).groupBy(*keys).transformWithState(
+        FirstPerKey(stream.columns), stream.schema, "Append", "None", initialState=known.groupBy(*keys))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        name = batch_name(checkpoint, batch_id)
-        known = earlier_batches(spark, target, name)
-        write_batch(new_rows(one_per_key(batch, keys), known, keys), target, name)
+        write_batch(batch, target, batch_name(checkpoint, batch_id))
 
-    run_available(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
+    with rocksdb(spark):
+        return run_available(first.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 
 
 def emoji_events(stream: DataFrame, body: str) -> DataFrame:
@@ -107,19 +125,37 @@ def append(stream: DataFrame, target: str, checkpoint: str) -> None:
                   .option("checkpointLocation", checkpoint))
 
 
-def late_periods(stream: DataFrame, closed, target: str, checkpoint: str) -> None:
-    """Store closed periods only; a period once stored is never written again.
+def late_periods(stream: DataFrame, period: str, ends: str, target: str, aside: str, checkpoint: str, delay: str = "28 days",
+                 counts=None) -> list:
+    """Store a period once, when it is closed, and never again. Returns the progress of the batches.
 
-    `closed(batch)` gives (reg_period, value) rows of closed periods, one per period.
+    A period closes `delay` after the time in its column `ends` (one for each period), by the watermark of the stream: the latest `ends` of all earlier
+    batches. Until then its smallest row is state, of the rows for which the condition `counts` holds (null: not). Rows that
+    come after it was stored are counted in `aside` as (period, late). A timer of the state closes a period; the target is
+    read only by the first batch of a checkpoint, so that periods which another stream has stored stay as they are.
     """
     spark = stream.sparkSession
+    # the watermark follows a column that ends here: rows behind it are to reach the state, not to be dropped before it
+    timed = stream.withColumn("_time", F.col(ends).cast("timestamp")).withWatermark("_time", delay)
+    wanted = (F.lit(True) if counts is None else counts) & F.col("_time").isNotNull()
+    rows = timed.select(period, *[c for c in stream.columns if c != period], F.unix_millis("_time").alias("_closes"), wanted.alias("_counts"))
+    known = _known_keys(spark, target, checkpoint, stream.schema, [period])
+    kept = rows.drop("_counts").schema
+    out = T.StructType([*kept, T.StructField("late", T.LongType())])
+    decided = smallest_in_task(rows, [period], "_counts").groupBy(period).transformWithState(
+        OncePerPeriod(kept, "_closes"), out, "Append", "EventTime", initialState=known.groupBy(period))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         name = batch_name(checkpoint, batch_id)
-        known = earlier_batches(spark, target, name)
-        write_batch(new_rows(closed(batch), known, ["reg_period"]), target, name)
+        both = batch.persist()
+        try:
+            write_batch(both.filter("late IS NULL").select(*stream.columns), target, name)
+            write_batch(both.filter("late IS NOT NULL").select(period, "late"), aside, name)
+        finally:
+            both.unpersist()
 
-    run_available(stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
+    with rocksdb(spark):
+        return run_available(decided.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))
 
 
 def refresh_reports(changes: DataFrame, store: TableStore, registry, run, now: str, checkpoint: str) -> list[str]:
