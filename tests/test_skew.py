@@ -21,22 +21,60 @@ def hot(spark):
 
 def test_rank_rows_large_groups(spark, hot, rows_of):
     want = hot.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.col("v").desc(), "t")).cast("long"))
-    got = W.rank_rows(hot, ["k"], [F.col("v").desc(), F.col("t")], "n", max_group_rows=200)
+    got = W.rank_rows(hot, ["k"], [F.col("v").desc(), F.col("t")], "n")
     assert rows_of(got.select("k", "v", "t", "n")) == rows_of(want.select("k", "v", "t", "n"))
 
 
 def test_rank_rows_numbers_are_whole(hot):
-    got = W.weight_rank(hot, "k", "v", ["t"], max_group_rows=100)
+    got = W.weight_rank(hot, "k", "v", ["t"])
     check = got.groupBy("k").agg(F.count("*").alias("c"), F.min("weigth").alias("a"), F.max("weigth").alias("b"),
                                  F.count_distinct("weigth").alias("d"))
     assert check.filter("a <> 1 OR b <> c OR d <> c").isEmpty()
 
 
-def test_rank_rows_null_keys(spark, rows_of):
-    df = spark.createDataFrame([(None, i) for i in range(20)] + [("a", i) for i in range(3)], "k STRING, v INT")
-    plain = W.rank_rows(df, ["k"], [F.col("v")], "n")
-    sliced = W.rank_rows(df, ["k"], [F.col("v")], "n", max_group_rows=5)
-    assert rows_of(plain) == rows_of(sliced)
+@pytest.mark.parametrize("slices", ["1", "3", "50"])
+def test_rank_rows_any_number_of_slices(spark, rows_of, slices):
+    """Null and NaN keys, groups over many slices, slices without rows."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", slices)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        nan = float("nan")
+        data = [(k, q, i % 40) for i in range(300) for k, q in [(None, 1.0), ("a", nan), ("a", None), ("b", 2.0)][:1 + i % 4]]
+        df = spark.createDataFrame(data, "k STRING, q DOUBLE, v INT").repartition(5)
+        got = W.rank_rows(df, ["k", "q"], [F.col("v").desc()], "n")
+        want = df.withColumn("n", F.row_number().over(Window.partitionBy("k", "q").orderBy(F.col("v").desc())).cast("long"))
+        assert repr(rows_of(got)) == repr(rows_of(want))
+        assert W.rank_rows(df.limit(0), ["k"], [F.col("v")], "n").count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_rank_rows_runs_nothing_while_it_is_planned(spark, hot):
+    context = spark.sparkContext
+    context.setJobGroup("planning ranks", "")
+    try:
+        ranked = W.weight_rank(hot, "k", "v", ["t"])
+        ranked.explain("simple")
+        assert not context.statusTracker().getJobIdsForGroup("planning ranks")
+        assert ranked.count() == 9000
+        assert context.statusTracker().getJobIdsForGroup("planning ranks")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rank_rows_spreads_a_hot_group(spark, hot):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        one = hot.withColumn("k", F.lit(1))
+        parts = W.rank_rows(one, ["k"], [F.col("v")], "n").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(parts) >= 2 and sum(r["count"] for r in parts) == 9000
+        slices = W.rank_rows(one, ["k"], [F.col("v")], "n")._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" in slices and "hashpartitioning(_slice" in slices
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @pytest.fixture

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from typing import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.clean import pad_period
-from ..session import reliable_checkpoint
 from .joins import lookup_join
 
 
@@ -57,55 +63,68 @@ def top_periods(df: DataFrame, key: list[str], period: str, n: int) -> DataFrame
     return lookup_join(df, keep, [*key, period], "left_semi", nulls=True)
 
 
-def rank_rows(df: DataFrame, keys: list[str], order: list[Column], out: str,
-              max_group_rows: int = 1_000_000) -> DataFrame:
-    """Number the rows of every group 1..n, whatever the size of the group.
-
-    Groups up to `max_group_rows` go through an ordinary window. The few larger ones (their
-    number is at most rows / max_group_rows) are range partitioned by group and order, so
-    that one group spans many tasks; each slice is numbered on its own and shifted by the
-    sizes of the slices before it. Both ways give the same numbers: rows that are equal in `order` follow the order of all
-    their columns. Row ids (to part copies of a row) and slice numbers hang on the placement of rows, so both are taken from
-    reliable checkpoints: a repeated task sees the same.
-    """
-    order = [*order, *[F.col(f"`{c}`") for c in df.columns]]
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    large = reliable_checkpoint(sizes.filter(F.col("_size") > max_group_rows).select(*keys))
-    plain = Window.partitionBy(*keys).orderBy(*order)
-    if large.isEmpty():
-        return df.withColumn(out, F.row_number().over(plain).cast("long"))
-
-    same = None
+def _count_last(batch: pa.RecordBatch, keys: list[str]) -> tuple[list, int]:
+    """The key of a batch's last row, and how many rows have it."""
+    last, same = [], None
     for k in keys:
-        term = df[k].eqNullSafe(large[k])
-        same = term if same is None else same & term
-    small_rows = df.join(large, same, "left_anti").withColumn(out, F.row_number().over(plain).cast("long"))
-
-    hot_rows = reliable_checkpoint(df.join(large, same, "left_semi"))
-    sliced = (hot_rows.withColumn("_tie", F.monotonically_increasing_id())
-              .repartitionByRange(*[F.col(k) for k in keys], *order, F.col("_tie"))
-              .withColumn("_slice", F.spark_partition_id()))
-    sliced = reliable_checkpoint(sliced)
-    group_slice = [*keys, "_slice"]
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shift = (sliced.groupBy(*group_slice).agg(F.count(F.lit(1)).alias("_c"))
-             .withColumn("_shift", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-             .select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(group_slice)], "_shift"))
-    local = Window.partitionBy(*group_slice).orderBy(*order, F.col("_tie"))
-    match = None
-    for i, c in enumerate(group_slice):
-        term = F.col(f"`{c}`").eqNullSafe(F.col(f"_s{i}"))
-        match = term if match is None else match & term
-    large_rows = (sliced.withColumn(out, F.row_number().over(local).cast("long"))
-                  .join(shift, match)
-                  .withColumn(out, F.col(out) + F.col("_shift"))
-                  .select(*df.columns, out))
-    return small_rows.unionByName(large_rows)
-
-
-def weight_rank(df: DataFrame, key: str, value: str, ties: list[str], out: str = "weigth", **options) -> DataFrame:
+        column = batch.column(k)
+        value = column[-1]
+        equal = pc.is_null(column) if not value.is_valid else pc.fill_null(pc.equal(column, value), False)
+        if pa.types.is_floating(column.type) and value.is_valid and math.isnan(value.as_py()):
+            equal = pc.fill_null(pc.is_nan(column), False)
+        last.append(value)
+        same = equal if same is None else pc.and_(same, equal)
+    return last, pc.sum(same).as_py()
+
+
+def rank_rows(df: DataFrame, keys: list[str], order: list[Column], out: str) -> DataFrame:
+    """Number the rows of every group 1..n, whatever the size of the group, by a prefix sum over slices.
+
+    All rows are range partitioned by group and order, so that a large group spans many slices and small ones share one. Only the
+    last group of a slice can go on in later ones: each slice sends them one row with that group and its number of rows
+    there, and the running sum over a group in its slice begins with those. Rows that are equal in `order` follow the order of all their columns;
+    copies of a row are parted by the input partition they come from.
+    """
+    conf = df.sparkSession.conf
+    slices = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions"))
+    order = [*order, *[F.col(f"`{c}`") for c in df.columns], F.col("_tie")]
+    group = [F.col(f"`{k}`") for k in keys]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema] + [
+        T.StructField("_tie", T.IntegerType()), T.StructField("_slice", T.IntegerType()), T.StructField("_rows", T.LongType()),
+        T.StructField("_sent", T.BooleanType())])
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, last, count, kind = TaskContext.get().partitionId(), None, 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, n = _count_last(batch, keys)
+            before = last is not None and [repr(v.as_py()) for v in key] == [repr(v.as_py()) for v in last]
+            count = n + (count if before and n == batch.num_rows else 0)
+            last, kind = key, batch.schema
+            size = batch.num_rows
+            yield pa.record_batch([*batch.columns, pa.array([here] * size, pa.int32()), pa.array([1] * size, pa.int64()),
+                                   pa.array([False] * size)], schema=whole(kind))
+        later = slices - here - 1
+        if last is not None and later > 0:
+            held = dict(zip(keys, last))
+            columns = [pa.array([held[f.name].as_py()] * later, f.type) if f.name in held else pa.nulls(later, f.type) for f in kind]
+            yield pa.record_batch([*columns, pa.array(range(here + 1, slices), pa.int32()), pa.array([count] * later, pa.int64()),
+                                   pa.array([True] * later)], schema=whole(kind))
+
+    def whole(kind: pa.Schema) -> pa.Schema:
+        return pa.schema([pa.field(f.name, f.type) for f in kind] + [
+            pa.field("_slice", pa.int32()), pa.field("_rows", pa.int64()), pa.field("_sent", pa.bool_())])
+
+    dealt = df.withColumn("_tie", F.spark_partition_id()).repartitionByRange(slices, *group, *order).sortWithinPartitions(*group)
+    running = Window.partitionBy("_slice", *group).orderBy(F.desc("_sent"), *order).rowsBetween(Window.unboundedPreceding, 0)
+    return dealt.mapInArrow(sliced, schema).withColumn(out, F.sum("_rows").over(running)).filter("NOT _sent").select(
+        *[F.col(f"`{c}`") for c in df.columns], out)
+
+
+def weight_rank(df: DataFrame, key: str, value: str, ties: list[str], out: str = "weigth") -> DataFrame:
     """1 for the largest value of a key, 2 for the next, …; ties are ordered by `ties`."""
-    return rank_rows(df, [key], [F.col(value).desc(), *[F.col(c) for c in ties]], out, **options)
+    return rank_rows(df, [key], [F.col(value).desc(), *[F.col(c) for c in ties]], out)
 
 
 def keep_latest_periods(df: DataFrame, period: str, n: int) -> DataFrame:

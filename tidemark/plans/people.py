@@ -59,8 +59,7 @@ def worked_hours(rows: DataFrame) -> DataFrame:
      person_tables={"ubw_customer_per_resource": "alias"}, parse_once=True)
 def hours_per_resource(envelopes, context):
     work = worked_hours(with_meta_time(envelopes))
-    ranked = weight_rank(work, "alias", "used_hrs", ["work_order", "project_type", "reg_period"],
-                         **context.options.get("rank", {}))
+    ranked = weight_rank(work, "alias", "used_hrs", ["work_order", "project_type", "reg_period"])
     # All projects of a run carry the run's one time stamp.
     stamp = with_meta_time(envelopes).agg(F.min("time"))
     projects = project_rollup(work, 0).withColumn("timestamp", stamp.scalar())
