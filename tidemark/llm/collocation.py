@@ -17,10 +17,10 @@ SHARDS, SLICE, HELD = 2, 2_000_000, 4_000_000
 #: Bits of a filter per key that it holds, and the most bits of one (32 MB). A full filter only lets more through.
 FILTER_BITS, MOST_BITS = 16, 1 << 28
 
-_BREAKS = np.zeros(256, bool)
-_BREAKS[list(b".,;:!?\n\v\f\r")] = True
-_SPACES = np.zeros(256, bool)
-_SPACES[list(b" \t")] = True
+#: By byte: 0 in a word, 1 between words, 2 between pieces.
+_KIND = np.zeros(256, np.uint8)
+_KIND[list(b" \t")] = 1
+_KIND[list(b".,;:!?\n\v\f\r")] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _ODD = np.random.default_rng(12).integers(1 << 62, 1 << 63, 512, np.uint64) | np.uint64(1)
@@ -50,19 +50,21 @@ class Words:
     """
 
     def __init__(self, texts: list[bytes]):
-        buffer = _LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
-        breaks = _BREAKS[buffer]
-        inside = ~(breaks | _SPACES[buffer])
-        edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
-        starts, lengths = edges[::2], edges[1::2] - edges[::2]
+        buffer = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        kind = _KIND[buffer]
+        inside = kind == 0
+        edges = np.flatnonzero(np.concatenate([inside[:1], inside[1:] != inside[:-1]]))
+        starts, ends = edges[::2], edges[1::2]
+        lengths = ends - starts
         self.count = len(starts)
         self.text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, "right")
-        piece = np.cumsum(breaks)[starts]
-        self.piece = piece
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
         self.lengths = lengths
         self.at = np.cumsum(lengths + 1) - lengths - 1
-        self.raw = np.full(int(lengths.sum()) + self.count, 32, np.uint8)
-        self.raw[np.arange(int(lengths.sum())) + np.repeat(np.arange(self.count), lengths)] = buffer[inside]
+        raw = _LOWER[buffer]
+        raw[ends] = 32
+        inside[ends] = True
+        self.raw = raw[inside]
         forward, back = _powers(len(self.raw))
         sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[self.raw] * forward[:len(self.raw)], dtype=np.uint64)])
         self.hashes = mix((sums[self.at + lengths] - sums[self.at]) * back[self.at] + lengths.astype(np.uint64))
@@ -109,9 +111,9 @@ class Words:
 def _cut(text: bytes) -> Iterator[bytes]:
     """A very long text in parts that end where a piece ends."""
     while len(text) > SLICE:
-        ends = np.flatnonzero(_BREAKS[np.frombuffer(text, np.uint8, SLICE)])
+        ends = np.flatnonzero(_KIND[np.frombuffer(text, np.uint8, SLICE)] == 2)
         if not len(ends):
-            more = np.flatnonzero(_BREAKS[np.frombuffer(text, np.uint8)][SLICE:])
+            more = np.flatnonzero(_KIND[np.frombuffer(text, np.uint8)[SLICE:]] == 2)
             ends = more[:1] + SLICE if len(more) else np.array([len(text) - 1])
         yield text[:ends[-1] + 1]
         text = text[ends[-1] + 1:]
@@ -166,7 +168,7 @@ class Filter:
 
 
 def _combined(kinds: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """(key, shard, lang, n) of (shard, keys), equal keys counted together as far as a task holds them."""
+    """(key, shard, n) of (shard, keys), equal keys counted together as far as a task holds them."""
     held: dict[int, list] = {}
     size = 0
 
@@ -175,8 +177,8 @@ def _combined(kinds: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatc
             keys, n = np.unique(np.concatenate(arrays), return_counts=True)
             for at in range(0, len(keys), 100_000):
                 part = keys[at:at + 100_000].view(np.int64)
-                yield pa.record_batch([pa.array(part), pa.array(np.full(len(part), shard, np.int32)), pa.nulls(len(part), pa.string()),
-                                       pa.array(n[at:at + 100_000], pa.int64())], ["key", "shard", "lang", "n"])
+                yield pa.record_batch([pa.array(part), pa.array(np.full(len(part), shard, np.int32)),
+                                       pa.array(n[at:at + 100_000], pa.int64())], ["key", "shard", "n"])
         held.clear()
 
     for shard, keys in kinds:
@@ -190,21 +192,15 @@ def _combined(kinds: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatc
 
 
 def mine(rows: DataFrame, size: int, support: int, shards: int, shorter: tuple["Filter", "Filter"] | None) -> DataFrame:
-    """(key, shard, lang, n): keys of the phrases of `size` words that occur `support` times in their shard; for single words also, without a
-    key, the number of words by language. Phrases whose first or last words (one less) are not frequent in the shard, or not
+    """(key, shard, n): keys of the phrases of `size` words that occur `support` times in their shard. Phrases whose first or last words (one less) are not frequent in the shard, or not
     candidates in the whole, are left out before anything is shuffled. Equal keys of different phrases would only add candidates.
     """
     marks = _shard_marks(shards)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, int] = {}
-
         def kinds():
             for langs, shard_of, words in _slices(batches):
                 salt, shard = _salts(langs), np.array(shard_of)[words.text]
-                if size == 1:
-                    for lang, n in zip(langs, np.bincount(words.text, minlength=len(langs)).tolist()):
-                        totals[lang] = totals.get(lang, 0) + n
                 first = words.phrases(size)
                 if shorter is not None:
                     local, whole = shorter
@@ -220,12 +216,9 @@ def mine(rows: DataFrame, size: int, support: int, shards: int, shorter: tuple["
                         yield s, keys[here] ^ marks[s]
 
         yield from _combined(kinds())
-        if totals:
-            yield pa.record_batch([pa.nulls(len(totals), pa.int64()), pa.nulls(len(totals), pa.int32()), pa.array(list(totals), pa.string()),
-                                   pa.array(list(totals.values()), pa.int64())], ["key", "shard", "lang", "n"])
 
-    found = rows.mapInArrow(of, "key long, shard int, lang string, n long").groupBy("key", "shard", "lang").agg(F.sum("n").alias("n"))
-    return found.filter((F.col("n") >= support) | F.col("key").isNull())
+    found = rows.mapInArrow(of, "key long, shard int, n long").groupBy("key", "shard").agg(F.sum("n").alias("n"))
+    return found.filter(F.col("n") >= support)
 
 
 def united(mined: DataFrame, support: int, local: int, shards: int) -> DataFrame:
@@ -239,28 +232,38 @@ def united(mined: DataFrame, support: int, local: int, shards: int) -> DataFrame
 
 
 def count(rows: DataFrame, filters: list[Filter]) -> DataFrame:
-    """(lang, size, phrase, a): exact occurrences, over all shards, of every candidate."""
+    """(lang, size, phrase, a): exact occurrences, over all shards, of every candidate whose parts are candidates; as size 0 all words."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, int] = {}
         for langs, _, words in _slices(batches):
-            names = pa.array(langs, pa.string())
-            salt = _salts(langs)
+            for lang, n in zip(langs, np.bincount(words.text, minlength=len(langs)).tolist()):
+                totals[lang] = totals.get(lang, 0) + n
+            names, salt = pa.array(langs, pa.string()), _salts(langs)
             ids = words.ids(salt)
-            code, chain = ids, None
+            many = int(ids.max()) + 1 if words.count else 1
+            code = ids
             for size, kept in enumerate(filters, 1):
                 first = words.phrases(size)
                 if size > 1:
-                    code = np.zeros(words.count, np.int64)
-                    code[first] = chain[first] * (int(ids.max()) + 1 if words.count else 1) + ids[first + size - 1]
-                _, example, like, n = np.unique(code[first], return_index=True, return_inverse=True, return_counts=True)
-                chain = np.zeros(words.count, np.int64)
-                chain[first] = like
+                    first = first[chain[first] & chain[first + 1]]
+                first = first[kept.holds(words.keys(first, size, salt))]
+                if size > 1:
+                    code = code[first] * many + ids[first + size - 1]
+                else:
+                    code = code[first]
+                _, example, like, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+                chain = np.zeros(words.count + 1, bool)
+                chain[first] = True
+                code = np.zeros(words.count, np.int64)
+                code[first] = like
                 example = first[example]
-                passed = kept.holds(words.keys(example, size, salt))
-                example, n = example[passed], n[passed]
                 for at in range(0, len(example), 100_000):
                     part = example[at:at + 100_000]
                     yield pa.record_batch([names.take(pa.array(words.text[part])), pa.array(np.full(len(part), size, np.int32)),
                                            words.written(part, size), pa.array(n[at:at + 100_000], pa.int64())], ["lang", "size", "phrase", "a"])
+        if totals:
+            yield pa.record_batch([pa.array(list(totals), pa.string()), pa.array([0] * len(totals), pa.int32()), pa.array([""] * len(totals), pa.string()),
+                                   pa.array(list(totals.values()), pa.int64())], ["lang", "size", "phrase", "a"])
 
     return rows.mapInArrow(of, "lang string, size int, phrase string, a long").groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a"))
 
@@ -285,21 +288,19 @@ def collocations(docs: DataFrame, support: int = 10, longest: int = 3, inside: i
         F.pmod(F.xxhash64(f"`{id_column}`"), F.lit(shards)).cast("int").alias("shard"),
         F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"))
     local = -(-support // shards)
-    shorter, filters, totals = None, [], None
+    shorter, filters = None, []
     for size in range(1, longest + 1):
         mined = staged(mine(rows, size, local, shards, shorter), f"mined-{size}")
-        keys = mined.filter("key is not null")
-        many = keys.count()
-        filters.append(Filter(united(keys, support, local, shards), many))
+        many = mined.count()
+        filters.append(Filter(united(mined, support, local, shards), many))
         if size < longest:
-            shorter = (Filter(keys.select("key"), many), filters[-1])
-        totals = mined.filter("key is null").select(F.col("lang").alias(f"{INNER}lang"), F.col("n").alias("n")) if size == 1 else totals
-        if size > 1:
-            drop_staged(mined)
-    counted = staged(count(rows, filters).filter(F.col("a") >= support).withColumn("words", F.split("phrase", " ")), "counted")
+            shorter = (Filter(mined.select("key"), many), filters[-1])
+        drop_staged(mined)
+    counted = staged(count(rows, filters).filter((F.col("a") >= support) | (F.col("size") == 0)).withColumn("words", F.split("phrase", " ")), "counted")
+    totals = counted.filter("size = 0").select(F.col("lang").alias(f"{INNER}lang"), F.col("a").alias("n"))
 
     candidates = counted.filter("size > 1")
-    parts = counted.select("lang", "phrase", "a")
+    parts = counted.filter("size > 0").select("lang", "phrase", "a")
     cuts = candidates.select("lang", "size", "phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k"))
     cuts = cuts.withColumn("left", _part(1, F.col("k"))).withColumn("right", _part(F.col("k") + 1, F.col("size"))).drop("words")
     cuts = keyed_join(cuts, parts.withColumnsRenamed({"phrase": "left", "a": "l"}), ["lang", "left"])
