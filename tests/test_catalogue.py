@@ -111,6 +111,38 @@ def test_lineage_reads_every_clause(spark):
         **{n: (3, True) for n in statements}, "secret": (4, False)}
 
 
+@pytest.mark.parametrize("sql, want", [
+    ("select customer, count(*) from deployments group by customer", {"deployments"}),
+    ("select deployments.x as customer from deployments where y = 'from customer'", {"deployments"}),
+    ("select customer.x from deployments customer", {"deployments"}),
+    ("with customer as (select 1 as x) select * from customer", set()),
+    ("with customer as (select * from customer) select * from customer", {"customer"}),
+    ("with a as (with customer as (select 1) select * from customer) select * from a, customer", {"customer"}),
+    ("with a as (select * from b), b as (select 1) select * from a, b", {"b"}),
+    ("select * from a where exists (select 1 from b where b.x = a.x and b.y in (select y from c))", {"a", "b", "c"}),
+    ("select (select max(x) from b) from a union all select 1 from (select * from c) z", {"a", "b", "c"}),
+    ("select * from a, lateral (select * from b where b.x = a.x) l", {"a", "b"}),
+    ("with recursive r as (select 1 as n union all select n + 1 from r where n < 3) select * from r join a on true", {"a"}),
+    ("SELECT * FROM Db.A JOIN `b` ON 1 = 1", {"db.a", "b"}),
+    ('SELECT "customer" FROM "Deployments"', {"deployments"}),
+    ("select cast(x as varchar) from a join b on 1 = 1", {"cast", "x", "varchar", "a", "join", "b", "on", "select", "from", "as"}),
+    ("", set()), ("nonsense (", {"nonsense"}),
+])
+def test_tables_of_a_statement(spark, sql, want):
+    from tidemark.operators.governance import referenced
+    registry = spark.createDataFrame([("r", sql), ("r2", sql), ("empty", None)], "name STRING, queryString STRING")
+    found = referenced(registry).collect()
+    assert {r["ref"] for r in found if r["name"] == "r"} == {r["ref"] for r in found if r["name"] == "r2"} == want
+    assert spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers") == "false"
+
+
+def test_a_harmless_report_stays_allowed(spark):
+    from tidemark.operators.governance import lineage, protection
+    registry = spark.createDataFrame([("r", "select customer, count(*) from deployments group by customer")], "name STRING, queryString STRING")
+    catalog = spark.createDataFrame([("dev_level_1_database", "deployments"), ("dev_level_4_database", "customer")], "database STRING, table STRING")
+    assert [tuple(r) for r in protection(registry, lineage(registry, catalog)).collect()] == [("r", 3, True)]
+
+
 def test_upsert_keeps_names_unique(spark):
     from tidemark.operators.governance import upsert
     old = spark.createDataFrame([("x", "select 1", "2024")], "name STRING, queryString STRING, created STRING")

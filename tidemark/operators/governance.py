@@ -6,7 +6,10 @@ Catalogue columns: database, table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.errors import ParseException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import lookup_join
@@ -16,12 +19,55 @@ IDENTIFIER = r"([a-z_][a-z0-9_]*(?:\.[a-z_][a-z0-9_]*)*)"
 NAMED = r"(\w+)\s+as\s*\("
 
 
+def relations(spark: SparkSession, sql: str) -> list[list[str]] | None:
+    """Name parts of the tables that a statement reads, by Spark's own parser; None if that cannot parse it.
+
+    Names bound by WITH are resolved by their scope, so that a table of the same name outside of it, or inside its own definition, still
+    counts. Columns, aliases, texts and comments are not tables, whatever they are called.
+    """
+    state = spark._jsparkSession.sessionState()
+    try:
+        plan = spark._jvm.org.apache.spark.sql.catalyst.analysis.CTESubstitution.apply(state.sqlParser().parsePlan(sql))
+    except ParseException:
+        return None
+    found, todo = [], [json.loads(plan.toJSON())]
+    while todo:
+        part = todo.pop()
+        if isinstance(part, dict):
+            if str(part.get("class", "")).endswith(".UnresolvedRelation"):
+                found.append(part["multipartIdentifier"][1:-1].split(", "))
+            todo.extend(part.values())
+        elif isinstance(part, list):
+            todo.extend(part)
+    return found
+
+
 def referenced(registry: DataFrame) -> DataFrame:
-    """(name, ref, table, given): every identifier of a statement, whatever clause it stands in.
+    """(name, ref, table, given): the tables that each statement reads, in lower case; `given` is the database if it is named.
 
-    Texts in quotes and comments are not read, quoted identifiers are; names bound by WITH are left out, row by row.
-    Which of the others are tables is for the catalogue to say.
+    Every different statement is parsed once, by the driver. Of a statement that Spark cannot parse every identifier counts (texts in quotes,
+    comments and names bound by WITH do not): which of them are tables is for the catalogue to say, so no table is missed.
     """
+    spark = registry.sparkSession
+    setting = "spark.sql.ansi.doubleQuotedIdentifiers"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        read = [(r[0], relations(spark, r[0])) for r in registry.select("queryString").dropna().distinct().toLocalIterator()]
+    finally:
+        spark.conf.set(setting, before)
+    rows = [(sql, ".".join(p).lower(), p[-1].lower(), p[-2].lower() if len(p) > 1 else None) for sql, found in read for p in found or []]
+    parsed = spark.createDataFrame(rows, "sql STRING, ref STRING, table STRING, given STRING").distinct()
+    named = lookup_join(registry.select("name", F.col("queryString").alias("sql")), parsed, ["sql"]).select("name", "ref", "table", "given")
+    odd = [(sql,) for sql, found in read if found is None]
+    if not odd:
+        return named
+    strange = registry.join(spark.createDataFrame(odd, "queryString STRING"), "queryString", "left_semi")
+    return named.unionByName(_identifiers(strange))
+
+
+def _identifiers(registry: DataFrame) -> DataFrame:
+    """(name, ref, table, given): every identifier of a statement, whatever clause it stands in, without names bound by WITH."""
     sql = F.regexp_replace(F.regexp_replace(F.lower("queryString"), IGNORED, " "), '["`]', "")
     names = F.array_distinct(F.array_except(F.regexp_extract_all(sql, F.lit(IDENTIFIER), F.lit(1)),
                                             F.regexp_extract_all(sql, F.lit(NAMED), F.lit(1))))

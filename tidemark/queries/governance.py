@@ -10,49 +10,53 @@ from ..session import new_folder
 from ..tables.store import TableStore
 from .registry import query
 
-REGISTRY_SQL = r"""
-    registry AS (SELECT c_name AS name, CASE
-        WHEN c_nationkey = 3 THEN 'DELETE FROM ' || seg
-        WHEN c_nationkey = 4 THEN 'SELECT * FROM ' || seg || ', nation_' || c_nationkey || ' n'
-        WHEN c_nationkey = 5 THEN 'SELECT * FROM (' || seg || ' JOIN nation_' || c_nationkey || ' ON x = y)'
-        WHEN c_nationkey = 6 THEN 'SELECT "a" FROM "' || seg || '" JOIN dev_level_2_database."' || seg || '" ON 1 = 1'
-        WHEN c_nationkey = 7 THEN 'SELECT ''from nation_1'' AS its /* nation_2 */ -- nation_8' || chr(10) || 'FROM nation_' || c_nationkey
-        WHEN c_nationkey < 10 THEN 'SELECT a, cast(year_from AS int) FROM ' || seg || ' JOIN nation_' || c_nationkey
-             || ' ON x = y'
-        WHEN c_nationkey < 20 THEN 'WITH recent AS (SELECT * FROM dev_level_2_database.' || seg
-             || ')' || chr(10) || 'SELECT * FROM recent' || chr(10) || 'LEFT JOIN nation_' || c_nationkey || ' n ON 1 = 1'
-        ELSE 'select * from unknown_table join (select 1) z on true' END AS "queryString",
-        [seg, 'nation_' || c_nationkey] AS tables FROM (SELECT *, lower(c_mktsegment) AS seg FROM customer)),
+def statements(seg, key, other, join):
+    """By nation, a statement over the customer's segment `seg` and `nation_<key>`, composed by `join`. Each line below says what it reads."""
+    return [
+        (0, join("SELECT ", seg, ", count(*) AS nation_", other, " FROM nation_", key, " GROUP BY ", seg)),  # nation
+        (1, join("WITH a AS (WITH ", seg, " AS (SELECT 1 AS x) SELECT * FROM ", seg, ") SELECT * FROM a JOIN nation_", key, " ON 1 = 1")),  # nation
+        (2, join("WITH ", seg, " AS (SELECT * FROM ", seg, ") SELECT * FROM ", seg, " WHERE x IN (SELECT y FROM nation_", key, ")")),  # both
+        (3, join("DELETE FROM ", seg)),  # segment
+        (4, join("SELECT * FROM ", seg, ", nation_", key, " n")),  # both
+        (5, join("SELECT * FROM (", seg, " JOIN nation_", key, " ON x = y)")),  # both
+        (6, join('SELECT "a" FROM "', seg, '" JOIN dev_level_2_database."', seg, '" ON 1 = 1')),  # segment, also of one database
+        (7, join("SELECT 'from nation_1' AS its /* nation_2 */ -- nation_8\n", "FROM nation_", key)),  # nation
+        (8, join("SELECT ", seg, ".x, (SELECT max(nation_", other, ") FROM nation_", key, ") FROM dev_level_1_database.", seg, " AS ", seg)),  # nation, segment of one database
+        (9, join("SELECT a, cast(year_from AS int) FROM ", seg, " JOIN nation_", key, " ON x = y")),  # both
+        (19, join("WITH recent AS (SELECT * FROM dev_level_2_database.", seg, ")\n", "SELECT * FROM recent\n", "LEFT JOIN nation_", key, " n ON 1 = 1")),  # segment of one database, nation
+        (99, join("select * from unknown_table join (select 1) z on true")),  # neither
+    ]
+
+
+def _sql_text(*parts):
+    return " || ".join("'" + p.replace("'", "''") + "'" if p not in (SEG, KEY, OTHER) else p for p in parts)
+
+
+SEG, KEY, OTHER = "lower(c_mktsegment)", "c_nationkey", "(c_nationkey + 1)"
+REGISTRY_SQL = f"""
+    registry AS (SELECT c_name AS name, c_nationkey AS kind, lower(c_mktsegment) AS seg, CASE
+        {" ".join(f"WHEN c_nationkey <= {k} THEN {sql}" for k, sql in statements(SEG, KEY, OTHER, _sql_text))} END AS "queryString" FROM customer),
     catalog AS (
       SELECT DISTINCT 'dev_level_' || (1 + length(c_mktsegment) % 3) || '_database' AS database, lower(c_mktsegment) AS "table"
       FROM customer
       UNION SELECT 'dev_level_2_database', lower(c_mktsegment) FROM customer
       UNION SELECT 'dev_level_' || (1 + n_regionkey % 4) || '_database', 'nation_' || n_nationkey FROM nation),
-    bare AS (SELECT name, "queryString", replace(regexp_replace(regexp_replace(regexp_replace(lower("queryString"),
-               '''[^'']*''', ' ', 'g'), '--[^\n]*', ' ', 'g'), '/\*.*?\*/', ' ', 'gs'), '"', '') AS body FROM registry),
-    refs AS (SELECT name, unnest(list_distinct(regexp_extract_all(body, '[a-z_][a-z0-9_]*(\.[a-z_][a-z0-9_]*)*'))) AS ref,
-                    "queryString" FROM bare),
-    used AS (SELECT name, ref, split_part(ref, '.', -1) AS "table",
-                    CASE WHEN contains(ref, '.') THEN split_part(ref, '.', 1) END AS given FROM refs
-             WHERE NOT list_contains(regexp_extract_all(lower("queryString"), '(\w+)\s+as\s*\(', 1), ref)),
+    used AS (
+      SELECT name, seg AS "table", CASE WHEN kind = 8 THEN 'dev_level_1_database' WHEN kind BETWEEN 10 AND 19 THEN 'dev_level_2_database' END AS given
+      FROM registry WHERE kind BETWEEN 2 AND 6 OR kind BETWEEN 8 AND 19
+      UNION ALL SELECT name, seg, 'dev_level_2_database' FROM registry WHERE kind = 6
+      UNION ALL SELECT name, 'nation_' || kind, NULL FROM registry WHERE kind IN (0, 1, 2, 4, 5, 7, 8, 9) OR kind BETWEEN 10 AND 19),
     lines AS (SELECT DISTINCT name, database, catalog."table" FROM used JOIN catalog ON used."table" = catalog."table"
               WHERE given IS NULL OR given = database)"""
 
 
 def registry(t):
-    seg, key = F.lower("c_mktsegment"), F.col("c_nationkey").cast("string")
-    nation = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    sql = (F.when(F.col("c_nationkey") == 3, F.concat(F.lit("DELETE FROM "), seg))
-           .when(F.col("c_nationkey") == 4, nation("SELECT * FROM ", seg, ", nation_", key, " n"))
-           .when(F.col("c_nationkey") == 5, nation("SELECT * FROM (", seg, " JOIN nation_", key, " ON x = y)"))
-           .when(F.col("c_nationkey") == 6, nation('SELECT "a" FROM "', seg, '" JOIN dev_level_2_database."', seg, '" ON 1 = 1'))
-           .when(F.col("c_nationkey") == 7, nation("SELECT 'from nation_1' AS its /* nation_2 */ -- nation_8\nFROM nation_", key))
-           .when(F.col("c_nationkey") < 10, F.concat(F.lit("SELECT a, cast(year_from AS int) FROM "), seg,
-                                                     F.lit(" JOIN nation_"), key, F.lit(" ON x = y")))
-           .when(F.col("c_nationkey") < 20, F.concat(
-               F.lit("WITH recent AS (SELECT * FROM dev_level_2_database."), seg,
-               F.lit(")\nSELECT * FROM recent\nLEFT JOIN nation_"), key, F.lit(" n ON 1 = 1")))
-           .otherwise("select * from unknown_table join (select 1) z on true"))
+    seg, key, other = F.lower("c_mktsegment"), F.col("c_nationkey").cast("string"), (F.col("c_nationkey") + 1).cast("string")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    sql = None
+    for kind, statement in statements(seg, key, other, text):
+        here = F.col("c_nationkey") <= kind
+        sql = F.when(here, statement) if sql is None else sql.when(here, statement)
     empty = F.lit(None).cast("string")
     return t.customer.select(
         F.col("c_name").alias("name"), sql.alias("queryString"),
