@@ -111,6 +111,44 @@ def test_lineage_reads_every_clause(spark):
         **{n: (3, True) for n in statements}, "secret": (4, False)}
 
 
+def reading(spark, rows):
+    return spark.createDataFrame([(n, q, tables, level, "2024", None, None) for n, q, tables, level in rows], catalogue.REGISTRY)
+
+
+def test_reports_that_read_reports(spark, store, monkeypatch):
+    from tidemark.plans.registry import Graph, report_tables
+    store.write(spark.range(10), "numbers")
+    registry = reading(spark, [
+        ("d", "SELECT b.n + c.n AS n FROM b CROSS JOIN c", ["b", "c"], 3), ("b", "SELECT n * 2 AS n FROM a", ["a"], 3),
+        ("a", "SELECT count(*) AS n FROM numbers", ["numbers"], 2), ("c", "SELECT sum(id) AS n FROM numbers", ["numbers"], 3),
+        ("apart", "SELECT 1 AS n", ["other"], 3)])
+    changed = spark.createDataFrame([("numbers",)], "table STRING")
+    updated, names = refresh(store, registry, changed, None, "now")
+    assert names == ["a", "c", "b", "d"] and Graph(store, registry).waves({"a", "c"}) == [["a", "c"], ["b"], ["d"]]
+    assert store.cached_report("d", 3).first()["n"] == 65
+    assert {r["name"] for r in updated.filter("lastCacheUpdate = 'now'").collect()} == set("abcd")
+    store.write(spark.range(3), "numbers")
+    refresh(store, registry, changed, None, "later")
+    assert store.cached_report("d", 3).first()["n"] == 26 + 48
+    # an unstored report is computed for the one that reads it
+    store.drop_materialized("a", 2)
+    assert refresh(store, registry, spark.createDataFrame([("a",)], "table STRING"), None, "x")[1] == ["a", "b", "d"]
+    assert {tuple(r) for r in report_tables(registry).collect()} >= {("reports_level_2", "a"), ("reports_level_3", "b")}
+
+
+def test_circles_and_higher_levels_are_refused(spark, store):
+    store.write(spark.range(10), "numbers")
+    changed = spark.createDataFrame([("numbers",)], "table STRING")
+    circle = reading(spark, [("a", "SELECT * FROM b", ["b", "numbers"], 3), ("b", "SELECT * FROM a", ["a"], 3)])
+    with pytest.raises(ValueError, match="read each other"):
+        refresh(store, circle, changed, None, "now")
+    assert not store.has_report("a", 3)
+    higher = reading(spark, [("a", "SELECT * FROM numbers", ["numbers"], 3), ("b", "SELECT * FROM a", ["a"], 2)])
+    with pytest.raises(PermissionError):
+        refresh(store, higher, changed, None, "now")
+    assert not store.has_report("b", 2)
+
+
 @pytest.mark.parametrize("sql, want", [
     ("select customer, count(*) from deployments group by customer", {"deployments"}),
     ("select deployments.x as customer from deployments where y = 'from customer'", {"deployments"}),

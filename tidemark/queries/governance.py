@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..operators import governance as G
-from ..plans.registry import delete, refresh
+from ..plans import catalogue
+from ..plans.registry import Graph, delete, export_reports, import_reports, refresh, stored_sql
 from ..session import new_folder
 from ..tables.store import TableStore
-from .registry import query
+from . import reports  # noqa: F401  registers the SQL of the reports
+from .registry import ORACLES, query
+from .roles import Roles
 
 def statements(seg, key, other, join):
     """By nation, a statement over the customer's segment `seg` and `nation_<key>`, composed by `join`. Each line below says what it reads."""
@@ -136,31 +141,95 @@ def report_delete(t):
     return delete(store, registry(t), first).select("name")
 
 
-REPORTS = [
-    ("by_status", "SELECT o_orderstatus AS k, count(*) AS n FROM {orders} GROUP BY o_orderstatus", ["orders"], 3),
-    ("by_flag", "SELECT l_returnflag AS k, count(*) AS n FROM {lineitem} GROUP BY l_returnflag", ["lineitem"], 2),
-    ("by_both", "SELECT o_orderpriority AS k, count(*) AS n FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey "
-                "GROUP BY o_orderpriority", ["lineitem", "orders"], 3),
+#: Report names and the queries that say how many rows each has over the tables of `stored_tables`.
+SIZES = {
+    "ubwExperience": "r_experience", "employeeInformation": "r_employee_information", "ageDistribution": "r_age_distribution",
+    "fagActivity": "r_activity", "employeeSkills": "r_employee_skills", "employeeImages": "r_employee_images",
+    "ageDistributionGroups": "r_age_groups", "basicEmployeeInformation": "r_basic_employee", "allProjectsOverview": "r_all_projects",
+    "newCategories": "r_categories", "projectStatus": "r_project_status", "newCompetenceMotivationAverages": "r_comp_mot_averages",
+    "competenceAmountAggregated": "r_comp_amount", "employeesWithPrimaryCustomer": "r_primary_customer",
+    "employeeProfileInformation": "r_profile", "countEmployees": "r_count_employees", "fullProfile4": "r_profile_unmatched",
+    "employeeCustomers": "r_employee_customers", "workExperienceDistributedInYears": "r_experience_years",
+    "workExperience": "r_work_experience", "debug-marie": "r_comp_amount_rated", "fullProfile7": "r_profile",
+    "newCompetenceAverage": "r_competence_avg", "averageCompetenceAndMotivation": "r_avg_comp_mot", "filteredCategories": "r_categories",
+    "yearsSinceSchoolDist": "r_years_since_school", "degreeDist": "r_degree_distribution", "projectExperience": "r_project_experience",
+    "fagEvents": "r_events", "employeeMotivationAndCompetence": "r_employee_mot_comp", "perProject": "r_per_project",
+    "newMotivationAverage": "r_motivation_avg", "accountManager": "r_account_manager",
+    "employeeMotivationAndCompetence2": "r_employee_mot_comp", "employeeWorkStatus": "r_work_status",
+}
+DAY = date(2024, 6, 30)
+
+
+def sizes_sql(names) -> str:
+    """The queries of these reports counted, those that hang on the day as of DAY."""
+    as_of = lambda sql: sql.replace("2027-01-15", DAY.isoformat()).replace("2003-03-30", DAY.isoformat())
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n FROM ({as_of(ORACLES[SIZES[name]])})" for name in names)
+
+
+def refresh_sql() -> str:
+    return f"""
+    WITH sizes AS ({sizes_sql(SIZES)}
+      UNION ALL SELECT 'jobRotationInformation', 0
+      UNION ALL SELECT 'employeeDataUBW', count(DISTINCT strftime(o_orderdate, '%Y%m')) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    ),
+    results AS (SELECT name, n, NULL AS value FROM sizes
+      UNION ALL SELECT 'people', 1, (SELECT count(*) FROM customer)
+      UNION ALL SELECT 'peoplePerAge', n, (SELECT sum("count") FROM ({ORACLES['r_age_distribution']})) * (SELECT count(*) FROM customer)
+        FROM sizes WHERE name = 'ageDistribution')
+    SELECT name, n, CAST(value AS BIGINT) AS value, CASE name WHEN 'people' THEN 2 WHEN 'peoplePerAge' THEN 3 ELSE 1 END AS wave,
+           '2024-06-30' AS "lastCacheUpdate" FROM results"""
+
+
+def stored_tables(t, store):
+    """The tables that the built-in reports read, stored as their source jobs store them."""
+    r = Roles(t)
+    people = t.customer.select(
+        F.col("c_name").alias("name"), F.concat(F.lit("a"), F.col("c_custkey").cast("string")).alias("alias"),
+        F.col("c_nationkey").alias("experience"), F.lit(None).cast("string").alias("examination_year"),
+        F.col("c_mktsegment").alias("grade"), F.lit("2001").alias("start_year"))
+    weeks = t.events.groupBy(F.concat(F.extract(F.lit("YEAROFWEEK"), "ts").cast("string"), F.weekofyear("ts").cast("string")).alias("reg_period"))
+    day = F.unix_timestamp(F.date_trunc("day", "ts"))
+    events = t.events.select(F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("event_summary"),
+                             day.alias("timestamp_from"), (day + 3600).alias("timestamp_to"))
+    managers = t.supplier.select(F.col("s_name").alias("kunde"), F.concat(F.lit("k"), F.col("s_nationkey").cast("string")).alias("kundeansvarlig"))
+    tables = {
+        "ubw_experience": people, "ubw_fagtimer": weeks.agg(F.count(F.lit(1)).alias("used_hrs")), "cv_partner_employees": r.employees,
+        "cv_partner_education": r.education, "cv_partner_work_experience": r.jobs, "cv_partner_languages": r.languages,
+        "cv_partner_technology_skills": r.skills, "cv_partner_project_experience": r.experience_rows,
+        "cv_partner_employee_images": t.pages.select(F.col("page_id").alias("user_id"), F.col("url").alias("image")),
+        "ubw_customer_per_resource": r.hours, "ubw_per_project_data": r.projects, "active_directory": r.directory,
+        "customer_mapping": r.mapping, "competence_answers": r.answers, "competence_questions": r.questions,
+        "competence_categories": r.categories, "google_calendar_events": events, "account_managers": managers}
+    return store.write_all(tables)
+
+
+#: Reports over reports, and one that replaces a built-in one whose rows are all pairs of a period.
+WRITTEN = [
+    ("people", "SELECT sum(antallAnsatte) AS value FROM countEmployees", ["countEmployees"]),
+    ("peoplePerAge", "SELECT age, a.count * p.value AS value FROM ageDistribution a CROSS JOIN people p", ["ageDistribution", "people"]),
+    ("employeeDataUBW", "SELECT reg_period, count(*) AS rows FROM ubw_customer_per_resource GROUP BY reg_period", ["ubw_customer_per_resource"]),
 ]
 
 
-@query("report_refresh", """
-    SELECT 'by_status' AS name, o_orderstatus AS k, count(*) AS n, '2024-03-03' AS "lastCacheUpdate" FROM orders GROUP BY 2
-    UNION ALL SELECT 'by_both', o_orderpriority, count(*), '2024-03-03' FROM lineitem JOIN orders
-      ON l_orderkey = o_orderkey GROUP BY 2
-    UNION ALL SELECT 'by_flag', NULL, 0, NULL""")
+@query("report_refresh", refresh_sql())
 def report_refresh(t):
-    store = TableStore(t.spark, new_folder(t.spark, "reports"))
-    stored = t.spark.createDataFrame(
-        [(n, s, u, p, "2024-01-01", None, None) for n, s, u, p in REPORTS],
-        "name STRING, queryString STRING, tables ARRAY<STRING>, dataProtection INT, created STRING, lastUsed STRING, "
-        "lastCacheUpdate STRING")
-    run = lambda name, sql: t.spark.sql(sql, orders=t.orders, lineitem=t.lineitem)
-    updated, names = refresh(store, stored, t.spark.createDataFrame([("orders",)], "table STRING"), run, "2024-03-03")
-    levels = {n: p for n, _, _, p in REPORTS}
-    results = None
-    for name in names:
-        one = store.cached_report(name, levels[name]).select(F.lit(name).alias("name"), "k", "n")
-        results = one if results is None else results.unionByName(one)
-    return updated.select("name", "lastCacheUpdate").join(results, "name", "left").select(
-        "name", "k", F.coalesce("n", F.lit(0)).alias("n"), "lastCacheUpdate")
+    """All reports of the catalogue, exported and imported, over their stored tables; some read others."""
+    store, files_of = TableStore(t.spark, new_folder(t.spark, "reports")), new_folder(t.spark, "exported")
+    names = stored_tables(t, store)
+    built_in = catalogue.registry(t.spark, lambda table: 2, "2024-01-01")
+    export_reports(built_in, files_of)
+    imported = import_reports(built_in.limit(0), files_of)
+    own, more = new_folder(t.spark, "exported"), [(n, q, tables, 3, "2024-02-01", None, None) for n, q, tables in WRITTEN]
+    export_reports(t.spark.createDataFrame(more, catalogue.REGISTRY), own)
+    registry = import_reports(imported, own, replace=True)
+    changed = t.spark.createDataFrame([(n,) for n in names], "table STRING")
+    updated, refreshed = refresh(store, registry, changed, stored_sql(store, DAY), "2024-06-30")
+    graph = Graph(store, registry)
+    waves = {name: n for n, wave in enumerate(graph.waves(set(refreshed)), 1) for name in wave}
+    out = None
+    for name in refreshed:
+        stored = store.cached_report(name, 3)
+        value = F.sum("value").cast("bigint") if name in ("people", "peoplePerAge") else F.lit(None).cast("bigint")
+        one = stored.agg(F.count(F.lit(1)).alias("n"), value.alias("value")).select(F.lit(name).alias("name"), "n", "value", F.lit(waves[name]).alias("wave"))
+        out = one if out is None else out.unionByName(one)
+    return out.join(updated.select("name", "lastCacheUpdate"), "name")

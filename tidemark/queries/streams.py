@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from ..functions import presto as P
 from ..functions import signature as S
-from ..plans import feeds
+from ..operators.governance import upsert
+from ..plans import catalogue, feeds
 from ..plans.job import Context
+from ..plans.registry import stored_sql
 from ..session import new_folder
 from ..sources.envelopes import wrap, write_envelopes
 from ..sources.incremental import incremental
 from ..streaming import jobs as J
 from ..tables.store import TableStore
-from .governance import REPORTS
-from .registry import query
+from .governance import DAY, sizes_sql, stored_tables
+from .registry import ORACLES, query
 from .source_jobs import EMOJI_SQL, chat_bodies
 
 SECRET = "top secret"
@@ -140,24 +142,26 @@ def late_period_rule(t):
         "reg_period", "used_hrs", F.coalesce("late", F.lit(0)).alias("late"))
 
 
-@query("stream_refresh_reports", """
-    SELECT 'by_both' AS name, o_orderpriority AS k, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 2
-    UNION ALL SELECT 'by_status', o_orderstatus, count(*) FROM orders GROUP BY 2""")
+STREAMED = ("workExperience", "workExperienceDistributedInYears", "employeeInformation", "employeeProfileInformation", "fullProfile4",
+            "fullProfile7", "yearsSinceSchoolDist", "degreeDist")
+
+
+@query("stream_refresh_reports", f"""
+    SELECT name, n, 1 AS batch FROM ({sizes_sql(STREAMED[:2])}) UNION ALL SELECT name, n, 2 FROM ({sizes_sql(STREAMED[2:])})
+    UNION ALL SELECT 'degrees', (SELECT count(*) FROM ({ORACLES["r_degree_distribution"]})), 2""")
 def stream_refresh_reports(t):
-    """Order rows announce that their table changed; the reports over it are recomputed once per batch."""
+    """Rows of orders and parts announce that the tables made of them changed; the reports over these, and over those reports, are recomputed once per batch."""
     feed, checkpoint = new_folder(t.spark, "feed"), new_folder(t.spark, "stream")
     store = TableStore(t.spark, new_folder(t.spark, "reports"))
-    stored = t.spark.createDataFrame(
-        [(n, s, u, p, "2024-01-01", None, None) for n, s, u, p in REPORTS],
-        "name STRING, queryString STRING, tables ARRAY<STRING>, dataProtection INT, created STRING, lastUsed STRING, "
-        "lastCacheUpdate STRING")
-    changes = t.orders.select(F.lit("orders").alias("table"))
-    land(changes, feed)
-    run = lambda name, sql: t.spark.sql(sql, orders=t.orders, lineitem=t.lineitem)
-    names = J.refresh_reports(stream_of(t, feed, changes.schema), store, lambda: stored, run, "2024-03-03", checkpoint)
-    levels = {n: p for n, _, _, p in REPORTS}
-    parts = [store.cached_report(n, levels[n]).select(F.lit(n).alias("name"), "k", "n") for n in names]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    stored_tables(t, store)
+    more = t.spark.createDataFrame([("degrees", "SELECT * FROM degreeDist", ["degreeDist"], 3, "2024-02-01", None, None)], catalogue.REGISTRY)
+    registry = upsert(catalogue.registry(t.spark, lambda table: 2, "2024-01-01"), more)
+    out = None
+    for batch, (rows, table) in enumerate([(t.orders, "cv_partner_work_experience"), (t.part, "cv_partner_education")], 1):
+        changes = rows.select(F.lit(table).alias("table"))
+        land(changes, feed)
+        names = J.refresh_reports(stream_of(t, feed, changes.schema), store, lambda: registry, stored_sql(store, DAY), "2024-03-03", checkpoint)
+        for name in names:
+            one = store.cached_report(name, 3).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n", F.lit(batch).alias("batch"))
+            out = one if out is None else out.unionByName(one)
     return out

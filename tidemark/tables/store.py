@@ -205,6 +205,9 @@ class TableStore:
             if log.commit(replace(now, number=now.number + 1, writes=(folder,), schema=df.schema.json())):
                 return target
 
+    def has_report(self, name: str, level: int) -> bool:
+        return bool(Commits(self.spark, self.report_path(name, level)).latest().writes)
+
     def drop_materialized(self, name: str, level: int) -> None:
         files.remove(self.spark, self.report_path(name, level))
 
