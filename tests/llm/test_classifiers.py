@@ -53,6 +53,41 @@ def test_factors_learn_pairs():
     assert sum((scorer.probability(t) > 0.5) == y for t, y in texts[2500:]) >= 480
 
 
+def rare_pair_rows(n, vocabulary=40_000, length=120):
+    """Two words that say nothing alone, among many words of a large vocabulary."""
+    rng = random.Random(11)
+    out = []
+    for _ in range(n):
+        a, b = rng.random() < .5, rng.random() < .5
+        text = [f"w{rng.randrange(vocabulary)}" for _ in range(length)] + ["insult"] * a + ["group"] * b
+        out.append((toxicity.terms(" ".join(text)), int(a == b)))
+    return out
+
+
+def test_pairs_are_learned_in_a_large_vocabulary():
+    rows = rare_pair_rows(3600)
+    right = {}
+    for name, penalties in (("pairs", (0.5, 2.0)), ("additive", (0.5, 1e9))):
+        m = toxicity.train(rows[:3000], penalties=penalties)
+        right[name] = sum((toxicity.logit(m.places(f), m) > 0) == y for f, y in rows[3000:]) / 600
+    assert right["pairs"] >= 0.8 and right["additive"] < 0.6, right
+
+
+def test_every_bucket_of_the_rows_takes_part():
+    """No bucket is left out before training: with penalties of zero all of them keep a weight."""
+    rows = rare_pair_rows(200)
+    m = toxicity.train(rows, penalties=(0.0, 0.0), epochs=2, settle=1)
+    assert set(m.buckets) == {b for f, _ in rows for b in f.tolist()} and (m.weights != 0).mean() > 0.9
+
+
+def test_training_edges():
+    none = np.zeros(0, np.int64)
+    assert len(toxicity.train([]).buckets) == 0 and len(toxicity.train([(none, 1)]).buckets) == 0
+    m = toxicity.train([(none, 1), (none, 0), (np.array([3, 9]), 1), (np.array([4]), 0)] * 30)
+    assert all(0 < toxicity.logit(m.places(np.array(p)), m) for p in ([3, 9],)) and toxicity.logit(m.places(np.array([4])), m) < 0
+    assert np.isfinite(toxicity.logit(m.places(np.array([77])), m))
+
+
 def test_logit_equals_the_sum_over_pairs():
     rng = np.random.default_rng(0)
     m = toxicity.Machine(.3, np.arange(9), rng.normal(size=9), rng.normal(size=(9, 4)))

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import labelled_sample
 
-#: Hash buckets, size of an interaction vector, letters of the two stems of a word, buckets that get weights, bound of the sample.
-BUCKETS, FACTORS, STEMS, CHOSEN, SAMPLE_ROWS = 1 << 20, 8, (4, 6), 512, 6000
+#: Hash buckets, size of an interaction vector, letters of the two stems of a word, bound of the sample.
+BUCKETS, FACTORS, STEMS, SAMPLE_ROWS = 1 << 20, 8, (4, 6), 6000
 #: Words a task remembers.
 REMEMBERED = 400_000
 
@@ -38,7 +38,7 @@ def terms(text: str) -> np.ndarray:
 
 @dataclass
 class Machine:
-    """Logit: bias + sum of weights + sum over pairs of <vector, vector>, over the chosen buckets that a text holds."""
+    """Logit: bias + sum of weights + sum over pairs of <vector, vector>, over the buckets that a text holds and training left."""
 
     bias: float
     buckets: np.ndarray  # sorted
@@ -78,67 +78,78 @@ def logit(places: np.ndarray, machine: Machine) -> float:
     return float(machine.bias + machine.weights[places].sum() + pairs)
 
 
-def choose(rows: list[tuple[np.ndarray, int]], most: int = CHOSEN, least: int = 4) -> np.ndarray:
-    """The `most` buckets of at least `least` texts whose presence tells the labels apart best, by likelihood ratio."""
-    every = np.concatenate([f for f, _ in rows]) if rows else np.zeros(0, np.int64)
-    buckets, at = np.unique(every, return_inverse=True)
-    label = np.repeat(np.array([y for _, y in rows], np.int64), [len(f) for f, _ in rows])
-    n1 = sum(y for _, y in rows)
-    n0 = len(rows) - n1
-    d1, d0 = np.bincount(at, label, len(buckets)), np.bincount(at, 1 - label, len(buckets))
-    p1, p0, p = (d1 + .5) / (n1 + 1), (d0 + .5) / (n0 + 1), (d1 + d0 + .5) / (n1 + n0 + 1)
-    gain = d1 * np.log(p1 / p) + d0 * np.log(p0 / p) + (n1 - d1) * np.log((1 - p1) / (1 - p)) + (n0 - d0) * np.log((1 - p0) / (1 - p))
-    often = np.flatnonzero(d1 + d0 >= least)
-    return np.sort(buckets[often[np.argsort(-gain[often], kind="stable")[:most]]])
-
-
-def train(rows: list[tuple[np.ndarray, int]], epochs: int = 12, rate: float = 0.2, batch: int = 128, decay: float = 1e-4,
-          seed: int = 5) -> Machine:
-    """Fit by Adagrad on the logistic loss over (terms, label), both labels weighing alike in sum.
+def train(rows: list[tuple[np.ndarray, int]], epochs: int = 40, settle: int = 12, rate: float = 0.2, batch: int = 256, penalties: tuple[float, float] = (0.5, 2.0),
+          support: float = 5, decay: float = 1e-4, seed: int = 5) -> Machine:
+    """Fit on the logistic loss over (terms, label), both labels weighing alike in sum; every bucket of the rows has a weight and a vector.
 
+    Adagrad with proximal steps: after each step a weight, and a vector as a whole, shrinks towards zero by its penalty, in units of the largest
+    gradient that one row can have. So what only a few rows carry falls to exactly zero and what many rows agree on stays, alone or
+    in a pair. For the last `settle` epochs the penalties are a quarter, over what is left. A bucket of n rows counts by n / (n + support).
     One label only: that label's prior.
     """
     rng = np.random.default_rng(seed)
     positive = sum(y for _, y in rows)
     bias = float(np.log((positive + 1) / (len(rows) - positive + 1)))
-    machine = Machine(bias, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
     if not 0 < positive < len(rows):
-        return machine
+        return Machine(bias, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
     share = positive / len(rows)
-    machine.buckets = choose(rows)
-    size = len(machine.buckets)
-    machine.weights, machine.vectors = np.zeros(size), rng.normal(0, 0.01, (size, FACTORS))
-    squares_w, squares_v, square_b = np.full(size, 1e-6), np.full((size, FACTORS), 1e-6), 1e-6
-    placed = [machine.places(f) for f, _ in rows]
     label = np.array([y for _, y in rows])
-    weight = np.where(label == 1, 0.5 / share, 0.5 / (1 - share))
-    for _ in range(epochs):
-        order = rng.permutation(len(placed))
-        for at in range(0, len(order), batch):
-            part = order[at:at + batch]
-            places = np.concatenate([placed[i] for i in part])
-            lengths = np.array([len(placed[i]) for i in part])
-            ends = np.concatenate([[0], lengths.cumsum()])
-            row = np.repeat(np.arange(len(part)), lengths)
-
-            def by_row(values):
-                sums = np.concatenate([np.zeros((1, *values.shape[1:])), values.cumsum(axis=0)])
-                return sums[ends[1:]] - sums[ends[:-1]]
-
-            vectors = machine.vectors[places]
-            total = by_row(vectors)
-            z = machine.bias + by_row(machine.weights[places]) + 0.5 * ((total ** 2) - by_row(vectors ** 2)).sum(axis=1)
-            d = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label[part]) * weight[part]
-            g_w = np.bincount(places, d[row], size) + decay * len(part) * machine.weights
-            g_v = decay * len(part) * machine.vectors
-            np.add.at(g_v, places, d[row, None] * (total[row] - vectors))
-            squares_w += g_w ** 2
-            squares_v += g_v ** 2
-            square_b += d.sum() ** 2
-            machine.weights -= rate * g_w / np.sqrt(squares_w)
-            machine.vectors -= 0.1 * rate * g_v / np.sqrt(squares_v)
-            machine.bias -= rate * d.sum() / np.sqrt(square_b)
-    return machine
+    importance = np.where(label == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+    shrink_w, shrink_v = (p * float(importance.max()) for p in penalties)
+    buckets, at, often = np.unique(np.concatenate([f for f, _ in rows]), return_inverse=True, return_counts=True)
+    ends = np.concatenate([[0], np.cumsum([len(f) for f, _ in rows])])
+    trust = (often / (often + support)).astype(np.float32)
+    weights, vectors = np.zeros(len(buckets), np.float32), rng.normal(0, 0.05, (len(buckets), FACTORS)).astype(np.float32)
+    squares_w, squares_v, square_b = np.full(len(buckets), 1e-6, np.float32), np.full(len(buckets), 1e-6, np.float32), 1e-6
+
+    def step(part: np.ndarray) -> None:
+        nonlocal bias, square_b
+        places = np.concatenate([at[ends[i]:ends[i + 1]] for i in part])
+        lengths = ends[part + 1] - ends[part]
+        row, filled = np.repeat(np.arange(len(part)), lengths), lengths > 0
+        starts = (np.cumsum(lengths) - lengths)[filled]
+
+        def by_row(values: np.ndarray) -> np.ndarray:
+            out = np.zeros((len(part), *values.shape[1:]), np.float32)
+            if len(starts):
+                out[filled] = np.add.reduceat(values, starts, axis=0)
+            return out
+
+        value = trust[places]
+        scaled = value[:, None] * vectors[places]
+        total = by_row(scaled)
+        z = bias + by_row(value * weights[places]) + 0.5 * ((total ** 2) - by_row(scaled ** 2)).sum(axis=1)
+        d = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - label[part]) * importance[part]).astype(np.float32)
+        square_b += float(d.sum()) ** 2
+        bias -= rate * float(d.sum()) / square_b ** 0.5
+        if not len(places):
+            return
+        here, back = np.unique(places, return_inverse=True)
+        order = np.argsort(back, kind="stable")
+        first = np.searchsorted(back[order], np.arange(len(here)))
+        g_w = np.bincount(back, d[row] * value, len(here)).astype(np.float32) + decay * len(part) * weights[here]
+        g_v = np.add.reduceat((d[row, None] * value[:, None] * (total[row] - scaled))[order], first, axis=0) + decay * len(part) * vectors[here]
+        squares_w[here] += g_w ** 2
+        squares_v[here] += (g_v ** 2).mean(axis=1)
+        size_w, size_v = rate / np.sqrt(squares_w[here]), 0.25 * rate / np.sqrt(squares_v[here])
+        w = weights[here] - size_w * g_w
+        weights[here] = np.sign(w) * np.maximum(0, np.abs(w) - size_w * shrink_w)
+        v = vectors[here] - size_v[:, None] * g_v
+        norm = np.maximum(np.sqrt((v ** 2).sum(axis=1)), 1e-9)
+        vectors[here] = v * np.maximum(0, 1 - size_v * shrink_v / norm)[:, None]
+
+    for epoch in range(epochs):
+        if epoch == epochs - settle:
+            shrink_w, shrink_v = shrink_w / 4, shrink_v / 4
+            left = (weights != 0) | (vectors != 0).any(axis=1)
+            keep = left[at]
+            ends = np.concatenate([[0], np.cumsum(keep)])[ends]
+            at = (np.cumsum(left) - 1)[at[keep]]
+            buckets, trust, weights, vectors, squares_w, squares_v = (x[left] for x in (buckets, trust, weights, vectors, squares_w, squares_v))
+        order = rng.permutation(len(rows))
+        for begin in range(0, len(order), batch):
+            step(order[begin:begin + batch])
+    return Machine(bias, buckets, (trust * weights).astype(float), (trust[:, None] * vectors).astype(float))
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Column], label: str = "toxic",
