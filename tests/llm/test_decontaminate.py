@@ -125,3 +125,38 @@ def test_query_returns_every_item(spark, folder):
     got = {r.doc_id: r for r in QUERIES["op7_decontaminate"](spark, where).collect()}
     assert [tuple(h) for h in got[1].hits] == [(4, 12, 12), (9, 30, 30)] and got[1].item_id == 4
     assert got[2].hits == [] and not got[2].contaminated
+
+
+def test_repeated_words_at_length():
+    """20,000 equal words against themselves, and long periodic sequences, in little memory."""
+    import time
+    import tracemalloc
+    same = np.zeros(20_000, np.int64)
+    period, other = np.tile(np.arange(7), 2000), np.tile(np.arange(11) % 7, 1500)
+    for item, text, want in ((same, same, [(0, 0, 20_000)]), (period, period, [(0, 0, 14_000)]), (period, other, None), (same[:5000], period % 2, None)):
+        tracemalloc.start()
+        began, found = time.time(), d.tiles(item, text)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert want is None or found == want
+        assert peak < 100e6 and time.time() - began < 60
+        assert all((item[p:p + n] == text[t:t + n]).all() for p, t, n in found)
+
+
+def test_equal_hashes_are_compared(monkeypatch):
+    """With windows that all hash alike the tiles are the same."""
+    rng = random.Random(5)
+    item, text = (np.array([rng.randrange(3) for _ in range(40)], np.int64) for _ in range(2))
+    want = d.tiles(item, text, 3)
+    monkeypatch.setattr(d.Windows, "free", lambda self, free, size, real=d.Windows.free: (lambda r: (r[0], r[1] * np.uint64(0)))(real(self, free, size)))
+    assert d.tiles(item, text, 3) == want
+
+
+def test_item_ids_of_any_type(spark):
+    benchmark = spark.createDataFrame([("gsm8k/1", "one two three four five six"), ("gsm8k/0", "one two three four five six"), (None, "a b c d e f g"),
+                                       ("", "seven eight nine ten eleven")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "say one two three four five six now"), (2, "a b c d e f g"), (3, "x"), (4, "seven eight nine ten eleven")], "doc_id long, text string")
+    out = {r.doc_id: r for r in d.contamination(docs, benchmark, full=True).collect()}
+    assert (out[1].item_id, out[1].n_items, [h.item_id for h in out[1].hits]) == ("gsm8k/0", 2, ["gsm8k/0", "gsm8k/1"])
+    assert out[2].contaminated and out[2].item_id is None and not out[3].contaminated and out[4].item_id == ""
+    assert [r.doc_id for r in d.drop_contaminated(docs, benchmark).collect()] == [3]

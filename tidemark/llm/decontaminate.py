@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import re
 from typing import Iterator
 
@@ -10,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import INNER, small_batches, staged
 
@@ -17,6 +18,7 @@ from .common import INNER, small_batches, staged
 LEAST, COVERAGE, BLOCK_BYTES = 5, 0.8, 8 << 20
 #: Base of the rolling hash (modulo 2^64), an odd constant.
 BASE = np.uint64(0x9E3779B97F4A7C15)
+BACK = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 _WORD = re.compile(r"\w+")
 
@@ -34,53 +36,84 @@ def rolling(tokens: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def matches(item: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(length, place in item, place in text) of the maximal equal runs of `least` tokens or more.
+class Windows:
+    """Hashes of all windows of any length of a token sequence: differences of one running sum."""
 
-    Windows of equal Karp-Rabin hash are compared token by token; neighbours on a diagonal are one run. Negative
-    tokens equal nothing.
-    """
-    own, theirs = rolling(item, least), rolling(text, least)
-    order = np.argsort(own, kind="stable")
-    low, high = np.searchsorted(own[order], theirs, "left"), np.searchsorted(own[order], theirs, "right")
-    at_text = np.repeat(np.arange(len(theirs)), high - low)
-    first = np.repeat(low, high - low)
-    nth = np.arange(len(at_text)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-    at_item = order[first + nth]
-    same = np.ones(len(at_text), bool)
-    for i in range(least):
-        same &= (item[at_item + i] == text[at_text + i]) & (item[at_item + i] >= 0)
-    at_item, at_text = at_item[same], at_text[same]
-    order = np.lexsort((at_text, at_text - at_item))
-    at_item, at_text = at_item[order], at_text[order]
-    starts = np.flatnonzero(np.concatenate([[True], (np.diff(at_text) != 1) | (np.diff(at_item) != 1)])) if len(at_text) else at_text
-    lengths = np.diff(np.append(starts, len(at_text))) + least - 1
-    return list(zip(lengths.tolist(), at_item[starts].tolist(), at_text[starts].tolist()))
+    def __init__(self, tokens: np.ndarray):
+        steps = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(tokens), BASE)]), dtype=np.uint64)
+        mixed = (tokens.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed * steps[:-1], dtype=np.uint64)])
+        self.back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(tokens), BACK)]), dtype=np.uint64)
+
+    def free(self, free: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, hashes) of the windows of `size` tokens that are free throughout, by place."""
+        taken = np.concatenate([[0], np.cumsum(~free)])
+        places = np.flatnonzero(taken[size:] == taken[:-size])
+        return places, (self.sums[places + size] - self.sums[places]) * self.back[places]
 
 
 def tiles(item: np.ndarray, text: np.ndarray, least: int = LEAST) -> list[tuple[int, int, int]]:
     """Greedy string tiling: the longest match whose tokens are all unmarked becomes a tile and is marked, again and again.
 
-    A match that lies partly under a tile goes back as its unmarked runs, so every step sees the longest match there is.
-    Equal lengths: the earlier place in the item, then in the text.
+    The greatest length at which unmarked windows of both still agree is found by halving, with Karp-Rabin hashes; all matches of that
+    length are marked before a shorter one is looked for. Windows of equal hash are compared token by token. Equal
+    lengths: the earlier place in the item, then in the text. Negative tokens equal nothing. Memory is linear in both sequences, however often
+    tokens repeat.
     """
-    free_item, free_text = np.ones(len(item), bool), np.ones(len(text), bool)
-    heap = [(-n, p, t) for n, p, t in matches(item, text, least)]
-    heapq.heapify(heap)
-    out, open_tokens = [], len(item)
-    while heap and open_tokens >= least:
-        n, p, t = heapq.heappop(heap)
-        n = -n
-        free = free_item[p:p + n] & free_text[t:t + n]
-        if free.all():
-            free_item[p:p + n] = free_text[t:t + n] = False
-            out.append((p, t, n))
-            open_tokens -= n
-        elif free.any():
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
-            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()):
-                if b - a >= least:
-                    heapq.heappush(heap, (a - b, p + a, t + a))
+    free_item, free_text = item >= 0, text >= 0
+    own, theirs = Windows(item), Windows(text)
+    out: list[tuple[int, int, int]] = []
+
+    def equal(p: int, t: int, size: int) -> bool:
+        return bool((item[p:p + size] == text[t:t + size]).all())
+
+    def shared(size: int):
+        """Places in the item of windows of this size that the text has too, with the places of equal hash there."""
+        places, hashes = own.free(free_item, size)
+        others, found = theirs.free(free_text, size)
+        order = np.argsort(found, kind="stable")
+        found, others = found[order], others[order]
+        low, high = np.searchsorted(found, hashes, "left"), np.searchsorted(found, hashes, "right")
+        hit = np.flatnonzero(low < high)
+        return [(places[i], low[i], high[i]) for i in hit], others
+
+    def any_shared(size: int) -> bool:
+        found, others = shared(size)
+        return any(equal(p, others[t], size) for p, low, high in found for t in range(low, high))
+
+    most = min(len(item), len(text))
+    while most >= least:
+        low, high = least - 1, most  # a match of size `low` exists (or is too short), none above `high`
+        while low < high:
+            middle = (low + high + 1) // 2
+            if any_shared(middle):
+                low = middle
+            else:
+                high = middle - 1
+        size = low
+        if size < least:
+            break
+        found, others = shared(size)
+        passed: dict[int, int] = {}
+        for p, first, end in found:
+            # windows were free when this size began: tiles of the same size cover one of their ends or nothing
+            if not (free_item[p] and free_item[p + size - 1]):
+                continue
+            at, gone = passed.get(first, first), True
+            for i in range(at, end):
+                t = others[i]
+                if not (free_text[t] and free_text[t + size - 1]):
+                    at = i + 1 if gone else at
+                    continue
+                if equal(p, t, size):
+                    free_item[p:p + size] = free_text[t:t + size] = False
+                    out.append((int(p), int(t), size))
+                    at = i + 1 if gone else at
+                    break
+                gone = False
+            passed[first] = at
+        most = size - 1
     return out
 
 
@@ -120,7 +153,7 @@ class Index:
         found = np.unique(hashes[hit])
         owners = {int(o) for h in found for o in self.owner[np.searchsorted(self.seeds, h, "left"):np.searchsorted(self.seeds, h, "right")]}
         out = []
-        for o in sorted(owners, key=lambda o: (self.ids[o] is None, self.ids[o] or 0, o)):
+        for o in sorted(owners, key=lambda o: (True, o) if self.ids[o] is None else (False, self.ids[o], o)):
             item = self.items[o]
             shared = np.isin(rolling(item, self.least), found)
             most = np.zeros(len(item), bool)
@@ -134,12 +167,14 @@ class Index:
         return out
 
 
-HITS = "array<struct<item_id bigint, matched int, words int>>"
+def hits_type(item_id: T.DataType) -> T.ArrayType:
+    """Of the array of found items, whose ids are of any type."""
+    return T.ArrayType(T.StructType([T.StructField("item_id", item_id), T.StructField("matched", T.IntegerType()), T.StructField("words", T.IntegerType())]))
 
 
 def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, id_column: str = "item_id", text_column: str = "text") -> Iterator[list]:
     """The items (id, text), distinct, in lists of about `block_bytes`: what is sent to the executors at once is bounded."""
-    items = benchmark.select(F.col(f"`{id_column}`").cast("long").alias("item_id"), F.col(f"`{text_column}`").alias("text")).dropna(
+    items = benchmark.select(F.col(f"`{id_column}`").alias("item_id"), F.col(f"`{text_column}`").alias("text")).dropna(
         subset=["text"]).distinct()
     size = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     count = max(1, -(-size // block_bytes))
@@ -148,7 +183,7 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, id_column: str
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, column: str, coverage: float = COVERAGE, least: int = LEAST,
-              text_column: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+              text_column: str = "text", block_bytes: int = BLOCK_BYTES, item_column: str = "item_id") -> DataFrame:
     """`docs` with an array column of (item_id, matched, words) for every benchmark item that a text contains.
 
     Texts and items are lower-cased word sequences. Seeds of `least` words that both share lead to candidate items; greedy string
@@ -158,20 +193,21 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, column: str, coverage: floa
     Work is local to a row. The benchmark is taken in blocks of bounded size, one pass each; between two passes documents are staged.
     Null texts are empty; null item texts are passed over; repeated items count once; an empty benchmark gives empty arrays.
     """
-    docs, found = small_batches(docs), F.array().cast(HITS)
-    for b, items in enumerate(blocks(benchmark, block_bytes)):
+    kind = hits_type(benchmark.schema[item_column].dataType)
+    docs, found = small_batches(docs), F.array().cast(kind)
+    for b, items in enumerate(blocks(benchmark, block_bytes, item_column)):
         if b:
             docs = staged(docs.withColumn(column, found), "hits")
             found = F.col(f"`{column}`")
         sent = docs.sparkSession.sparkContext.broadcast(items)
-        found = F.concat(found, _search(F.col(f"`{text_column}`"), sent, least, coverage))
+        found = F.concat(found, _search(F.col(f"`{text_column}`"), sent, least, coverage, kind))
     return docs.withColumn(column, found)
 
 
-def _search(text: Column, sent, least: int, coverage: float) -> Column:
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("matched", pa.int32()), ("words", pa.int32())]))
+def _search(text: Column, sent, least: int, coverage: float, hits: T.ArrayType) -> Column:
+    kind = to_arrow_type(hits)
 
-    @F.arrow_udf(HITS)
+    @F.arrow_udf(hits)
     def of(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = Index(sent.value, least, coverage)
         for column in columns:
@@ -186,11 +222,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     """
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{how.pop('text_column', 'text')}`").alias("text"))
     hits = with_hits(rows, benchmark, "hits", **how)
-    best = F.array_max(F.transform("hits", lambda h: F.struct(
-        (h["matched"] / h["words"]).alias("coverage"), (-h["item_id"]).alias("minus"))))
-    return hits.select("doc_id", best.alias("best"), F.size("hits").alias("n_items"), F.sort_array("hits").alias("hits")).select(
-        "doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", (-F.col("best.minus")).alias("item_id"),
-        F.col("best.coverage").alias("coverage"), *(["hits"] if full else []))
+    share = lambda h: h["matched"] / h["words"]
+    hits = hits.withColumn("coverage", F.array_max(F.transform("hits", share)))
+    best = F.array_min(F.transform(F.filter("hits", lambda h: share(h) == F.col("coverage")), lambda h: h["item_id"]))
+    return hits.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").alias("n_items"), best.alias("item_id"),
+                       "coverage", *([F.sort_array("hits").alias("hits")] if full else []))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
