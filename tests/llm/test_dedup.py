@@ -88,8 +88,7 @@ def test_simhash_cases(spark):
     assert got[100][1] == got[101][1] == 100
 
 
-@pytest.mark.parametrize("distance", [1, 2])
-@pytest.mark.parametrize("bucket", [1, 4, 64])
+@pytest.mark.parametrize("distance, bucket", [(1, 1), (1, 4), (1, 64), (2, 1), (2, 4), (2, 64), (0, 64), (3, 4), (3, 64), (4, 8), (4, 64), (6, 10_000)])
 def test_links_do_not_depend_on_the_bucket_bound(spark, distance, bucket):
     rng = random.Random(distance)
     centres = [rng.getrandbits(64) for _ in range(6)]
@@ -118,3 +117,18 @@ def test_simhash_drop(spark):
     out = simhash.drop_near_duplicates(frame(spark, docs))
     assert sorted(str(r.doc_id) for r in out.collect()) == ["3", "8", "None"]
     assert out.columns == ["doc_id", "text", "hash", "fp", "kept"]
+
+
+def test_simhash_drop_tells_rows_of_one_id_apart(spark):
+    docs = [(1, "a b c d"), (2, "a b c d"), (2, "w x y z k"), (2, "w x y z k"), (7, None), (7, "a b c d"), (7, "p q r s t u"), (9, "p q r s t u"), (None, "w x y z k")]
+    out = sorted((r.doc_id or 0, r.text) for r in simhash.drop_near_duplicates(frame(spark, docs)).collect())
+    assert out == [(0, "w x y z k"), (1, "a b c d"), (2, "w x y z k"), (7, None), (7, "p q r s t u")]
+    several = spark.createDataFrame([(1, "x y z v", {"k": 1}), (1, "x y z v", {"k": 2}), (2, "x y z v", None)], "doc_id long, text string, m map<string,int>")
+    assert simhash.drop_near_duplicates(several).count() == 1
+
+
+def test_segments_cannot_all_be_passed():
+    for distance in range(1, 12):
+        found = simhash.segments(distance)
+        assert sum(w for _, w, _ in found) == 64 and sum(r + 1 for _, _, r in found) == distance + 1
+        assert all(r in (0, 1) for _, _, r in found)

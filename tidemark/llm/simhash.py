@@ -46,9 +46,14 @@ def simhash(text: Column, size: int = 3) -> Column:
 
 
 def segments(distance: int) -> list[tuple[int, int, int]]:
-    """(shift, width, radius) of the two halves: fingerprints within `distance` differ by at most radius in one of them."""
-    half, odd = divmod(distance, 2)
-    return [(32, 32, half), (0, 32, half if odd else half - 1)]
+    """(shift, width, radius) of the segments: fingerprints within `distance` differ by at most radius bits in one of them.
+
+    Radii are 1 or 0: more segments instead of larger balls. The radii plus one each add up to distance + 1, so not all can be passed.
+    """
+    count = max(2, distance // 2 + 1)
+    radii = [1] * (distance + 1 - count) + [0] * (2 * count - distance - 1)
+    starts = [BITS * i // count for i in range(count + 1)]
+    return [(BITS - b, b - a, r) for a, b, r in zip(starts, starts[1:], radii)]
 
 
 def _masks(width: int, radius: int) -> list[int]:
@@ -71,7 +76,7 @@ def _longs(values: list[int]) -> Column:
 
 
 def _lookups(i: int, shift: int, width: int, radius: int) -> Column:
-    """The keys to look up for half i: its own value, and those values of its Hamming ball that are larger."""
+    """The keys to look up for segment i: its own value, and those values of its Hamming ball that are larger."""
     value = _value(shift, width)
     upward = F.filter(_longs(_masks(width, radius)), lambda m: (m == 0) | (value.bitwiseXOR(m) > value))
     return F.transform(upward, lambda m: F.struct(
@@ -81,16 +86,18 @@ def _lookups(i: int, shift: int, width: int, radius: int) -> Column:
 def near_links(fingerprints: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFrame:
     """(a, b) links of distinct fingerprints (column `fp`), so that fingerprints within `distance` bits are connected.
 
-    Multi-index hashing: one table per 32-bit half; the query side enumerates the Hamming ball around its half, fetches the table's
-    fingerprints of equal value and verifies the complete distance. Of a half and its flips only the larger values are
-    looked up, since the other end of the pair finds the rest.
+    Multi-index hashing: one table per segment; the query side enumerates the Hamming ball around its segment, fetches the table's
+    fingerprints of equal value and verifies the complete distance. Of a segment and its flips only the larger values are
+    looked up, since the other end of the pair finds the rest. Any distance from 0 up; beyond 4 crowded buckets become dear.
 
     A bucket with more than `bucket` fingerprints would give all its pairs, so the fingerprints that touch one are linked
-    exactly in another way: two of them are within 2 bits just when their balls of radius 1 share a member (1 bit: when they agree
-    after clearing one bit). At most 65 fingerprints hold the same such key, and each is linked to the smallest of them.
+    exactly in another way: two of them are within 2r bits just when their balls of radius r share a member (2r + 1 bits: when they do
+    after clearing one bit). At most as many fingerprints as a ball has members hold the same such key, and each is linked to the smallest of them.
     """
-    if distance not in (1, 2):
-        raise ValueError("distance must be 1 or 2")
+    if distance < 0:
+        raise ValueError("distance must not be negative")
+    if not distance:
+        return fingerprints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).filter("a != b")
     fp = F.col("fp")
     halves = segments(distance)
     entries = F.array(*[F.struct(F.lit(i).alias("segment"), _value(shift, width).alias("value"))
@@ -107,10 +114,12 @@ def near_links(fingerprints: DataFrame, distance: int = 2, bucket: int = BUCKET)
 
     crowded = keyed_join(lookups.select("fp", *key), full, key, "left_semi").select("fp").union(
         keyed_join(table, full, key, "left_semi").select("fp")).distinct()
-    if distance == 2:
-        keys = F.transform(_longs(_masks(BITS, 1)), lambda m: F.struct(F.lit(0).cast("long").alias("bit"), fp.bitwiseXOR(m).alias("rest")))
+    ball = _masks(BITS, distance // 2)
+    if distance % 2 == 0:
+        keys = F.transform(_longs(ball), lambda m: F.struct(F.lit(0).cast("long").alias("bit"), fp.bitwiseXOR(m).alias("rest")))
     else:
-        keys = F.transform(_longs(_masks(BITS, 1)[1:]), lambda m: F.struct(m.alias("bit"), fp.bitwiseAND(F.bitwise_not(m)).alias("rest")))
+        keys = F.flatten(F.transform(_longs(_masks(BITS, 1)[1:]), lambda bit: F.transform(_longs(ball), lambda m: F.struct(
+            bit.alias("bit"), fp.bitwiseXOR(m).bitwiseAND(F.bitwise_not(bit)).alias("rest")))))
     members = crowded.select(fp, F.explode(keys).alias("k")).groupBy("k").agg(F.collect_set("fp").alias("fps"))
     stars = members.filter(F.size("fps") > 1).select(F.explode("fps").alias("a"), F.array_min("fps").alias("b"))
     return links.union(stars.filter("a != b")).distinct()
@@ -125,6 +134,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2, id_column
     empty; texts without words have fingerprint zero and are linked like others. Null ids keep their row and are passed over for
     component_id (null if no other id is there). An empty table gives no rows; other columns are not read.
     """
+    return _classes(docs, size, distance, id_column, text_column).select("doc_id", "fingerprint", "component_id")
+
+
+def _classes(docs: DataFrame, size: int, distance: int, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, fingerprint, component_id, component): component tells classes apart, also those that begin with rows of one id."""
     prints = staged(texts(docs, id_column, text_column).select("doc_id", simhash(F.col("text"), size).alias("fp")), "prints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     found = connected_components(near_links(distinct.select("fp"), distance), "a", "b").withColumnRenamed("node", "fp")
@@ -133,14 +147,30 @@ def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2, id_column
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     classes = keyed_join(labelled.select("fp", "component"), smallest, "component")
     return keyed_join(prints, classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component")
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2, id_column: str = "doc_id",
                          text_column: str = "text") -> DataFrame:
-    """`docs` with one row per component, the one with the smallest id; all columns kept. Rows without an id stay."""
-    key = f"{INNER}id"
-    dropped = near_duplicates(docs, size, distance, id_column, text_column).filter(
-        "doc_id != component_id").select(F.col("doc_id").alias(key)).distinct()
+    """`docs` with one row per component: the one with the smallest id, then fingerprint, then hash of the row. All columns are kept.
+
+    Rows without an id stay. Where an id is repeated its rows are told apart by their fingerprints, so a row goes only if it, not
+    another of its id, is the near-duplicate; equal rows of one id leave one.
+    """
+    key, print_column, columns = f"{INNER}id", f"{INNER}fp", docs.columns
+    near = staged(_classes(docs, size, distance, id_column, text_column).filter("doc_id IS NOT NULL"), "classes")
+    pair = F.struct("doc_id", "fingerprint")
+    pairs = near.groupBy("component").agg(F.min(pair).alias("first"))
+    dropped = keyed_join(near, pairs, "component").filter(pair != F.col("first")).select(
+        F.col("doc_id").alias(key), F.col("fingerprint").alias(print_column)).distinct()
     dropped = staged(dropped, "dropped")
-    return keyed_join(docs.withColumn(key, F.col(f"`{id_column}`")), dropped, key, "left_anti").drop(key)
+    repeated = staged(near.groupBy(F.col("doc_id").alias(key)).count().filter(F.col("count") > 1).select(key), "repeated")
+    docs = docs.withColumn(key, F.col(f"`{id_column}`"))
+    once = keyed_join(docs, repeated, key, "left_anti")
+    once = keyed_join(once, dropped.select(key), key, "left_anti")
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    often = keyed_join(docs, repeated, key, "left_semi").withColumn(print_column, F.lower(F.lpad(F.hex(simhash(text, size)), 16, "0")))
+    often = keyed_join(often, dropped, [key, print_column], "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    often = often.groupBy(key, print_column).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("row"))
+    return once.select(*[F.col(f"`{c}`") for c in columns]).union(often.select(*[F.col(f"row.`{c}`") for c in columns]))
