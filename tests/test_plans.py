@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.session import new_folder
 from tidemark.queries.registry import GROUPS, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -46,3 +47,19 @@ def test_filter_is_pushed(spark):
 def test_aggregates_combine_before_the_shuffle(spark):
     text = plan(QUERIES["group_by_dedupe"](spark, FOLDER))
     assert text.count("HashAggregate") == 2
+
+
+def test_competence_reports_read_the_answers_little(spark):
+    """Counts of topics and categories come from one read of the answers; averages beside the answers from two."""
+    from tidemark.plans import reports as R
+    answers = spark.range(50).selectExpr("'n' as username", "concat('c', id % 5) as email", "concat('q', id % 4) as questionid", "double(id % 6) as knowledge",
+                                         "double(id % 5) as motivation")
+    path = new_folder(spark, "answers")
+    answers.write.parquet(path)
+    answers = spark.read.parquet(path)
+    questions = spark.createDataFrame([(f"q{i}", f"t{i}", "knowledgeMotivation" if i else "x", "c1") for i in range(4)], "id string, topic string, type string, categoryid string")
+    categories = spark.createDataFrame([("c1", "Cat")], "id string, text string")
+    for build, most in ((R.comp_amount, 1), (R.employee_mot_comp, 2)):
+        for rated_only in (False, True):
+            plan = build(answers, questions, categories, rated_only=rated_only)._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("] parquet") <= most, plan

@@ -13,6 +13,7 @@ from ..functions.presto import complete_months, date_of
 from ..operators.aggregates import degree_class, joined_list, joined_set, json_set, latest_value
 from ..operators.joins import left_join, lookup_join, map_dimension, unmatched_full
 from ..operators.windows import latest, top_periods
+from ..tables.views import View
 
 # Fixed values of the reports.
 EXCLUDED_CATEGORY = "Jobbrotasjon"
@@ -241,6 +242,13 @@ def work_status(hours) -> DataFrame:
         F.max("reg_period").alias("last_reg_period"), F.sum(F.col("weigth") - 1).alias("weight_sum"))
 
 
+#: The same, kept up to date from added hours.
+WORK_STATUS = View(
+    "employeeWorkStatus", "ubw_customer_per_resource", ("alias", "guid", "customer", "project_type"),
+    {"last_reg_period": ("max", "reg_period"), "weight_sum": ("sum", "_weight")},
+    lambda hours, read: hours.withColumn("_weight", F.col("weigth") - 1))
+
+
 # -- competence --------------------------------------------------------------------------
 
 
@@ -274,6 +282,14 @@ def comp_mot_averages(answers, questions, categories, excluded: str = EXCLUDED_C
         .select("competence", "motivation", "subCategory", "category")
 
 
+#: The same, kept up to date from added answers; changed questions or categories compute it anew.
+COMP_MOT_AVERAGES = View(
+    "newCompetenceMotivationAverages", "competence_answers", ("subCategory", "category"),
+    {"competence": ("average", "knowledge"), "motivation": ("average", "motivation")},
+    lambda answers, read: answers.join(_topics(read("competence_questions"), read("competence_categories"), False), "questionid"),
+    ("competence_questions", "competence_categories"))
+
+
 def avg_comp_mot(answers, questions, categories, rated_only: bool = True,
                  excluded: str = EXCLUDED_CATEGORY) -> DataFrame:
     """Competence over all questions beside motivation over the rated ones; topics with both."""
@@ -287,13 +303,6 @@ def avg_comp_mot(answers, questions, categories, rated_only: bool = True,
     return both.filter("_n > 0 AND subCategory IS NOT NULL").select("competence", "motivation", "subCategory", "category")
 
 
-def _with_person_averages(answers, questions, categories, rated_only: bool, excluded: str):
-    rows = answers.join(_topics(questions, categories, rated_only, excluded), "questionid")
-    average = rows.groupBy("email", "category").agg(
-        F.avg("motivation").alias("categoryMotivationAvg"), F.avg("knowledge").alias("categoryCompetenceAvg"))
-    return rows, average
-
-
 def comp_amount(answers, questions, categories, rated_only: bool = False,
                 excluded: str = EXCLUDED_CATEGORY) -> DataFrame:
     """How many people score above 3 per topic and category, and their shares.
@@ -303,26 +312,33 @@ def comp_amount(answers, questions, categories, rated_only: bool = False,
     topics = _topics(questions, categories, False, excluded)
     if not rated_only:
         topics = topics.withColumn("_rated", F.lit(True))
-    # Equal answers count once, but weigh in the averages as often as they were given. Both uses
-    # below need the same rows and counts, so that one shuffle serves them.
+    # Equal answers count once, but weigh in the averages as often as they were given.
     base = (answers.filter("email IS NOT NULL").join(topics, "questionid")
             .groupBy("email", "motivation", F.col("knowledge").alias("competence"), "subCategory", "category")
-            .agg(F.count_if("_rated").alias("_n")).filter("_n >= 0"))
-
-    def mean(c):
-        return F.try_divide(F.sum(F.col(c) * F.col("_n")), F.sum(F.when(F.col(c).isNotNull(), F.col("_n"))))
-
-    person = (base.groupBy("email", "category")
-              .agg(mean("motivation").alias("_m"), mean("competence").alias("_k"), F.count(F.lit(1)).alias("_rows"),
-                   F.sum("_n").alias("_rated")).filter("_rated > 0"))
-    counted = lookup_join(base, person.select("email", "category"), ["email", "category"], "left_semi")
-    above = lambda c: F.count(F.when(F.col(c) > 3, 1))
-    per_topic = counted.groupBy("subCategory", "category").agg(
-        above("motivation").alias("subMotivationAmount"), above("competence").alias("subCompetenceAmount"))
-    times = lambda c: F.coalesce(F.sum(F.when(F.col(c) > 3, F.col("_rows"))), F.lit(0))
-    per_category = person.groupBy("category").agg(
-        times("_m").alias("motivationAmount"), times("_k").alias("competenceAmount"),
-        F.count(F.lit(1)).alias("numEmails"))
+            .agg(F.count_if("_rated").alias("_n")))
+
+    above = lambda c: F.count(F.when(F.col(c) > 3, 1))
+    weighed = lambda c: (F.sum(F.col(c) * F.col("_n")), F.sum(F.when(F.col(c).isNotNull(), F.col("_n"))))
+    (sum_m, n_m), (sum_k, n_k) = weighed("motivation"), weighed("competence")
+    per_person = base.groupBy("email", "category", "subCategory").agg(
+        above("motivation").alias("m"), above("competence").alias("k"), sum_m.alias("_sm"), n_m.alias("_nm"), sum_k.alias("_sk"), n_k.alias("_nk"),
+        F.count(F.lit(1)).alias("_r"), F.sum("_n").alias("_n"))
+    # A person's topics of a category are a list no longer than the category, so that one aggregate gives both counts.
+    mean = lambda s, n: F.try_divide(F.sum(s), F.sum(n))
+    person = (per_person.groupBy("email", "category")
+              .agg(mean("_sm", "_nm").alias("_m"), mean("_sk", "_nk").alias("_k"), F.sum("_r").alias("_rows"), F.sum("_n").alias("_rated"),
+                   F.collect_list(F.struct("subCategory", "m", "k")).alias("_topics"))
+              .filter("_rated > 0"))
+    # per person and category one row for the category and one per topic; both counts come from one aggregate
+    level = lambda c: F.when(c > 3, 1).otherwise(0)
+    own = F.struct(F.lit(True).alias("whole"), F.lit(None).cast("string").alias("subCategory"), (level(F.col("_m")) * F.col("_rows")).alias("m"),
+                   (level(F.col("_k")) * F.col("_rows")).alias("k"))
+    topic = F.transform("_topics", lambda x: F.struct(F.lit(False).alias("whole"), x["subCategory"].alias("subCategory"), x["m"].alias("m"), x["k"].alias("k")))
+    counts = person.select("category", F.inline(F.array_append(topic, own))).groupBy("category", "subCategory", "whole").agg(
+        F.sum("m").alias("m"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("_people"))
+    per_topic = counts.filter("NOT whole").select("subCategory", "category", F.col("m").alias("subMotivationAmount"), F.col("k").alias("subCompetenceAmount"))
+    per_category = counts.filter("whole").select("category", F.col("m").alias("motivationAmount"), F.col("k").alias("competenceAmount"),
+                                                 F.col("_people").alias("numEmails"))
     share = lambda c, scale: (F.lit(scale) * F.col(c).cast("double") / F.col("numEmails").cast("double"))
     return per_topic.join(per_category, "category", "left").select(
         "subCategory", "subMotivationAmount", share("subMotivationAmount", 100.0).alias("subMotivationPropotion"),
@@ -334,11 +350,15 @@ def comp_amount(answers, questions, categories, rated_only: bool = False,
 def employee_mot_comp(answers, questions, categories, rated_only: bool = True,
                       excluded: str = EXCLUDED_CATEGORY) -> DataFrame:
     """Every answer beside the person's averages in that category (rated questions only)."""
-    rows, _ = _with_person_averages(answers, questions, categories, False, excluded)
-    _, average = _with_person_averages(answers, questions, categories, rated_only, excluded)
-    return lookup_join(rows, average, ["email", "category"]).select(
-        "email", "motivation", F.col("knowledge").alias("competence"), "subCategory", "category",
-        "categoryMotivationAvg", "categoryCompetenceAvg")
+    topics = _topics(questions, categories, False, excluded)
+    if not rated_only:
+        topics = topics.withColumn("_rated", F.lit(True))
+    rows = answers.join(topics, "questionid")
+    rated = lambda c: F.avg(F.when(F.col("_rated"), F.col(c)))
+    average = rows.groupBy("email", "category").agg(
+        rated("motivation").alias("categoryMotivationAvg"), rated("knowledge").alias("categoryCompetenceAvg"), F.count_if("_rated").alias("_n")).filter("_n > 0")
+    return lookup_join(rows, average.drop("_n"), ["email", "category"]).select(
+        "email", "motivation", F.col("knowledge").alias("competence"), "subCategory", "category", "categoryMotivationAvg", "categoryCompetenceAvg")
 
 
 def job_rotation(answers, questions, category_id: str) -> DataFrame:

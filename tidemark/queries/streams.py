@@ -115,8 +115,8 @@ def stream_highwater(t):
     WITH landed AS (
       SELECT isoyear(o_orderdate) || lpad(CAST(week(o_orderdate) AS VARCHAR), 2, '0') AS reg_period, o_orderstatus = 'F' AS b,
              CAST(o_orderkey AS VARCHAR) AS used_hrs, CAST(date_trunc('week', o_orderdate) AS DATE) + 7 AS ends,
-             CASE WHEN o_orderdate < DATE '1994-01-01' AND o_orderpriority <> '5-LOW' THEN 1
-                  WHEN o_orderdate < DATE '1997-01-01' AND o_orderpriority <> '4-NOT SPECIFIED' THEN 2 ELSE 3 END AS landing
+             CASE WHEN o_orderdate < DATE '1997-06-01' AND o_orderpriority <> '5-LOW' THEN 1
+                  WHEN o_orderdate < DATE '1999-06-01' AND o_orderpriority <> '4-NOT SPECIFIED' THEN 2 ELSE 3 END AS landing
       FROM orders),
     marks AS (SELECT k AS landing, max(ends) - 28 AS mark FROM landed, (VALUES (1), (2), (3)) AS v(k) WHERE landing <= k GROUP BY k),
     closing AS (
@@ -127,8 +127,8 @@ def stream_highwater(t):
 def late_period_rule(t):
     """Three landings, each with rows of periods that the earlier ones have closed."""
     feed, target, aside, checkpoint = (new_folder(t.spark, x) for x in ("feed", "target", "aside", "stream"))
-    landing = F.when(F.expr("o_orderdate < '1994-01-01' AND o_orderpriority <> '5-LOW'"), 1).when(
-        F.expr("o_orderdate < '1997-01-01' AND o_orderpriority <> '4-NOT SPECIFIED'"), 2).otherwise(3)
+    landing = F.when(F.expr("o_orderdate < '1997-06-01' AND o_orderpriority <> '5-LOW'"), 1).when(
+        F.expr("o_orderdate < '1999-06-01' AND o_orderpriority <> '4-NOT SPECIFIED'"), 2).otherwise(3)
     landed = t.orders.select(
         P.iso_period("o_orderdate").alias("reg_period"), F.col("o_orderkey").cast("string").alias("used_hrs"),
         F.date_add(F.to_date(F.date_trunc("week", "o_orderdate")), 7).alias("ends"),

@@ -67,9 +67,10 @@ class TableStore:
         found = self.folders(name)
         if not found:
             raise FileNotFoundError(self.path(name))
-        return self._read(found)
+        return self.read_folders(found)
 
-    def _read(self, folders: list[str]) -> DataFrame:
+    def read_folders(self, folders: list[str]) -> DataFrame:
+        """The rows of some folders of one layout."""
         with self._plain_partitions():
             reader = self.spark.read.option("basePath", folders[0].rpartition("/")[0])
             return reader.parquet(*folders).drop(WRITE)
@@ -94,7 +95,7 @@ class TableStore:
     def read_archived(self, name: str, time: str) -> DataFrame:
         """The rows that were archived at a time, with the schema they had."""
         found = next(a for a in self.commits(name).latest().archived if a["time"] == time)
-        return self._read([f"{self.path(name)}/{w}" for w in found["writes"]])
+        return self.read_folders([f"{self.path(name)}/{w}" for w in found["writes"]])
 
     def archive(self, name: str) -> str:
         """Put the table's rows away: it is empty then, and its rows are among the archived."""
@@ -143,7 +144,7 @@ class TableStore:
             files.remove(self.spark, path)
             self._save(df, path, partitions)
         # Asking the written files is cheaper than computing the frame once more to see if it is empty.
-        written = self._read([path]) if files.has_data(self.spark, path) else None
+        written = self.read_folders([path]) if files.has_data(self.spark, path) else None
         if written is None or written.isEmpty():
             files.remove(self.spark, path)
             return None
@@ -183,7 +184,7 @@ class TableStore:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/catalog/{database}'")
         known = self.spark.catalog.tableExists(f"{database}.{name}")
         found = self.folders(name)
-        columns = ", ".join(f"`{c}`" for c in self._read(found).columns)
+        columns = ", ".join(f"`{c}`" for c in self.read_folders(found).columns)
         writes = ", ".join("'" + f.rpartition("=")[2] + "'" for f in found)
         with self._plain_partitions():  # a view keeps the settings it was made with
             self.spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT {columns} FROM parquet.`{found[0].rpartition('/')[0]}` WHERE `{WRITE}` IN ({writes})")
@@ -217,7 +218,7 @@ class TableStore:
         stored = Commits(self.spark, target).latest().writes
         if not stored:
             raise FileNotFoundError(target)
-        df = self._read([f"{target}/{w}" for w in stored])
+        df = self.read_folders([f"{target}/{w}" for w in stored])
         for column, value in (filters or {}).items():
             df = df.filter(F.col(column) == F.lit(value))
         return df
