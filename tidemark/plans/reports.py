@@ -336,11 +336,12 @@ def comp_amount(answers, questions, categories, rated_only: bool = False,
     topic = F.transform("_topics", lambda x: F.struct(F.lit(False).alias("whole"), x["subCategory"].alias("subCategory"), x["m"].alias("m"), x["k"].alias("k")))
     counts = person.select("category", F.inline(F.array_append(topic, own))).groupBy("category", "subCategory", "whole").agg(
         F.sum("m").alias("m"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("_people"))
-    per_topic = counts.filter("NOT whole").select("subCategory", "category", F.col("m").alias("subMotivationAmount"), F.col("k").alias("subCompetenceAmount"))
-    per_category = counts.filter("whole").select("category", F.col("m").alias("motivationAmount"), F.col("k").alias("competenceAmount"),
-                                                 F.col("_people").alias("numEmails"))
+    own_value = lambda c: F.max(F.when(F.col("whole"), F.col(c)))
+    wide = counts.groupBy("category").agg(
+        own_value("m").alias("motivationAmount"), own_value("k").alias("competenceAmount"), own_value("_people").alias("numEmails"),
+        F.collect_list(F.when(~F.col("whole"), F.struct("subCategory", F.col("m").alias("subMotivationAmount"), F.col("k").alias("subCompetenceAmount")))).alias("_t"))
     share = lambda c, scale: (F.lit(scale) * F.col(c).cast("double") / F.col("numEmails").cast("double"))
-    return per_topic.join(per_category, "category", "left").select(
+    return wide.select("category", "motivationAmount", "competenceAmount", "numEmails", F.inline("_t")).select(
         "subCategory", "subMotivationAmount", share("subMotivationAmount", 100.0).alias("subMotivationPropotion"),
         "subCompetenceAmount", share("subCompetenceAmount", 100.0).alias("subCompetencePropotion"),
         "category", "motivationAmount", share("motivationAmount", 1.0).alias("motivationPropotion"),
