@@ -395,3 +395,23 @@ def test_iso_text_is_utc_in_any_zone(spark):
         assert row.a == row.b == "1970-01-01T00:00:00Z"
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_tweets_of_own_accounts_are_not_landed(spark):
+    from tidemark.sources.webhooks import found_tweets
+    rows = spark.createDataFrame([(1, "me", "friend"), (2, "you", "me"), (3, None, "friend"), (4, "you", None)], "tweet_id LONG, user_screen_name STRING, reply_to STRING")
+    for c in ("created_at", "text", "is_retweet", "favorite_count", "retweet_count", "language", "hashtags", "place"):
+        rows = rows.withColumn(c, F.lit(None).cast("string"))
+    found = {r.tweet["tweet_id"]: r.tweet["reply_to"] for r in found_tweets(rows, ["me", "other"]).collect()}
+    assert found == {2: "me", 3: None, 4: None}
+
+
+def test_repository_records_of_webhook_bodies(spark):
+    from tidemark.sources.webhooks import repo_rows
+    whole = '{"repository": {"id": 7, "name": "n", "owner": {"login": "o"}, "created_at": "2020-01-01T00:00:00Z", "pushed_at": 99, "forks_count": 3}}'
+    rows = spark.createDataFrame([(1, whole), (2, "{}"), (3, "no json"), (4, None), (5, '{"repository": null}')], "k INT, body STRING")
+    found = [r.asDict() for r in repo_rows(rows, "body").collect()]
+    assert len(found) == 1
+    row = found[0]
+    assert (row["k"], row["id"], row["name"], row["owner"], row["description"], row["created_at"], row["pushed_at"], row["forks_count"]) == (
+        1, 7, "n", "o", "", 1577836800, 99, 3)

@@ -13,7 +13,7 @@ from ..plans.job import Context
 from ..session import new_folder
 from ..sources import documents as docs
 from ..sources.envelopes import read_envelopes, wrap, write_envelopes
-from ..sources.webhooks import CHAT_BODY, PULL_BODY, emoji_rows, merged_pulls
+from ..sources.webhooks import CHAT_BODY, PULL_BODY, emoji_rows, found_tweets, merged_pulls, repo_rows
 from ..tables.store import TableStore
 from .cleansing import json_value
 from .registry import query
@@ -124,7 +124,7 @@ def p_sales_issues(t):
     UNION ALL SELECT 'status', c_custkey, CAST(c_nationkey AS VARCHAR), CASE WHEN c_nationkey < 10 THEN 1 ELSE 2 END
     FROM customer""")
 def p_repos(t):
-    """A first poll of some repositories, then one of all: the known ones are skipped."""
+    """A first poll of some repositories, then a webhook body for each: the known ones are skipped."""
     rows = t.customer.select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_name").alias("description"),
         F.lit("u").alias("url"), F.lit("h").alias("html_url"), F.lit("o").alias("owner"),
@@ -135,50 +135,55 @@ def p_repos(t):
     landed = lambda df, at: wrap(df, F.array(F.struct(*rows.columns)), F.lit(at))
     c = context(t)
     feeds.repositories.run(landed(rows.filter("forks_count < 10"), 1), c)
-    feeds.repositories.run(landed(rows, 2), c)
+    moment = lambda n: F.lit(f"1970-01-01T00:00:0{n}Z")
+    sent = rows.select(F.to_json(F.struct(F.lit("push").alias("action"), F.struct(
+        "id", "name", "description", "url", "html_url", F.struct(F.col("owner").alias("login")).alias("owner"), moment(1).alias("created_at"),
+        moment(2).alias("updated_at"), moment(3).alias("pushed_at"), "language", "forks_count", "stargazers_count", "default_branch").alias("repository"))).alias("body"))
+    noise = t.region.select(F.when(F.col("r_regionkey") % 2 == 0, "{}").otherwise("no json").alias("body"))
+    webhooks = repo_rows(sent.unionByName(noise), "body").withColumn("language", F.nullif("language", F.lit("")))
+    feeds.repositories.run(landed(webhooks.select(*rows.columns), 2), c)
     repos = c.store.read("github_repos").select(F.lit("repos").alias("table"), "id", F.col("language").alias("detail"),
                                                 F.col("time").cast("int").alias("time"))
     return repos.unionByName(c.store.read("github_repo_status").select(
         F.lit("status").alias("table"), "id", text("forks_count").alias("detail"), F.col("time").cast("int").alias("time")))
 
 
+OWN = ["src3", "src7"]
+
+
 @query("p_tweets", """
-    SELECT 'tweets' AS "table", doc_id AS id, starts_with(text, 'The') AS is_retweet, source AS account, 0 AS time FROM documents
-    UNION ALL SELECT 'timeline', doc_id, starts_with(text, 'The'), source, 0 FROM documents
-    UNION ALL SELECT 'accounts', c_custkey, NULL, c_mktsegment, 4 FROM customer""")
+    SELECT 'tweets' AS "table", doc_id AS id, starts_with(text, 'The') AS is_retweet, source AS account,
+           CASE WHEN doc_id % 3 = 0 THEN 'src7' END AS reply_to, 0 AS time FROM documents WHERE source IS NULL OR source NOT IN ('src3', 'src7')
+    UNION ALL SELECT 'timeline', doc_id, starts_with(text, 'The'), source, NULL, 0 FROM documents WHERE source IN ('src3', 'src7')
+    UNION ALL SELECT 'accounts', c_custkey, NULL, c_mktsegment, NULL, 4 FROM customer""")
 def p_tweets(t):
-    """Documents as tweets, landed twice and found by two searches each: every tweet is stored once."""
-    stamp = F.lit(1).cast("bigint")
+    """Documents as tweets, landed twice and found by two searches each: every tweet is stored once. Tweets of the two own accounts are found, too, but
+    only their timelines are stored, and replies count as such only if they answer one of them.
+    """
+    stamp, none = F.lit(1).cast("bigint"), F.lit(None).cast("string")
     both = t.documents.select(
         F.col("doc_id").alias("tweet_id"), stamp.alias("created_at"), "text", C.prefix_flag("text", "The").alias("is_retweet"),
-        stamp.alias("favorite_count"), stamp.alias("retweet_count"), F.col("lang").alias("language"), "source")
-    search = F.struct("tweet_id", "created_at", "text", "is_retweet", "favorite_count", "retweet_count", "language",
-                      F.lit(None).cast("string").alias("hashtags"), F.col("source").alias("place"),
-                      F.lit(None).cast("string").alias("reply_to"))
-    timeline = F.struct("tweet_id", "created_at", F.col("source").alias("user_screen_name"), "text", "is_retweet",
-                        "favorite_count", "retweet_count", "language", F.lit("h").alias("hashtags"),
-                        F.lit("m").alias("mentions"), F.lit("n").alias("user_name"))
-    empty = F.array().cast("array<struct<user_id:bigint,screen_name:string,name:string,statuses_count:bigint,"
-                           "followers_count:bigint,favourites_count:bigint,friends_count:bigint,listed_count:bigint>>")
-    tweet = lambda df: wrap(df, F.struct(F.array(search, search).alias("search"), F.array(timeline).alias("timeline"),
-                                         empty.alias("accounts")), F.lit(4))
-    account = t.customer.select(F.array(F.struct(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("screen_name"), F.col("c_name").alias("name"),
-        *[stamp.alias(x) for x in ("statuses_count", "followers_count", "favourites_count", "friends_count",
-                                   "listed_count")])).alias("accounts"))
+        stamp.alias("favorite_count"), stamp.alias("retweet_count"), F.col("lang").alias("language"), none.alias("hashtags"),
+        F.col("source").alias("place"), F.when(F.col("doc_id") % 3 == 0, "src7").otherwise("src1").alias("reply_to"), F.col("source").alias("user_screen_name"))
     payload = feeds.tweets.payload
-    accounts = wrap(account, F.from_json(F.to_json(F.struct("accounts")), payload), F.lit(4))
+    landed = lambda df, part: wrap(df, F.from_json(F.to_json(F.struct(part)), payload), F.lit(4))
+    search = lambda df: landed(found_tweets(df, OWN), F.array("tweet", "tweet").alias("search"))
+    timeline = F.array(F.struct("tweet_id", "created_at", "user_screen_name", "text", "is_retweet", "favorite_count", "retweet_count", "language",
+                                F.lit("h").alias("hashtags"), F.lit("m").alias("mentions"), F.lit("n").alias("user_name")))
+    accounts = landed(t.customer, F.array(F.struct(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("screen_name"), F.col("c_name").alias("name"),
+        *[stamp.alias(x) for x in ("statuses_count", "followers_count", "favourites_count", "friends_count", "listed_count")])).alias("accounts"))
+    own = landed(both.filter(F.col("user_screen_name").isin(*OWN)), timeline.alias("timeline"))
     c = context(t)
-    feeds.tweets.run(tweet(both.filter("language = 'en'")), c)
-    feeds.tweets.run(tweet(both).unionByName(accounts), c)
-    out = c.store.read("twitter_tweets").select(F.lit("tweets").alias("table"), F.col("tweet_id").alias("id"),
-                                                "is_retweet", F.col("place").alias("account"), F.lit(0).alias("time"))
-    out = out.unionByName(c.store.read("twitter_timeline").select(
-        F.lit("timeline").alias("table"), F.col("tweet_id").alias("id"), "is_retweet",
-        F.col("user_screen_name").alias("account"), F.lit(0).alias("time")))
-    return out.unionByName(c.store.read("twitter_account_status_update").select(
-        F.lit("accounts").alias("table"), F.col("user_id").alias("id"), F.lit(None).cast("boolean").alias("is_retweet"),
-        F.col("screen_name").alias("account"), F.col("time").cast("int").alias("time")))
+    feeds.tweets.run(search(both.filter("language = 'en'")), c)
+    feeds.tweets.run(search(both).unionByName(own).unionByName(accounts), c)
+    columns = lambda name, key, retweet, account, reply, time: c.store.read(name).select(
+        F.lit(name.split("_")[1]).alias("table"), F.col(key).alias("id"), retweet.alias("is_retweet"), F.col(account).alias("account"), reply.alias("reply_to"),
+        time.cast("int").alias("time"))
+    out = columns("twitter_tweets", "tweet_id", F.col("is_retweet"), "place", F.col("reply_to"), F.lit(0))
+    out = out.unionByName(columns("twitter_timeline", "tweet_id", F.col("is_retweet"), "user_screen_name", none, F.lit(0)))
+    return out.unionByName(columns("twitter_account_status_update", "user_id", F.lit(None).cast("boolean"), "screen_name", none, F.col("time")).withColumn(
+        "table", F.lit("accounts")))
 
 
 MARKER = '// data\nwindow["init"]('

@@ -57,6 +57,13 @@ def repo_record(b: str = "b") -> list[Column]:
     ]
 
 
+def repo_rows(bodies: DataFrame, body: str) -> DataFrame:
+    """Repository records of webhook bodies; bodies without a repository, and texts that are no JSON, have none. Other columns stay."""
+    others = [c for c in bodies.columns if c != body]
+    parsed = parse(bodies, body, REPO_BODY).filter("b.repository IS NOT NULL")
+    return parsed.select(*others, *repo_record())
+
+
 def human_message(kind: Column, channel: Column, subtype: Column, kinds=("reaction_added", "message")) -> Column:
     """Whether a chat event is a reaction or message of a person in a public channel."""
     return F.coalesce(channel.startswith("C") & (F.coalesce(subtype, F.lit("")) != "bot_message") & kind.isin(*kinds), F.lit(False))
@@ -79,6 +86,13 @@ def exclude_accounts(rows: DataFrame, own: list[str], author: str, reply_to: str
     return others.withColumn(reply_to, F.when(F.col(reply_to).isin(*own), F.col(reply_to)))
 
 
+def found_tweets(rows: DataFrame, own: list[str], author: str = "user_screen_name") -> DataFrame:
+    """One struct `tweet` per found tweet as it is landed: own accounts' tweets left out, the author not kept."""
+    kept = exclude_accounts(rows, own, author, "reply_to")
+    return kept.select(F.struct("tweet_id", "created_at", "text", "is_retweet", "favorite_count", "retweet_count", "language", "hashtags", "place",
+                                "reply_to").alias("tweet"))
+
+
 def emoji_rows(parsed: DataFrame, channels: DataFrame | None = None) -> DataFrame:
     """Emoji uses in public-channel reactions and messages, one row each; bots are ignored.
 
