@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
 from collections import Counter
 from typing import Iterator
 
@@ -17,8 +16,6 @@ from .common import INNER, keyed_join, staged, texts
 
 #: Kinds of personal data in the order of the results; `term` is what the method adds.
 KINDS = ("email", "ip", "card", "phone")
-#: Words on each side of an entity that count as its context; contexts in which a term must be seen with it.
-WINDOW, SUPPORT = 8, 3
 #: Shares of an entity's information from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.7, 0.9
 
@@ -26,6 +23,8 @@ GENERALISE, REMOVE = 0.7, 0.9
 HELD_TERMS = 200_000
 #: Normal quantile of the one-sided 95 % bound on small counts; disclosing terms sent to the tasks at once.
 BOUND, BLOCK_TERMS = 1.645, 300_000
+#: Share of the disclosing pairs that may be chance; steps in which evidence is counted per nat, and the most that is told apart.
+FALSE_RATE, STEPS, MOST_EVIDENCE = 0.01, 4, 400.0
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -111,87 +110,7 @@ def free_words(text: str, spans: list[tuple[str, int, int]]) -> Iterator[re.Matc
             yield m
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]], window: int) -> list[dict]:
-    """For every span its entity, a hash of its context, and the context's words (term, start, end)."""
-    if not spans:
-        return []
-    free = list(free_words(text, spans))
-    starts = [m.start() for m in free]
-    out = []
-    for kind, a, b in spans:
-        low, high = bisect_left(starts, a), bisect_left(starts, b)
-        near = free[max(0, low - window):low] + free[high:high + window]
-        terms = [(m[0].lower(), m.start(), m.end()) for m in near]
-        out.append({"entity": _hash(entity(kind, text[a:b])), "context": _hash(" ".join(t for t, _, _ in terms)),
-                    "terms": [{"term": t, "start": x, "end": y} for t, x, y in terms]})
-    return out
-
-
-SCAN = ("array<struct<kind string, start int, end int>>",
-        "array<struct<entity long, context long, terms array<struct<term string, start int, end int>>>>")
-
-
-def _scan(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, text_key, base, seen) of (doc_id, text); text_key tells apart rows that share an id."""
-    base = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    term = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    seen = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64()), ("terms", term)]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, near = [], []
-            for text in batch.column(2):
-                text = text.as_py() or ""
-                spans = find(text)
-                found.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-                near.append(contexts(text, spans, window))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, base), pa.array(near, seen)],
-                                             ["doc_id", "text_key", "base", "seen"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
-        run, f"doc_id {kind}, text_key long, base {SCAN[0]}, seen {SCAN[1]}")
-
-
-def document_frequency(docs: DataFrame) -> DataFrame:
-    """(term, docs): in how many rows of (text) each word occurs; combined in each task, HELD_TERMS at a time, before the shuffle."""
-    def flushed(count: Counter) -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
-        count.clear()
-        return batch
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                count.update(set(_WORD.findall((text.as_py() or "").lower())))
-                if len(count) > HELD_TERMS:
-                    yield flushed(count)
-        if count:
-            yield flushed(count)
-
-    return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("docs"))
-
-
-def disclosure(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
-    """(entity, term, share): how much of an entity's information a term gives away, PMI(entity; term) / IC(entity).
-
-    Counted over all documents: those with the entity, those with the term, those with the term in a context of the entity. Pairs
-    seen in fewer than `support` different contexts prove nothing (copies of one context are one), and pairs below `least` are left out.
-    """
-    rows = scanned.filter(F.size("seen") > 0).select(F.struct("doc_id", "text_key").alias("row"), F.explode("seen").alias("s"))
-    rows = rows.select("row", "s.entity", "s.context", "s.terms")
-    frequent = rows.groupBy("entity").agg(F.count_distinct("context").alias("c"), F.count_distinct("row").alias("entity_docs")).filter(
-        F.col("c") >= support).drop("c")
-    seen = keyed_join(rows, frequent, "entity").select("row", "entity", "context", "entity_docs", F.explode("terms.term").alias("term"))
-    pairs = seen.groupBy("entity", "term", "entity_docs").agg(
-        F.count_distinct("context").alias("c"), F.count_distinct("row").alias("both")).filter(F.col("c") >= support).drop("c")
-    pairs = staged(pairs, "pairs")
-    total = docs.count()
-    counted = keyed_join(pairs, document_frequency(docs), "term")
-    information = F.log2(F.lit(float(total)) / F.col("entity_docs"))
-    pmi = F.log2(F.col("both") * F.lit(float(total)) / (F.col("entity_docs") * F.col("docs")))
-    return counted.select("entity", "term", F.when(information > 0, pmi / information).alias("share")).filter(F.col("share") >= least)
+SPANS = "array<struct<kind string, start int, end int>>"
 
 
 def lowest_share(both: int, docs: int, entity_docs: int, total: int, bound: float = BOUND) -> float | None:
@@ -212,6 +131,32 @@ def _lowest_share(both: Column, docs: Column, entity_docs: Column, total: int, b
     return F.when(information > 0, F.log2(low * float(total) / entity_docs) / information)
 
 
+def evidence(both: float, docs: float, entity_docs: float, total: float) -> float:
+    """Nats against chance: minus the logarithm of a bound on the probability that `both` or more of the texts with a term hold the entity, if
+    its texts were drawn at random (Chernoff's bound for a Poisson count).
+    """
+    expected = docs * entity_docs / total
+    return both * math.log(both / expected) - both + expected if both > expected else 0.0
+
+
+def _evidence(both: Column, docs: Column, entity_docs: Column, total: int) -> Column:
+    """`evidence` of columns."""
+    expected = docs * entity_docs / float(total)
+    return F.when(both > expected, both * F.ln(both / expected) - both + expected).otherwise(0.0)
+
+
+def least_evidence(found: dict[int, int], tests: float, rate: float = FALSE_RATE) -> float:
+    """The evidence from which at most a share of `rate` of the pairs is expected to be chance, by Benjamini and Hochberg: of `tests` pairs
+    (terms times entities) chance gives tests * exp(-x) with evidence x; `found` counts the pairs seen, by evidence in STEPS per nat, rounded down.
+    """
+    least, seen = math.inf, 0
+    for step in sorted(found, reverse=True):
+        seen += found[step]
+        if math.log(tests) - step / STEPS <= math.log(rate * seen):
+            least = step / STEPS
+    return least
+
+
 def _holdings(docs: DataFrame) -> DataFrame:
     """Of (doc_id, text_key, text) in one pass: a row (doc_id, text_key, entities, words) for each text with entities, both distinct; and
     rows (term, n) with the number of texts that hold a word, combined in each task, HELD_TERMS at a time.
@@ -279,6 +224,9 @@ def disclosing_terms(docs: DataFrame, least: float = GENERALISE, bound: float =
     """(entity, entities, term, share) over whole texts of (doc_id, text_key, text): `lowest_share` from the number of rows with the entity, with the
     term, and with both, wherever they stand; shares below `least` are left out. A word counts where it is no part of an entity.
 
+    A rare word of a text with an entity always seems to reveal it, and the more so the larger the corpus. So pairs must also hold against chance:
+    their `evidence` must reach what `least_evidence` asks for all pairs of terms and entities. One shared text is never enough.
+
     Entities of the same rows have the same counts for every term, so they are counted together: `entity` is the smallest hash of
     them, `entities` their number. A text that lists thousands of addresses found nowhere else gives one set of pairs.
     """
@@ -294,10 +242,15 @@ def disclosing_terms(docs: DataFrame, least: float = GENERALISE, bound: float =
     holders = first.groupBy(*key).agg(F.collect_set("entity").alias("holders"))
     pairs = _pairs(keyed_join(rows.select(*key, "words"), holders, key))
     known = keyed_join(pairs, classes.select("holder", "entity_docs", "entities"), "holder")
-    frequency = seen.filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("n").alias("docs"))
-    counted = keyed_join(known, frequency, "term")
-    return counted.select(F.col("holder").alias("entity"), "entities", "term", _lowest_share(
-        F.col("both"), F.col("docs"), F.col("entity_docs"), total, bound).alias("share")).filter(F.col("share") >= least)
+    frequency = staged(seen.filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("n").alias("docs")), "words")
+    both, docs_with, holding = F.col("both"), F.col("docs"), F.col("entity_docs")
+    counted = keyed_join(known.filter(both > 1), frequency, "term").select(
+        F.col("holder").alias("entity"), "entities", "term", _lowest_share(both, docs_with, holding, total, bound).alias("share"),
+        F.least(_evidence(both, docs_with, holding, total), F.lit(MOST_EVIDENCE)).alias("evidence")).filter(F.col("share") >= least)
+    counted = staged(counted, "pairs")
+    steps = counted.groupBy(F.floor(F.col("evidence") * STEPS).cast("int").alias("step")).count().collect()
+    enough = least_evidence({r["step"]: r["count"] for r in steps}, max(1.0, float(frequency.count()) * classes.count()))
+    return counted.filter(F.col("evidence") >= F.lit(enough)).drop("evidence")
 
 
 def _blocks(terms: DataFrame, most: int) -> Iterator[list]:
@@ -309,10 +262,15 @@ def _blocks(terms: DataFrame, most: int) -> Iterator[list]:
 
 def whole_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, bound: float = BOUND, id_column: str = "doc_id",
                 text_column: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:
-    """(doc_id, text_key, base, terms) as in `find_spans`, but a term is counted with an entity wherever both stand in one row's text, and
-    every occurrence of a disclosing term is marked in all texts, also in those without any personal data.
+    """(doc_id, text_key, base, terms), one row per row of `docs`.
+
+    `base`: (kind, start, end) of e-mail addresses, IP addresses, payment cards and phone numbers in the whole text, in code points, by
+    kind and start. `terms`: (start, end, share, action) of every occurrence of a disclosing term, also in texts without any personal data; action is
+    generalise or remove by the share of the entity's information that the term gives away; by start. A term is counted with an entity wherever both
+    stand in one row's text. Null texts are empty, rows without id and rows that repeat an id keep their own spans, copies count as rows,
+    an empty table gives no rows, other columns are not read.
 
-    Counts are rows, without a least number: few of them prove less by `lowest_share`. A term that reveals several entities has the
+    Few rows prove little, by `lowest_share` and `least_evidence`. A term that reveals several entities has the
     largest share. Texts are read once for the counts and once for each block of `block_terms` disclosing terms; between two
     blocks they are staged. Shuffles carry entities, the words of texts with entities, and word counts, combined in each task.
     """
@@ -335,7 +293,7 @@ def whole_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float =
 
         return of(F.col("text"))
 
-    @F.arrow_udf(SCAN[0])
+    @F.arrow_udf(SPANS)
     def personal(column: pa.Array) -> pa.Array:
         return pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in find(t.as_py())] for t in column],
                         pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))
@@ -348,33 +306,6 @@ def whole_spans(docs: DataFrame, generalise: float = GENERALISE, remove: float =
     return rows.select("doc_id", "text_key", personal("text").alias("base"), F.sort_array(found).alias("terms"))
 
 
-def find_spans(docs: DataFrame, window: int = WINDOW, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE,
-               id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, text_key, base, terms), one row per row of `docs`.
-
-    `base`: (kind, start, end) of e-mail addresses, IP addresses, payment cards and phone numbers in the whole text, in code points, by
-    kind and start. `terms`: (start, end, share, action) of words in the context of an entity that the whole corpus shows to reveal it;
-    action is generalise or remove by the share of the entity's information that the word gives away; by start.
-
-    Texts are read twice (entities; word counts), and shuffles carry entities and their contexts only. Entities may be hot: pairs are
-    combined before each shuffle, and joins split. Null texts are empty. Rows without id, and rows that repeat an id, keep
-    their own spans; a row that repeats id and text counts once in the corpus. An empty table gives no rows; other columns are not read.
-    """
-    rows = texts(docs, id_column, text_column)
-    scanned = staged(_scan(rows, window), "scanned")
-    reveal = staged(disclosure(scanned, rows, support, generalise), "disclosure")
-    words = scanned.filter(F.size("seen") > 0).select("doc_id", "text_key", F.explode("seen").alias("s")).select(
-        "doc_id", "text_key", F.col("s.entity").alias("entity"), F.explode("s.terms").alias("t")).select(
-        "doc_id", "text_key", "entity", "t.term", "t.start", "t.end")
-    hits = keyed_join(words, reveal, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max("share").alias("share"))
-    action = F.when(F.col("share") >= remove, "remove").otherwise("generalise")
-    terms = hits.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct(
-        "start", "end", "share", action.alias("action")))).alias("terms"))
-    joined = keyed_join(scanned.select("doc_id", "text_key", "base"), terms, ["doc_id", "text_key"], "left")
-    kind = terms.schema["terms"].dataType.simpleString()
-    return joined.withColumn("terms", F.coalesce("terms", F.array().cast(kind)))
-
-
 def redact(text: str, base: list, terms: list) -> str:
     """Personal data become their kind in brackets, terms a class or nothing; where spans overlap, the earlier and longer one counts."""
     cuts = [(a, -b, f"[{k.upper()}]") for k, a, b in base]
@@ -390,13 +321,13 @@ def redact(text: str, base: list, terms: list) -> str:
     return "".join(out) + text[at:]
 
 
-def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", spans_of=None, **how) -> DataFrame:
+def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
     """`docs` with the text replaced by its sanitised form; all columns and rows kept, null texts stay null.
 
-    Spans are those of `spans_of`: `find_spans` (the default), or `whole_spans`, which also cleans texts that name no entity.
+    Spans are those of `whole_spans`, so that texts which name no entity are cleaned as well.
     """
     names = {c: f"{INNER}{c}" for c in ("doc_id", "text_key", "base", "terms")}
-    spans = (spans_of or find_spans)(docs, id_column=id_column, text_column=text_column, **how).dropDuplicates(["doc_id", "text_key"]).filter(
+    spans = whole_spans(docs, id_column=id_column, text_column=text_column, **how).dropDuplicates(["doc_id", "text_key"]).filter(
         "size(base) > 0 or size(terms) > 0").withColumnsRenamed({c: n for c, n in names.items() if c in ("base", "terms")})
     text = F.col(f"`{text_column}`")
 
