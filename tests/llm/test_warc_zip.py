@@ -88,7 +88,7 @@ def test_directories_of_another_writer(wide):
             f.write(b"".join(records))
     raw = out.getvalue()
     got = [warc_zip.parse_record(raw[o:o + n]) for o, n in warc_zip.record_ranges(reader(raw), len(raw))]
-    assert [r["page_id"] for r in got] == list(range(20)) and [r["payload"] for r in got] == [b"x" * i for i in range(20)]
+    assert [r["page_id"] for r in got] == [str(i) for i in range(20)] and [r["payload"] for r in got] == [b"x" * i for i in range(20)]
 
 
 def test_ranges_are_the_only_reads():
@@ -121,3 +121,53 @@ def test_bad_files_are_errors():
     record = warc_zip.warc_record(1, "u", b"payload").replace(b"\r\n\r\npayload", b"\r\n\r\nPayload")
     with pytest.raises(ValueError, match="payload"):
         warc_zip.parse_record(gzip.compress(record))
+
+
+def foreign(kind, block, **fields):
+    names = "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in fields.items())
+    return b"WARC/1.0\r\nwarc-type: " + kind.encode() + b"\r\n" + names.encode() + b"content-length:" + str(len(block)).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def foreign_records():
+    page = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nX-Folded: a\r\n b\r\n\r\n<html>"
+    return [foreign("warcinfo", b"software: other\r\n", warc_record_id="<urn:uuid:1>"),
+            foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", WARC_Record_ID="<urn:uuid:2>", WARC_Target_URI="http://a/"),
+            foreign("response", page, Warc_Record_Id="<urn:uuid:3>", warc_target_uri="http://a/", WARC_Payload_Digest="sha1:" + sha1("<html>")),
+            foreign("resource", b"plain \x00 block", WARC_Record_ID="urn:any:4", WARC_Payload_Digest="sha256:abc"),
+            foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", WARC_Record_ID="<urn:uuid:5>", WARC_Refers_To="<urn:uuid:3>"),
+            foreign("metadata", b"", WARC_Record_ID="<urn:uuid:6>")]
+
+
+WANT = [("<urn:uuid:1>", "warcinfo", b"software: other\r\n"), ("<urn:uuid:2>", "request", b""), ("<urn:uuid:3>", "response", b"<html>"),
+        ("urn:any:4", "resource", b"plain \x00 block"), ("<urn:uuid:5>", "revisit", None), ("<urn:uuid:6>", "metadata", b"")]
+
+
+@pytest.mark.parametrize("named", [[], [0], [1, 3], [2, 2, 5], [0, 1, 2, 3, 4, 5]], ids=str)
+@pytest.mark.parametrize("packed", [True, False])
+def test_records_of_other_writers(spark, named, packed):
+    """No record is lost or read twice, whichever of them the indexes name."""
+    records = [gzip.compress(r) if packed else r for r in foreign_records()]
+    name = "a.warc.gz" if packed else "a.warc"
+    starts = [sum(map(len, records[:i])) for i in range(len(records))]
+    sizes = [len(r) if packed else len(r) - 4 for r in records]
+    line = lambda i: 'com,a)/ 2024 {"url": "u", "filename": "%s", "offset": "%d", "length": "%d"}\n' % (name, starts[i], sizes[i])
+    index = "".join(map(line, named)) + 'broken\n{"filename": "other.warc.gz", "offset": "0", "length": "9"}\n{"url": "no range"}\n'
+    raw = warc_zip.package([("archive/" + name, b"".join(records)), ("indexes/index.cdxj", index.encode()), ("indexes/second.cdxj", index.encode()),
+                            ("indexes/index.idx", b"!meta"), ("pages/pages.jsonl", b"{}")])
+    folder = warc_zip.new_folder(spark, "foreign")
+    path = folder.removeprefix("file:")
+    __import__("os").makedirs(path)
+    with open(path + "/package.wacz", "wb") as f:
+        f.write(raw)
+    out = warc_zip.read_packages(spark, folder).collect()
+    assert [(r.record_id, r.record_type, None if r.payload is None else bytes(r.payload)) for r in out] == WANT
+    assert all(r.page_id is None and r.refers_to is None for r in out)
+    assert out[2].payload_digest == sha1("<html>") and out[2].url == "http://a/"
+
+
+def test_ids_of_any_text(spark):
+    rows = [("a/1", "u", "same"), ("ä b>", "u", "same"), ("7", "u", "other"), (None, "u", "none")]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    folder = warc_zip.write_packages(warc_zip.plan_records(pages))
+    got = {(r.page_id, r.record_type, r.refers_to) for r in warc_zip.read_packages(spark, folder, id_type="string").collect()}
+    assert {g for g in got if g[0]} == {("7", "response", None), ("a/1", "response", None), ("ä b>", "revisit", "a/1")}

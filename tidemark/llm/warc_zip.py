@@ -6,6 +6,7 @@ import base64
 import gzip
 import hashlib
 import json
+import re
 import struct
 import zlib
 from typing import Callable, Iterator, NamedTuple
@@ -204,51 +205,118 @@ def scan_ranges(read: Read, start: int, size: int, step: int = 1 << 20) -> Itera
             begun, inflate = at - len(rest), zlib.decompressobj(31)
 
 
+def scan_plain(read: Read, start: int, size: int) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the records of an archive that is not compressed, from their heads alone."""
+    at = 0
+    while at < size:
+        gap = read(start + at, min(64, size - at))
+        if rest := len(gap) - len(gap.lstrip(b"\r\n")):  # line ends between records
+            at += rest
+            continue
+        head, window = gap, 4096
+        while b"\r\n\r\n" not in head and len(head) < size - at:
+            head, window = read(start + at, min(window, size - at)), window * 4
+        end = head.find(b"\r\n\r\n")
+        if end < 0:
+            raise ValueError("a record without an end of its head")
+        length = min(end + 4 + int(_fields(head[:end])["content-length"]), size - at)
+        yield at, length
+        at += length
+
+
+def _indexed(read: Read, found: dict[str, Member], archives: dict[str, Member]) -> dict[str, set[tuple[int, int]]]:
+    """(offset, length) by archive member, as the stored index members name them; lines that name no range or another archive say nothing."""
+    names = {**{n.rpartition("/")[2]: n for n in archives}, **{n: n for n in archives}}
+    out: dict[str, set[tuple[int, int]]] = {n: set() for n in archives}
+    for m in found.values():
+        if not (m.name.startswith("indexes/") and m.name.endswith((".cdxj", ".cdx")) and not m.method):
+            continue
+        for line in read(data_start(read, m), m.size).splitlines():
+            try:
+                entry = json.loads(line[line.index(b"{"):])
+                name, offset, length = names[entry["filename"]], int(entry["offset"]), int(entry["length"])
+            except (ValueError, KeyError, TypeError):
+                continue
+            if 0 <= offset and 0 < length and offset + length <= archives[name].size:
+                out[name].add((offset, length))
+    return out
+
+
 def record_ranges(read: Read, size: int) -> Iterator[tuple[int, int]]:
-    """(offset in the file, length) of every record of the stored archive members, by index where the package has one."""
+    """(offset in the file, length) of every record of the stored archive members, each once, in order.
+
+    Ranges that an index names are taken from it; what lies between them is read through, so that records an index leaves out are found as well.
+    """
     found = {m.name: m for m in members(read, size)}
-    archives = [m for m in found.values() if m.name.startswith("archive/") and m.name.endswith(".warc.gz")]
-    for m in [*archives, *(m for m in found.values() if m.name.startswith("indexes/"))]:
+    archives = {m.name: m for m in found.values() if m.name.startswith("archive/") and m.name.endswith((".warc.gz", ".warc"))}
+    for m in archives.values():
         if m.method:
             raise ValueError(f"{m.name} is compressed; ranges can be read from stored members only")
-    starts, indexed = {m.name: data_start(read, m) for m in archives}, set()
-    for m in found.values():
-        if m.name.startswith("indexes/") and m.name.endswith(".cdxj"):
-            for line in read(data_start(read, m), m.size).splitlines():
-                entry = json.loads(line[line.index(b"{"):])
-                indexed.add(entry["filename"])
-                yield starts[entry["filename"]] + int(entry["offset"]), int(entry["length"])
-    for m in archives:
-        if m.name not in indexed:
-            for offset, length in scan_ranges(read, starts[m.name], m.size):
-                yield starts[m.name] + offset, length
+    indexed = _indexed(read, found, archives)
+    for name, m in archives.items():
+        start, at = data_start(read, m), 0
+        scan = scan_ranges if name.endswith(".gz") else scan_plain
+        for offset, length in [*sorted(indexed[name]), (m.size, 0)]:
+            if offset > at:
+                for o, n in scan(read, start + at, offset - at):
+                    yield start + at + o, n
+            if length and offset >= at:  # a range inside another one is no record of its own
+                yield start + offset, length
+            at = max(at, offset + length)
+
+
+def _fields(head: bytes) -> dict[str, str]:
+    """The named fields of a head, names in lower case; lines that begin with a space go on with the field before."""
+    fields: dict[str, str] = {}
+    last = None
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last:
+            fields[last] += " " + line.strip()
+        elif ":" in line:
+            last, _, value = line.partition(":")
+            last = last.strip().lower()
+            fields[last] = value.strip()
+    return fields
+
+
+PAGE = "<urn:x-page:"
 
 
 def parse_record(raw: bytes) -> dict:
-    """A WARC record (gzip member): its named fields, page ids, payload and the digest that the payload really has."""
-    raw = gzip.decompress(raw)
-    head, _, body = raw.partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    block = body[:int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    http_fields = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
-    said = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    if fields["WARC-Type"] == "response" and (digest(payload) != said or len(payload) != int(http_fields["Content-Length"])):
-        raise ValueError(f"payload of {fields['WARC-Record-ID']} is not what its record says")
+    """A WARC record of any kind (gzip member or plain): its id and page id, payload, and the digest that the payload really has.
 
-    def page(field):
-        number = fields.get(field, "").removeprefix("<urn:x-page:").removesuffix(">")
-        return int(number) if number else None
-
-    return {"page_id": page("WARC-Record-ID"), "url": fields.get("WARC-Target-URI"), "record_type": fields["WARC-Type"],
-            "payload_bytes": int(http_fields["Content-Length"]), "payload_digest": said, "refers_to": page("WARC-Refers-To"),
-            "payload": payload if fields["WARC-Type"] == "response" else None}
+    The payload of a record with an HTTP head is what follows that head, of another the whole block. A SHA-1 that the record states has to
+    agree. `page_id` and `refers_to` are the texts of ids that this writer gives, null for other records, whose ids stand in `record_id`.
+    """
+    raw = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+    head, _, body = raw.partition(b"\r\n\r\n")
+    fields = _fields(head)
+    kind, record_id = fields.get("warc-type", "").lower(), fields.get("warc-record-id")
+    block = body[:int(fields["content-length"])]
+    http = block[:5].upper() == b"HTTP/" or (kind == "request" and b" HTTP/" in block.partition(b"\r\n")[0])
+    http_head, _, rest = block.partition(b"\r\n\r\n")
+    payload, http_fields = (rest, _fields(http_head)) if http else (block, {})
+    said = fields.get("warc-payload-digest", "")
+    said = said.partition(":")[2].upper() if said.lower().startswith("sha1:") else None
+    own = (record_id or "").startswith(PAGE)
+    length = http_fields.get("content-length", "")
+    whole = kind != "revisit"
+    if whole and ((said and digest(payload) != said) or (own and length and len(payload) != int(length))):
+        raise ValueError(f"payload of {record_id} is not what its record says")
+
+    def page(value: str | None) -> str | None:
+        return value[len(PAGE):].removesuffix(">") or None if value and value.startswith(PAGE) else None
+
+    size = len(payload) if whole else int(length) if length.isdecimal() else None
+    return {"page_id": page(record_id), "url": fields.get("warc-target-uri"), "record_type": kind, "payload_bytes": size,
+            "payload_digest": said if not whole else said or digest(payload), "refers_to": page(fields.get("warc-refers-to")),
+            "payload": payload if whole else None, "record_id": record_id}
 
 
 #: File systems of which pyarrow can read ranges; of others Spark hands over whole packages, and ranges are cut in memory.
 RANGED = {"file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss"}
 RECORD = {"page_id": "long", "url": "string", "record_type": "string", "payload_bytes": "long", "payload_digest": "string",
-          "refers_to": "long", "payload": "binary"}
+          "refers_to": "long", "payload": "binary", "record_id": "string"}
 
 
 def _opened(path: str):
@@ -258,9 +326,12 @@ def _opened(path: str):
     return fs.open_input_file(name)
 
 
-def read_packages(spark: SparkSession, folder: str, columns: tuple[str, ...] = tuple(RECORD)) -> DataFrame:
+def read_packages(spark: SparkSession, folder: str, columns: tuple[str, ...] = tuple(RECORD), id_type: str = "long") -> DataFrame:
     """One row per WARC record of the packages below `folder`, with the given columns of RECORD.
 
+    `page_id` and `refers_to` are of `id_type`, long or string: the type of the ids that were written. They are null where a record of another
+    writer has none (or no number); every record has its `record_id`.
+
     A package is one unit of work: its directory and index are read from its end, then the records by their ranges, one at
     a time. Nothing is extracted. `payload` is null for revisits; payload_bytes and payload_digest are those of the full
     payload. A payload that differs from its digest, and a compressed archive member, are errors.
@@ -268,7 +339,15 @@ def read_packages(spark: SparkSession, folder: str, columns: tuple[str, ...] = t
     found = spark.read.format("binaryFile").load(folder).filter("length > 0")
     scheme = files._path(spark, folder)[0].getUri().getScheme()
     found = found.select("path", "length") if scheme in RANGED else found.select("path", "length", "content")
-    types = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[RECORD[c]] for c in columns]
+    kinds = {**RECORD, "page_id": id_type, "refers_to": id_type}
+    types = [{"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[kinds[c]] for c in columns]
+
+    def typed(record: dict) -> list:
+        if id_type == "long":
+            for c in ("page_id", "refers_to"):
+                text = record[c]
+                record[c] = int(text) if text and re.fullmatch(r"-?[0-9]{1,19}", text) else None
+        return [record[c] for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,7 +364,7 @@ def read_packages(spark: SparkSession, folder: str, columns: tuple[str, ...] = t
                     rows, held = [], 0
                     for offset, length in record_ranges(read, size):
                         record = parse_record(read(offset, length))
-                        rows.append([record[c] for c in columns])
+                        rows.append(typed(record))
                         held += len(record["payload"] or b"") if "payload" in columns else 100
                         if held > 8 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], list(columns))
@@ -293,4 +372,4 @@ def read_packages(spark: SparkSession, folder: str, columns: tuple[str, ...] = t
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], list(columns))
 
-    return found.mapInArrow(run, ", ".join(f"{c} {RECORD[c]}" for c in columns))
+    return found.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in columns))
