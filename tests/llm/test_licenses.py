@@ -75,3 +75,62 @@ def test_query_returns_every_passage(spark, folder):
     got = {r.doc_id: r for r in QUERIES["op10_licenses_found"](spark, where).collect()}
     assert [(f.passage, f.licence, f.dice) for f in got[1].found] == [(1, "MIT", 1.0), (2, "CC-BY-NC-4.0", 1.0)]
     assert (got[1].n_passages, got[1].licence, got[1].passage) == (2, "MIT", 1) and got[2].found == []
+
+
+def plain_runs(text, templates, threshold):
+    """Every run of a template's length that a mark of it places, by a loop."""
+    words = [w for w in re.split("[^a-z0-9]+", (text or "").lower()) if w]
+    pairs = lambda ws: set(zip(ws, ws[1:])) or {(w,) for w in ws}
+    found = set()
+    for n, (name, body) in enumerate(templates):
+        own = [w for w in re.split("[^a-z0-9]+", body.lower()) if w]
+        if not own:
+            continue
+        chosen = licenses.marks(licenses.template_bigrams(body), threshold)
+        for i, w in enumerate(words):
+            for j, x in enumerate(own):
+                if w == x and w in chosen:
+                    first, end = max(0, i - j), min(len(words), i - j + len(own))
+                    b = pairs(words[first:end])
+                    dice = 2 * len(b & pairs(own)) / (len(b) + len(pairs(own)))
+                    if dice >= threshold:
+                        found.add((dice, end - first, -n, -first))
+    kept = [x for x in found if not any(y > x and -y[3] < -x[3] + x[1] and -x[3] < -y[3] + y[1] for y in found)]
+    return sorted((-s, size, templates[-n][0], pytest.approx(dice)) for dice, size, n, s in kept)
+
+
+APACHE = licenses.TEMPLATES[4][1]
+WRAPPED = "\n".join(" ".join(MIT.split()[i:i + 12]) for i in range(0, len(MIT.split()), 12))
+RUNS = TEXTS + ["some prose before\n" * 40 + WRAPPED + "\nand prose after" * 40,
+                "Read on. This file is Licensed under the Apache License, Version 2.0. Nobody else may say so in the middle of a paragraph.",
+                "\n".join("# " + line for line in WRAPPED.split("\n")), "/*\n * " + "\n * ".join(APACHE.split("\n")) + "\n */ int main() {}",
+                "Licensed under CC BY-NC 4.0. " * 5, "x " * 30 + WRAPPED + " y" * 30 + APACHE, "mit license " * 300,
+                WRAPPED.replace("merge, publish", "publish").replace("fee", "any fee")]
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.8])
+def test_runs_against_brute_force(spark, threshold):
+    rows = [(i, t, "x") for i, t in enumerate(RUNS)] + [(None, RUNS[3], "x"), (3, RUNS[3], "x")]
+    got = licenses.licence_runs(spark.createDataFrame(rows, SCHEMA).repartition(3), threshold=threshold).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = RUNS[3] if r.doc_id is None else RUNS[r.doc_id]
+        assert [tuple(x) for x in r.runs] == plain_runs(text, licenses.TEMPLATES, threshold), r.doc_id
+
+
+def test_licences_inside_other_text_are_found(spark):
+    got = licenses.licence_runs(spark.createDataFrame([(i, t, "x") for i, t in enumerate(RUNS)], SCHEMA)).collect()
+    names = {r.doc_id - len(TEXTS): [x.licence for x in r.runs] for r in got}
+    assert names[0] == ["MIT"] and names[1] == ["Apache-2.0"] and names[2] == ["MIT"] and names[3] == ["Apache-2.0"]
+    assert names[4] == ["CC-BY-NC-4.0"] * 5 and names[5] == ["MIT", "Apache-2.0"] and names[7] == ["MIT"]
+
+
+@pytest.mark.parametrize("where", [SMALL, "/root/testdata/sf0.01"])
+def test_runs_query(spark, where):
+    assert compare(spark, connect(where), "runs", QUERIES["op10_licenses_runs"], ORACLES["op10_licenses_runs"], where) is None
+
+
+def test_runs_empty(spark):
+    docs = spark.createDataFrame([(1, "word", "x")], SCHEMA)
+    assert licenses.licence_runs(docs.limit(0)).count() == 0 and licenses.licence_runs(docs, []).first().runs == []
+    assert [tuple(x) for x in licenses.licence_runs(docs, [("none", "!"), ("one", "WORD")]).first().runs] == [(0, 1, "one", 1.0)]

@@ -156,3 +156,63 @@ def licences(docs: DataFrame, templates: list[tuple[str, str]] | None = None, th
     return seen.select("doc_id", F.transform("seen", lambda x: F.struct(
         x["passage"].alias("passage"), F.element_at(names, 1 - x["best"]["minus"]).alias("licence"),
         x["best"]["dice"].alias("dice"))).cast(kind).alias("found"))
+
+
+def template_words(text: str) -> list[str]:
+    return [w for w in re.split(_NOT_WORD, text.lower()) if w]
+
+
+def anchors(text: str, threshold: float) -> list[tuple[str, int]]:
+    """(word, place) of the marks of a template in it: where a text has such a word, a run that begins `place` words before may be the template."""
+    chosen = marks(template_bigrams(text), threshold)
+    return [(w, j) for j, w in enumerate(template_words(text)) if w in chosen]
+
+
+def licence_runs(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = THRESHOLD,
+                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, runs), one row per row of `docs`; runs: array of (start, words, licence, dice), licences anywhere in the text.
+
+    A run is as many words as its template has, whatever stands between them: line ends, comment marks, the words of a paragraph before and after. Runs
+    begin wherever one of the template's marks puts them (`anchors`; clipped to the text), and are compared by the Dice coefficient over distinct
+    word bigrams. Of overlapping runs the most alike stays (equal: the longer, the template listed first, the earlier). `start` counts
+    words from 0. Everything happens inside a row with built-in functions; texts without any mark are passed over. Null and empty texts have no runs.
+    """
+    given = [(name, template_words(text), template_bigrams(text), anchors(text, threshold))
+             for name, text in (TEMPLATES if templates is None else templates) if template_words(text)]
+    kind = "array<struct<start int, words int, licence string, dice double>>"
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.replace(_normalised(text), F.lit("\n"), F.lit(" ")).alias("text"))
+    if not given:
+        return rows.select("doc_id", F.array().cast(kind).alias("runs"))
+    signs = sorted({w for *_, own in given for w, _ in own})
+    words = rows.select("doc_id", F.when(F.rlike("text", F.lit(_any_word(set(signs)))), _words(F.col("text"))).otherwise(F.array().cast("array<string>")).alias("w"))
+    places = words.withColumn("at", F.filter(F.transform("w", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(signs)))
+
+    def alike(number: int, size: int, own: list[str], marked: list[tuple[str, int]]) -> Column:
+        """The runs of one template that reach the threshold."""
+        by_word: dict[str, list[int]] = {}
+        for word, j in marked:
+            by_word.setdefault(word, []).append(j)
+
+        def begun(word: str, before: list[int]) -> Column:
+            return F.transform(F.filter("at", lambda x: x["w"] == word), lambda x: F.array(*[x["i"] - F.lit(j) for j in before]))
+
+        starts = F.array_distinct(F.flatten(F.concat(*[begun(word, before) for word, before in by_word.items()])))
+
+        def run(start: Column) -> Column:
+            first = F.greatest(start, F.lit(0))
+            length = F.least(start + size, F.size("w")) - first
+            return _let(_bigrams(F.slice("w", first + 1, length)), lambda b: F.struct(
+                (2.0 * F.size(F.array_intersect(b, F.array(*[F.lit(x) for x in own]))) / (F.size(b) + len(own))).alias("dice"),
+                length.alias("words"), F.lit(-number).alias("minus"), (-first).alias("start")))
+
+        return F.filter(F.transform(starts, run), lambda x: x["dice"] >= threshold)
+
+    found = F.concat(*[alike(n, len(ws), own, marked) for n, (_, ws, own, marked) in enumerate(given)])
+    every = places.select("doc_id", F.array_distinct(found).alias("f"))
+    # minus the start and the number: a greater struct is a better run
+    better = lambda x: F.exists("f", lambda y: (y > x) & (-y["start"] < -x["start"] + x["words"]) & (-x["start"] < -y["start"] + y["words"]))
+    best = F.array_sort(F.transform(F.filter("f", lambda x: ~better(x)), lambda x: F.struct(
+        (-x["start"]).alias("start"), x["words"].alias("words"), F.element_at(F.array(*[F.lit(g[0]) for g in given]), 1 - x["minus"]).alias("licence"),
+        x["dice"].alias("dice"))))
+    return every.select("doc_id", best.cast(kind).alias("runs"))

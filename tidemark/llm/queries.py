@@ -132,6 +132,45 @@ def op10(spark, folder):
     return op10_found(spark, folder).drop("found")
 
 
+def _runs_sql() -> str:
+    quote = lambda w: w.replace("'", "''")
+    values = ", ".join(f"({n}, '{name}', '{' '.join(licenses.template_words(text))}')" for n, (name, text) in enumerate(licenses.TEMPLATES))
+    marked = ", ".join(f"({n}, '{quote(w)}', {j})" for n, (_, text) in enumerate(licenses.TEMPLATES) for w, j in licenses.anchors(text, licenses.THRESHOLD))
+    bigrams = lambda w: f"CASE WHEN len({w}) > 1 THEN list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1])) ELSE {w} END"
+    return f"""
+    WITH bodies(n, name, body) AS (VALUES {values}), anchors(n, word, j) AS (VALUES {marked}),
+    templates AS (SELECT n, name, len(t) AS size, {bigrams("t")} AS b FROM (SELECT n, name, string_split(body, ' ') AS t FROM bodies)),
+    texts AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
+    placed AS (SELECT doc_id, w, unnest(w) AS word, unnest(range(len(w))) AS i FROM texts),
+    starts AS (SELECT DISTINCT p.doc_id, t.n, p.i - a.j AS s FROM placed p JOIN anchors a ON a.word = p.word JOIN templates t ON t.n = a.n),
+    cut AS (
+      SELECT DISTINCT s.doc_id, t.n, t.name, t.b AS own, greatest(s, 0) AS start, least(s + size, len(w)) - greatest(s, 0) AS words,
+             w[greatest(s, 0) + 1 : least(s + size, len(w))] AS part
+      FROM starts s JOIN templates t ON t.n = s.n JOIN texts x ON x.doc_id = s.doc_id),
+    compared AS (SELECT doc_id, n, name, start, words, own, {bigrams("part")} AS b FROM cut),
+    alike AS (
+      SELECT doc_id, n, name, start, words, 2.0::DOUBLE * len(list_intersect(b, own)) / (len(b) + len(own)) AS dice FROM compared
+      WHERE 2.0::DOUBLE * len(list_intersect(b, own)) / (len(b) + len(own)) >= {licenses.THRESHOLD}),
+    best AS (
+      SELECT * FROM alike x WHERE NOT EXISTS (
+        SELECT 1 FROM alike y WHERE y.doc_id = x.doc_id AND y.start < x.start + x.words AND x.start < y.start + y.words
+          AND (y.dice > x.dice OR y.dice = x.dice AND (y.words > x.words OR y.words = x.words AND (y.n < x.n OR y.n = x.n AND y.start < x.start)))))
+    SELECT d.doc_id, count(b.start) AS n_runs, coalesce(string_agg(b.start || ':' || b.words || ':' || b.name, ',' ORDER BY b.start, b.words, b.name), '') AS runs,
+           max(b.dice) AS dice
+    FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id GROUP BY d.doc_id
+    """
+
+
+@query("op10_licenses_runs", _runs_sql())
+def op10_runs(spark, folder):
+    """Licences anywhere in whole texts: wrapped over lines, in the middle of a paragraph, behind comment marks."""
+    found = licenses.licence_runs(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.array_join(F.transform("runs", lambda r: F.concat_ws(":", r["start"], r["words"], r["licence"])), ",").alias("runs"),
+        F.array_max(F.transform("runs", lambda r: r["dice"])).alias("dice"))
+
+
 @query("op10_licenses_found")
 def op10_found(spark, folder):
     found = licenses.licences(table(spark, folder, "documents"))
