@@ -124,6 +124,15 @@ def test_left_join_equals_outer_join(spark, hot, rows_of):
     assert rows_of(J.left_join(people, hot, ["k"]).select("k", "name", "v", "t")) == rows_of(want)
 
 
+def test_left_join_without_partners(spark, rows_of):
+    """Everything without a partner, two keys, and columns of one name on both sides' keys only."""
+    left = spark.createDataFrame([(i, None if i % 3 else "x", {"m": i}) for i in range(300)], "k INT, p STRING, m MAP<STRING, INT>").repartition(7)
+    right = spark.createDataFrame([(5, "x", 1.0), (6, "x", 2.0), (6, "x", 3.0), (None, None, 4.0)], "k INT, p STRING, w DOUBLE")
+    got = J.left_join(left, right, ["k", "p"]).select("k", "p", "w", F.col("m")["m"].alias("m"))
+    assert rows_of(got) == rows_of(left.join(right, ["k", "p"], "left").select("k", "p", "w", F.col("m")["m"].alias("m")))
+    assert J.left_join(left, right.limit(0), ["k", "p"]).count() == 300
+
+
 def test_lookup_join_null_keys_match_nothing(spark):
     df = spark.createDataFrame([(None, 1), ("a", 2)], "k STRING, v INT")
     side = spark.createDataFrame([(None, "x"), ("a", "y")], "k STRING, w STRING")

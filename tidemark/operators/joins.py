@@ -37,20 +37,32 @@ def lookup_join(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inn
     return joined.select(*[F.col(f"`{c}`") for c in df.columns + extra])
 
 
+#: Rows that stand for "no partner" in a left join; left rows without one are dealt to them.
+EMPTY_ROWS = 64
+
+
 def left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left outer join whose *right* side may hold hot keys.
+    """Left outer join whose *right* side may hold hot keys. Needs keys named alike; the left side is read once.
 
     Adaptive execution can split a skewed right side of an inner join but not of a
-    left outer one. So: the inner join, plus the left rows whose key the (distinct,
-    map-side combined) right keys do not contain. Needs keys named alike.
+    left outer one. So left rows are first marked by the (distinct, map-side combined) right keys, and those without a partner
+    join one of EMPTY_ROWS rows of nulls that are added to the right side: one inner join gives all rows.
     """
     extra = [c for c in right.columns if c not in keys]
-    columns = [F.col(f"`{c}`") for c in left.columns + extra]
-    matched = lookup_join(right, left, keys).select(columns)
-    missing = lookup_join(left, right.select(*keys).distinct(), keys, "left_anti")
-    for c in extra:
-        missing = missing.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
-    return matched.union(missing.select(columns))
+    held = right.select(*keys).distinct().withColumn("_held", F.lit(True))
+    partner = F.col("_held").isNotNull()
+    probe = lookup_join(left, held, keys, "left").select(
+        *[F.col(f"`{c}`").alias(f"_own_{i}") for i, c in enumerate(left.columns)], *[F.when(partner, F.col(f"`{k}`")).alias(f"_left_{k}") for k in keys],
+        F.when(partner, F.lit(-1)).otherwise(F.spark_partition_id() % EMPTY_ROWS).alias("_left_place"))
+    kind = {f.name: f.dataType for f in right.schema}
+    empty = left.sparkSession.range(EMPTY_ROWS).select(
+        *[F.lit(None).cast(kind[k]).alias(f"_right_{k}") for k in keys], *[F.lit(None).cast(kind[c]).alias(f"_extra_{i}") for i, c in enumerate(extra)],
+        F.col("id").cast("int").alias("_right_place"))
+    side = right.na.drop("any", subset=keys).select(
+        *[F.col(f"`{k}`").alias(f"_right_{k}") for k in keys], *[F.col(f"`{c}`").alias(f"_extra_{i}") for i, c in enumerate(extra)], F.lit(-1).alias("_right_place")).union(empty)
+    match = reduce(lambda a, b: a & b, [F.col(f"`_left_{c}`").eqNullSafe(F.col(f"`_right_{c}`")) for c in [*keys, "place"]])
+    named = [(f"_own_{i}", c) for i, c in enumerate(left.columns)] + [(f"_extra_{i}", c) for i, c in enumerate(extra)]
+    return probe.join(side, match).select(*[F.col(inner).alias(c) for inner, c in named])
 
 
 def new_rows(df: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
