@@ -15,8 +15,8 @@ from .common import labelled_sample
 #: Shape of the network: bytes a filter sees, bytes between its positions, filters, hidden units,
 #: bytes of a block; a chunk is two neighbouring blocks, so chunks overlap by half.
 WIDTH, STRIDE, FILTERS, HIDDEN, BLOCK = 6, 2, 32, 16, 256
-#: Bound of the training sample: labelled rows, and bytes of each that training looks at (scoring looks at all).
-SAMPLE_ROWS, SAMPLE_BYTES = 3000, 4096
+#: Bound of the training sample: labelled rows, and the longest text in it. Training reads whole texts, as scoring does.
+SAMPLE_ROWS, LONGEST = 3000, 32_768
 #: Positions that are computed at once.
 SLICE = 1 << 14
 
@@ -70,15 +70,6 @@ def probability(raw: bytes, net: Network, pairs: list[np.ndarray]) -> float:
     return float(1 / (1 + np.exp(-np.clip(_logit(block_maxima(raw, pairs, net.bias), net), -30, 30))))
 
 
-def _training_bytes(raw: bytes) -> bytes:
-    """Up to SAMPLE_BYTES of a text, as evenly spaced runs of four blocks."""
-    run = 4 * BLOCK
-    if len(raw) <= SAMPLE_BYTES:
-        return raw
-    starts = np.linspace(0, len(raw) - run, SAMPLE_BYTES // run).astype(int)
-    return b"".join(raw[s:s + run] for s in starts)
-
-
 def train(rows: list[tuple[bytes, int]], epochs: int = 8, rate: float = 0.01, batch: int = 32, seed: int = 7,
           least_steps: int = 500) -> Network:
     """Fit the network on (text, label) by Adam on the logistic loss; few rows are gone through more often.
@@ -95,7 +86,7 @@ def train(rows: list[tuple[bytes, int]], epochs: int = 8, rate: float = 0.01, ba
         net.out[:] = 0
         return net
     weight = {1: len(rows) / (2 * positive), 0: len(rows) / (2 * (len(rows) - positive))}
-    coded = [(_windows(_training_bytes(raw)), y) for raw, y in rows]
+    coded = [(_windows(raw), y) for raw, y in rows]
     names = ["filters", "bias", "hidden", "hidden_bias", "out", "combine"]
     first = {n: np.zeros_like(getattr(net, n)) for n in names}
     second = {n: np.zeros_like(getattr(net, n)) for n in names}
@@ -157,16 +148,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Callable[[Column], Colum
         id_column: str = "doc_id", text_column: str = "text", rows: int = SAMPLE_ROWS) -> Network:
     """Train on labelled documents whose id satisfies `learn_from`, at most `rows` of them, drawn by the hash of the id.
 
-    The sample is bounded (rows x SAMPLE_BYTES reach the driver) and is all that the model learns from. Labels that contradict
+    The sample is bounded (`rows` whole texts of at most LONGEST bytes reach the driver; longer ones are not drawn) and is all that the model learns from. Labels that contradict
     each other count as the higher one; rows without id or label are left out; without any the model answers 0.5.
     """
-    sample = labelled_sample(docs, labels, learn_from, label, id_column, text_column, rows)
-
-    @F.arrow_udf("binary")
-    def cut(column: pa.Array) -> pa.Array:
-        return pa.array([_training_bytes(t.encode()) for t in column.to_pylist()], pa.binary())
-
-    return train([(bytes(r.raw), r.label) for r in sample.select("doc_id", cut("text").alias("raw"), "label").sort("doc_id", "raw").collect()])
+    short = docs.filter(F.coalesce(F.octet_length(F.col(f"`{text_column}`")), F.lit(0)) <= LONGEST)
+    sample = labelled_sample(short, labels, learn_from, label, id_column, text_column, rows)
+    found = sample.select("doc_id", F.col("text").cast("binary").alias("raw"), "label").sort("doc_id", "raw").collect()
+    return train([(bytes(r.raw), r.label) for r in found])
 
 
 def score(text: Column, net: Network) -> Column:
