@@ -86,8 +86,11 @@ def test_dedupe_reads_the_target_once(spark, folder, monkeypatch):
 def test_rows_of_a_key_are_combined_in_their_task(spark, monkeypatch):
     from tidemark.streaming import state
     monkeypatch.setattr(state, "HELD", 3)
+    nested = spark.createDataFrame([(i % 7, str(i), [i]) for i in range(700)], "k INT, v STRING, l ARRAY<INT>").repartition(1)
+    assert sum(r[state.ROWS] for r in state.smallest_in_task(nested, ["k"]).collect()) == 700
     df = spark.createDataFrame([(i % 7, str(i)) for i in range(700)], "k INT, v STRING").repartition(1)
     out = state.smallest_in_task(df, ["k"]).collect()
+    assert len(out) == 7
     assert sum(r[state.ROWS] for r in out) == 700
     best = {}
     for r in out:
@@ -95,6 +98,25 @@ def test_rows_of_a_key_are_combined_in_their_task(spark, monkeypatch):
     assert best == {k: min(str(i) for i in range(k, 700, 7)) for k in range(7)}
 
 
+def test_both_ways_of_combining_agree():
+    import random
+
+    import pyarrow as pa
+
+    from tidemark.streaming import state
+    rng = random.Random(3)
+    rows = [{"k": rng.choice([None, "a", "b", "é"]), "n": rng.choice([None, 1, 2]), "v": rng.choice([None, 0.5, -1.0, 3.0]), "t": rng.choice([None, True, False])}
+            for _ in range(500)]
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([("k", pa.string()), ("n", pa.int32()), ("v", pa.float64()), ("t", pa.bool_())]))
+    columns = batch.schema.names
+    got = {(r["k"], r["n"]): r for r in state._smallest(batch, ["k", "n"], columns).to_pylist()}
+    for key in {(r["k"], r["n"]) for r in rows}:
+        mine = [r for r in rows if (r["k"], r["n"]) == key]
+        best = min(mine, key=lambda r: [state.ordered(r[c]) for c in columns])
+        assert got[key] == {**best, state.ROWS: len(mine)}
+    assert not state._plain(pa.array([1.0, float("nan")])) and not state._plain(pa.array([[1]])) and state._plain(pa.array([], pa.float64()))
+
+
 def late_stream(spark, folder):
     feed, target, aside, checkpoint = folder("feed"), folder("target"), folder("aside"), folder("cp")
     schema = "p STRING, v STRING, ends TIMESTAMP, ok BOOLEAN"
