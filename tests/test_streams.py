@@ -98,6 +98,17 @@ def test_rows_of_a_key_are_combined_in_their_task(spark, monkeypatch):
     assert best == {k: min(str(i) for i in range(k, 700, 7)) for k in range(7)}
 
 
+def test_one_row_of_a_key_is_left_in_a_partition(spark, monkeypatch):
+    from tidemark.streaming import state
+    monkeypatch.setattr(state, "HELD", 5)
+    plain = spark.createDataFrame([(i % 50, str(i)) for i in range(3000)], "k INT, v STRING").repartition(3, "k")
+    nested = plain.withColumn("l", F.array("v"))
+    for df in (plain, nested, plain.withColumn("never", F.lit(1))):
+        got = {r.k: r.v for r in state.smallest_in_partition(df, ["k"]).collect()}
+        assert state.smallest_in_partition(df, ["k"]).count() == 50
+        assert got == {k: min(str(i) for i in range(k, 3000, 50)) for k in range(50)}
+
+
 def test_both_ways_of_combining_agree():
     import random
 

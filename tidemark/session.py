@@ -68,11 +68,3 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder path under the shared root (not created yet)."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def reliable_checkpoint(df):
-    """Cut lineage through reliable storage, so that lost executors lose nothing."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)

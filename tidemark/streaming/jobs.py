@@ -18,7 +18,7 @@ from ..sources.envelopes import read_envelopes
 from ..sources.webhooks import CHAT_BODY, emoji_rows
 from ..tables import files
 from ..tables.store import TableStore
-from .state import FirstPerKey, OncePerPeriod, rocksdb, smallest_in_task
+from .state import ROWS, OncePerPeriod, rocksdb, smallest_in_partition, smallest_in_task
 
 
 def run_available(writer) -> list:
@@ -79,16 +79,22 @@ def _known_keys(spark: SparkSession, target: str, checkpoint: str, schema: T.Str
 def dedupe_existing(stream: DataFrame, keys: list[str], target: str, checkpoint: str) -> list:
     """Append only rows whose key was never stored; of one key within a batch the smallest row. Returns the progress of the batches.
 
-    The keys are state, so that a batch costs by its own rows, whatever the target holds. The target is read once, by
-    the first batch of a checkpoint. Null keys compare equal.
+    The keys are the state of a streaming deduplication, so that a batch costs by its own rows, whatever the target holds. What other streams have
+    stored is read once, when a checkpoint is begun, and passes the state first as rows that are not stored again. Null keys compare equal.
     """
-    spark = stream.sparkSession
-    known = _known_keys(spark, target, checkpoint, stream.schema, keys)
-    first = smallest_in_task(stream, keys).groupBy(*keys).transformWithState(
-        FirstPerKey(stream.columns), stream.schema, "Append", "None", initialState=known.groupBy(*keys))
+    spark, columns = stream.sparkSession, stream.columns
+    seed = f"{checkpoint}/seed"
+    if not files.exists(spark, f"{seed}/_SUCCESS"):
+        _known_keys(spark, target, checkpoint, stream.schema, keys).write.mode("overwrite").parquet(seed)
+    known = spark.readStream.schema(T.StructType([stream.schema[k] for k in keys])).parquet(seed)
+    kind = {f.name: f.dataType for f in stream.schema}
+    known = known.select(F.lit(0).alias("_fresh"), *[F.col(f"`{c}`") if c in keys else F.lit(None).cast(kind[c]).alias(c) for c in columns])
+    rows = smallest_in_task(known.union(stream.select(F.lit(1).alias("_fresh"), *[F.col(f"`{c}`") for c in columns])), keys).drop(ROWS)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = smallest_in_partition(rows.repartition(width, *[F.col(f"`{k}`") for k in keys]), keys).dropDuplicates(keys)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, target, batch_name(checkpoint, batch_id))
+        write_batch(batch.filter("_fresh = 1").drop("_fresh"), target, batch_name(checkpoint, batch_id))
 
     with rocksdb(spark):
         return run_available(first.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint))

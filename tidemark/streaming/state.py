@@ -117,27 +117,39 @@ def smallest_in_task(stream: DataFrame, keys: list[str], only: str | None = None
     return stream.mapInArrow(combined, schema)
 
 
-class FirstPerKey(StatefulProcessor):
-    """Lets one row of a key pass, ever: the smallest of the first batch that has the key."""
+def smallest_in_partition(stream: DataFrame, keys: list[str]) -> DataFrame:
+    """The smallest row of every key in each partition, so that after a shuffle by the keys one row of a key is left per batch.
 
-    def __init__(self, columns: list[str]):
-        self.columns = columns
-
-    def init(self, handle) -> None:
-        self.seen = handle.getValueState("seen", "known boolean")
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.seen.update((True,))
+    Holds the best row of each key of the partition, besides the rows that came since they were last combined.
+    """
+    columns = stream.columns
 
-    def handleInputRows(self, key, rows, timerValues):
-        if self.seen.exists():
-            return
-        best = min(rows, key=lambda r: [ordered(r[c]) for c in self.columns])
-        self.seen.update((True,))
-        yield Row(**{c: best[c] for c in self.columns})
+    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, most = 0, HELD
+
+        def best() -> pa.RecordBatch:
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            if all(_plain(whole.column(c)) for c in columns):
+                return pa.RecordBatch.from_arrays(_smallest(whole, keys, columns).columns[:-1], schema=whole.schema)
+            kept: dict = {}
+            for row in whole.to_pylist():
+                key = tuple(ordered(row[k]) for k in keys)
+                kept[key] = min(kept[key], row, key=lambda r: [ordered(r[c]) for c in columns]) if key in kept else row
+            return pa.RecordBatch.from_pylist(list(kept.values()), whole.schema)
 
-    def close(self) -> None:
-        pass
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size > most:
+                held = [best()]
+                size = held[0].num_rows
+                most = 2 * size + HELD
+        if held:
+            yield best()
+
+    return stream.mapInArrow(combined, stream.schema)
 
 
 class OncePerPeriod(StatefulProcessor):
