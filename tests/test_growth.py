@@ -4,7 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import aggregates as A
 from tidemark.operators import windows as W
+from tidemark.plans import people
 from tidemark.plans import reports as R
 from tidemark.queries import roles
 
@@ -57,3 +59,35 @@ def test_projects_are_grouped_by_numbers(spark, tmp_path):
     assert sorted(map(tuple, source.projects.collect()), key=repr) == [("s2", "w1", "199802", 200, 7.0, 1), (None, "w1", None, 100, 5.0, 1)]
     plan = source.project_rows._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [l_suppkey" in plan
+
+
+def test_merge_combines_by_hashing(spark, rows_of):
+    kinds = "k STRING, q STRING, time LONG"
+    new = spark.createDataFrame([("a", "1", 5), ("a", "1", 4), ("b", None, None), ("b", None, 3), ("c", "1", 9)], kinds)
+    old = spark.createDataFrame([("a", "1", 1), ("b", None, 2), ("d", "1", 7), ("d", "1", None), ("e", None, 6), ("e", None, 8)], kinds)
+    got = W.merge_new_with_old(new, old, ["time"])
+    assert got.columns == ["k", "q", "time"]
+    assert rows_of(got) == sorted([("a", "1", 4), ("b", None, None), ("c", "1", 9), ("d", "1", None), ("e", None, 6)], key=repr)
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    texts = W.merge_new_with_old(*[df.withColumn("time", F.col("time").cast("string")) for df in (new, old)], ["time"])
+    assert rows_of(texts.withColumn("time", F.col("time").cast("long"))) == rows_of(got)
+
+
+def test_rollup_shuffles_rows_once_per_result(spark, rows_of):
+    rows = [("c", "w", p, a, h) for p, a, h in [("1", "x", 2.0), ("1", "x", 3.0), ("1", "y", 1.0), ("2", None, 4.0), ("2", "y", None)]]
+    df = spark.createDataFrame(rows, "customer STRING, work_order_description STRING, reg_period STRING, alias STRING, used_hrs DOUBLE")
+    got = A.project_rollup(df, 7)
+    assert rows_of(got) == [("c", 2, 4.0, "2", 7, "w"), ("c", 2, 6.0, "1", 7, "w")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate [" in line and "reg_period" in line.split("]")[0] and "alias" in line.split("]")[0]]
+
+
+def test_hours_are_typed_before_they_are_staged(spark):
+    record = ("tab STRING, reg_period STRING, used_hrs STRING, resource_id STRING, xr1project STRING, work_order STRING, xwork_order STRING, "
+              "xr0work_order STRING")
+    one = lambda hrs, period="20241": ("B", period, hrs, "AL", "p", "o", "w", "c")
+    env = spark.createDataFrame([((1.9, None, None), [one("5"), one("0"), one("NaN"), one("x"), one("5", None)])],
+                                f"metadata STRUCT<timestamp DOUBLE, event STRING, event_type STRING>, data ARRAY<STRUCT<{record}>>")
+    got = people.hours_per_resource.stage(env)
+    assert [(r["alias"], r["used_hrs"], r["time"], r["_worked"]) for r in got.collect()] == [
+        ("al", 5.0, 1, True), ("al", 0.0, 1, False), ("al", 0.0, 1, False), ("al", 0.0, 1, False), ("al", 5.0, 1, False)]

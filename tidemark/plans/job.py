@@ -30,7 +30,7 @@ class Context:
 
 
 class Job:
-    def __init__(self, f, payload, partitions, overwrite, purge_versions, historical, person_tables, parse_once):
+    def __init__(self, f, payload, partitions, overwrite, purge_versions, historical, person_tables, parse_once, stage):
         functools.update_wrapper(self, f)
         self.f = f
         self.payload = payload
@@ -40,10 +40,14 @@ class Job:
         self.historical = historical
         self.person_tables = person_tables
         self.parse_once = parse_once
+        self.stage = stage
 
     def tables(self, envelopes: DataFrame, context: Context, directory: DataFrame | None = None) -> dict:
         """Output tables as lazy DataFrames, people resolved."""
-        tables = self.f(envelopes, context)
+        return self._tables(self.stage(envelopes), context, directory)
+
+    def _tables(self, staged: DataFrame, context: Context, directory: DataFrame | None) -> dict:
+        tables = self.f(staged, context)
         if not isinstance(tables, dict):
             raise TypeError("a transform must return a dict of DataFrames")
         for name, by in self.person_tables.items():
@@ -56,16 +60,17 @@ class Job:
             batch: str | None = None) -> list[str]:
         """Write all output tables; returns the names that changed. A named `batch` may be repeated.
 
-        Jobs with several outputs store the parsed envelopes as Parquet first: the JSON is read
-        once, and each output then scans only its own columns.
+        Jobs with several outputs store the parsed envelopes, or what `stage` makes of them, as Parquet first:
+        the JSON is read once, and each output then scans only its own columns.
         """
         spark, store = context.spark, context.store
         parsed = f"{store.root}/staged/input-{uuid.uuid4().hex}"
+        staged = self.stage(envelopes)
         if self.parse_once:
-            envelopes.write.parquet(parsed)
-            envelopes = spark.read.schema(envelopes.schema).parquet(parsed)
+            staged.write.parquet(parsed)
+            staged = spark.read.schema(staged.schema).parquet(parsed)
         try:
-            names = store.write_all(self.tables(envelopes, context, directory), self.partitions,
+            names = store.write_all(self._tables(staged, context, directory), self.partitions,
                                     self.overwrite, self.purge_versions, self.historical, batch)
             for name in names if context.database else []:
                 store.register(name, context.database)
@@ -77,9 +82,12 @@ class Job:
 
 
 def job(payload: str, partitions: dict | None = None, overwrite: bool = False, purge_versions: bool = False,
-        historical=(), person_tables: dict | None = None, parse_once: bool = False):
-    """Decorator for `f(envelopes, context) -> dict[str, DataFrame]`; `payload` is the schema of `data`."""
+        historical=(), person_tables: dict | None = None, parse_once: bool = False, stage=lambda envelopes: envelopes):
+    """Decorator for `f(envelopes, context) -> dict[str, DataFrame]`; `payload` is the schema of `data`.
+
+    `stage` turns envelopes into the rows that `f` gets, such as typed records.
+    """
     def wrap(f):
         return Job(f, payload, partitions or {}, overwrite, purge_versions, tuple(historical), person_tables or {},
-                   parse_once)
+                   parse_once, stage)
     return wrap

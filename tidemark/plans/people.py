@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,22 +48,23 @@ HOURS = """ARRAY<STRUCT<tab STRING, reg_period STRING, used_hrs STRING, resource
     work_order STRING, xwork_order STRING, xr0work_order STRING>>"""
 
 
-def worked_hours(rows: DataFrame) -> DataFrame:
-    """Typed, complete rows with positive hours."""
-    renamed = rows.select(
+def typed_hours(envelopes: DataFrame) -> DataFrame:
+    """Typed records of all rows; `_worked` marks the complete ones with positive hours."""
+    rows = with_meta_time(envelopes).select(
         "reg_period", float_or_zero("used_hrs").alias("used_hrs"), F.lower("resource_id").alias("alias"),
         F.col("xr1project").alias("project_type"), "work_order", F.col("xwork_order").alias("work_order_description"),
         F.col("xr0work_order").alias("customer"), "time")
-    return renamed.na.drop("any").filter(F.col("used_hrs") > 0)
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rows.columns])
+    return rows.withColumn("_worked", complete & ~F.isnan("used_hrs") & (F.col("used_hrs") > 0))
 
 
 @job(HOURS, overwrite=True, purge_versions=True, historical=["ubw_per_project_data"],
-     person_tables={"ubw_customer_per_resource": "alias"}, parse_once=True)
-def hours_per_resource(envelopes, context):
-    work = worked_hours(with_meta_time(envelopes))
+     person_tables={"ubw_customer_per_resource": "alias"}, parse_once=True, stage=typed_hours)
+def hours_per_resource(rows, context):
+    work = rows.filter("_worked").drop("_worked")
     ranked = weight_rank(work, "alias", "used_hrs", ["work_order", "project_type", "reg_period"])
     # All projects of a run carry the run's one time stamp.
-    stamp = with_meta_time(envelopes).agg(F.min("time"))
+    stamp = rows.agg(F.min("time"))
     projects = project_rollup(work, 0).withColumn("timestamp", stamp.scalar())
     current = ranked.drop("used_hrs")
     old = context.existing("ubw_customer_per_resource")
