@@ -9,6 +9,7 @@ from tidemark.operators import windows as W
 from tidemark.plans import people
 from tidemark.plans import reports as R
 from tidemark.queries import roles
+from tidemark.sources import documents as docs
 
 
 def test_newest_periods(spark, rows_of):
@@ -91,3 +92,60 @@ def test_hours_are_typed_before_they_are_staged(spark):
     got = people.hours_per_resource.stage(env)
     assert [(r["alias"], r["used_hrs"], r["time"], r["_worked"]) for r in got.collect()] == [
         ("al", 5.0, 1, True), ("al", 0.0, 1, False), ("al", 0.0, 1, False), ("al", 0.0, 1, False), ("al", 5.0, 1, False)]
+
+
+def forecasts():
+    """Forecast documents: plain ones, some laid out differently, and some that are odd or broken."""
+    step = lambda i, v="0.5", t="7", more="", inner="": (
+        f'<time from="2024-01-{i % 28 + 1:02d}T{i % 24:02d}:00:00" to="2024-02-{i % 28 + 1:02d}T{i % 24:02d}:30:00"{more}>{inner}<precipitation value="{v}"/>'
+        f'<windSpeed mps="{i}.25"/><temperature value="{t}"/><pressure value="{i}"/></time>')
+    doc = lambda *steps, name="Oslo", before="", after="": (
+        f"<weatherdata><location><name>{name}</name></location>{before}<forecast><tabular>{''.join(steps)}</tabular></forecast>{after}</weatherdata>")
+    run = [step(i) for i in range(26)]
+    plain = [
+        doc(*run), doc(run[0]), doc(*run, name=" Ås &amp; by "), doc(*run, name="<![CDATA[a<time b]]>"), doc(*run[:3], name=""),
+        '<?xml version="1.0"?>' + doc(*run[:5]), doc(*[s.replace("/><", "/>\n  <").replace("><p", ">\n <p").replace("/>", " />") + "\n" for s in run]),
+        doc(*[step(i, more=f' period="{i}"', inner='<symbol number="3" name="Fair weather"/>') for i in range(30)]),
+        doc(step(1, v="-1.5E-7", t="-3"), step(2, v="1.0E10", t="0")), doc(*run, before='<sun rise="1"/><!-- <time -->', after="<x>&lt;</x>"),
+        doc(*run, before="<forecast><tabular><time/></tabular></forecast>")]
+    turned = run[1].replace('<windSpeed mps="1.25"/>', "").replace("</time>", '<windSpeed mps="1.25"/></time>')
+    odd = [
+        doc(), None, "", "x", doc(*run)[:-3], doc(*run, turned), doc(run[0], step(1, v="null"), run[2]), doc(*run[:25], step(25, t="x")), doc(step(1, t="1.5")),
+        doc(step(1, t="99999999999")), doc(step(1, v=" 1 ")), doc(step(1, v="+1")), doc(step(1, v="")), doc(step(1, v="1&#46;5")), doc(*run).replace('"', "'"),
+        doc(run[0], "<!-- x -->", run[1]), doc(run[0], "text", run[1]), doc(run[0], run[1], "text"), doc(run[0], "5;6,7", run[1]), doc(run[0], "<other/>", run[1]),
+        doc(run[0].replace('<pressure value="0"/>', "")), doc(run[0].replace("<pressure", "<Pressure")), doc(run[0].replace(" mps=", " Mps=")),
+        doc(run[0].replace('<pressure value="0"/>', '<pressure value="0"/><pressure value="9"/>')), doc(run[0].replace('<pressure value="0"/>', '<pressure value="0"></pressure>')),
+        doc(step(1, more=' a="1" a="2"')), doc(step(1, more=' a="1" b="2"')), doc(step(1, more=' From="2024-03-01T00:00:00"')), doc(step(1, inner='<Pressure value="4"/>')),
+        doc(step(1, inner='<symbol a="1" a="1"/>')), doc(step(1, inner="<symbol>1</symbol>")), doc(*run, before="<!--", after="-->"), doc("<!--", *run, "-->"),
+        doc("<![CDATA[", *run, "]]>"), doc(*run, after="<forecast><tabular/></forecast>"), doc(*run, after=f"<forecast><tabular>{run[3]}</tabular></forecast>"),
+        f"<weatherdata><location><name>x</name></location><other>{run[0]}</other></weatherdata>", f"<a>{doc(*run)}</a>", doc('<time from="2024-01-01T00:00:00"/>'), doc("<time/>", *run),
+        doc(*run, before="<p>"), doc("<p>", *run, "</p>"), doc(*run, name="a\x01b"), "<weatherdata>" + "".join(run) + "</weatherdata>"]
+    return plain, odd
+
+
+def test_forecast_texts_as_the_xml_reader_reads_them(spark, rows_of):
+    plain, odd = forecasts()
+    df = spark.createDataFrame([(str(i), x) for i, x in enumerate(plain + odd)], "k STRING, x STRING")
+    parsed = df.select("k", F.from_xml("x", docs.FORECAST).alias("p")).select("k", "p.*")
+    for first in (24, 2):
+        expected = docs.forecast_rows(parsed, F.col("k"), first)
+        got = docs.forecast_texts(df, F.col("x"), F.col("k"), first)
+        assert got.schema.simpleString() == expected.schema.simpleString()
+        assert rows_of(got) == rows_of(expected)
+    assert {r[0] for r in rows_of(got)} >= {str(i) for i in range(len(plain))}
+
+
+def test_plain_steps_are_not_read_as_elements(spark):
+    plain, odd = forecasts()
+    run = lambda x: x[x.index("<time ") if "<time " in x else 0:x.rindex("</time>") + 7 if "</time>" in x else 0]
+    texts = [run(x.replace("<!-- <time -->", "").replace("<![CDATA[a<time b]]>", "")) for x in plain]
+    left = spark.createDataFrame([(x,) for x in texts], "x STRING").select(F.regexp_replace("x", docs.STEP, ""))
+    assert [r[0] for r in left.collect()] == [""] * len(plain)
+
+
+def test_a_long_run_of_steps_takes_no_stack(spark):
+    step = '<time from="2024-01-01T00:00:00" to="2024-01-01T01:00:00">' + '<symbol a="1"/>' * 50_000 + \
+        '<precipitation value="1"/><windSpeed mps="2"/><temperature value="3"/><pressure value="4"/></time>'
+    text = f"<weatherdata><location><name>x</name></location><forecast><tabular>{step * 2}</tabular></forecast></weatherdata>"
+    got = docs.forecast_texts(spark.createDataFrame([(text,)], "x STRING"), F.col("x"), F.lit("p"))
+    assert [tuple(r) for r in got.collect()] == [("p", "x", 1704067200, 1704070800, 1.0, 2.0, 3, 4.0)] * 2

@@ -110,15 +110,16 @@ def read_csv_reference(t):
 
 
 def forecast_xml():
-    hours = F.transform(F.sequence(F.lit(0), F.lit(25)), lambda i: F.format_string(
-        '<time from="2024-01-%02dT%02d:00:00" to="2024-01-%02dT%02d:30:00"><precipitation value="%s"/>'
-        '<windSpeed mps="%s"/><temperature value="%s"/><pressure value="%s"/></time>',
-        F.dayofmonth("ts"), i % 24, F.dayofmonth("ts"), i % 24, F.col("value").cast("string"),
-        (F.col("value") + i).cast("decimal(12,2)").cast("string"), (F.col("user_id") + i).cast("string"),
-        F.col("event_id").cast("string")))
-    return F.concat(F.lit("<weatherdata><location><name>"), F.col("event_type"),
-                    F.lit("</name></location><forecast><tabular>"), F.array_join(hours, ""),
-                    F.lit("</tabular></forecast></weatherdata>"))
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    day = F.coalesce(F.lpad(F.dayofmonth("ts").cast("string"), 2, "0"), F.lit("null"))
+    pieces = []
+    for i in range(26):
+        pieces += [F.lit('<time from="2024-01-'), day, F.lit(f'T{i % 24:02d}:00:00" to="2024-01-'), day,
+                   F.lit(f'T{i % 24:02d}:30:00"><precipitation value="'), text(F.col("value")), F.lit('"/><windSpeed mps="'),
+                   text((F.col("value") + i).cast("decimal(12,2)")), F.lit('"/><temperature value="'), text(F.col("user_id") + i),
+                   F.lit('"/><pressure value="'), text(F.col("event_id")), F.lit('"/></time>')]
+    return F.concat(F.lit("<weatherdata><location><name>"), F.col("event_type"), F.lit("</name></location><forecast><tabular>"),
+                    *pieces, F.lit("</tabular></forecast></weatherdata>"))
 
 
 FORECAST_SQL = """
@@ -132,10 +133,8 @@ FORECAST_SQL = """
 
 @query("read_xml_rows", FORECAST_SQL)
 def read_xml_rows(t):
-    parsed = t.spread("events").select(F.concat(F.lit("p/"), F.col("user_id").cast("string")).alias("place"),
-                             F.from_xml(forecast_xml(), docs.FORECAST).alias("x"))
-    return docs.forecast_rows(parsed.select("place", "x.*"), F.col("place")).withColumn(
-        "wind_speed", F.round("wind_speed", 2))
+    place = F.concat(F.lit("p/"), F.col("user_id").cast("string"))
+    return docs.forecast_texts(t.spread("events"), forecast_xml(), place).withColumn("wind_speed", F.round("wind_speed", 2))
 
 
 @query("read_xml_report", """

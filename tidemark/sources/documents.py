@@ -19,6 +19,32 @@ FORECAST = """location STRUCT<name STRING>, forecast STRUCT<tabular STRUCT<time
     temperature STRUCT<_value INT>, pressure STRUCT<_value DOUBLE>>>>>"""
 
 
+def _step_pattern() -> str:
+    """A forecast step whose readings are plain numbers, in the provider's order; other attributes and empty elements may stand between.
+
+    Everything repeats possessively, so that a match takes no stack. Names compare without case, as Spark's XML reader does.
+    """
+    plain = r"[\p{L}\p{N} :.,/%()+_-]*+"
+
+    def others(tag: int, known: str) -> str:
+        # an attribute that comes twice makes the document malformed
+        return rf'(?:\s++(?!(?i:{known})=)(?<a{tag}>[A-Za-z]\w*+)="{plain}"(?![^>]*\s\k<a{tag}>=))*+'
+
+    def own(tag: int, name: str, attribute: str, value: str) -> str:
+        return rf'<{name}{others(2 * tag, attribute)}\s++{attribute}="(?<v{tag}>{value})"{others(2 * tag + 1, attribute)}\s*+/>'
+
+    def gap(tag: int) -> str:
+        return rf"\s*+(?:<(?!(?i:time|precipitation|windSpeed|temperature|pressure)[\s/>])[A-Za-z]\w*+{others(tag, '_')}\s*+/>\s*+)*+"
+
+    time, real, whole = r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d", r"-?\d{1,15}+(?:\.\d{1,15}+)?+(?:E-?\d\d?+)?+", r"-?\d{1,9}+"
+    head = rf'<time{others(90, "from|to")}\s++from="(?<v0>{time})"{others(91, "from|to")}\s++to="(?<v1>{time})"{others(92, "from|to")}\s*+>'
+    readings = (("precipitation", "value", real), ("windSpeed", "mps", real), ("temperature", "value", whole), ("pressure", "value", real))
+    return rf"\G{head}{gap(93)}" + "".join(own(i, *r) + gap(92 + i) for i, r in enumerate(readings, 2)) + r"</time>\s*+"
+
+
+STEP = _step_pattern()
+
+
 def forecast_rows(parsed: DataFrame, location, first: int = 24) -> DataFrame:
     """Weather records of the first `first` steps of every parsed forecast document."""
     steps = parsed.select(location.alias("location"), F.col("location.name").alias("location_name"),
@@ -30,6 +56,46 @@ def forecast_rows(parsed: DataFrame, location, first: int = 24) -> DataFrame:
         F.col("t.temperature._value").alias("temperature"), F.col("t.pressure._value").alias("air_pressure"))
 
 
+def forecast_texts(df: DataFrame, xml, location, first: int = 24) -> DataFrame:
+    """The rows of `forecast_rows` from forecast documents held as texts.
+
+    The XML reader builds rows for every element with attributes, which is most of the time. So it reads each document with its run
+    of steps put as one mark, and the steps are matched as they repeat. A document with anything in its run but plain
+    steps (`STEP`), or whose mark does not come back as the forecast's only step, is read as a whole.
+    """
+    mark = F.lit('<time from="@"/>')
+    texts = df.select(location.alias("location"), xml.alias("_xml")).withColumns({
+        "_head": F.substring_index("_xml", "<time ", 1), "_tail": F.substring_index("_xml", "</time>", -1)})
+    run = F.substring("_xml", F.length("_head") + 1, F.length("_xml") - F.length("_head") - F.length("_tail"))
+    values = ",".join(f"${{v{i}}}" for i in range(6))
+    # The run ends with a step's end, so that whatever does not match leaves a tag.
+    cut = texts.withColumn("_run", F.regexp_replace(run, F.lit(STEP), F.lit(values + ";")))
+    plain = (F.col("_run") != "") & ~F.contains("_run", F.lit("<"))
+    framed = cut.withColumn("_frame", F.when(plain, F.from_xml(F.concat("_head", mark, "_tail"), FORECAST)))
+    times = F.col("_frame.forecast.tabular.time")
+    framed = framed.withColumn("_plain", F.coalesce((F.size(times) == 1) & (F.get(times, F.lit(0))["_from"] == "@"), F.lit(False)))
+    read = framed.withColumn("_frame", F.when(F.col("_plain"), F.col("_frame")).otherwise(F.from_xml("_xml", FORECAST))) \
+        .withColumn("location_name", F.col("_frame.location.name"))
+    kind = read.schema["_frame"].dataType["forecast"].dataType["tabular"].dataType["time"].dataType.elementType
+    runs = F.split("_run", ";")
+    matched = F.transform(F.slice(runs, 1, F.least(F.lit(first), F.size(runs) - 1)),
+                          lambda s: F.struct(s.alias("values"), F.lit(None).cast(kind).alias("t")))
+    parsed = F.transform(F.slice("_frame.forecast.tabular.time", 1, first), lambda t: F.struct(F.lit(None).cast("string").alias("values"), t.alias("t")))
+    steps = read.select("location", "location_name", F.explode(F.when(F.col("_plain"), matched).otherwise(parsed)).alias("_s")) \
+        .select("location", "location_name", F.split("_s.values", ",").alias("v"), F.col("_s.t").alias("t"))
+    value = lambda i, c, kind: F.when(F.col("v").isNotNull(), F.get("v", F.lit(i)).cast(kind)).otherwise(F.col(c))
+
+    def seconds(i, c):
+        text = F.coalesce(F.get("v", F.lit(i)), F.col(c))
+        exact = F.when(F.col("v").isNotNull(), F.unix_seconds(text.try_cast("timestamp")))
+        return F.coalesce(exact, F.unix_timestamp(text, "yyyy-MM-dd'T'HH:mm:ss"))
+
+    return steps.select(
+        "location", "location_name", seconds(0, "t._from").alias("time_from"), seconds(1, "t._to").alias("time_to"),
+        value(2, "t.precipitation._value", "double").alias("precipitation"), value(3, "t.windSpeed._mps", "double").alias("wind_speed"),
+        value(4, "t.temperature._value", "int").alias("temperature"), value(5, "t.pressure._value", "double").alias("air_pressure"))
+
+
 def scripts(html) -> Column:
     """Bodies of all script blocks."""
     return F.regexp_extract_all(F.col(html) if isinstance(html, str) else html, F.lit(SCRIPT), F.lit(1))
