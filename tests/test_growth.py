@@ -10,6 +10,7 @@ from tidemark.plans import people
 from tidemark.plans import reports as R
 from tidemark.queries import roles
 from tidemark.sources import documents as docs
+from tidemark.sources.envelopes import with_meta_time, wrap
 
 
 def test_newest_periods(spark, rows_of):
@@ -149,3 +150,12 @@ def test_a_long_run_of_steps_takes_no_stack(spark):
     text = f"<weatherdata><location><name>x</name></location><forecast><tabular>{step * 2}</tabular></forecast></weatherdata>"
     got = docs.forecast_texts(spark.createDataFrame([(text,)], "x STRING"), F.col("x"), F.lit("p"))
     assert [tuple(r) for r in got.collect()] == [("p", "x", 1704067200, 1704070800, 1.0, 2.0, 3, 4.0)] * 2
+
+
+def test_payloads_are_computed_once(spark, rows_of):
+    df = spark.range(4).select("id", F.sequence(F.lit(1), F.col("id")).alias("n"))
+    data = F.when(F.col("id") == 2, F.lit(None)).when(F.col("id") > 0, F.transform("n", lambda i: F.struct(F.upper(i.cast("string")).alias("a")))) \
+        .otherwise(F.array().cast("array<struct<a: string>>"))
+    got = with_meta_time(wrap(df, data, F.lit(7.5)))
+    assert rows_of(got) == [("1", 7), ("1", 7), ("2", 7), ("3", 7)]
+    assert "Filter" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -43,10 +43,8 @@ def directory(t):
 @query("p_weather", f"""
     SELECT *, CAST(50 AS BIGINT) AS time FROM ({FORECAST_SQL})""")
 def p_weather(t):
-    parsed = t.spread("events").select(F.concat(F.lit("p/"), text("user_id")).alias("place"),
-                         F.from_xml(forecast_xml(), docs.FORECAST).alias("x"))
-    rows = docs.forecast_rows(parsed.select("place", "x.*"), F.col("place")).withColumn(
-        "wind_speed", F.round("wind_speed", 2))
+    place = F.concat(F.lit("p/"), text("user_id"))
+    rows = docs.forecast_texts(t.spread("events"), forecast_xml(), place).withColumn("wind_speed", F.round("wind_speed", 2))
     c = context(t)
     feeds.weather.run(wrap(rows, F.array(F.struct(*rows.columns)), F.lit(50.7)), c)
     return c.store.read("yr_weather")

@@ -57,7 +57,8 @@ def with_meta_time(df: DataFrame, as_float: bool = False) -> DataFrame:
     """
     time = F.col("metadata.timestamp") if as_float else F.col("metadata.timestamp").cast("long")
     if isinstance(df.schema["data"].dataType, T.ArrayType):
-        return df.select(F.inline("data"), F.col("metadata")).select(
+        # Of a bare column Spark first asks the size, in a filter pushed below what makes it: the payload would be computed twice.
+        return df.select(F.inline(F.slice("data", 1, F.size("data"))), F.col("metadata")).select(
             "*", time.alias("time")).drop("metadata")
     return df.select("data.*", time.alias("time"))
 
