@@ -8,7 +8,8 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import windows as W
 from tidemark.plans import people
 from tidemark.plans import reports as R
-from tidemark.queries import roles
+from tidemark.queries import governance, roles
+from tidemark.queries.registry import Tables
 from tidemark.sources import documents as docs
 from tidemark.sources.envelopes import with_meta_time, wrap
 
@@ -159,3 +160,11 @@ def test_payloads_are_computed_once(spark, rows_of):
     got = with_meta_time(wrap(df, data, F.lit(7.5)))
     assert rows_of(got) == [("1", 7), ("1", 7), ("2", 7), ("3", 7)]
     assert "Filter" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_project_rows_are_stored_once(spark, store, monkeypatch):
+    written = []
+    monkeypatch.setattr(type(store), "write", lambda self, df, name, *rest: written.append(name) or name)
+    monkeypatch.setattr(type(store), "read", lambda self, name: spark.range(0))
+    governance.stored_tables(Tables(spark, "/root/testdata/sf0.001"), store)
+    assert written.count("ubw_per_project_data") == 1 and len(written) == 18
