@@ -8,6 +8,7 @@ from tidemark.operators import aggregates as A
 from tidemark.operators import windows as W
 from tidemark.plans import people
 from tidemark.plans import reports as R
+from tidemark.plans.registry import stored_sql
 from tidemark.queries import governance, roles
 from tidemark.queries.registry import Tables
 from tidemark.sources import documents as docs
@@ -168,3 +169,22 @@ def test_project_rows_are_stored_once(spark, store, monkeypatch):
     monkeypatch.setattr(type(store), "read", lambda self, name: spark.range(0))
     governance.stored_tables(Tables(spark, "/root/testdata/sf0.001"), store)
     assert written.count("ubw_per_project_data") == 1 and len(written) == 18
+
+
+def test_the_refresh_stores_every_pair_of_a_period(spark, store, rows_of, monkeypatch):
+    monkeypatch.setattr(R, "REPEATS", 3, raising=False)
+    worked = [("1", 5.0, 100)] * 7 + [("1", 5.0, 200), ("1", None, 100), ("1", None, None), ("1", None, None), ("2", 1.5, 100), ("3", 9.0, 100), (None, 2.0, 100)]
+    known = [("g1", "1"), ("g1", "1"), ("g2", "1"), ("g2", "2"), ("g3", "1"), ("g4", "4"), (None, "1"), ("g1", None)]
+    store.write(spark.createDataFrame(worked, "reg_period STRING, hours DOUBLE, timestamp INT"), "ubw_per_project_data")
+    store.write(spark.createDataFrame([(g, p, "s", "x", f"o{p}", "w") for g, p in known], "guid STRING, reg_period STRING, customer STRING, "
+                                      "project_type STRING, work_order STRING, work_order_description STRING"), "ubw_customer_per_resource")
+    store.write(spark.createDataFrame([("g1", "e1", "m"), ("g2", "e2", None), ("g2", "e3", "m"), (None, "e4", "m")], "guid STRING, email STRING, manager STRING"),
+                "active_directory")
+    statement = next(q for n, q, _ in governance.WRITTEN if n == "employeeDataUBW")
+    projects, hours, directory = (store.read(t) for t in ("ubw_per_project_data", "ubw_customer_per_resource", "active_directory"))
+    pairs = projects.join(hours, "reg_period").join(directory, "guid").select(
+        "customer", "email", "manager", "guid", "hours", "timestamp", "reg_period", "project_type", "work_order", "work_order_description")
+    store.materialize("employeeDataUBW", stored_sql(store)("employeeDataUBW", statement), 3)
+    got = store.cached_report("employeeDataUBW", 3)
+    assert got.columns == pairs.columns and got.count() == 2 * 11 + 2 * 11 + 2
+    assert rows_of(got) == rows_of(pairs)
