@@ -1,16 +1,18 @@
 """Steps that have to grow no faster than their input: right rows, and plans without the costly step."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as A
 from tidemark.operators import windows as W
-from tidemark.plans import people
+from tidemark.plans import catalogue, people
 from tidemark.plans import reports as R
-from tidemark.plans.registry import stored_sql
+from tidemark.plans.registry import refresh, stored_sql
 from tidemark.queries import governance, roles
 from tidemark.queries.registry import Tables
+from tidemark.session import shuffles_removed
 from tidemark.sources import documents as docs
 from tidemark.sources.envelopes import with_meta_time, wrap
 
@@ -188,3 +190,33 @@ def test_the_refresh_stores_every_pair_of_a_period(spark, store, rows_of, monkey
     got = store.cached_report("employeeDataUBW", 3)
     assert got.columns == pairs.columns and got.count() == 2 * 11 + 2 * 11 + 2
     assert rows_of(got) == rows_of(pairs)
+
+
+def test_a_refresh_keeps_no_shuffle_files_of_its_reports(spark, store):
+    files = lambda: {f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(";").split(";") if "/shuffle_" in f}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was, within = files(), spark.conf.get(setting), []
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with shuffles_removed(spark):
+        store.materialize("r", counts, 3)
+    for _ in range(100):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(setting) == was
+    assert counts.count() == 7 and store.cached_report("r", 3).count() == 7
+
+    store.write(spark.range(9).select(F.col("id").alias("k")), "t")
+    registry = spark.createDataFrame([("r", "SELECT k FROM t", ["t"], 3, "x", None, None)], catalogue.REGISTRY)
+    run = lambda name, sql: within.append(spark.conf.get(setting)) or store.read("t")
+    refresh(store, registry, spark.createDataFrame([("t",)], "table STRING"), run, "now")
+    assert within == ["true"] and spark.conf.get(setting) == was
+
+
+def test_amounts_shuffle_the_answers_once(spark):
+    answers = spark.createDataFrame([("e", "q", 4.0, 5.0)] * 3, "email STRING, questionid STRING, knowledge DOUBLE, motivation DOUBLE")
+    questions = spark.createDataFrame([("q", "t", "c", "knowledgeMotivation")], "id STRING, topic STRING, categoryid STRING, type STRING")
+    got = R.comp_amount(answers, questions, spark.createDataFrame([("c", "x")], "id STRING, text STRING"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning(email" in line for line in plan.splitlines()) == 1
+    assert [(r["subCategory"], r["subCompetenceAmount"], r["motivationAmount"]) for r in got.collect()] == [("t", 1, 1)]
